@@ -141,13 +141,13 @@ def base_failed(q: str = "_q") -> Column:
     return (F.col(f"{q}.n_words") < 50) | (100 * F.col(f"{q}.n_repeat_words") > 50 * F.col(f"{q}.n_words"))
 
 
-def vote_pattern(q: str = "_q") -> Column:
-    """A digit per rule: 1 good, 2 bad, 0 abstains. A text without words gets abstentions only."""
+def _over(sql: str, q: str) -> Column:
+    return F.expr(re.sub(r"\bn_\w+|\bword_chars\b", lambda m: f"{q}.{m[0]}", sql))
 
-    def over(sql: str) -> Column:
-        return F.expr(re.sub(r"\bn_\w+|\bword_chars\b", lambda m: f"{q}.{m[0]}", sql))
 
-    votes = [F.when(over(bad), BAD).when(over(good), GOOD).otherwise(ABSTAIN) for bad, good in RULES.values()]
+def vote_pattern(q: str = "_q") -> Column:
+    """A digit per rule: 1 good, 2 bad, 0 abstains. A text without words gets abstentions only."""
+    votes = [F.when(_over(bad, q), BAD).when(_over(good, q), GOOD).otherwise(ABSTAIN) for bad, good in RULES.values()]
     return F.when(F.col(f"{q}.n_words") == 0, ABSTAIN * len(RULES)).otherwise(F.concat(*votes))
 
 
@@ -162,12 +162,13 @@ class LabelModel:
     def log_odds(self, pattern: str) -> float:
         return math.log(self.prior / (1 - self.prior)) + sum(math.log(g[v] / b[v]) for g, b, v in zip(self.good, self.bad, pattern, strict=True))
 
-    def posterior(self, pattern: Column) -> Column:
+    def posterior(self, q: str = "_q") -> Column:
         """Probability of good quality, as a column."""
         odds = F.lit(math.log(self.prior / (1 - self.prior)))
-        for k, (g, b) in enumerate(zip(self.good, self.bad, strict=True)):
-            v = F.substring(pattern, k + 1, 1)
-            odds = odds + F.when(v == GOOD, math.log(g[GOOD] / b[GOOD])).when(v == BAD, math.log(g[BAD] / b[BAD])).otherwise(math.log(g[ABSTAIN] / b[ABSTAIN]))
+        for g, b, (bad, good) in zip(self.good, self.bad, RULES.values(), strict=True):
+            ratio = {v: F.lit(math.log(g[v] / b[v])) for v in (GOOD, BAD, ABSTAIN)}
+            vote = F.when(_over(bad, q), ratio[BAD]).when(_over(good, q), ratio[GOOD]).otherwise(ratio[ABSTAIN])
+            odds = odds + F.when(F.col(f"{q}.n_words") == 0, ratio[ABSTAIN]).otherwise(vote)
         return 1 / (1 + F.exp(-odds))
 
 
@@ -227,7 +228,7 @@ def judge(docs: DataFrame, text: str = "text", threshold: float = 0.5) -> DataFr
 
 def verdicts(scored: DataFrame, model: LabelModel, threshold: float = 0.5) -> DataFrame:
     out = scored.withColumn("_pattern", vote_pattern())
-    return out.withColumn("_posterior", model.posterior(F.col("_pattern"))).withColumn("_kept", ~base_failed() & (F.col("_posterior") >= threshold))
+    return out.withColumn("_posterior", model.posterior()).withColumn("_kept", ~base_failed() & (F.col("_posterior") >= threshold))
 
 
 def keep_good(docs: DataFrame, text: str = "text", threshold: float = 0.5) -> DataFrame:
