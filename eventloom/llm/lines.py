@@ -140,7 +140,8 @@ def drop_repeated_runs(docs: DataFrame, text: str = "text", min_words: int = 50)
     keyed = docs.withColumns(dict(zip(DOC, _keys(text), strict=True)))
     lines = F.split(F.col(text), "\n")
     kept = F.filter(lines, lambda x, i: ~F.exists("_cut", lambda c: i.between(c["low"], c["high"])))
-    out = keyed.join(cuts, DOC, "left")
+    # one plan at every size: cuts grow with the documents, so they are never sent to all tasks
+    out = keyed.join(cuts.hint("merge"), DOC, "left")
     out = out.withColumn("_lines", F.coalesce(F.size(lines), F.lit(0)).cast("long"))
     out = out.withColumn("_lines", F.when(F.col(text).isNull(), F.lit(0)).otherwise(F.col("_lines")).cast("long"))
     gone = F.aggregate("_cut", F.lit(0), lambda s, c: s + c["high"] - c["low"] + 1)
