@@ -2,10 +2,510 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 
-def queries() -> dict:
-    return {}
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from eventloom.functions import taxonomy, text, urls
+from eventloom.jobs import fixtures as fx
+from eventloom.operators import coverage, evidence, merge, pages, resolve
+
+Query = Callable[[SparkSession, str], DataFrame]
+_QUERIES: dict[str, Query] = {}
+_SQL: dict[str, str] = {}
+
+
+def query(name: str, sql: str | None = None):
+    def add(f: Query) -> Query:
+        _QUERIES[name] = f
+        if sql is not None:
+            _SQL[name] = sql
+        return f
+
+    return add
+
+
+def queries() -> dict[str, Query]:
+    return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(_SQL)
+
+
+# --- URLs ----------------------------------------------------------------------------------------------------
+
+W_URLS = f"with {fx.BASE}, {fx.URLS} "
+_T = "trim(coalesce(url, ''))"
+_NET = f"lower(regexp_extract({_T}, '{urls.NETLOC}', 1))"
+_PATH = f"regexp_replace(regexp_extract({_T}, '{urls.PATH}', 1), ';[^/]*$', '')"
+_SCHEME = f"lower(regexp_extract({_T}, '{urls.SCHEME}', 1))"
+_CANON = f"case when {_T} = '' then '' else case when {_SCHEME} <> '' then {_SCHEME} || ':' else '' end || case when {_NET} <> '' then '//' || {_NET} else '' end || case when rtrim({_PATH}, '/') = '' then '/' else rtrim({_PATH}, '/') end end"
+_RAW_NET = f"lower(regexp_extract(url, '{urls.NETLOC}', 1))"
+
+
+def _in(text_: str, needles) -> str:
+    return "(" + " or ".join(f"contains({text_}, '{n}')" for n in needles) + ")"
+
+
+def url_query(name: str, column, sql: str) -> None:
+    query(name, f"{W_URLS} select k, url, {sql} as result from urls")(lambda spark, d: fx.urls(spark, d).select("k", "url", column(F.col("url")).alias("result")))
+
+
+url_query("canonical_url", urls.canonical_url, _CANON)
+url_query("domain_from_url", urls.domain_from_url, f"nullif(regexp_replace({_RAW_NET}, '^www\\.', ''), '')")
+url_query("bare_host", lambda u: F.concat_ws("|", urls.bare_host(u), urls.bare_host(u, compat=True)), f"regexp_replace({_RAW_NET}, '^www\\.', '') || '|' || ltrim({_RAW_NET}, 'w.')")
+url_query("is_listing_host", urls.is_listing_host, _in(_RAW_NET, urls.LISTING_HOSTS))
+url_query(
+    "is_event_detail_url", urls.is_event_detail_url,
+    f"{_SCHEME} in ('http', 'https') and not (" + " or ".join(f"starts_with(lower({_PATH}), '{p}') or rtrim(lower({_PATH}), '/') = '{p.rstrip('/')}'" for p in urls.HUB_PREFIXES) + ") "
+    f"and (regexp_matches({_PATH}, '(?i)(?:^|/)(event|conference)/[^/?#]+') or len(list_filter(regexp_extract_all({_PATH}, '(?i)(?:^|/)events/([^/?#]+)', 1), lambda x: not regexp_matches(lower(x), '^(create|list|index)'))) > 0) "
+    f"and not (contains(lower({_PATH}), '/conferences/') and not contains(lower({_PATH}), '/event/') and not contains(lower({_PATH}), '/events/'))",
+)
+url_query("is_bad_subpage", urls.is_bad_subpage, f"ends_with(lower(url), '.pdf') or {_in('lower(url)', urls.BAD_SUBPAGE)}")
+url_query(
+    "is_blocked_url", urls.is_blocked_url,
+    f"ends_with(lower(url), '.pdf') or {_in('lower(url)', urls.BLOCKED_PATHS)} or {_RAW_NET} in ('', 'www.') or (" + " or ".join(f"regexp_replace({_RAW_NET}, '^www\\.', '') = '{h}' or ends_with({_RAW_NET}, '.{h}')" for h in urls.BLOCKED_HOSTS) + ")",
+)
+url_query("review_url_norm", urls.review_url_norm, "lower(rtrim(url, '/'))")
+url_query("ensure_scheme", urls.ensure_scheme, "case when trim(url) = '' then '' when regexp_matches(lower(trim(url)), '^https?://') then trim(url) else 'https://' || trim(url) end")
+url_query(
+    "parse_url_slug", lambda u: F.to_json(urls.parse_url_slug(u), {"ignoreNullFields": "false"}),
+    """case when url like '%/summit-2026-july-oslo-no-%' then '{"year":"2026","month":"07","city":"Oslo","country":"Norway"}' else '{"year":null,"month":null,"city":null,"country":null}' end""",
+)
+
+
+@query("event_slug", f"with {fx.BASE} select k, trim(left(trim(regexp_replace(lower(name), '[^a-z0-9_\\-]+', '-', 'g'), '-'), 55)) || '-' || left(sha256('https://example.com/' || k), 8) as slug from base")
+def event_slug(spark, d):
+    return fx.base(spark, d).select("k", urls.event_slug(F.col("name"), F.concat(F.lit("https://example.com/"), F.col("k").cast("string"))).alias("slug"))
+
+
+# --- texts ---------------------------------------------------------------------------------------------------
+
+
+@query("normalize_for_match", r"select doc_id, md5(trim(regexp_replace(lower(coalesce(text, '')), '\s+', ' ', 'g'))) as digest from documents")
+def normalize_for_match(spark, d):
+    return fx.read(spark, d, "documents").select("doc_id", F.md5(text.normalize_for_match(F.col("text")).cast("binary")).alias("digest"))
+
+
+@query("methodology_description", r"with t as (select doc_id, regexp_replace(coalesce(text, ''), '^\s+|\s+$', '', 'g') as x from documents) select doc_id, case when x = '' then null when len(x) > 500 then regexp_replace(left(x, 497), '\s+$', '') || '...' else x end as description from t")
+def methodology_description(spark, d):
+    return fx.read(spark, d, "documents").select("doc_id", text.methodology_description(F.col("text")).alias("description"))
+
+
+_YMD = "'20' || lpad(((k % 20) + 10)::varchar, 2, '0')"
+_MON = "(['January','February','March','April','May','June','July','August','September','October','November','December'])[(k % 12) + 1]"
+
+
+@query(
+    "extract_dates",
+    f"with {fx.BASE}, n as (select k, {_YMD} as y, lpad(((k % 12) + 1)::varchar, 2, '0') as m, lpad(((k % 28) + 1)::varchar, 2, '0') as dd, lpad(((k % 28) + 3)::varchar, 2, '0') as dd2 from base) "
+    "select k, case when k % 5 <= 2 then y || '-' || m || '-' || dd end as \"start\", case k % 5 when 0 then y || '-12-28' when 1 then y || '-' || m || '-' || dd when 2 then y || '-' || m || '-' || dd2 end as \"end\" from n",
+)
+def extract_dates(spark, d):
+    k = F.col("k")
+    y = F.concat(F.lit("20"), F.lpad((k % 20 + 10).cast("string"), 2, "0"))
+    m, day = F.lpad((k % 12 + 1).cast("string"), 2, "0"), (k % 28 + 1).cast("string")
+    month = F.element_at(F.array(*[F.lit(x.title()) for x in text.MONTH_NAMES]), (k % 12 + 1).cast("int"))
+    shapes = [
+        F.concat(F.lit("From "), y, F.lit("/12/28 back to "), y, F.lit("-"), m, F.lit("-"), F.lpad(day, 2, "0"), F.lit(".")),
+        F.concat(F.lit("Starts "), month, F.lit(" "), day, F.lit(", "), y, F.lit(" in town")),
+        F.concat(F.substring(month, 1, 3), F.lit(" "), day, F.lit("-"), (k % 28 + 3).cast("string"), F.lit(", "), y),
+        F.concat(F.lit("Foobar "), day, F.lit(", "), y),
+        F.lit("no date"),
+    ]
+    said = F.element_at(F.array(*shapes), (k % 5 + 1).cast("int"))
+    return fx.base(spark, d).select("k", text.extract_dates(said).alias("x")).select("k", "x.*")
+
+
+@query(
+    "parse_location",
+    f"with {fx.BASE} select k, case k % 5 when 0 then host || ', Hall 2' when 4 then 'Online' end as venue, case when k % 5 in (0, 1, 2, 3) then city end as city, case when k % 5 in (0, 1) then 'State' end as state, case when k % 5 in (0, 1, 2) then country end as country, case when k % 5 = 1 then '12345' end as zip from base",
+)
+def parse_location(spark, d):
+    c = F.col
+    shapes = [F.concat_ws(", ", c("host"), F.lit("Hall 2"), c("city"), F.lit("State"), c("country")), F.concat(c("city"), F.lit(",  State , "), c("country"), F.lit(" 12345")), F.concat_ws(",", c("city"), c("country")), F.concat(F.lit("  "), c("city")), F.lit("Online")]
+    return fx.base(spark, d).select("k", text.parse_location(F.element_at(F.array(*shapes), (c("k") % 5 + 1).cast("int"))).alias("x")).select("k", "x.*")
+
+
+@query("tokenize_name", f"with {fx.BASE} select k, array_to_string(list_sort(list_distinct(list_filter(regexp_extract_all(lower(name), '[a-z0-9]+'), lambda x: len(x) > 2))), ' ') as tokens from base")
+def tokenize_name(spark, d):
+    return fx.base(spark, d).select("k", F.array_join(F.array_sort(text.tokenize_name(F.col("name"))), " ").alias("tokens"))
+
+
+@query("page_quality", f"select page_id, case when {_in('lower(html)', text.HARD_BLOCK)} then 'hard_block' when {_in('lower(html)', text.CHALLENGE)} then 'challenge' when len(coalesce(html, '')) < 400 then 'thin' else 'ok' end as quality from pages")
+def page_quality(spark, d):
+    return fx.read(spark, d, "pages").select("page_id", text.page_quality(F.col("html")).alias("quality"))
+
+
+_SAID = "([name || ' coming soon', 'Dates TBA', 'Program: ' || name, host || ' tbaxyz', 'Agenda to be announced', name])[(k % 6) + 1]"
+
+
+def _said():
+    c = F.col
+    return F.element_at(F.array(F.concat(c("name"), F.lit(" coming soon")), F.lit("Dates TBA"), F.concat(F.lit("Program: "), c("name")), F.concat(c("host"), F.lit(" tbaxyz")), F.lit("Agenda to be announced"), c("name")), (c("k") % 6 + 1).cast("int"))
+
+
+@query("program_not_published", f"with {fx.BASE} select k, regexp_matches({_SAID}, '(?i)program will be released|coming soon|to be announced|tba\\b') as result from base")
+def program_not_published(spark, d):
+    return fx.base(spark, d).select("k", text.program_not_published(_said()).alias("result"))
+
+
+_NAMES = "(['Logo', host || ' logo', 'Contact us', speaker, '9:30 ' || speaker, 'Lunch break', 'a: b: ' || speaker, 'one two three four five six seven eight nine', host])[(k % 9) + 1]"
+
+
+def _names():
+    c = F.col
+    return F.element_at(F.array(F.lit("Logo"), F.concat(c("host"), F.lit(" logo")), F.lit("Contact us"), c("speaker"), F.concat(F.lit("9:30 "), c("speaker")), F.lit("Lunch break"), F.concat(F.lit("a: b: "), c("speaker")), F.lit("one two three four five six seven eight nine"), c("host")), (c("k") % 9 + 1).cast("int"))
+
+
+@query("is_junk_name", f"with {fx.BASE} select k, k % 9 in (0, 1, 2, 7) as junk, k % 9 in (0, 1, 2, 4, 5, 6, 7) as junk_speaker, k % 9 in (1, 4) as junk_record from base")
+def is_junk_name(spark, d):
+    n = _names()
+    return fx.base(spark, d).select("k", text.is_junk_name(n).alias("junk"), text.is_junk_speaker_name(n).alias("junk_speaker"), text.is_junk_speaker_record(n).alias("junk_record"))
+
+
+@query(
+    "parse_speaker_candidate",
+    f"with {fx.BASE} select k, case when k % 4 < 3 then speaker end as name, case when k % 4 < 2 then 'CEO' end as title, case when k % 4 = 2 then host end as company, case k % 4 when 0 then speaker || ' — CEO' when 1 then speaker || ' - CEO' when 2 then speaker || ' at ' || host end as details from base",
+)
+def parse_speaker_candidate(spark, d):
+    c = F.col
+    shapes = [F.concat(F.lit(" •"), c("speaker"), F.lit(" — CEO;")), F.concat(c("speaker"), F.lit(" - CEO")), F.concat(c("speaker"), F.lit("  at "), c("host")), F.lit("Coffee break")]
+    return fx.base(spark, d).select("k", text.parse_speaker_candidate(F.element_at(F.array(*shapes), (c("k") % 4 + 1).cast("int"))).alias("x")).select("k", "x.*")
+
+
+_PAIR = "with b as (select item_id, text, row_number() over (order by item_id) - 1 as n, count(*) over () as c from benchmark), p as (select doc_id, item_id, trim(regexp_replace(lower(coalesce(documents.text, '')), '\\s+', ' ', 'g')) as body, trim(regexp_replace(lower(b.text), '\\s+', ' ', 'g')) as s from documents join b on n = doc_id % c) "
+
+
+def _pairs(spark, d):
+    items = fx.read(spark, d, "benchmark")
+    count = items.count()
+    numbered = items.select("item_id", F.col("text").alias("snippet")).withColumn("n", F.expr("row_number() over (order by item_id) - 1"))
+    return fx.read(spark, d, "documents").select("doc_id", "text", (F.col("doc_id") % F.lit(max(count, 1))).cast("int").alias("n")).join(numbered, "n")
+
+
+@query("scalar_in_text", _PAIR + "select doc_id, item_id, s <> '' and (contains(body, s) or (len(s) > 6 and contains(body, left(s, 30)))) as found from p")
+def scalar_in_text(spark, d):
+    return _pairs(spark, d).select("doc_id", "item_id", text.scalar_in_text(F.col("snippet"), F.col("text")).alias("found"))
+
+
+@query(
+    "snippet_in_text",
+    _PAIR + "select doc_id, item_id, len(s) >= 8 and (contains(body, s) or (len(s) > 40 and contains(body, left(s, 40))) or (len(w) >= 2 and len(list_filter(w[1:4], lambda x: not contains(body, x))) = 0)) as found "
+    "from (select *, list_filter(regexp_split_to_array(s, '[^\\pL\\pN_]+'), lambda x: len(x) > 2) as w from p)",
+)
+def snippet_in_text(spark, d):
+    return _pairs(spark, d).select("doc_id", "item_id", text.snippet_in_text(F.col("snippet"), F.col("text")).alias("found"))
+
+
+# --- taxonomy ------------------------------------------------------------------------------------------------
+
+_RULES = "case " + " ".join(f"when {_in('x', w)} then '{{}}'" for _, _, w in taxonomy.INDUSTRIES) + " end"
+
+
+@query("map_industry", f"select doc_id, {_RULES.format(*[c for c, _, _ in taxonomy.INDUSTRIES])} as code, {_RULES.format(*[n for _, n, _ in taxonomy.INDUSTRIES])} as label from (select doc_id, lower(coalesce(text, '')) as x from documents)")
+def map_industry(spark, d):
+    return fx.read(spark, d, "documents").select("doc_id", taxonomy.map_industry(F.col("text")).alias("x")).select("doc_id", "x.code", "x.label")
+
+
+W_RECORDS = f"with {fx.BASE}, {fx.RECORDS} "
+_BLOB = "lower(coalesce(event_name, '') || ' ' || coalesce(event_description_methodology, '') || '  ' || coalesce(industry, '') || ' ')"
+_IS_B2B = f"({_in('blob', taxonomy.B2B)} and not {_in('blob', taxonomy.PENALTIES)})"
+_ENGAGED = "(len(sponsor_companies) > 0 or len(speakers) > 0)"
+
+
+def _hits(words, most: int) -> str:
+    return f"array_to_string(list_filter([{', '.join(repr(w) for w in words)}], lambda w: contains(blob, w))[1:{most}], '; ')"
+
+
+@query(
+    "evaluate_scope",
+    W_RECORDS + f"select k, {_IS_B2B} as b2b, {_in('blob', taxonomy.NETWORKING)} as networking, {_IS_B2B} and ({_in('blob', taxonomy.NETWORKING)} or {_ENGAGED}) as in_scope, "
+    f"{_hits(taxonomy.B2B, 8)} as b2b_hits, {_hits(taxonomy.NETWORKING, 8)} as networking_hits, {_hits(taxonomy.PENALTIES, 5)} as penalties from (select *, {_BLOB} as blob from rec)",
+)
+def evaluate_scope(spark, d):
+    out = _scoped(fx.records(spark, d))
+    e = "scope.scope_evidence"
+    return out.select("k", "scope.b2b", "scope.networking", "scope.in_scope", F.array_join(f"{e}.b2b_hits", "; ").alias("b2b_hits"), F.array_join(f"{e}.networking_hits", "; ").alias("networking_hits"), F.array_join(f"{e}.consumer_penalties", "; ").alias("penalties"))
+
+
+def _scoped(records: DataFrame) -> DataFrame:
+    blob = taxonomy.scope_blob(*map(F.col, ("event_name", "event_description_methodology", "industry", "conference_group_description")))
+    out = records.withColumn("_blob", blob)
+    return out.withColumn("scope", taxonomy.evaluate_scope(F.col("_blob"), F.col("exhibitor_companies"), F.col("sponsor_companies"), F.col("speakers"))).drop("_blob")
+
+
+# --- coverage and review -------------------------------------------------------------------------------------
+
+_FLAG = {f: fx.FLAGS.get(f, "false") for f in coverage.FIELDS}
+_COUNT = " + ".join(f"({v})::int" for v in fx.FLAGS.values())
+_PCT = f"round(100.0 * ({_COUNT}) / 27, 1)"
+_MISSING = "array_to_string(list_filter([" + ", ".join(f"case when {v} then null else '{f}' end" for f, v in _FLAG.items()) + "], lambda x: x is not null), ', ')"
+_FULL = f"case when {_PCT} >= 70 then 'full' when {_PCT} >= 40 then 'partial' else 'minimal' end"
+
+
+@query("coverage_summary", W_RECORDS + f"select k, event_name, event_url, {_COUNT} as filled_count, 27 as total_count, {_PCT} as coverage_pct, {_MISSING} as missing_fields, " + ", ".join(f"{v} as has_{f}" for f, v in _FLAG.items()) + " from rec")
+def coverage_summary(spark, d):
+    out = coverage.field_coverage(fx.records(spark, d))
+    return out.select("k", "event_name", "event_url", "filled_count", "total_count", "coverage_pct", "missing_fields", *[f"has_{f}" for f in coverage.FIELDS])
+
+
+@query("field_coverage", W_RECORDS + "select field, sum(filled::int)::bigint as n_filled, count(*) as n from (select unnest([" + ", ".join(f"struct_pack(field := '{f}', filled := {v})" for f, v in _FLAG.items()) + "], recursive := true) from rec) group by field")
+def field_coverage(spark, d):
+    out = coverage.field_coverage(fx.records(spark, d))
+    sums = out.agg(F.count(F.lit(1)).alias("n"), *[F.count_if(f"has_{f}").alias(f) for f in coverage.FIELDS])
+    return sums.unpivot("n", list(coverage.FIELDS), "field", "n_filled").select("field", "n_filled", "n")
+
+
+@query("data_completeness", W_RECORDS + f"select {_FULL} as data_completeness, count(*) as n from rec group by 1")
+def data_completeness(spark, d):
+    return coverage.field_coverage(fx.records(spark, d)).groupBy("data_completeness").agg(F.count(F.lit(1)).alias("n"))
+
+
+_AGG = "(" + " or ".join(f"contains(coalesce(listing_url, event_url), '{h}')" for h in urls.LISTING_HOSTS) + ") and (" + " or ".join(f"contains(event_url, '{h}')" for h in urls.LISTING_HOSTS) + ")"
+_REASONS = (
+    "array_to_string(list_filter([case when llm_stripped > 0 then 'llm_ungrounded:' || llm_stripped end, case when heuristic_stripped > 0 then 'heuristic_ungrounded:' || heuristic_stripped end, "
+    "case when cleared > 0 then 'program_not_published' end, case when confidence < 0.5 and lower(event_url) <> lower(coalesce(listing_url, event_url)) then 'low_official_url_confidence' end, "
+    f"case when {_AGG} then 'aggregator_only_no_official_site' end, case when {_PCT} < 45 then 'low_field_coverage' end, "
+    f"case when {_IS_B2B} and {_in('blob', taxonomy.NETWORKING)} and not {_ENGAGED} then 'in_scope_without_engagement_lists' end, "
+    "case when len(speakers) > 0 and speaker_source = 'llm' then 'llm_sourced_lists' end, case when mismatch then 'official_url_location_mismatch' end], lambda x: x is not null), '; ')"
+)
+
+
+@query("review_row", W_RECORDS + f"select k, event_name, event_url, listing_url, reasons as review_reasons, reasons <> '' as needs_review, {_FULL} as data_completeness, {_PCT} as coverage_pct, confidence as resolution_confidence from (select *, {_REASONS} as reasons from (select *, {_BLOB} as blob from rec))")
+def review_row(spark, d):
+    out = coverage.with_review(_scoped(fx.records(spark, d)))
+    return out.select("k", "event_name", "event_url", "listing_url", F.array_join("review_reasons", "; ").alias("review_reasons"), "needs_review", "data_completeness", "coverage_pct", F.col("resolution_confidence").cast("double").alias("resolution_confidence"))
+
+
+@query("review_queue", W_RECORDS + f"select k, reasons as review_reasons from (select k, {_REASONS} as reasons from (select *, {_BLOB} as blob from rec)) where reasons <> ''")
+def review_queue(spark, d):
+    return coverage.with_review(_scoped(fx.records(spark, d))).filter("needs_review").select("k", F.array_join("review_reasons", "; ").alias("review_reasons"))
+
+
+@query("batch_summary", W_RECORDS + f"select count(*) as events, count(*) filter (reasons <> '') as need_review from (select {_REASONS} as reasons from (select *, {_BLOB} as blob from rec))")
+def batch_summary(spark, d):
+    return coverage.with_review(_scoped(fx.records(spark, d))).agg(F.count(F.lit(1)).alias("events"), F.count_if("needs_review").alias("need_review"))
+
+
+# --- merging -------------------------------------------------------------------------------------------------
+
+
+@query(
+    "merge_provenance",
+    "with p as (select *, case event_type when 'click' then 'json_ld' when 'view' then 'heuristic' when 'purchase' then 'llm' else 'unknown' end as source from events), "
+    "q as (select *, case source when 'json_ld' then 90 when 'heuristic' then 60 when 'llm' then 20 else 0 end as pr from p) "
+    "select user_id, source, event_id from (select *, row_number() over (partition by user_id order by pr desc, event_id desc) as n from q) where n = 1",
+)
+def merge_provenance(spark, d):
+    kind = F.col("event_type")
+    facts = fx.read(spark, d, "events").withColumn("source", F.when(kind == "click", "json_ld").when(kind == "view", "heuristic").when(kind == "purchase", "llm").otherwise("unknown")).withColumn("field", F.lit("name"))
+    return merge.merge_provenance(facts, "user_id", "event_id", ["source", "event_id"]).select("user_id", "source", "event_id")
+
+
+@query(
+    "merge_with_provenance",
+    "with p as (select user_id, event_id, case event_type when 'click' then 'json_ld' when 'view' then 'heuristic' when 'purchase' then 'llm' end as source from events), "
+    "q as (select *, case source when 'json_ld' then 90 when 'heuristic' then 60 when 'llm' then 20 else 60 end as pr, case source when 'json_ld' then 90 when 'heuristic' then 60 when 'llm' then 20 end as own from p), "
+    "r as (select *, coalesce(max(own) over (partition by user_id order by event_id rows between unbounded preceding and 1 preceding), -1) as least from q) "
+    "select user_id, array_to_string(list(event_id order by event_id), ',') as merged from r where pr >= least group by user_id",
+)
+def merge_with_provenance(spark, d):
+    kind = F.col("event_type")
+    facts = fx.read(spark, d, "events").withColumn("source", F.when(kind == "click", "json_ld").when(kind == "view", "heuristic").when(kind == "purchase", "llm")).withColumn("field", F.lit("speakers")).withColumn("value", F.col("event_id").cast("string"))
+    return merge.merge_lists_with_provenance(facts, "user_id", "event_id", "value").select("user_id", F.array_join("merged", ",").alias("merged"))
+
+
+@query(
+    "merge_records",
+    "with l as (select *, (l_linenumber, l_partkey, l_suppkey, l_extendedprice) as r from lineitem) select l_orderkey, arg_min(l_returnflag, r) filter (l_returnflag <> 'N') as flag, arg_min(l_linestatus, r) as status, array_to_string(list(l_partkey order by r), ',') as parts from l group by 1",
+)
+def merge_records(spark, d):
+    rows = fx.read(spark, d, "lineitem").select("l_orderkey", F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice").alias("r"), F.when(F.col("l_returnflag") == "N", "").otherwise(F.col("l_returnflag")).alias("flag"), F.col("l_linestatus").alias("status"), F.array(F.col("l_partkey").cast("string")).alias("parts"))
+    out = merge.merge_records(rows, "l_orderkey", ["flag", "status"], ["parts"], "r")
+    return out.select("l_orderkey", "flag", "status", F.array_join("parts", ",").alias("parts"))
+
+
+@query("ordered_dedupe", "select l_orderkey, l_linenumber, name from (select l_orderkey, l_linenumber, s_name as name, row_number() over (partition by l_orderkey, lower(s_name) order by l_linenumber) as n from lineitem join supplier on s_suppkey = l_suppkey) where n = 1")
+def ordered_dedupe(spark, d):
+    rows = fx.read(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey").join(fx.read(spark, d, "supplier").select("s_suppkey", F.col("s_name").alias("name")), F.col("l_suppkey") == F.col("s_suppkey"))
+    return merge.ordered_dedupe(rows, ["l_orderkey"], "name", "l_linenumber").select("l_orderkey", "l_linenumber", "name")
+
+
+@query(
+    "merge_events",
+    W_URLS + f", f as (select k, url, {_CANON} as canonical, (k % 5)::int as r, ((['listing', 'featured', 'jsonld', 'window_open', 'anchor'])[((k % 5 + 5) % 5) + 1]) as source from urls where k >= 0) "
+    "select canonical, arg_min(url, (r, k)) as event_url, array_to_string(list_sort(list(distinct source)), ',') as sources, arg_min(url, (r, k)) filter (k % 3 <> 0) as name from f where canonical <> '' group by canonical",
+)
+def merge_events(spark, d):
+    names = F.array(*map(F.lit, merge.SOURCE_RANK))
+    k = F.col("k")
+    found = fx.urls(spark, d).filter("k >= 0").select("k", F.col("url").alias("event_url"), urls.canonical_url(F.col("url")).alias("canonical"), (k % 5).cast("int").alias("src_rank"), F.element_at(names, (k % 5 + 1).cast("int")).alias("source"), k.alias("pos"), F.when(k % 3 != 0, F.col("url")).otherwise("").alias("name"))
+    out = merge.merge_events(found, [], ["name"])
+    return out.select("canonical", "event_url", F.array_join(F.array_sort("sources"), ",").alias("sources"), "name")
+
+
+# --- evidence ------------------------------------------------------------------------------------------------
+
+
+@query(
+    "filter_entities",
+    "with n as (select l_orderkey as k, list(s_name order by l_linenumber, s_name) as names, list(lower(s_name) order by l_linenumber, s_name) as low from lineitem join supplier on s_suppkey = l_suppkey group by 1), "
+    "t as (select k, names, list_filter(names, lambda x: contains(' ' || array_to_string(low[1:2], ' ') || ' ', lower(x))) as kept from n) select k, array_to_string(kept, ',') as kept, (len(names) - len(kept))::int as stripped from t",
+)
+def filter_entities(spark, d):
+    rows = fx.read(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey").join(fx.read(spark, d, "supplier").select("s_suppkey", "s_name"), F.col("l_suppkey") == F.col("s_suppkey"))
+    lists = rows.groupBy(F.col("l_orderkey").alias("k")).agg(F.transform(F.array_sort(F.collect_list(F.struct("l_linenumber", "s_name"))), lambda x: x["s_name"]).alias("names"))
+    lists = lists.withColumn("body", text.normalize_for_match(F.array_join(F.slice("names", 1, 2), "  ")))
+    return lists.select("k", evidence.filter_entities("names", "body").alias("x")).select("k", F.array_join("x.kept", ",").alias("kept"), "x.stripped")
+
+
+@query("clear_unpublished_lists", f"with {fx.BASE} select k, case when soon and k % 2 = 0 then '' else speaker end as speakers, case when soon then '' else host end as attending, (soon::int + (soon and k % 2 = 0)::int)::int as cleared from (select *, regexp_matches({_SAID}, '(?i)coming soon|to be announced|tba\\b') as soon from base)")
+def clear_unpublished_lists(spark, d):
+    role = F.when(F.col("k") % 2 == 0, "main").otherwise("speakers")
+    out = fx.base(spark, d).select("k", evidence.clear_unpublished(F.array("speaker"), F.array("host"), _said(), role).alias("x"))
+    return out.select("k", F.array_join("x.speakers", ",").alias("speakers"), F.array_join("x.attending", ",").alias("attending"), "x.cleared")
+
+
+@query("merge_llm_safe", f"with {fx.BASE} select k, case k % 3 when 0 then speaker || ',' || host when 1 then speaker || ',' || host else host || ',' || host end as merged, 1 as n from base")
+def merge_llm_safe(spark, d):
+    k = F.col("k")
+    empty = F.array().cast("array<string>")
+    old = F.when(k % 3 == 2, empty).otherwise(F.array("speaker"))
+    new = F.when(k % 3 == 0, F.array(F.upper("speaker"), F.col("host"))).when(k % 3 == 1, F.array("host", F.upper("host"))).otherwise(F.array("host", "host"))
+    return fx.base(spark, d).select("k", evidence.merge_llm_list(old, new).alias("x")).select("k", F.array_join("x.merged", ",").alias("merged"), "x.n")
+
+
+# --- official sites ------------------------------------------------------------------------------------------
+
+
+@query("search_queries", f"with {fx.BASE} select k, '\"' || name || '\" official conference website ' || city || case when k % 2 = 0 then ' ' || country else '' end as query, name || ' official site ' || city || case when k % 2 = 0 then ' ' || country else '' end as fallback from base")
+def search_queries(spark, d):
+    country = F.when(F.col("k") % 2 == 0, F.col("country"))
+    return fx.base(spark, d).select("k", resolve.search_query(F.col("name"), F.col("city"), country).alias("query"), resolve.search_query(F.col("name"), F.col("city"), country, fallback=True).alias("fallback"))
+
+
+def _hits_of(spark, d):
+    """A hit per line: the supplier's site, titled by the part, some on blocked hosts and some naming the city."""
+    b = fx.base(spark, d)
+    lines = fx.read(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").join(fx.read(spark, d, "part").select("p_partkey", "p_name"), F.col("l_partkey") == F.col("p_partkey"))
+    lines = lines.groupBy("l_orderkey", "l_linenumber").agg(F.min(F.struct("l_partkey", "l_suppkey", "p_name")).alias("f")).select("l_orderkey", "l_linenumber", "f.*")
+    n = F.col("l_linenumber")
+    host = F.when((F.col("l_suppkey") + n) % 4 == 0, "www.facebook.com").otherwise(F.concat(F.lit("www.site"), F.col("l_suppkey").cast("string"), F.lit(".example.org")))
+    hits = lines.select(F.col("l_orderkey").alias("event_id"), n.alias("hit_pos"), F.concat(F.lit("https://"), host, F.lit("/"), n.cast("string")).alias("url"), F.col("p_name").alias("title"))
+    events = b.select(F.col("k").alias("event_id"), F.col("name").alias("event_name"), "city", "country", F.col("host").alias("organizer"))
+    hits = hits.join(b.select(F.col("k").alias("event_id"), "city"), "event_id")
+    return events, hits.select("event_id", "hit_pos", "url", "title", F.when((F.col("event_id") + F.col("hit_pos")) % 3 != 0, F.concat(F.lit("Home in "), "city")).otherwise("elsewhere").alias("snippet"))
+
+
+_HITS = (
+    ", h0 as (select l_orderkey as event_id, l_linenumber as hit_pos, (l_suppkey + l_linenumber) % 4 = 0 as blocked, 'site' || l_suppkey || '.example.org' as site, p_name as title, l_linenumber as n from (select l_orderkey, l_linenumber, f.l_partkey as l_partkey, f.l_suppkey as l_suppkey, f.p_name as p_name from (select l_orderkey, l_linenumber, min(struct_pack(l_partkey, l_suppkey, p_name)) as f from lineitem join part on p_partkey = l_partkey group by 1, 2))), "
+    "h as (select event_id, hit_pos, blocked, case when blocked then 'facebook.com' else site end as host, 'https://www.' || case when blocked then 'facebook.com' else site end || '/' || n as url, title, case when (event_id + hit_pos) % 3 <> 0 then 'Home in ' || city else 'elsewhere' end as snippet, "
+    "name, city, country, base.host as organizer from h0 join base on k = event_id), "
+    "t as (select *, list_distinct(list_filter(regexp_extract_all(lower(name), '[a-z0-9]+'), lambda x: len(x) > 2)) as tokens, lower(host || ' ' || title || ' ' || snippet) as hay, regexp_replace(host, '[-.]', ' ', 'g') as spaced, "
+    "list_distinct(list_filter(regexp_extract_all(lower(organizer), '[a-z0-9]+'), lambda x: len(x) > 2)) as org from h), "
+    "s as (select *, case when blocked then -1.0 else 1.5 * len(list_filter(tokens, lambda x: contains(hay, x))) + 2.0 * len(list_filter(tokens, lambda x: contains(spaced, x))) "
+    "+ case when " + _in("hay", resolve.HINTS) + " then 0.5 else 0 end + case when len(city) > 2 then case when contains(hay, lower(city)) then 2.5 when contains(hay, lower(country)) then 0.5 else -1.5 end else 0 end "
+    "+ case when len(country) > 2 and contains(hay, lower(country)) then 1.0 else 0 end + case when len(organizer) > 4 and len(list_filter(org, lambda x: contains(hay, x))) >= 2 then 2.0 else 0 end end::double as score from t) "
+)
+
+
+@query("score_candidates", f"with {fx.BASE}{_HITS} select event_id, hit_pos, url, round(score, 6) as score from s")
+def score_candidates(spark, d):
+    events, hits = _hits_of(spark, d)
+    joined = events.withColumn("_tokens", text.tokenize_name(F.col("event_name"))).join(hits, "event_id")
+    score = resolve.score_candidate(*map(F.col, ("_tokens", "url", "title", "snippet", "city", "country", "organizer")))
+    return joined.select("event_id", "hit_pos", "url", F.round(score.cast("double"), 6).alias("score"))
+
+
+@query(
+    "resolve_official_url",
+    f"with {fx.BASE}{_HITS}, b as (select *, row_number() over (partition by event_id order by score >= 0 desc, score desc, hit_pos) as rn from s), "
+    "c as (select *, case when score < 0 then 0.0 else least(1.0, score / greatest(len(tokens) * 2, 1)) end as confidence from b where rn = 1), "
+    "e as (select *, case when score < 0 then 'all results blocked or low score' when confidence < 0.35 then 'low confidence' when len(city) > 2 and not contains(lower(title || ' ' || snippet || ' ' || url), lower(city)) then 'location mismatch' else 'picked' end as note from c) "
+    "select event_id, case when note = 'picked' then url end as official_url, round(confidence::double, 6) as confidence, note from e",
+)
+def resolve_official_url(spark, d):
+    return resolve.resolve_official_url(*_hits_of(spark, d)).select("event_id", "official_url", F.round(F.col("confidence").cast("double"), 6).alias("confidence"), "note")
+
+
+@query("route_event_url", W_RECORDS + "select k, case when not contains(event_url, 'conferenceindex.org') then event_url else coalesce(listing_url, event_url) end as url from rec")
+def route_event_url(spark, d):
+    return fx.records(spark, d).select("k", resolve.route_event_url(F.col("event_url"), F.col("listing_url")).alias("url"))
+
+
+# --- pages ---------------------------------------------------------------------------------------------------
+
+_UNESCAPE = "replace(replace(replace(replace({}, '&quot;', '\"'), '&copy;', '©'), '&middot;', '·'), '&amp;', '&')"
+_LINKS = (
+    "with a as (select page_id, url, unnest(regexp_extract_all(html, '<a href=\"([^\"]*)\"', 1)) as href, unnest(regexp_extract_all(html, '<a href=\"[^\"]*\">([^<]*)</a>', 1)) as label, unnest(range(len(regexp_extract_all(html, '<a href=\"[^\"]*\">')))) as pos from pages), "
+    "l as (select page_id, pos::int as pos, href, regexp_extract(url, '^[a-z]+://[^/?#]*') || href as resolved, label as text from a) "
+)
+
+
+@query("page_links", _LINKS + f"select page_id, pos, {_UNESCAPE.format('href')} as href, {_UNESCAPE.format('resolved')} as resolved, trim({_UNESCAPE.format('text')}) as text from l")
+def page_links(spark, d):
+    return pages.page_links(fx.read(spark, d, "pages")).select("page_id", "pos", "href", "resolved", "text")
+
+
+@query("page_text", r"""select page_id, left(array_to_string(list_filter(list_transform(string_split(""" + _UNESCAPE.format(r"""regexp_replace(regexp_replace(html, '(?s)<!--.*?-->|<(script|style)[^>]*>.*?</(script|style)>', '', 'g'), '<[^>]*>', chr(10), 'g')""") + r""", chr(10)), lambda x: trim(x)), lambda x: x <> ''), chr(10)), 6000) as text from pages""")
+def page_text(spark, d):
+    return pages.page_text(fx.read(spark, d, "pages"))
+
+
+_CL = _CANON.replace("url", "resolved")
+
+
+@query(
+    "link_directory",
+    _LINKS + f", c as (select page_id, pos, {_UNESCAPE.format('resolved')} as resolved, trim({_UNESCAPE.format('text')}) as text from l), x as (select *, {_CL} as canonical from c) "
+    "select canonical, arg_min(resolved, (page_id, pos)) as url, arg_min(text, (page_id, pos)) as name, count(distinct page_id) as pages, count(*) as links from x where canonical <> '' group by canonical",
+)
+def link_directory(spark, d):
+    return pages.link_directory(fx.read(spark, d, "pages"))
+
+
+@query("dom_elements", r"select tag, count(*) as n, count(distinct page_id) as pages from (select page_id, unnest(regexp_extract_all(regexp_replace(html, '(?s)<!--.*?-->|(<script>).*?</script>', '\1', 'g'), '<([a-z0-9]+)[^>]*>', 1)) as tag from pages) group by tag")
+def dom_elements(spark, d):
+    return pages.dom_elements(fx.read(spark, d, "pages")).groupBy("tag").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("page_id").alias("pages"))
+
+
+def _event_pages(spark, d):
+    """A listing page per order: JSON-LD with the event, a script that opens its page, and an anchor to it."""
+    b = fx.base(spark, d)
+    url = F.concat(F.lit("https://"), F.lower(F.replace("host", F.lit("#"), F.lit("-"))), F.lit(".example.com/event/"), F.col("k").cast("string"))
+    place = F.struct(F.lit("Place").alias("@type"), F.col("host").alias("name"), F.struct(F.col("city").alias("addressLocality"), F.col("country").alias("addressCountry")).alias("address"))
+    node = F.struct(F.when(F.col("k") % 2 == 0, "Event").otherwise("Thing").alias("@type"), F.col("name").alias("name"), url.alias("url"), F.col("d").alias("startDate"), F.col("d").alias("endDate"), place.alias("location"), F.struct(F.col("speaker").alias("name")).alias("organizer"))
+    html = F.concat(
+        F.lit('<html><head><meta name="description" content="x"><script type="application/ld+json">'), F.to_json(node), F.lit("</script></head><body><p>Events<br>"),
+        F.lit("<div onclick=\"window.open('"), url, F.lit("?a=1')\">open</div><a href=\""), url, F.lit('/" title="'), F.col("name"), F.lit('"><b>See</b> it</a><script type="application/ld+json">{broken</script></body></html>'),
+    )
+    return b.select(F.col("k").alias("page_id"), F.lit("https://listing.example.com/").alias("url"), html.alias("html"))
+
+
+_EVENT_URL = "'https://' || lower(replace(host, '#', '-')) || '.example.com/event/' || k"
+
+
+@query("json_ld_events", f"with {fx.BASE} select k as page_id, name, {_EVENT_URL} as url, d as start_date, host as venue, city, country, speaker as organizer from base where k % 2 = 0")
+def json_ld_events(spark, d):
+    return pages.json_ld_events(_event_pages(spark, d)).select("page_id", "name", "url", "start_date", "venue", "city", "country", "organizer")
+
+
+@query("window_open_urls", f"with {fx.BASE} select k as page_id, {_EVENT_URL} || '?a=1' as event_url, {_EVENT_URL} as canonical from base")
+def window_open_urls(spark, d):
+    return pages.window_open_urls(_event_pages(spark, d)).select("page_id", "event_url", "canonical")
+
+
+@query("anchor_event_links", f"with {fx.BASE} select k as page_id, {_EVENT_URL} || '/' as event_url, {_EVENT_URL} as canonical, name from base")
+def anchor_event_links(spark, d):
+    return pages.anchor_event_links(pages.page_links(_event_pages(spark, d))).select("page_id", "event_url", "canonical", "name")
+
+
+@query(
+    "extract_event_list",
+    f"with {fx.BASE} select k as page_id, {_EVENT_URL} as canonical, case when k % 2 = 0 then {_EVENT_URL} else {_EVENT_URL} || '?a=1' end as event_url, case when k % 2 = 0 then 'jsonld,window_open,anchor' else 'window_open,anchor' end as sources, name, case when k % 2 = 0 then d end as start_date, case when k % 2 = 0 then host end as venue from base",
+)
+def extract_event_list(spark, d):
+    return pages.extract_event_list(_event_pages(spark, d)).select("page_id", "canonical", "event_url", F.array_join("sources", ",").alias("sources"), "name", "start_date", "venue")
