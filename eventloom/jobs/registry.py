@@ -509,3 +509,6 @@ def anchor_event_links(spark, d):
 )
 def extract_event_list(spark, d):
     return pages.extract_event_list(_event_pages(spark, d)).select("page_id", "canonical", "event_url", F.array_join("sources", ",").alias("sources"), "name", "start_date", "venue")
+
+
+from eventloom.jobs import exports  # noqa: E402, F401  its queries are added to the above

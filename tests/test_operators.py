@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 import __spark_entry__
 from eventloom.jobs import registry
 from eventloom.operators import coverage, merge, pages, resolve
+from eventloom.sources import files
 
 TABLES = "region nation customer supplier part orders lineitem events documents pages benchmark conversations".split()
 
@@ -13,7 +14,7 @@ def test_entry_has_rows(spark):
     assert __spark_entry__.entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", ["link_directory", "page_text", "merge_provenance", "merge_with_provenance", "review_queue", "resolve_official_url", "extract_event_list"])
+@pytest.mark.parametrize("name", ["link_directory", "page_text", "merge_provenance", "merge_with_provenance", "review_queue", "resolve_official_url", "extract_event_list", "split_confidence_exports", "write_enriched", "write_review", "read_event_list", "write_page_bundle", "parse_llm_response", "combined_page_text", "fill_industry"])
 def test_query_matches_sql(spark, sf, name):
     con = duckdb.connect()
     for t in TABLES:
@@ -52,3 +53,31 @@ def test_pages_survive_bad_markup(spark):
     assert {r["page_id"]: r["text"] for r in pages.page_text(frame).collect()} == {1: "a\nb\npic", 2: "", 3: "x"}
     assert pages.page_links(frame).count() == 1
     assert pages.dom_elements(frame).filter("page_id = 1 and tag = 'p'").agg(F.max("parent_index")).first()[0] == 0  # an unclosed p nests
+
+
+def test_saved_pages(spark, tmp_path):
+    (tmp_path / "summit-1").mkdir()
+    (tmp_path / "summit-1" / "main.html").write_bytes(b"<p>caf\xc3\xa9 \xff</p>")
+    (tmp_path / "summit-1" / "notes.txt").write_text("no page")
+    got = files.read_page_bundle(spark, str(tmp_path)).collect()
+    assert [(r["event_id"], r["role"], r["html"]) for r in got] == [("summit-1", "main", "<p>café \ufffd</p>")]
+    assert files.read_listing_pages(spark, str(tmp_path / "summit-1" / "main.html")).first()["html"] == got[0]["html"]
+
+
+def test_event_lists_of_another_shape_are_refused(spark, tmp_path):
+    (tmp_path / "whole.json").write_text('[{"name": "a"},\n {"name": "b"}]')
+    assert files.read_event_list(spark, str(tmp_path / "whole.json"), multi_line=True).count() == 2
+    (tmp_path / "bad.json").write_text("no json")
+    with pytest.raises(ValueError):
+        files.read_event_list(spark, str(tmp_path / "bad.json"))
+
+
+def test_answers(spark):
+    frame = spark.createDataFrame([("```\n{\"city\": \"Oslo\"}```",), (None,), ('"text"',), ("{",)], "raw string")
+    got = [(r["x"]["city"], r["x"]["rejected"]) for r in frame.select(files.parse_answer(F.col("raw")).alias("x")).collect()]
+    assert got == [("Oslo", False), (None, True), (None, False), (None, True)]
+
+
+def test_an_empty_side_gets_all_rows(spark):
+    frame = spark.createDataFrame([(1, True), (2, True)], "k int, needs_review boolean")
+    assert [x.count() for x in files.split_by_confidence(frame)] == [2, 2]
