@@ -1,8 +1,10 @@
 """Brute force and edge cases of the corpus operators, on small frames."""
 
 import hashlib
+import math
 import random
 import re
+import zlib
 
 import pytest
 from pyspark.sql import functions as F
@@ -167,12 +169,51 @@ def test_mixing(spark, sf, odd, none):
     assert mixing.mix(none).count() == 0 and mixing.mix(odd).count() == odd.count()
 
 
+def _ppm(train, text, order=4):
+    """Prediction by partial matching, symbol by symbol."""
+    seen = {}
+    for t in train:
+        line = [0] * order + list(t.lower()) + [256]
+        for i in range(order, len(line)):
+            for k in range(order + 1):
+                own = seen.setdefault(tuple(line[i - k : i]), {})
+                own[line[i]] = own.get(line[i], 0) + 1
+    line, total = [0] * order + list(text.lower()) + [256], 0.0
+    for i in range(order, len(line)):
+        p, out = 1.0, set()
+        for k in range(order, -1, -1):
+            fresh = {x: n for x, n in seen.get(tuple(line[i - k : i]), {}).items() if x not in out}
+            whole = sum(fresh.values()) + len(fresh)
+            if line[i] in fresh:
+                p *= fresh[line[i]] / whole
+                break
+            if fresh:
+                p *= len(fresh) / whole
+                out |= set(fresh)
+        else:
+            p /= 257 - len(out)
+        total += math.log10(p)
+    return total
+
+
+@pytest.mark.parametrize("followers", [0, 300, lm.FOLLOWERS])
+def test_lm_brute(spark, odd, followers):
+    rng = random.Random(7)
+    rows = [(k, "".join(rng.choice("abcé X\n") for _ in range(rng.randrange(60)))) for k in range(40)] + [(50, None), (None, "zzü"), (51, "the same"), (51, "the same")]
+    out = lm.score_documents(spark.createDataFrame(rows, "doc_id long, text string"), common_words=3, followers=followers).collect()
+    taught = [(t or "").encode() for k, t in rows if zlib.crc32(str(k).encode()) % 7 != 2]
+    expected = sorted((str(k), round(_ppm(taught, (t or "").encode()), 3)) for k, t in rows)
+    assert [(k, pytest.approx(v, abs=2e-3)) for k, v in expected] == sorted((str(r["doc_id"]), r["score"]) for r in out)
+    assert any(r["held_out"] for r in out) and len(lm.score_documents(odd, followers=followers).collect()) == odd.count()
+
+
 def test_lm(spark, sf, odd, none):
     assert lm.score_documents(none).count() == 0
     got = lm.score_documents(odd).collect()
     assert len(got) == odd.count() and all(r["score"] < 0 for r in got)
-    few = lm.score_documents(table(spark, sf, "documents"), common_words=50).toPandas().sort_values("doc_id")
+    few = lm.score_documents(table(spark, sf, "documents"), common_words=50, followers=5000).toPandas().sort_values("doc_id")
     all_ = lm.score_documents(table(spark, sf, "documents")).toPandas().sort_values("doc_id")
+    assert (abs(few.score.values - all_.score.values) < 1e-2).all()
     assert (abs(few.base_score.values - all_.base_score.values) < 1e-6).all() and (few.n_known.values == all_.n_known.values).all()
 
 
