@@ -96,6 +96,18 @@ def write_page_bundle(spark, d):
     return spark.read.parquet(f"{path}/pages").select("event_id", "role", "page_url", F.md5(F.col("html").cast("binary")).alias("digest"))
 
 
+@query(
+    "write_dom_elements",
+    r"""select page_id, count(*) as element_count, count(*) filter (e like '<a %href=%') as n_href from (select page_id, unnest(regexp_extract_all(regexp_replace(html, '(?s)<!--.*?-->|(<script>).*?</script>', '\1', 'g'), '<[a-z0-9]+[^>]*>')) as e from pages) group by page_id""",
+)
+def write_dom_elements(spark, d):
+    path = files.export_path(spark, "dom")
+    files.write_dom_elements(pages.dom_elements(fx.read(spark, d, "pages")), path)
+    counts = spark.read.schema("page_id long, element_count long").json(f"{path}/counts")
+    links = spark.read.schema("page_id long, tag string, attrs_json string").json(f"{path}/elements").filter("tag = 'a' and get_json_object(attrs_json, '$.href') is not null")
+    return counts.join(links.groupBy("page_id").agg(F.count(F.lit(1)).alias("n_href")), "page_id", "left").fillna(0, ["n_href"])
+
+
 @query("input_limit", f"with {fx.BASE} select k, name from base order by k limit 100")
 def input_limit(spark, d):
     return fx.base(spark, d).select("k", "name").orderBy("k").limit(100)

@@ -57,6 +57,12 @@ def write_page_bundle(pages: DataFrame, path: str) -> None:
     pages.groupBy("event_id").agg(urls.alias("pages")).write.parquet(f"{path}/manifest")
 
 
+def write_dom_elements(elements: DataFrame, path: str) -> None:
+    """Elements of pages, a JSON object each with its attributes as JSON text, and each page's number of elements."""
+    elements.withColumn("attrs_json", F.to_json("attrs")).drop("attrs").write.json(f"{path}/elements")
+    elements.groupBy("page_id").agg(F.count(F.lit(1)).alias("element_count")).write.json(f"{path}/counts")
+
+
 def enriched_rows(records: DataFrame, *keys: str) -> DataFrame:
     """Flat rows: lists as JSON, empty where null, and the scope's parts as columns of their own."""
     lists = [F.coalesce(F.to_json(n), F.lit("[]")).alias(n) for n in JSON_LISTS]

@@ -14,7 +14,7 @@ def test_entry_has_rows(spark):
     assert __spark_entry__.entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", ["link_directory", "page_text", "merge_provenance", "merge_with_provenance", "review_queue", "resolve_official_url", "extract_event_list", "split_confidence_exports", "write_enriched", "write_review", "read_event_list", "write_page_bundle", "parse_llm_response", "combined_page_text", "fill_industry"])
+@pytest.mark.parametrize("name", ["link_directory", "page_text", "merge_provenance", "merge_with_provenance", "review_queue", "resolve_official_url", "extract_event_list", "split_confidence_exports", "write_enriched", "write_review", "read_event_list", "write_page_bundle", "write_dom_elements", "parse_llm_response", "combined_page_text", "fill_industry"])
 def test_query_matches_sql(spark, sf, name):
     con = duckdb.connect()
     for t in TABLES:
