@@ -12,6 +12,7 @@ between classes; components of links name each document's group.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -132,16 +133,17 @@ def group_by_simhash(docs: DataFrame, width: int = 3, radius: int = 3, text: str
     return rows.join(classes, "fp").select("doc_id", "fp", root.alias("component_id"), "n_links")
 
 
-def similar_groups(docs: DataFrame, width: int = 5, similarity: float = 0.8, radius: int = 3, samples: int = 16, text: str = "text") -> DataFrame:
-    """``_key, _root`` per distinct text: its hash, and the hash that names its group of near-duplicates.
+def similar_groups(docs: DataFrame, width: int = 5, similarity: float = 0.8, radius: int = 3, samples: int = 16, text: str = "text", block: int = 512) -> DataFrame:
+    """``_key, _root`` per text that has near-duplicates: its hash, and the hash that names its group.
 
-    Candidates share a neighbourhood of SimHash fingerprints or one of ``samples`` marks; a candidate
-    counts if the Jaccard similarity of the two texts' sets of shingles is ``similarity`` or more. Of the
-    texts that share a mark, each is compared with the one of the smallest key and with its
-    neighbours by fingerprint, not with all: chains of links make the group.
+    Two texts are near-duplicates if the Jaccard similarity of their sets of shingles is ``similarity`` or
+    more; a group is a component of such pairs, all of them. A first pass links what shares a
+    neighbourhood of SimHash fingerprints or one of ``samples`` marks, each text with the smallest key
+    of a mark and with its neighbour by fingerprint. The second checks every pair that the first left in
+    different groups and that a prefix filter can't rule out.
     """
-    texts = docs.select(F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("_key"), text).dropDuplicates(["_key"])
-    rows = staged(fingerprints(texts, width, text, samples), "fingerprints")
+    texts = docs.select(F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("_key"), text)
+    rows = staged(fingerprints(texts, width, text, samples).dropDuplicates(["_key"]), "fingerprints")
     classes = rows.groupBy("fp").agg(F.min("_key").alias("one"))
     prints = staged(classes, "classes")
     near = near_pairs(prints.select("fp"), radius)
@@ -155,12 +157,110 @@ def similar_groups(docs: DataFrame, width: int = 5, similarity: float = 0.8, rad
     order = Window.partitionBy("k", "mark", F.shiftrightunsigned("fp", 58)).orderBy("fp", "_key")
     chain = inside.withColumn("x", F.lag("_key").over(order)).filter("x is not null").select("x", F.col("_key").alias("y"))
     every = near.unionByName(same).unionByName(star).unionByName(chain)
-    pairs = staged(every.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).dropDuplicates(), "candidates")
-    links = staged(_verified(pairs, texts, width, similarity, text), "links")
+    tried = staged(every.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).dropDuplicates(), "candidates")
+    links = staged(_verified(tried, texts, width, similarity, text), "links")
+
+    posts = _postings(texts, rows.count(), width, similarity, text)
+    if posts.filter(F.col("df") > STAR).limit(1).count():
+        # the text whose shingles are the most common of a bucket is likely the one that the others were made of
+        pairs = staged(_new_pairs(_stars(_open(posts, links), similarity), tried), "candidates")
+        tried = tried.unionByName(pairs)
+        links = staged(links.unionByName(_verified(pairs, texts, width, similarity, text)), "links")
+    pairs = staged(_new_pairs(_bucket_pairs(_open(posts, links), similarity, block), tried), "candidates")
+    links = staged(links.unionByName(_verified(pairs, texts, width, similarity, text)), "links")
+    return _named(links)
+
+
+#: Texts that are looked at to find the common shingles, and the most of those that go to every task.
+SAMPLE, COMMON = 20_000, 200_000
+#: Buckets of more texts are compared with their most central text before all with all.
+STAR = 64
+
+
+def _named(links: DataFrame) -> DataFrame:
     found = components(links.select(F.col("x").alias("a"), F.col("y").alias("b")))
     return found.select(F.col("node").alias("_key"), F.col("component").alias("_root"))
 
 
+def _postings(texts: DataFrame, n_texts: int, width: int, similarity: float, text: str) -> DataFrame:
+    """``tok, _key, n, df``: the shingles of each text's prefix that stand in other prefixes too.
+
+    With ``n`` shingles in one order for all texts, two sets of the similarity share one of the first
+    ``n - ceil(similarity * n) + 1`` of each. Any order will do; common shingles come last, by their
+    number in a sample, to keep buckets small. Texts without shingles share the bucket 0.
+    """
+    spark = texts.sparkSession
+    small_batches(spark)
+    source = texts.select("_key", utf8(text).alias("_text"))
+    every = max(1, n_texts // SAMPLE)
+
+    def all_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [np.unique(shingle_hashes(t, width)) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.zeros(0, np.uint64), *sets]).view(np.int64))], names=["tok"])
+
+    sample = source.filter(F.pmod("_key", F.lit(every)) == 0).dropDuplicates(["_key"])
+    counts = sample.mapInArrow(all_hashes, "tok long").groupBy("tok").agg(F.count(F.lit(1)).alias("c"))
+    often = counts.filter(F.col("c") > max(8, n_texts // every // 1000)).orderBy(F.desc("c"), "tok").limit(COMMON).toArrow()
+    toks = often.column("tok").to_numpy().view(np.uint64)
+    by_tok = np.argsort(toks)
+    common = spark.sparkContext.broadcast((toks[by_tok], often.column("c").to_numpy()[by_tok]))
+
+    def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, count = common.value
+        for batch in batches:
+            sizes, heads = [], []
+            for t in batch.column(1).to_pylist():
+                own = np.unique(shingle_hashes(t, width))
+                rank = np.zeros(len(own), np.int64)
+                if len(known):
+                    at = np.minimum(np.searchsorted(known, own), len(known) - 1)
+                    rank = np.where(known[at] == own, count[at], 0)
+                head = own[np.lexsort((own, rank))][: len(own) - math.ceil(similarity * len(own) - 1e-9) + 1]
+                sizes.append(len(own))
+                heads.append(head.view(np.int64) if len(own) else np.zeros(1, np.int64))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(heads, pa.list_(pa.int64()))], names=["_key", "n", "toks"])
+
+    heads = staged(source.mapInArrow(prefixes, "_key long, n long, toks array<long>").dropDuplicates(["_key"]), "prefixes")
+    posts = heads.select("_key", "n", F.explode("toks").alias("tok"))
+    shared = posts.groupBy("tok").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
+    return staged(posts.join(shared, "tok").select("tok", "_key", "n", "df"), "postings")
+
+
+def _open(posts: DataFrame, links: DataFrame) -> DataFrame:
+    """The buckets of ``posts`` that hold texts of more than one group, with each text's ``_root``."""
+    rooted = staged(posts.join(_named(links), "_key", "left").withColumn("_root", F.coalesce("_root", "_key")), "rooted")
+    mixed = rooted.groupBy("tok").agg(F.min("_root").alias("low"), F.max("_root").alias("high")).filter("low <> high").select("tok")
+    return staged(rooted.join(mixed, "tok", "left_semi"), "open")
+
+
+def _alike(a: str, b: str, similarity: float) -> Column:
+    """Sets of these sizes can be of the similarity."""
+    return F.least(a, b) >= similarity * F.greatest(a, b) - 1e-9
+
+
+def _stars(posts: DataFrame, similarity: float) -> DataFrame:
+    central = posts.groupBy("_key").agg(F.sum("df").alias("c"))
+    large = posts.filter(F.col("df") > STAR).join(central, "_key")
+    best = large.groupBy("tok").agg(F.max(F.struct("c", "_key", "n", "_root")).alias("s")).select("tok", F.col("s._key").alias("x"), F.col("s.n").alias("m"), F.col("s._root").alias("r"))
+    return large.join(best, "tok").filter((F.col("_root") != F.col("r")) & _alike("n", "m", similarity)).select("x", F.col("_key").alias("y"))
+
+
+def _bucket_pairs(posts: DataFrame, similarity: float, block: int) -> DataFrame:
+    """Each pair of a bucket's texts of different groups; a large bucket is dealt by pairs of blocks."""
+    parts = F.ceil(F.col("df") / block)
+    dealt = posts.withColumn("p", F.pmod(F.xxhash64("_key"), parts)).withColumn("last", parts - 1)
+    left = dealt.select("tok", F.col("_key").alias("x"), F.col("n").alias("m"), F.col("_root").alias("r"), F.col("p").alias("i"), F.explode(F.sequence("p", "last")).alias("j"))
+    right = dealt.select("tok", F.col("_key").alias("y"), "n", "_root", F.explode(F.sequence(F.lit(0).cast("long"), "p")).alias("i"), F.col("p").alias("j"))
+    once = (F.col("r") != F.col("_root")) & ((F.col("i") < F.col("j")) | (F.col("x") < F.col("y")))
+    return left.join(right, ["tok", "i", "j"]).filter(once & _alike("n", "m", similarity)).select("x", "y")
+
+
+def _new_pairs(pairs: DataFrame, tried: DataFrame) -> DataFrame:
+    ordered = pairs.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).dropDuplicates()
+    return ordered.join(tried, ["x", "y"], "left_anti")
+
+
 def _verified(pairs: DataFrame, texts: DataFrame, width: int, similarity: float, text: str) -> DataFrame:
     """Pairs whose texts' sets of shingles are similar enough. Only texts that stand in a pair are read."""
     used = pairs.select(F.col("x").alias("_key")).unionByName(pairs.select(F.col("y").alias("_key"))).dropDuplicates()
@@ -171,7 +271,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, width: int, similarity: float,
             sets = [np.unique(shingle_hashes(t, width)).tobytes() for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["_key", "s"])
 
-    sets = staged(raw.mapInArrow(hash_sets, "_key long, s binary"), "shingles")
+    sets = staged(raw.mapInArrow(hash_sets, "_key long, s binary").dropDuplicates(["_key"]), "shingles")
     joined = pairs.join(sets.select(F.col("_key").alias("x"), F.col("s").alias("p")), "x").join(sets.select(F.col("_key").alias("y"), F.col("s").alias("q")), "y")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

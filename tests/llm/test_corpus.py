@@ -155,6 +155,54 @@ def test_simhash(spark, sf, odd, none):
     assert simhash.drop_near_duplicates(odd).count() == 4
 
 
+def _jaccard_groups(texts, width=5, similarity=0.8):
+    """The number of components of all pairs that are similar enough, by comparing all."""
+    sets = [set(simhash.shingle_hashes(t.encode(), width).tolist()) for t in dict.fromkeys(texts)]
+    root = list(range(len(sets)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in range(len(sets)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if both >= similarity * (len(sets[i]) + len(sets[j]) - both):
+                root[find(i)] = find(j)
+    return sum(find(i) == i for i in range(len(sets)))
+
+
+@pytest.mark.parametrize("block", [16, 512])
+def test_similar_groups_brute(spark, block):
+    """Stars (copies are like their original only), rings of small steps, and texts that are nearly but not similar."""
+    rng = random.Random(5)
+    word = lambda: f"w{rng.randrange(10**6)}"
+
+    def edited(words, n):
+        words = list(words)
+        for k in rng.sample(range(len(words)), n):
+            words[k] = word()
+        return words
+
+    made = []
+    for copies, edits in ((150, 10), (40, 10), (30, 16)):
+        original = [word() for _ in range(500)]
+        made += [original, *(edited(original, edits) for _ in range(copies))]
+    step = [word() for _ in range(300)]
+    for _ in range(12):
+        step = edited(step, 5)
+        made.append(step)
+    texts = [" ".join(w) for w in made] + ["", " ", "\t", "a b", "a  b", "one two three four five six"]
+    rng.shuffle(texts)
+    groups = _jaccard_groups(texts)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = simhash.similar_groups(docs, block=block)
+    assert len(texts) - found.count() + found.select("_root").distinct().count() == groups
+    if block == 512:
+        assert simhash.drop_near_duplicates(docs).count() == groups
+
+
 def test_components(spark):
     links = spark.createDataFrame([(k, k + 1) for k in range(40)] + [(100, 200), (300, 200)], "a long, b long")
     got = {r["node"]: r["component"] for r in graph.components(links).collect()}
