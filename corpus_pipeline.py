@@ -2,7 +2,7 @@
 
 Quality rules drop documents; line deduplication deletes later copies of repeated passages; SimHash keeps one
 document of each group of near-duplicates; decontamination cuts out passages of benchmark items; mixing
-says how many words the mix takes of each document that is left.
+writes the mix, block by block with its texts, and says how many words it takes of each document that is left.
 """
 
 from __future__ import annotations

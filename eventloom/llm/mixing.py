@@ -4,7 +4,8 @@ Each source's documents, in an order fixed by hashes, form one stream of words t
 of equal size. Slots stand for blocks of the mix: slot i has the point frac(i * golden ratio), and the
 source whose stretch of the cumulative weights holds the point fills it. The k-th slot of a source takes
 its block k modulo its number of blocks, so that a source goes round again and no block is
-taken twice before all others were taken once.
+taken twice before all others were taken once. A source gets slots until the words drawn reach its
+target, and each slot is filled with the pieces of text of its block.
 
 Places in a stream and ranks of slots are sums over what comes before. They are taken in two steps, within
 small buckets and over the buckets' totals, so that a source with a third of all words, or of
@@ -14,12 +15,15 @@ all slots, is not one task.
 from __future__ import annotations
 
 import math
+import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventloom.llm.common import NO_ID, staged, table
+from eventloom.llm.common import NO_ID, small_batches, staged, table
 
 NONSPACE = r"[^\x20\x09-\x0D]+"
 GOLDEN = (math.sqrt(5) - 1) / 2
@@ -93,8 +97,97 @@ def schedule(sources: DataFrame, slots: int, plan: Plan) -> DataFrame:
     return ranked.select("slot", F.when(F.col("_known"), F.col("_source")).alias("_source"), "rank")
 
 
+def _needs(sources: DataFrame, plan: Plan) -> DataFrame:
+    """Adds ``_n``, the source's blocks, and ``_need``, the slots after which its words drawn reach the target.
+
+    The last block of a round holds what is left over, so rounds are counted by words and not by blocks.
+    """
+    w, size = plan.block_words, F.col("source_size")
+    rounds = F.when(size > 0, F.floor(F.col("target") / size)).otherwise(F.lit(0))
+    sources = sources.withColumn("_n", F.ceil(size / w)).withColumn("_rounds", rounds)
+    rest = F.col("target") - F.col("_rounds") * size
+    return sources.withColumn("_need", (F.col("_rounds") * F.col("_n") + F.least("_n", F.ceil(rest / w - 1e-6))).cast("long")).drop("_rounds")
+
+
+def filled(sources: DataFrame, plan: Plan) -> DataFrame:
+    """``slot, _known, _source, _block``: every source gets just the slots that it needs.
+
+    The points deal a source a few slots more or less; what is over goes to the sources that are short.
+    Those are a logarithm of the slots per source, and all that is numbered in one task here.
+    """
+    needs = staged(_needs(sources, plan), "needs")
+    slots = needs.agg(F.sum("_need")).first()[0] or 0
+    ranks = schedule(needs.select("_source", F.col("_need").alias("target")), slots, plan)
+    ranks = staged(ranks.alias("s").join(needs.alias("b"), F.col("s._source").eqNullSafe(F.col("b._source"))).select("slot", F.col("s._source").alias("_source"), "rank", "_n", "_need"), "ranks")
+    over = ranks.filter("rank >= _need").select("slot", F.row_number().over(Window.orderBy("slot")).alias("_k"))
+    dealt = ranks.groupBy("_source").agg(F.count(F.lit(1)).alias("_got"))
+    short = needs.alias("b").join(dealt.alias("d"), F.col("b._source").eqNullSafe(F.col("d._source")), "left")
+    short = short.select(F.col("b._source").alias("_source"), "_n", "_need", F.coalesce("_got", F.lit(0)).alias("_got")).filter("_got < _need")
+    short = short.select("_source", "_n", F.explode(F.sequence(F.col("_got"), F.col("_need") - 1)).alias("rank"))
+    short = short.withColumn("_k", F.row_number().over(Window.orderBy(F.col("_source").asc_nulls_last(), "rank")))
+    all_ = ranks.filter("rank < _need").select("slot", "_source", "_n", "rank").unionByName(over.join(short, "_k").select("slot", "_source", "_n", "rank"))
+    return all_.select("slot", F.col("_source").isNotNull().alias("_known"), F.coalesce("_source", F.lit("")).alias("_source"), (F.col("rank") % F.col("_n")).alias("_block"))
+
+
+def cut(streams: DataFrame, plan: Plan) -> DataFrame:
+    """``_known, _source, _start, doc_id, _block, first_word, past_word, piece``: each text by the blocks it reaches into.
+
+    A piece ends where its successor's first word begins, so a text's pieces together are the text.
+    """
+    small_batches(streams.sparkSession)
+    w, kind = plan.block_words, dict(streams.dtypes)["doc_id"]
+    source = streams.filter("size > 0").select("_known", "_source", "_start", "doc_id", "_text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        find = re.compile(NONSPACE).finditer
+        for batch in batches:
+            rows, block, first, past, piece = [], [], [], [], []
+            for k, (start, text) in enumerate(zip(batch.column(2).to_pylist(), batch.column(4).to_pylist(), strict=True)):
+                begins = [m.start() for m in find(text)]
+                n, begins[0] = len(begins), 0
+                begins.append(len(text))
+                for b in range(start // w, (start + n - 1) // w + 1):
+                    i, j = max(start, b * w) - start, min(start + n, (b + 1) * w) - start
+                    rows.append(k)
+                    block.append(b)
+                    first.append(i)
+                    past.append(j)
+                    piece.append(text[begins[i] : begins[j]])
+            kept = [batch.column(k).take(pa.array(rows, pa.int64())) for k in range(4)]
+            made = [pa.array(x, pa.int64()) for x in (block, first, past)]
+            yield pa.RecordBatch.from_arrays([*kept, *made, pa.array(piece, pa.string())], names=["_known", "_source", "_start", "doc_id", "_block", "first_word", "past_word", "piece"])
+
+    return source.mapInArrow(run, f"_known boolean, _source string, _start long, doc_id {kind}, _block long, first_word long, past_word long, piece string")
+
+
+def _made(docs: DataFrame, plan: Plan, text: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The written mix, the documents in their streams, and the sources with their targets."""
+    body = F.coalesce(F.col(text), F.lit(""))
+    sized = docs.select("doc_id", F.col("source").alias("_source"), F.regexp_count(body, F.lit(NONSPACE)).cast("long").alias("size"), F.xxhash64(F.coalesce("doc_id", F.lit(NO_ID)), F.lit(17)).alias("_o"), body.alias("_text"))
+    thin = staged(sized.select("_source", "size"), "sizes")
+    sources = staged(targets(thin, plan), "targets")
+    width = max(1, math.ceil(2**32 / max(1, thin.count() // plan.bucket_rows)))
+    keyed = sized.withColumns({"_known": F.col("_source").isNotNull(), "_source": F.coalesce("_source", F.lit(""))})
+    keyed = keyed.withColumn("_bucket", F.floor(F.shiftrightunsigned("_o", 32) / width))
+    streams = running(keyed, ["_known", "_source"], "_bucket", [F.col("_o"), F.col("doc_id"), F.col("size"), F.xxhash64("_text")], F.col("size"), "_start")
+    streams = staged(streams.drop("_bucket", "_o"), "streams")
+    made = cut(streams, plan).join(filled(sources, plan), ["_known", "_source", "_block"])
+    return staged(made, "mix"), streams, sources
+
+
+def make_mix(docs: DataFrame, plan: Plan = Plan(), text: str = "text") -> DataFrame:
+    """The mix: ``slot, source, block, place, doc_id, first_word, past_word, piece``, a row per slot and document in it.
+
+    ``piece`` is the document's text from its word ``first_word`` up to ``past_word``; ``place`` is the first
+    one's place in the block. Pieces by slot and place are the mix from its first word to its last.
+    """
+    made, _, _ = _made(docs, plan, text)
+    place = F.col("_start") + F.col("first_word") - F.col("_block") * plan.block_words
+    return made.select("slot", F.when(F.col("_known"), F.col("_source")).alias("source"), F.col("_block").alias("block"), place.alias("place"), "doc_id", "first_word", "past_word", "piece")
+
+
 def mix(docs: DataFrame, plan: Plan = Plan(), text: str = "text") -> DataFrame:
-    """``doc_id, source, size, source_size, target, taken`` for every document.
+    """``doc_id, source, size, source_size, target, taken`` for every document, counted from the written mix.
 
     ``size`` is the number of words, 0 for a null or empty text; ``taken`` is the number of words that the
     mix takes of the document, repeats counted. A null source is a source, the last of all; a
@@ -102,30 +195,10 @@ def mix(docs: DataFrame, plan: Plan = Plan(), text: str = "text") -> DataFrame:
     0 and an empty table gives an empty result. Other columns are not used. The order of a
     stream follows hashes of the documents alone, so reruns agree.
     """
-    sized = docs.select("doc_id", F.col("source").alias("_source"), F.regexp_count(F.coalesce(F.col(text), F.lit("")), F.lit(NONSPACE)).cast("long").alias("size"), F.xxhash64(F.coalesce("doc_id", F.lit(NO_ID)), F.lit(17)).alias("_o"))
-    sized = staged(sized, "sizes")
-    sources = staged(targets(sized, plan), "targets")
-    total = sources.agg(F.sum("source_size")).first()[0] or 0
-    rows = sized.count()
-    width = max(1, math.ceil(2**32 / max(1, rows // plan.bucket_rows)))
-    keyed = sized.withColumns({"_known": F.col("_source").isNotNull(), "_source": F.coalesce("_source", F.lit(""))})
-    keyed = keyed.withColumn("_bucket", F.floor(F.shiftrightunsigned("_o", 32) / width))
-    streams = running(keyed, ["_known", "_source"], "_bucket", [F.col("_o"), F.col("doc_id"), F.col("size")], F.col("size"), "_start")
-    streams = staged(streams.drop("_bucket", "_o"), "streams")
-
-    slots = math.ceil(total / plan.block_words)
-    blocks = sources.select("_source", F.ceil(F.col("source_size") / plan.block_words).alias("_n"))
-    ranks = schedule(sources, slots, plan).alias("s").join(blocks.alias("b"), F.col("s._source").eqNullSafe(F.col("b._source")))
-    drawn = ranks.filter(F.col("rank") < plan.most * F.col("_n")).select(F.col("s._source").isNotNull().alias("_known"), F.coalesce("s._source", F.lit("")).alias("_source"), (F.col("rank") % F.col("_n")).alias("_block"))
-    drawn = drawn.groupBy("_known", "_source", "_block").agg(F.count(F.lit(1)).alias("_times"))
-
-    w = plan.block_words
-    pieces = streams.filter("size > 0")
-    pieces = pieces.select("_known", "_source", "_start", "size", F.explode(F.sequence(F.floor(F.col("_start") / w), F.floor((F.col("_start") + F.col("size") - 1) / w))).alias("_block"))
-    part = F.least(F.col("_start") + F.col("size"), (F.col("_block") + 1) * w) - F.greatest(F.col("_start"), F.col("_block") * w)
-    got = pieces.join(drawn, ["_known", "_source", "_block"]).groupBy("_known", "_source", "_start").agg(F.sum(part * F.col("_times")).alias("taken"))
+    made, streams, sources = _made(docs, plan, text)
+    got = made.groupBy("_known", "_source", "_start").agg(F.sum(F.col("past_word") - F.col("first_word")).alias("taken"))
     named = sources.select(F.col("_source").isNotNull().alias("_known"), F.coalesce("_source", F.lit("")).alias("_source"), "source_size", "target")
-    out = streams.join(named, ["_known", "_source"]).join(got, ["_known", "_source", "_start"], "left")
+    out = streams.drop("_text").join(named, ["_known", "_source"]).join(got, ["_known", "_source", "_start"], "left")
     taken = F.when(F.col("size") > 0, F.coalesce("taken", F.lit(0))).otherwise(F.lit(0)).cast("long")
     return out.select("doc_id", F.when(F.col("_known"), F.col("_source")).alias("source"), "size", "source_size", "target", taken.alias("taken"))
 

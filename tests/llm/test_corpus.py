@@ -217,6 +217,35 @@ def test_mixing(spark, sf, odd, none):
     assert mixing.mix(none).count() == 0 and mixing.mix(odd).count() == odd.count()
 
 
+def test_mix_rows(spark, odd, none):
+    """The mix itself: slots, blocks and pieces of text, and what is taken follows from it."""
+    rng = random.Random(2)
+    sizes = {"a": [300, 1, 64, 700, 0, 5], "b": [65], "c": [3], None: [130, 20], "d": [900, 40, 40]}
+    rows = [(k, "  " + "".join(rng.choice(["é", "x1", "b,"]) + rng.choice([" ", "\n", "\t "]) for _ in range(n)), s) for k, (s, n) in enumerate((s, n) for s, ns in sizes.items() for n in ns)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    text = {k: t for k, t, _ in rows}
+    made = mixing.make_mix(docs).orderBy("slot", "place").toPandas()
+    by = {r["doc_id"]: r for r in mixing.mix(docs).collect()}
+    assert sorted(made.slot.unique()) == list(range(made.slot.nunique()))
+    for r in made.itertuples():
+        assert r.piece.split() == text[r.doc_id].split()[r.first_word : r.past_word]
+    words = (made.past_word - made.first_word).groupby(made.doc_id).sum()
+    assert all(words.get(k, 0) == by[k]["taken"] for k in by)
+    for source, ns in sizes.items():
+        own = made[made.source.isna() if source is None else made.source == source]
+        n, target = -(-sum(ns) // 64), next(r["target"] for r in by.values() if r["source"] == source)
+        drawn = (own.past_word - own.first_word).sum()
+        assert target - 1e-3 <= drawn < target + 64
+        order = own.drop_duplicates("slot")
+        assert sorted(order.block) == sorted(k % n for k in range(len(order)))
+        for _, slot in own.groupby("slot"):
+            at = (slot.past_word - slot.first_word).cumsum()
+            assert [0, *at[:-1]] == slot.place.tolist() and at.iloc[-1] == min(64, sum(ns) - 64 * slot.block.iloc[0])
+    whole = made[made.slot.isin(made.drop_duplicates(["source", "block"]).slot)].sort_values(["doc_id", "first_word"])
+    assert all("".join(g.piece) == text[k] for k, g in whole.groupby("doc_id") if g.past_word.max() == len(text[k].split()) and g.first_word.is_unique and (g.past_word - g.first_word).sum() == g.past_word.max())
+    assert mixing.make_mix(none).count() == 0 and mixing.make_mix(odd).filter("piece is null").count() == 0
+
+
 def _ppm(train, text, order=4):
     """Prediction by partial matching, symbol by symbol."""
     seen = {}
