@@ -1,9 +1,10 @@
 """Main text of web pages, with site templates removed by counting equal element subtrees per host.
 
 First pass: each page's elements are hashed from the leaves up (name, classes, text and the children's
-hashes). Spark counts, for each host and hash, on how many different pages the subtree stands; pages whose
-article is the same count once, so that a copied article isn't taken for a template. Second pass:
-subtrees that recur on ``min_pages`` pages of their host are deleted, then what markup itself declares to be a
+hashes). Spark counts, for each host and hash, on how many different pages the subtree stands; within the
+article, pages whose article is the same count once, so that a copied article isn't taken for a template. Second
+pass: subtrees that recur on half of their host's pages, 3 at least, are deleted, as are blocks other than
+prose on ``min_pages`` pages; a page that is mostly recurring prose is a copy and keeps its prose. Then what markup itself declares to be a
 menu, header, footer, sidebar, notice, advert, form or comment, and the article's blocks are read.
 """
 
@@ -47,7 +48,11 @@ OUTSIDE = frozenset(
     "comment comments commentlist respond disqus share sharing social related recommended recommendations widget toolbar pagination pager login signup search "
     "contentinfo complementary dialog form".split()
 )
-#: Their subtrees are the article's own words and are never taken for a template.
+#: A subtree is a template on this share of its host's pages, and on no fewer pages than that.
+SHARE, FLOOR = 0.5, 3
+#: What holds the article is never a template.
+FRAME = frozenset("html body main article".split())
+#: Their subtrees are mostly the article's own words: only the share of pages makes them a template.
 PROSE = frozenset("html body main article p h1 h2 h3 h4 h5 h6 blockquote pre li td th dt dd figcaption caption".split())
 _WORDS = re.compile(r"[^a-z0-9]+")
 
@@ -156,13 +161,27 @@ def _outside(node: Node, in_article: bool) -> bool:
     return bool(node.words & OUTSIDE) or ("header" in node.words and not in_article and node.tag not in PROSE)
 
 
+def _furniture(node: Node) -> bool:
+    """A block that is no prose."""
+    return node.tag in BLOCK and node.tag not in PROSE and not node.holds_article
+
+
+def _candidates(nodes: list[Node]) -> list[Node]:
+    return [n for n in nodes if n.digest and n.tag not in FRAME and not n.holds_article]
+
+
+def _alone(parent: Node, node: Node) -> bool:
+    """Blocks, and inline elements that stand in no sentence of their parent."""
+    return node.tag in BLOCK or not any(isinstance(c, str) and c.strip() for c in parent.children)
+
+
 def _roots(root: Node, templates) -> list[Node]:
     """The outermost articles; without one, the main element; without that, the whole page."""
     found: dict[str, list[Node]] = {"article": [], "main": []}
     todo = [root]
     while todo:
         node = todo.pop()
-        if _outside(node, False) or (node.tag not in PROSE and not node.holds_article and templates(node.digest)):
+        if _outside(node, False) or (_furniture(node) and templates(node.digest)):
             continue
         if node.tag == "article":
             found["article"].append(node)
@@ -175,6 +194,12 @@ def _roots(root: Node, templates) -> list[Node]:
 
 def blocks(root: Node, templates) -> list[str]:
     """The article's blocks in page order, white space made single."""
+    strict = _blocks(root, templates, False)
+    out = _blocks(root, templates, True)
+    return out if 2 * sum(map(len, out)) >= sum(map(len, strict)) else strict
+
+
+def _blocks(root: Node, templates, prose: bool) -> list[str]:
     out: list[str] = []
     buffer: list[str] = []
 
@@ -193,14 +218,15 @@ def blocks(root: Node, templates) -> list[str]:
                 flush()
             elif isinstance(item, str):
                 buffer.append(item)
-            elif item is not top and (_outside(item, bool(in_article)) or (item.tag not in PROSE and item.tag in BLOCK and not item.holds_article and templates(item.digest))):
+            elif item is not top and (_outside(item, bool(in_article)) or (_furniture(item) and templates(item.digest))):
                 flush()
             else:
                 block = item.tag in BLOCK
                 if block:
                     flush()
                     todo.append(None)
-                todo.extend(reversed(item.children))
+                gone = {id(c) for c in item.children if prose and not isinstance(c, str) and c.tag not in FRAME and not c.holds_article and templates(c.digest) and _alone(item, c)}
+                todo.extend(" " if id(c) in gone and c.tag not in BLOCK else None if id(c) in gone else c for c in reversed(item.children))
         flush()
     return out
 
@@ -215,26 +241,41 @@ def _never(_: int) -> bool:
 
 
 def subtree_hashes(pages: DataFrame) -> DataFrame:
-    """``h, page``: each page's distinct candidate subtrees (the host is part of the hash) and its article's hash."""
+    """``h, page, part, block``: each page's distinct candidate subtrees (the host is part of the hash).
+
+    ``part`` names the host and whether the subtree stands in the article; there ``page`` is the article's
+    hash, elsewhere the page's. A row with the part for its subtree stands for the page itself.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hashes, articles = [], []
+            rows: list[tuple[int, int, int, bool]] = []
             for url, html in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                root = parse(html or "")
-                nodes = hash_subtrees(root, host_of(url))
-                mine = {n.digest for n in nodes if n.digest and n.tag in BLOCK and n.tag not in PROSE and not n.holds_article}
-                hashes.extend(mine)
-                articles.extend([_hash("\n".join(blocks(root, _never)).encode("utf-8", "surrogatepass"))] * len(mine))
-            yield pa.RecordBatch.from_arrays([pa.array(hashes, pa.int64()), pa.array(articles, pa.int64())], names=["h", "page"])
-
-    return pages.select("url", "html").mapInArrow(run, "h long, page long")
+                root, host = parse(html or ""), host_of(url)
+                nodes = hash_subtrees(root, host)
+                article = _hash("\n".join(_blocks(root, _never, False)).encode("utf-8", "surrogatepass"))
+                inside = {id(n) for top in _roots(root, _never) for n in _post_order(top)}
+                page = _hash((html or "").encode("utf-8", "surrogatepass"))
+                where = {k: (_hash(f"{host}\x01{k}".encode("utf-8", "surrogatepass")), article if k else page) for k in (True, False)}
+                mine = {(n.digest, id(n) in inside, _furniture(n)) for n in _candidates(nodes)}
+                rows.extend((part, which, part, False) for part, which in where.values())
+                rows.extend((h, where[k][1], where[k][0], furniture) for h, k, furniture in mine)
+            columns = list(zip(*rows, strict=True)) or [()] * 4
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.bool_())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["h", "page", "part", "block"])
+
+    return pages.select("url", "html").mapInArrow(run, "h long, page long, part long, block boolean")
 
 
 def recurring_subtrees(pages: DataFrame, min_pages: int) -> DataFrame:
-    """Hashes of subtrees that stand on ``min_pages`` or more different pages of their host."""
-    found = subtree_hashes(pages).groupBy("h", "page").agg(F.lit(1).alias("one"))
-    return found.groupBy("h").agg(F.count(F.lit(1)).alias("pages")).filter(F.col("pages") >= min_pages).select("h")
+    """Hashes of subtrees that stand on enough different pages of their host."""
+    found = subtree_hashes(pages).groupBy("h", "page", "part").agg(F.max("block").alias("block"))
+    counts = found.groupBy("h", "part").agg(F.count(F.lit(1)).alias("pages"), F.max("block").alias("block"))
+    # few subtrees recur: written once, so that pages are parsed once
+    counts = staged(counts.filter((F.col("pages") >= min(FLOOR, min_pages)) | (F.col("h") == F.col("part"))), "subtrees")
+    whole = counts.filter("h = part").select("part", F.col("pages").alias("whole"))
+    often = (F.col("pages") >= F.greatest(F.lit(float(FLOOR)), F.lit(SHARE) * F.col("whole"))) | (F.col("block") & (F.col("pages") >= min_pages))
+    return counts.filter("h <> part").join(whole, "part").filter(often).select("h").dropDuplicates()
 
 
 def main_text(pages: DataFrame, min_pages: int = 10, broadcast_limit: int = 1_000_000) -> DataFrame:
@@ -277,7 +318,7 @@ def main_text(pages: DataFrame, min_pages: int = 10, broadcast_limit: int = 1_00
         for batch in batches:
             ids, keys, hashes = [], [], []
             for page, key, url, html in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                mine = {n.digest for n in hash_subtrees(parse(html or ""), host_of(url)) if n.digest and n.tag in BLOCK and n.tag not in PROSE and not n.holds_article}
+                mine = {n.digest for n in _candidates(hash_subtrees(parse(html or ""), host_of(url)))}
                 ids.extend([page] * len(mine))
                 keys.extend([key] * len(mine))
                 hashes.extend(mine)

@@ -96,6 +96,21 @@ def test_html(spark):
         assert (90, "", 0) in got
 
 
+def test_html_templates(spark):
+    """Boilerplate in any element and on hosts of few pages; sentences and copied articles stay."""
+    tail = "<p>Under this licence.</p><ul><li>Read more</li></ul><span>Back to top</span>"
+    own = [" ".join(f"own{k}{j}" for j in range(30)) for k in range(5)]
+    rows = [(k, f"http://few/{k}", f"<article><p>{own[k]} is <em>not</em> it</p>{tail}</article>") for k in range(5)]
+    rows += [(10 + k, f"http://copies/{k}", f"<div>Seen {k}</div><article><p>{own[0]}</p><p>{own[1]}</p></article>") for k in range(6)]
+    rows += [(20 + k, f"http://edits/{k}", f"<article><p>{own[0]}</p><p>{own[1]}</p><p>edit {k}</p></article>") for k in range(4)]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for limit in (1000, 0):
+        got = {r["page_id"]: r["text"] for r in html_text.main_text(frame, broadcast_limit=limit).collect()}
+        assert all(got[k] == f"{own[k]} is not it" for k in range(5))
+        assert all(got[10 + k] == f"{own[0]}\n{own[1]}" for k in range(6))
+        assert all(got[20 + k] == f"{own[0]}\n{own[1]}\nedit {k}" for k in range(4))
+
+
 def test_chat(spark):
     rows = [(1, 1, "assistant", "b\\<s>[INST]"), (1, 0, "user", None), (2, 0, "odd [:] role", "x"), (None, 0, None, "[/ROLE]")]
     frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
