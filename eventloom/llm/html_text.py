@@ -41,27 +41,30 @@ ENDS = {
     "main": ({"nav", "header", "footer", "aside", "form", "button", "select", "p"}, {"article", "main"}),
 }
 NEVER = frozenset("script style noscript template head title iframe svg math object canvas audio video nav footer aside form button select option textarea dialog menu input".split())
-#: Words of class, id and role attributes that declare an element not to be part of the article.
+#: Names in class, id and role attributes that declare an element not to be part of the article.
 OUTSIDE = frozenset(
     "ad ads advert adverts advertisement advertising adsense banner sponsored promo promotion menu nav navbar navigation breadcrumb breadcrumbs "
     "footer masthead sidebar cookie cookies consent gdpr notice notices notification alert popup modal overlay newsletter subscribe subscription "
     "comment comments commentlist respond disqus share sharing social related recommended recommendations widget toolbar pagination pager login signup search "
     "contentinfo complementary dialog form".split()
 )
+#: Words that a name may add to those and mean the same.
+LAYOUT = frozenset("site page main global top bottom left right box bar block area section wrap wrapper container inner outer list links buttons".split())
 #: A subtree is a template on this share of its host's pages, and on no fewer pages than that.
 SHARE, FLOOR = 0.5, 3
 #: What holds the article is never a template.
 FRAME = frozenset("html body main article".split())
 #: Their subtrees are mostly the article's own words: only the share of pages makes them a template.
 PROSE = frozenset("html body main article p h1 h2 h3 h4 h5 h6 blockquote pre li td th dt dd figcaption caption".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _WORDS = re.compile(r"[^a-z0-9]+")
 
 
 class Node:
-    __slots__ = ("tag", "words", "children", "digest", "holds_article")
+    __slots__ = ("tag", "words", "names", "children", "digest", "holds_article")
 
-    def __init__(self, tag: str, words: frozenset[str] = frozenset()):
-        self.tag, self.words, self.children, self.digest, self.holds_article = tag, words, [], 0, False
+    def __init__(self, tag: str, words: frozenset[str] = frozenset(), names: frozenset[str] = frozenset()):
+        self.tag, self.words, self.names, self.children, self.digest, self.holds_article = tag, words, names, [], 0, False
 
 
 class _Tree(HTMLParser):
@@ -78,7 +81,9 @@ class _Tree(HTMLParser):
         if tag in ENDS:
             self._end(*ENDS[tag])
         said = " ".join(v for k, v in attrs if v and k in ("class", "id", "role")).lower()
-        node = Node(tag, frozenset(_WORDS.split(said)) if said else frozenset())
+        # a heading's id is an anchor and says nothing of its kind
+        named = " ".join(v for k, v in attrs if v and (k in ("class", "role") or k == "id" and tag not in HEADINGS)).lower()
+        node = Node(tag, frozenset(_WORDS.split(said)) if said else frozenset(), frozenset(named.split()))
         self.open[-1].children.append(node)
         if tag not in VOID:
             self.open.append(node)
@@ -154,11 +159,15 @@ def _outside(node: Node, in_article: bool) -> bool:
         return True
     if node.tag == "header" and not in_article:
         return True
-    if node.tag in ("html", "body", "main") or node.holds_article:
+    if node.tag in FRAME or node.holds_article or in_article and node.tag in PROSE:
         return False
-    if not node.words:
-        return False
-    return bool(node.words & OUTSIDE) or ("header" in node.words and not in_article and node.tag not in PROSE)
+    return any(_declared(n, OUTSIDE) for n in node.names) or (not in_article and node.tag not in PROSE and any(_declared(n, {"header"}) for n in node.names))
+
+
+def _declared(name: str, known: frozenset[str] | set[str]) -> bool:
+    """The whole name says so, and not just one of its words."""
+    words = {w for w in _WORDS.split(name) if w}
+    return bool(words & known) and words <= known | LAYOUT
 
 
 def _furniture(node: Node) -> bool:
@@ -176,20 +185,21 @@ def _alone(parent: Node, node: Node) -> bool:
 
 
 def _roots(root: Node, templates) -> list[Node]:
-    """The outermost articles; without one, the main element; without that, the whole page."""
+    """The outermost articles; without one, the outermost main containers; without those, the whole page."""
     found: dict[str, list[Node]] = {"article": [], "main": []}
-    todo = [root]
+    todo = [(root, False)]
     while todo:
-        node = todo.pop()
-        if _outside(node, False) or (_furniture(node) and templates(node.digest)):
+        node, in_main = todo.pop()
+        if _outside(node, in_main) or (_furniture(node) and templates(node.digest)):
             continue
         if node.tag == "article":
             found["article"].append(node)
             continue
-        if node.tag == "main" or "main" in node.words and node.tag == "div":
+        if not in_main and (node.tag == "main" or "main" in node.words and node.tag == "div"):
             found["main"].append(node)
-        todo.extend(c for c in reversed(node.children) if not isinstance(c, str))
-    return found["article"] or found["main"][:1] or [root]
+            in_main = True
+        todo.extend((c, in_main) for c in reversed(node.children) if not isinstance(c, str))
+    return found["article"] or found["main"] or [root]
 
 
 def blocks(root: Node, templates) -> list[str]:

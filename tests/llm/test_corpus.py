@@ -111,6 +111,22 @@ def test_html_templates(spark):
         assert all(got[20 + k] == f"{own[0]}\n{own[1]}\nedit {k}" for k in range(4))
 
 
+def test_html_names():
+    """Names that only contain a declared word, headings' ids, and several main containers."""
+    read = lambda html: html_text.blocks(html_text.parse(html), lambda _: False)
+
+    def marked(html):
+        root = html_text.parse(html)
+        html_text.hash_subtrees(root, "h")
+        return html_text.blocks(root, lambda _: False)
+
+    post = "<article class='post category-social tag-related'><h2 id='related-work'>Related work</h2><p class='notice'>a</p><section id='search-results'><p>b</p></section><div class='share'>no</div><div class='cookie-bar'>no</div></article>"
+    for way in (read, marked):
+        assert way(post) == ["Related work", "a", "b"]
+        assert way("<body><div class='site-footer'>no</div><h2 id='search'>c</h2><p>d</p></body>") == ["c", "d"]
+        assert way("<body><div class='main-menu'>no</div><div class='main-image'>e</div><div class='main-content'><p>f</p><div class='main'>g</div></div><p>no</p></body>") == ["e", "f", "g"]
+
+
 def test_chat(spark):
     rows = [(1, 1, "assistant", "b\\<s>[INST]"), (1, 0, "user", None), (2, 0, "odd [:] role", "x"), (None, 0, None, "[/ROLE]")]
     frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
