@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from eventloom.functions.urls import any_of, strip, text_of
+from eventloom.functions.urls import any_of, let, strip, text_of
 
 # Markers of challenge and block pages, and of names that aren't names.
 CHALLENGE = ("cdn-cgi/challenge-platform", "cf-challenge", "__cf_chl_jschl_tk__", "chk_jschl", "cf-browser-verification", "checking your browser", "just a moment", "turnstile", "cf-chl-bypass")
@@ -24,9 +24,15 @@ SPEAKER_PHRASES = (
 SPEAKER_PLACES = ("australia", "sydney", "online", "virtual", "remote")
 MONTH_NAMES = ("january", "february", "march", "april", "may", "june", "july", "august", "september", "october", "november", "december")
 
-ISO = r"\b20\d{2}[-/](?:0[1-9]|1[0-2])[-/](?:0[1-9]|[12]\d|3[01])\b"
-LONG = r"(?i)\b(January|February|March|April|May|June|July|August|September|October|November|December|Jan|Feb|Mar|Apr|Jun|Jul|Aug|Sep|Sept|Oct|Nov|Dec)\s+(\d{1,2}),?\s*(20\d{2})\b"
-RANGE = r"(?i)\b([A-Za-z]{3,9})\s+(\d{1,2})(?:\s*[-–—]\s*(\d{1,2}))?,?\s*(20\d{2})\b"
+#: What ends a day's schedule line from being a name; ``break`` and what follows only as whole words.
+SCHEDULE_PHRASES = ("registration", "sign-in", "welcome message", "opening session", "closing session", "location:")
+SCHEDULE_WORDS = ("break", "lunch", "coffee", "networking", "cpeu")
+
+_MONTH = "|".join(sorted({*(m.title() for m in MONTH_NAMES), *(m[:3].title() for m in MONTH_NAMES), "Sept"}))
+_YEAR, _DAY = r"(20\d{2})", r"(\d{1,2})"
+ISO = r"\b20\d{2}([-/])(?:0[1-9]|1[0-2])[-/](?:0[1-9]|[12]\d|3[01])\b"
+LONG = rf"(?i)\b({_MONTH})\s+{_DAY},?\s*{_YEAR}\b"
+RANGE = rf"(?i)\b([A-Za-z]{{3,9}})\s+{_DAY}(?:\s*[-–—]\s*{_DAY})?,?\s*{_YEAR}\b"
 
 
 def normalize_for_match(c: Column) -> Column:
@@ -35,51 +41,59 @@ def normalize_for_match(c: Column) -> Column:
 
 def methodology_description(c: Column) -> Column:
     """Trimmed; null where empty; over 500 characters cut to 497 and an ellipsis."""
-    t = strip(text_of(c))
-    cut = F.concat(F.regexp_replace(F.substring(t, 1, 497), r"(?U)\s+$", ""), F.lit("..."))
-    return F.when(t == "", None).when(F.length(t) > 500, cut).otherwise(t)
+    cut = lambda t: F.concat(F.regexp_replace(F.substring(t, 1, 497), r"(?U)\s+$", ""), F.lit("..."))
+    return let(strip(text_of(c)), lambda t: F.when(t == "", None).when(F.length(t) > 500, cut(t)).otherwise(t))
 
 
 def _month(name: Column) -> Column:
+    """Two digits of a month by the first three letters of its name."""
     months = F.create_map(*[F.lit(x) for k, m in enumerate(MONTH_NAMES) for x in (m[:3], f"{k + 1:02d}")])
-    full = F.create_map(*[F.lit(x) for k, m in enumerate(MONTH_NAMES) for x in (m, f"{k + 1:02d}")])
-    low = F.lower(name)
-    return F.coalesce(F.try_element_at(months, F.substring(low, 1, 3)), F.try_element_at(full, low))
+    return F.try_element_at(months, F.substring(F.lower(name), 1, 3))
 
 
 def extract_dates(c: Column) -> Column:
     """``struct<start, end>``: all ISO dates, else a full date, else a range within a month, else nulls."""
-    t = text_of(c)
-    isos = F.transform(F.regexp_extract_all(t, F.lit(ISO), F.lit(0)), lambda d: F.replace(d, F.lit("/"), F.lit("-")))
-    day = lambda y, m, d: F.concat_ws("-", y, m, F.lpad(d, 2, "0"))
-    g = lambda p, k: F.regexp_extract(t, p, k)
-    long = day(g(LONG, 3), _month(g(LONG, 1)), g(LONG, 2))
-    month = _month(g(RANGE, 1))
-    first = F.when(month.isNotNull(), day(g(RANGE, 4), month, g(RANGE, 2)))
-    last = F.when(month.isNotNull(), day(g(RANGE, 4), month, F.coalesce(F.nullif(g(RANGE, 3), F.lit("")), g(RANGE, 2))))
-    has_iso, has_long = F.size(isos) > 0, g(LONG, 1) != ""
-    return F.struct(
-        F.when(has_iso, F.array_min(isos)).when(has_long, long).otherwise(first).alias("start"),
-        F.when(has_iso, F.array_max(isos)).when(has_long, long).otherwise(last).alias("end"),
-    )
+    iso_days = lambda t: F.transform(F.regexp_extract_all(t, F.lit(ISO), F.lit(0)), lambda d: F.replace(d, F.lit("/"), F.lit("-")))
+    pick = lambda t, p, *ks: F.array(*[F.regexp_extract(t, p, k) for k in ks])
+
+    def days(m: Column) -> Column:
+        """From month, first day, last day or nothing, and year; a month that isn't known gives nulls."""
+        day = lambda d: F.concat(F.get(m, 3), F.lit("-"), _month(F.get(m, 0)), F.lit("-"), F.lpad(d, 2, "0"))
+        return F.struct(day(F.get(m, 1)).alias("start"), day(F.when(F.get(m, 2) == "", F.get(m, 1)).otherwise(F.get(m, 2))).alias("end"))
+
+    def choose(x: Column) -> Column:
+        isos, long, part = x["i"], x["l"], x["r"]
+        ours = F.struct(F.array_min(isos).alias("start"), F.array_max(isos).alias("end"))
+        return F.when(F.size(isos) > 0, ours).when(F.get(long, 0) != "", days(long)).when(F.get(part, 0) != "", days(part)).otherwise(F.struct(F.lit(None).cast("string").alias("start"), F.lit(None).cast("string").alias("end")))
+
+    # the day of a full date stands for the last one too
+    read = lambda t: F.struct(iso_days(t).alias("i"), pick(t, LONG, 1, 2, 2, 3).alias("l"), pick(t, RANGE, 1, 2, 3, 4).alias("r"))
+    return let(let(text_of(c), read), choose)
 
 
 def parse_location(c: Column) -> Column:
     """``struct<venue, city, state, country, zip>`` from a comma-separated place."""
-    raw = strip(F.regexp_replace(text_of(c), r"(?U)\s+", " "))
-    code = F.nullif(F.regexp_extract(raw, r"\b(\d{5}(?:-\d{4})?)\b", 1), F.lit(""))
-    rest = F.when(code.isNotNull(), F.replace(raw, code, F.lit(""))).otherwise(raw)
-    parts = F.filter(F.transform(F.split(rest, ","), strip), lambda x: x != "")
-    n = F.size(parts)
-    at = lambda k: F.try_element_at(parts, F.lit(k))
-    remote = F.lower(at(1)).isin("online", "virtual", "remote")
-    return F.struct(
-        F.when(n > 3, F.array_join(F.slice(parts, 1, F.greatest(n - 3, F.lit(0))), ", ")).when((n == 1) & remote, at(1)).alias("venue"),
-        F.when(n >= 3, at(-3)).when(n == 2, at(1)).when((n == 1) & ~remote, at(1)).alias("city"),
-        F.when(n >= 3, at(-2)).alias("state"),
-        F.when(n >= 3, at(-1)).when(n == 2, at(2)).alias("country"),
-        code.alias("zip"),
-    )
+
+    def code(raw: Column) -> Column:
+        return F.struct(raw.alias("raw"), F.nullif(F.regexp_extract(raw, r"\b(\d{5}(?:-\d{4})?)\b", 1), F.lit("")).alias("zip"))
+
+    def parts(x: Column) -> Column:
+        rest = F.when(x["zip"].isNotNull(), F.replace(x["raw"], x["zip"], F.lit(""))).otherwise(x["raw"])
+        return F.struct(x["zip"].alias("zip"), F.filter(F.transform(F.split(rest, ","), strip), lambda p: p != "").alias("p"))
+
+    def place(x: Column) -> Column:
+        p, n = x["p"], F.size(x["p"])
+        at = lambda k: F.try_element_at(p, F.lit(k))
+        remote = F.lower(at(1)).isin("online", "virtual", "remote")
+        return F.struct(
+            F.when(n > 3, F.array_join(F.slice(p, 1, F.greatest(n - 3, F.lit(0))), ", ")).when((n == 1) & remote, at(1)).alias("venue"),
+            F.when(n >= 3, at(-3)).when(n == 2, at(1)).when((n == 1) & ~remote, at(1)).alias("city"),
+            F.when(n >= 3, at(-2)).alias("state"),
+            F.when(n >= 3, at(-1)).when(n == 2, at(2)).alias("country"),
+            x["zip"].alias("zip"),
+        )
+
+    return let(let(let(strip(F.regexp_replace(text_of(c), r"(?U)\s+", " ")), code), parts), place)
 
 
 def tokenize_name(c: Column) -> Column:
@@ -97,48 +111,54 @@ def program_not_published(c: Column) -> Column:
 
 
 def is_junk_name(c: Column) -> Column:
-    low = strip(F.lower(text_of(c)))
-    prefixed = low.rlike("^(" + "|".join(NAV_PREFIXES) + ")")
-    return low.isin(*JUNK_NAMES) | low.contains(" logo") | prefixed | (F.size(F.filter(F.split(low, r"(?U)\s+"), lambda x: x != "")) > 8)
+    prefixed = "^(" + "|".join(NAV_PREFIXES) + ")"
+    n_words = lambda x: F.size(F.filter(F.split(x, r"(?U)\s+"), lambda w: w != ""))
+    return let(strip(F.lower(text_of(c))), lambda x: x.isin(*JUNK_NAMES) | x.contains(" logo") | x.rlike(prefixed) | (n_words(x) > 8))
 
 
 def is_junk_speaker_name(c: Column) -> Column:
-    t = text_of(c)
-    schedule = t.rlike(r"(?i)registration|sign-in|welcome message|opening session|closing session|break\b|lunch\b|coffee\b|networking\b|cpeu\b|location:")
-    return is_junk_name(t) | strip(t).rlike(r"^\d") | schedule | (F.length(t) > 70) | (F.length(F.regexp_replace(t, "[^:]", "")) >= 2)
+    schedule = "(?i)" + "|".join([*SCHEDULE_PHRASES, *(w + r"\b" for w in SCHEDULE_WORDS)])
+    return let(text_of(c), lambda t: is_junk_name(t) | strip(t).rlike(r"^\d") | t.rlike(schedule) | (F.length(t) > 70) | (F.length(F.regexp_replace(t, "[^:]", "")) >= 2))
 
 
 def is_junk_speaker_record(c: Column) -> Column:
     """The last filter of speakers."""
-    t = strip(text_of(c))
-    low = F.lower(t)
-    return (F.length(t) < 2) | t.rlike(r"\d{1,2}:\d{2}") | any_of(low, SPEAKER_PHRASES) | low.isin(*SPEAKER_PLACES) | low.contains(" logo") | (F.length(t) > 70)
+    said = lambda low: any_of(low, SPEAKER_PHRASES) | low.isin(*SPEAKER_PLACES) | low.contains(" logo")
+    return let(strip(text_of(c)), lambda t: (F.length(t) < 2) | t.rlike(r"\d{1,2}:\d{2}") | (F.length(t) > 70) | let(F.lower(t), said))
 
 
 def parse_speaker_candidate(c: Column) -> Column:
-    """``struct<name, title, company, details>`` of a speaker's line, null for what isn't a name."""
-    raw = F.regexp_replace(F.regexp_replace(text_of(c), "^[ ,;•]+|[ ,;•]+$", ""), r"(?U)\s+", " ")
-    dash = F.split(raw, " — ", 2)
-    hyphen = F.split(raw, " - ", -1)
+    """``struct<name, title, company, details>`` of a speaker's line, null for what isn't a name.
+
+    A long dash, or the only hyphen after six words at most, begins the title; ``at`` after five words at most begins the company.
+    """
     n_words = lambda x: F.size(F.filter(F.split(x, " "), lambda w: w != ""))
-    by_dash = F.size(dash) > 1
-    by_hyphen = ~by_dash & (F.size(hyphen) == 2) & (n_words(F.get(hyphen, 0)) <= 6)
-    name = F.when(by_dash, strip(F.get(dash, 0))).when(by_hyphen, strip(F.get(hyphen, 0))).otherwise(raw)
-    title = F.when(by_dash, strip(F.get(dash, 1))).when(by_hyphen, strip(F.get(hyphen, 1)))
-    at = F.split(name, r"(?i)\s+at\s+", 2)
-    works = F.lower(name).contains(" at ") & (F.size(at) == 2) & (n_words(F.get(at, 0)) <= 5)
-    person = F.when(works, strip(F.get(at, 0))).otherwise(name)
-    company = F.when(works, strip(F.get(at, 1)))
-    good = (raw != "") & ~is_junk_speaker_name(raw) & ~is_junk_speaker_name(person)
-    return F.when(good, F.struct(person.alias("name"), title.alias("title"), company.alias("company"), raw.alias("details")))
+
+    def titled(raw: Column) -> Column:
+        dash, hyphen = F.split(raw, " — ", 2), F.split(raw, " - ", -1)
+        by_dash = F.size(dash) > 1
+        parts = F.when(by_dash, dash).when((F.size(hyphen) == 2) & (n_words(F.get(hyphen, 0)) <= 6), hyphen).otherwise(F.array(raw))
+        return F.struct(raw.alias("raw"), F.transform(parts, strip).alias("parts"))
+
+    def placed(x: Column) -> Column:
+        name = F.get(x["parts"], 0)
+        at = F.split(name, r"(?i)\s+at\s+", 2)
+        works = F.lower(name).contains(" at ") & (F.size(at) == 2) & (n_words(F.get(at, 0)) <= 5)
+        return F.struct(F.when(works, strip(F.get(at, 0))).otherwise(name).alias("name"), F.get(x["parts"], 1).alias("title"), F.when(works, strip(F.get(at, 1))).alias("company"), x["raw"].alias("details"))
+
+    person = lambda x: F.when((x["details"] != "") & ~is_junk_speaker_name(x["details"]) & ~is_junk_speaker_name(x["name"]), x)
+    raw = F.regexp_replace(F.regexp_replace(text_of(c), "^[ ,;•]+|[ ,;•]+$", ""), r"(?U)\s+", " ")
+    return let(let(let(raw, titled), placed), person)
 
 
 def snippet_in_normalized(snippet: Column, body: Column, min_len: int = 8) -> Column:
     """Whether a text supports a snippet; ``body`` is normalised already."""
-    s = normalize_for_match(snippet)
-    found = F.filter(F.split(s, r"(?U)\W+"), lambda w: F.length(w) > 2)
-    every = (F.size(found) >= 2) & F.forall(F.slice(found, 1, 4), lambda w: body.contains(w))
-    return (F.length(s) >= min_len) & (body.contains(s) | ((F.length(s) > 40) & body.contains(F.substring(s, 1, 40))) | every)
+
+    def every(s: Column) -> Column:
+        found = F.filter(F.split(s, r"(?U)\W+"), lambda w: F.length(w) > 2)
+        return let(found, lambda ws: (F.size(ws) >= 2) & F.forall(F.slice(ws, 1, 4), lambda w: body.contains(w)))
+
+    return let(normalize_for_match(snippet), lambda s: (F.length(s) >= min_len) & (body.contains(s) | ((F.length(s) > 40) & body.contains(F.substring(s, 1, 40))) | every(s)))
 
 
 def snippet_in_text(snippet: Column, text: Column, min_len: int = 8) -> Column:
@@ -146,5 +166,26 @@ def snippet_in_text(snippet: Column, text: Column, min_len: int = 8) -> Column:
 
 
 def scalar_in_text(value: Column, text: Column) -> Column:
-    v, body = normalize_for_match(value), normalize_for_match(text)
-    return (v != "") & (body.contains(v) | ((F.length(v) > 6) & body.contains(F.substring(v, 1, 30))))
+    return scalar_in_normalized(value, normalize_for_match(text))
+
+
+def scalar_in_normalized(value: Column, body: Column) -> Column:
+    return let(normalize_for_match(value), lambda v: (v != "") & (body.contains(v) | ((F.length(v) > 6) & body.contains(F.substring(v, 1, 30)))))
+
+
+def speakers_from_text(text: Column, most: int = 80) -> Column:
+    """``array<struct<name, title, company, details>>`` of a page's text, the first of each name.
+
+    Names come from lists, those after ``Panelists:`` up to a description or a location, and then from lines
+    that speak of speakers.
+    """
+    from eventloom.operators.merge import first_of_each
+
+    before = lambda c, mark: F.get(F.split(c, mark.replace(".", "[.]")), 0)
+    parts = lambda c, pattern: F.split(c, pattern)
+    chunks = F.filter(F.split(text_of(text), r"(?i)\bPanelists?:\s*"), lambda c: strip(c) != "")
+    listed = F.flatten(F.transform(chunks, lambda c: parts(before(before(c, ". Description:"), " Location:"), r"(?<=[a-z])\s+(?=Dr\.|Prof\.)|[,;•\n]")))
+    lines = F.filter(F.transform(F.split(text_of(text), "\n"), strip), lambda x: (x != "") & (F.length(x) <= 200) & x.rlike(r"(?i)\b(keynote|speaker|presenter|panelist)\b"))
+    spoken = F.flatten(F.transform(lines, lambda x: parts(x, "[,;•]")))
+    found = F.filter(F.transform(F.concat(listed, spoken), parse_speaker_candidate), lambda s: s.isNotNull())
+    return F.slice(first_of_each(found, lambda s: F.lower(s["name"])), 1, most)

@@ -12,11 +12,13 @@ from pyspark.sql import functions as F
 
 SCHEME = r"^([A-Za-z][A-Za-z0-9+.-]*):"
 NETLOC = r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//([^/?#]*)"
+BEGIN = r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?(?://[^/?#]+)?"
 PATH = r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?(?://[^/?#]*)?([^?#]*)"
 
 # Hosts, path parts and names that decide what a URL is.
 LISTING_HOSTS = ("conferenceindex.org", "10times.com", "allevents.in", "eventbrite")
 HUB_PREFIXES = ("/conferences/", "/disciplines", "/locations", "/search", "/auth/", "/user/", "/page/", "/static/", "/favicon")
+EVENTS_PAGES = ("create", "list", "index")
 BAD_SUBPAGE = ("donor-form", "blackbaud", "login", "signup", "register", "cookie", "privacy", "terms", "facebook.com", "twitter.com", "linkedin.com")
 BLOCKED_PATHS = ("/news/", "/article/", "/articles/", "/blog/", "/press/", "/press-release", "/donor-form", "/donate")
 BLOCKED_HOSTS = (
@@ -36,6 +38,11 @@ COUNTRIES = {
 }
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with the value worked out once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def any_of(column: Column, needles: tuple[str, ...]) -> Column:
     """Whether one of the needles is part of the string."""
     return reduce(Column.__or__, (column.contains(n) for n in needles))
@@ -65,11 +72,13 @@ def scheme(url: Column) -> Column:
 
 def canonical_url(url: Column) -> Column:
     """Lower-case scheme and host, path without slashes at its end; query, fragment and parameters go."""
-    u = strip(text_of(url))
-    s, host, p = scheme(u), netloc(u), F.regexp_replace(path(u), "/+$", "")
-    p = F.when(p == "", "/").otherwise(p)
-    joined = F.concat(F.when(s != "", F.concat(s, F.lit(":"))).otherwise(""), F.when(host != "", F.concat(F.lit("//"), host)).otherwise(""), p)
-    return F.when(u == "", "").otherwise(joined)
+
+    def joined(u: Column) -> Column:
+        begin = F.lower(F.regexp_extract(u, BEGIN, 0))
+        rest = F.regexp_replace(path(u), "/+$", "")
+        return F.when(u == "", "").otherwise(F.concat(begin, F.when(rest == "", "/").otherwise(rest)))
+
+    return let(strip(text_of(url)), joined)
 
 
 def domain_from_url(url: Column) -> Column:
@@ -86,14 +95,30 @@ def is_listing_host(url: Column) -> Column:
 
 
 def is_event_detail_url(url: Column) -> Column:
-    """A detail page of one event, not a hub. Relative references never are."""
+    """A detail page of one event, not a hub. Relative references never are.
+
+    The path has a part ``event``, ``events`` or ``conference`` with a name after it; after ``events`` that
+    isn't one of its own pages. Hubs are known by how the path begins; a plural ``conferences`` is one, unless events come after it.
+    """
+
+    def detail(parts: Column) -> Column:
+        """``parts``: the path in lower case, split at slashes."""
+
+        def names_event(part: Column, i: Column) -> Column:
+            then = F.coalesce(F.get(parts, i + 1), F.lit(""))
+            listed = (part == "events") & ~reduce(Column.__or__, (then.startswith(x) for x in EVENTS_PAGES))
+            return (then != "") & (part.isin("event", "conference") | listed)
+
+        return F.size(F.filter(parts, names_event)) > 0
+
+    def fit(low: Column) -> Column:
+        bare = F.regexp_replace(low, "/+$", "")
+        hub = reduce(Column.__or__, (low.startswith(x) | (bare == x.rstrip("/")) for x in HUB_PREFIXES))
+        plural = low.contains("/conferences/") & ~low.contains("/event/") & ~low.contains("/events/")
+        return ~hub & ~plural & let(F.split(low, "/"), detail)
+
     u = strip(text_of(url))
-    p = path(u)
-    low = F.lower(p)
-    hub = reduce(Column.__or__, (low.startswith(x) | (F.regexp_replace(low, "/+$", "") == x.rstrip("/")) for x in HUB_PREFIXES))
-    detail = p.rlike(r"(?i)(?:^|/)event/[^/?#]+|(?:^|/)events/(?!create|list|index)[^/?#]+|(?:^|/)conference/[^/?#]+")
-    plural = low.contains("/conferences/") & ~low.contains("/event/") & ~low.contains("/events/")
-    return scheme(u).isin("http", "https") & ~hub & detail & ~plural
+    return scheme(u).isin("http", "https") & let(F.lower(path(u)), fit)
 
 
 def is_bad_subpage(url: Column) -> Column:
@@ -117,14 +142,19 @@ def event_slug(name: Column, url: Column) -> Column:
 
 def parse_url_slug(url: Column) -> Column:
     """``struct<year, month, city, country>`` from a slug that ends in year, month, city and country code."""
-    parts = F.split(F.element_at(F.split(F.regexp_replace(path(url), "/+$", ""), "/"), -1), "-")
-    years = F.transform(parts, lambda x: x.rlike("^20(2[0-9]|3[0-5])$"))
-    at = F.array_position(years, True).cast("int")  # from 1
-    part = lambda k: F.when(at > 0, F.get(parts, at - 1 + k))
     months = F.create_map(*[F.lit(x) for k, m in enumerate(MONTHS) for x in (m, f"{k + 1:02d}")])
     codes = F.create_map(*[F.lit(x) for pair in COUNTRIES.items() for x in pair])
-    code = F.lower(part(3))
-    return F.struct(part(0).alias("year"), F.try_element_at(months, F.lower(part(1))).alias("month"), F.initcap(part(2)).alias("city"), F.coalesce(F.try_element_at(codes, code), F.upper(code)).alias("country"))
+
+    def from_year(parts: Column) -> Column:
+        at = F.array_position(F.transform(parts, lambda x: x.rlike("^20(2[0-9]|3[0-5])$")), True).cast("int")  # from 1, 0: none
+        return let(at, lambda a: F.when(a > 0, F.slice(parts, F.greatest(a, F.lit(1)), 4)))
+
+    def read(p: Column) -> Column:
+        country = let(F.lower(F.get(p, 3)), lambda code: F.coalesce(F.try_element_at(codes, code), F.upper(code)))
+        return F.struct(F.get(p, 0).alias("year"), F.try_element_at(months, F.lower(F.get(p, 1))).alias("month"), F.initcap(F.get(p, 2)).alias("city"), country.alias("country"))
+
+    parts = F.split(F.element_at(F.split(F.regexp_replace(path(url), "/+$", ""), "/"), -1), "-")
+    return let(let(parts, from_year), read)
 
 
 def review_url_norm(url: Column) -> Column:

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from eventloom.functions import taxonomy, text
+from eventloom.functions import taxonomy
+from eventloom.jobs import event_pages as ep
+from eventloom.jobs import event_queries
 from eventloom.jobs import fixtures as fx
-from eventloom.jobs.registry import _BLOB, _COUNT, _ENGAGED, _IS_B2B, _LINKS, _MISSING, _PCT, _REASONS, _UNESCAPE, W_RECORDS, _event_pages, _hits, _in, _names, _scoped, query
-from eventloom.operators import coverage, evidence, merge, pages, records
+from eventloom.jobs.registry import _BLOB, _FLAG, _IN_SCOPE, _LINKS, _REASONS, _REVIEW, _SUMMARY, _UNESCAPE, _VERIFIED, W_RECORDS, _hits, _in, _scoped, query
+from eventloom.operators import coverage, evidence, pages, records
 from eventloom.sources import files
 
-_IN_SCOPE = f"{_IS_B2B} and ({_in('blob', taxonomy.NETWORKING)} or {_ENGAGED})"
 _REVIEWED = f"(select *, {_REASONS} as reasons from (select *, {_BLOB} as blob from rec))"
 
 
@@ -46,28 +47,35 @@ def split_confidence_exports(spark, d):
     return sure.select("k", F.lit("main").alias("part")).unionByName(unsure.select("k", F.lit("review").alias("part")))
 
 
-@query("write_review", W_RECORDS + f"select k, event_name, nullif(reasons, '') as review_reasons, {_PCT} as coverage_pct from {_REVIEWED}")
+@query("write_review", W_RECORDS + _REVIEW.replace("reasons as review_reasons", "nullif(reasons, '') as review_reasons").replace(" as scope_evidence from", " as evidence from").replace("select k,", "select * exclude (evidence), nullif(evidence, '') as scope_evidence from (select k,", 1) + ")")
 def write_review(spark, d):
     path = files.export_path(spark, "review")
-    rows = _reviewed(spark, d).select("k", "event_name", F.array_join("review_reasons", "; ").alias("review_reasons"), "coverage_pct")
-    files.write_rows(rows, path)
-    return files.read_rows(spark, path, rows.schema)
+    given = _scoped(fx.records(spark, d))
+    files.write_review(given, path, "k")
+    return files.read_rows(spark, path, coverage.review_rows(given, "k").schema)
 
 
-@query("write_coverage", W_RECORDS + f"select k, event_name, {_COUNT} as filled_count, {_MISSING} as missing_fields from rec")
+@query("write_coverage", W_RECORDS + _SUMMARY.replace(" from (select *,", ", array_to_string(list_filter([" + ", ".join(f"case when {v} then '{f}' end" for f, v in _FLAG.items()) + "], lambda x: x is not null), ',') as filled, '17) Hosting Entity' as label from (select *,", 1))
 def write_coverage(spark, d):
     path = files.export_path(spark, "coverage")
-    rows = coverage.field_coverage(fx.records(spark, d)).select("k", "event_name", "filled_count", "missing_fields")
-    files.write_rows(rows, path)
-    return files.read_rows(spark, path, rows.schema)
+    given = _scoped(fx.records(spark, d))
+    files.write_coverage(given, path, "k")
+    rows = files.read_rows(spark, f"{path}/rows", coverage.summary_rows(given, "k").schema)
+    events = spark.read.schema(coverage.coverage_details(given, "k").schema).json(f"{path}/events")
+    return rows.join(events.select("k", F.array_join("filled", ",").alias("filled"), F.try_element_at("labels", F.lit("hosting_entity")).alias("label")), "k")
 
 
-@query("write_enriched", W_RECORDS + f"select k, event_name, to_json(speakers)::varchar as speakers, to_json(sponsor_companies)::varchar as sponsor_companies, {_IN_SCOPE} as scope_in_scope from {_REVIEWED}")
+@query(
+    "write_enriched",
+    W_RECORDS + f"select k, event_name, listing_url, to_json(speakers)::varchar as speakers, to_json(sponsor_companies)::varchar as sponsor_companies, to_json(['picked ' || hosting_entity])::varchar as resolution_notes, to_json({{'llm_stripped': llm_stripped}})::varchar as validation, "
+    f"case when mismatch then '[\"Location mismatch (expected x)\"]' else '[]' end as enrich_notes, {_IN_SCOPE} as scope_in_scope, '1.0-data-txt' as scope_rule_version, 42 as n_columns from {_REVIEWED}",
+)
 def write_enriched(spark, d):
     path = files.export_path(spark, "enriched")
     rows = files.enriched_rows(_scoped(fx.records(spark, d)), "k")
     files.write_rows(rows, path)
-    return files.read_rows(spark, path, rows.schema).select("k", "event_name", "speakers", "sponsor_companies", "scope_in_scope")
+    out = files.read_rows(spark, path, rows.schema)
+    return out.select("k", "event_name", "listing_url", "speakers", "sponsor_companies", "resolution_notes", "validation", "enrich_notes", "scope_in_scope", "scope_rule_version", F.lit(len(out.columns)).alias("n_columns"))
 
 
 @query("write_event_list", f"with {fx.BASE} select k, name, case when k % 3 <> 0 then d end as start_date from base")
@@ -130,12 +138,13 @@ def seed_records(spark, d):
     return records.seed_records(items, "k").select("k", "event_name", "listing_url", "start_date")
 
 
-@query("date_fallback", f"with {fx.BASE} select k, case when k % 3 = 2 then null else '20' || d[3:] end as \"start\", case k % 3 when 0 then 'own' when 1 then '20' || d[3:] end as \"end\" from base")
+_FALLBACK = "case when k % 3 = 2 then 'no date' else 'Held on 20' || substr(d, 3) || ' to 20' || substr(d, 3, 2) || '-12-31.' end"
+
+
+@query("date_fallback", f"with {fx.BASE}, s as (select *, {_FALLBACK} as said from base), r as (select *, list_sort(regexp_extract_all(said, '20[0-9]{{2}}-[0-9]{{2}}-[0-9]{{2}}')) as i from s) select k, case when k % 4 = 0 then d else i[1] end as \"start\", case when k % 4 = 0 then 'own' else i[-1] end as \"end\" from r")
 def date_fallback(spark, d):
-    k, day = F.col("k"), F.col("d")
-    said = F.when(k % 3 == 2, "no date").otherwise(F.concat(F.lit("Held on "), F.regexp_replace(day, "^(19|20)", "20"), F.lit(".")))
-    day = F.when(k % 3 == 0, day)
-    out = fx.base(spark, d).withColumn("d", F.regexp_replace("d", "^(19|20)", "20")).select("k", records.date_fallback(day, F.when(k % 3 == 0, "own"), said).alias("x"))
+    k = F.col("k")
+    out = fx.base(spark, d).select("k", records.date_fallback(F.when(k % 4 == 0, F.col("d")).otherwise(""), F.lit("own"), F.expr(_FALLBACK)).alias("x"))
     return out.select("k", "x.start", "x.end")
 
 
@@ -155,30 +164,14 @@ def combined_page_text(spark, d):
     return evidence.combined_text(turns, "conv_id", "turn").select("conv_id", F.md5(F.col("combined_text").cast("binary")).alias("digest"))
 
 
-@query("verified_field_count", W_RECORDS + "select k, 1 + (city is not null and k % 2 = 0)::int as verified from rec")
+@query("verified_field_count", W_RECORDS + f"select k, {_VERIFIED} as verified from rec")
 def verified_field_count(spark, d):
-    k, none = F.col("k"), F.lit(None).cast("string")
-    entries = [
-        (F.col("event_name").isNotNull(), F.lit("json_ld"), none),
-        (F.col("city").isNotNull(), F.lit("llm"), F.when(k % 2 == 0, F.col("city")).otherwise("")),
-        (F.col("venue_name").isNotNull(), F.lit("llm"), none),
-    ]
-    return fx.records(spark, d).select("k", merge.verified_field_count(entries).alias("verified"))
-
-
-@query("is_junk_speaker_name", f"with {fx.BASE} select k, k % 9 in (0, 1, 2, 4, 5, 6, 7) as junk from base")
-def is_junk_speaker_name(spark, d):
-    return fx.base(spark, d).select("k", text.is_junk_speaker_name(_names()).alias("junk"))
-
-
-@query("is_junk_speaker_record", f"with {fx.BASE} select k, k % 9 in (1, 4) as junk from base")
-def is_junk_speaker_record(spark, d):
-    return fx.base(spark, d).select("k", text.is_junk_speaker_record(_names()).alias("junk"))
+    return fx.records(spark, d).select("k", coverage.verified_fields().alias("verified"))
 
 
-@query("meta_tags", f"with {fx.BASE} select k as page_id, 'x' as description from base")
+@query("meta_tags", ep.sql("main") + "select k as page_id, " + event_queries._META + " as description, " + event_queries._OG + " as title from pg")
 def meta_tags(spark, d):
-    return pages.meta_tags(_event_pages(spark, d)).select("page_id", F.try_element_at("by_name", F.lit("description")).alias("description"))
+    return pages.meta_tags(event_queries._page(spark, d, "main")).select("page_id", F.try_element_at("by_name", F.lit("description")).alias("description"), F.try_element_at("by_property", F.lit("og:title")).alias("title"))
 
 
 @query("resolve_href", _LINKS + f"select page_id, pos, {_UNESCAPE.format('resolved')} as resolved from l")

@@ -96,7 +96,8 @@ def records(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(k % 4 == 1, F.array("speaker")).otherwise(empty).alias("speakers"),
         (k % 3).cast("int").alias("llm_stripped"), F.when(k % 4 == 0, 2).otherwise(0).alias("heuristic_stripped"), F.when(k % 6 == 0, 1).otherwise(0).alias("program_unpublished_lists_cleared"),
         ((k % 10) / 10.0).alias("resolution_confidence"), F.when(k % 13 == 0, F.array(F.lit("Location mismatch (expected x)"))).otherwise(empty).alias("enrich_notes"),
-        F.create_map(F.lit("speakers"), F.when(k % 8 == 1, "llm").otherwise("heuristic")).alias("field_sources"),
+        F.create_map(F.lit("speakers"), F.struct(F.when(k % 8 == 1, "llm").otherwise("heuristic").alias("source"), none.alias("page_url"), none.alias("page_role"), none.alias("snippet")), F.lit("city"), F.struct(F.lit("meta").alias("source"), none.alias("page_url"), none.alias("page_role"), F.col("city").alias("snippet"))).alias("field_provenance"),
+        F.array(F.concat(F.lit("picked "), "host")).alias("resolution_notes"), F.struct((k % 3).cast("int").alias("llm_stripped")).alias("validation"),
     )
 
 

@@ -70,10 +70,14 @@ url_query(
 )
 url_query("review_url_norm", urls.review_url_norm, "lower(rtrim(url, '/'))")
 url_query("ensure_scheme", urls.ensure_scheme, "case when trim(url) = '' then '' when regexp_matches(lower(trim(url)), '^https?://') then trim(url) else 'https://' || trim(url) end")
-url_query(
-    "parse_url_slug", lambda u: F.to_json(urls.parse_url_slug(u), {"ignoreNullFields": "false"}),
-    """case when url like '%/summit-2026-july-oslo-no-%' then '{"year":"2026","month":"07","city":"Oslo","country":"Norway"}' else '{"year":null,"month":null,"city":null,"country":null}' end""",
-)
+_SLUG_PARTS = f"string_split(list_last(string_split(rtrim({_PATH}, '/'), '/')), '-')"
+_MONTH_OF = "case lower(p[i + 1]) " + " ".join(f"when '{m}' then '{k + 1:02d}'" for k, m in enumerate(urls.MONTHS)) + " end"
+_COUNTRY_OF = "case lower(p[i + 3]) " + " ".join(f"when '{c}' then '{n}'" for c, n in urls.COUNTRIES.items()) + " else upper(p[i + 3]) end"
+query(
+    "parse_url_slug",
+    f"{W_URLS}, p as (select k, url, {_SLUG_PARTS} as p from urls), q as (select *, list_position(list_transform(p, lambda x: regexp_full_match(x, '20(2[0-9]|3[0-5])')), true) as i from p) "
+    f"select k, url, p[i] as year, {_MONTH_OF} as month, upper(left(p[i + 2], 1)) || lower(substr(p[i + 2], 2)) as city, {_COUNTRY_OF} as country from q",
+)(lambda spark, d: fx.urls(spark, d).select("k", "url", urls.parse_url_slug(F.col("url")).alias("x")).select("k", "url", "x.*"))
 
 
 @query("event_slug", f"with {fx.BASE} select k, trim(left(trim(regexp_replace(lower(name), '[^a-z0-9_\\-]+', '-', 'g'), '-'), 55)) || '-' || left(sha256('https://example.com/' || k), 8) as slug from base")
@@ -94,39 +98,36 @@ def methodology_description(spark, d):
     return fx.read(spark, d, "documents").select("doc_id", text.methodology_description(F.col("text")).alias("description"))
 
 
-_YMD = "'20' || lpad(((k % 20) + 10)::varchar, 2, '0')"
-_MON = "(['January','February','March','April','May','June','July','August','September','October','November','December'])[(k % 12) + 1]"
+#: Texts with dates and places that both engines build from the tables; the SQL reads them by patterns of its own.
+_DATED = """case k % 5 when 0 then 'From 20' || substr(d, 3, 2) || '/12/28 back to 20' || substr(d, 3) || '.' when 1 then 'Starts ' || m || ' ' || cast(substr(d, 9) as int) || ', 20' || substr(d, 3, 2) || ' in ' || city
+    when 2 then substr(m, 1, 3) || ' ' || cast(substr(d, 9) as int) || '-' || (cast(substr(d, 9) as int) + 2) || ', 20' || substr(d, 3, 2) when 3 then 'Foobar 3, 20' || substr(d, 3, 2) else name end"""
+_M = "case cast(substr(d, 6, 2) as int) " + " ".join(f"when {k + 1} then '{x.title()}'" for k, x in enumerate(text.MONTH_NAMES)) + " end"
+_MM = lambda g: "case lower(left(" + g + ", 3)) " + " ".join(f"when '{x[:3]}' then '{k + 1:02d}'" for k, x in enumerate(text.MONTH_NAMES)) + " end"
+_ISOS = "list_sort(list_transform(regexp_extract_all(said, '20[0-9][0-9][-/][0-9][0-9][-/][0-9][0-9]'), lambda x: replace(x, '/', '-')))"
+_WORDED = "regexp_extract(said, '([A-Z][a-z]+) ([0-9]+)-?([0-9]*), (20[0-9][0-9])', ['m', 'a', 'b', 'y'])"
 
 
 @query(
     "extract_dates",
-    f"with {fx.BASE}, n as (select k, {_YMD} as y, lpad(((k % 12) + 1)::varchar, 2, '0') as m, lpad(((k % 28) + 1)::varchar, 2, '0') as dd, lpad(((k % 28) + 3)::varchar, 2, '0') as dd2 from base) "
-    "select k, case when k % 5 <= 2 then y || '-' || m || '-' || dd end as \"start\", case k % 5 when 0 then y || '-12-28' when 1 then y || '-' || m || '-' || dd when 2 then y || '-' || m || '-' || dd2 end as \"end\" from n",
+    f"with {fx.BASE}, t as (select *, {_M} as m from base), s as (select k, {_DATED} as said from t), r as (select k, {_ISOS} as i, {_WORDED} as w from s), v as (select k, i, w, {_MM('w.m')} as mm from r) "
+    "select k, coalesce(i[1], w.y || '-' || mm || '-' || lpad(w.a, 2, '0')) as \"start\", coalesce(i[-1], w.y || '-' || mm || '-' || lpad(coalesce(nullif(w.b, ''), w.a), 2, '0')) as \"end\" from v",
 )
 def extract_dates(spark, d):
-    k = F.col("k")
-    y = F.concat(F.lit("20"), F.lpad((k % 20 + 10).cast("string"), 2, "0"))
-    m, day = F.lpad((k % 12 + 1).cast("string"), 2, "0"), (k % 28 + 1).cast("string")
-    month = F.element_at(F.array(*[F.lit(x.title()) for x in text.MONTH_NAMES]), (k % 12 + 1).cast("int"))
-    shapes = [
-        F.concat(F.lit("From "), y, F.lit("/12/28 back to "), y, F.lit("-"), m, F.lit("-"), F.lpad(day, 2, "0"), F.lit(".")),
-        F.concat(F.lit("Starts "), month, F.lit(" "), day, F.lit(", "), y, F.lit(" in town")),
-        F.concat(F.substring(month, 1, 3), F.lit(" "), day, F.lit("-"), (k % 28 + 3).cast("string"), F.lit(", "), y),
-        F.concat(F.lit("Foobar "), day, F.lit(", "), y),
-        F.lit("no date"),
-    ]
-    said = F.element_at(F.array(*shapes), (k % 5 + 1).cast("int"))
-    return fx.base(spark, d).select("k", text.extract_dates(said).alias("x")).select("k", "x.*")
+    said = fx.base(spark, d).withColumn("m", F.expr(_M)).select("k", F.expr(_DATED).alias("said"))
+    return said.select("k", text.extract_dates(F.col("said")).alias("x")).select("k", "x.*")
+
+
+_PLACED = """case k % 5 when 0 then host || ', Hall 2,' || city || ', ' || speaker || ' , ' || country when 1 then city || ',  State , ' || country || ' ' || (10000 + k) when 2 then city || ',' || country when 3 then '  ' || city else case when k % 2 = 0 then 'Online' else 'virtual ' end end"""
 
 
 @query(
     "parse_location",
-    f"with {fx.BASE} select k, case k % 5 when 0 then host || ', Hall 2' when 4 then 'Online' end as venue, case when k % 5 in (0, 1, 2, 3) then city end as city, case when k % 5 in (0, 1) then 'State' end as state, case when k % 5 in (0, 1, 2) then country end as country, case when k % 5 = 1 then '12345' end as zip from base",
+    f"with {fx.BASE}, s as (select k, {_PLACED} as said from base), z as (select k, nullif(regexp_extract(said, ' ([0-9]{{5}})$', 1), '') as zip, list_filter(list_transform(string_split(regexp_replace(said, ' [0-9]{{5}}$', ''), ','), lambda x: trim(x)), lambda x: x <> '') as p from s) "
+    "select k, case when len(p) > 3 then array_to_string(p[1:len(p) - 3], ', ') when len(p) = 1 and lower(p[1]) in ('online', 'virtual', 'remote') then p[1] end as venue, case when len(p) >= 3 then p[-3] when len(p) = 2 or lower(p[1]) not in ('online', 'virtual', 'remote') then p[1] end as city, "
+    "case when len(p) >= 3 then p[-2] end as state, case when len(p) >= 2 then p[-1] end as country, zip from z",
 )
 def parse_location(spark, d):
-    c = F.col
-    shapes = [F.concat_ws(", ", c("host"), F.lit("Hall 2"), c("city"), F.lit("State"), c("country")), F.concat(c("city"), F.lit(",  State , "), c("country"), F.lit(" 12345")), F.concat_ws(",", c("city"), c("country")), F.concat(F.lit("  "), c("city")), F.lit("Online")]
-    return fx.base(spark, d).select("k", text.parse_location(F.element_at(F.array(*shapes), (c("k") % 5 + 1).cast("int"))).alias("x")).select("k", "x.*")
+    return fx.base(spark, d).select("k", text.parse_location(F.expr(_PLACED)).alias("x")).select("k", "x.*")
 
 
 @query("tokenize_name", f"with {fx.BASE} select k, array_to_string(list_sort(list_distinct(list_filter(regexp_extract_all(lower(name), '[a-z0-9]+'), lambda x: len(x) > 2))), ' ') as tokens from base")
@@ -152,38 +153,64 @@ def program_not_published(spark, d):
     return fx.base(spark, d).select("k", text.program_not_published(_said()).alias("result"))
 
 
-_NAMES = "(['Logo', host || ' logo', 'Contact us', speaker, '9:30 ' || speaker, 'Lunch break', 'a: b: ' || speaker, 'one two three four five six seven eight nine', host])[(k % 9) + 1]"
+#: Names to judge: those of the tables with words put to them, and every line of the conversations.
+_NAMES = """select k, case k % 9 when 0 then 'Logo' when 1 then host || ' logo' when 2 then 'Contact ' || city when 3 then speaker when 4 then substr(d, 9) || ':30 ' || speaker when 5 then city || ' lunch' when 6 then 'a: b: ' || speaker when 7 then name || ' ' || description || ' ' || name else host end as n from base"""
+_LINES_SQL = "select -1 - (conv_id * 100 + turn) as k, unnest(string_split(text, chr(10))) as n from conversations where text is not null and conv_id is not null and turn is not null"
+_W_NAMES = f"with {fx.BASE}, nm as (select k, n, lower(trim(n)) as x from ({_NAMES} union all {_LINES_SQL})) "
+_N_WORDS = r"len(list_filter(regexp_split_to_array(x, '[\s\x{00A0}]+'), lambda w: w <> ''))"
+_JUNK = "(x in (" + ", ".join(f"'{w}'" for w in text.JUNK_NAMES) + ") or contains(x, ' logo') or " + " or ".join(f"starts_with(x, '{w}')" for w in text.NAV_PREFIXES) + f" or {_N_WORDS} > 8)"
+_JUNK_SPEAKER = f"({_JUNK} or regexp_matches(x, '^[0-9]') or " + _in("lower(n)", text.SCHEDULE_PHRASES) + " or regexp_matches(lower(n), '(" + "|".join(text.SCHEDULE_WORDS) + r")\b') or len(n) > 70 or len(n) - len(replace(n, ':', '')) >= 2)"
+_JUNK_RECORD = "(len(x) < 2 or regexp_matches(x, '[0-9]:[0-9][0-9]') or " + _in("x", text.SPEAKER_PHRASES) + " or x in (" + ", ".join(f"'{w}'" for w in text.SPEAKER_PLACES) + ") or contains(x, ' logo') or len(trim(n)) > 70)"
 
 
-def _names():
-    c = F.col
-    return F.element_at(F.array(F.lit("Logo"), F.concat(c("host"), F.lit(" logo")), F.lit("Contact us"), c("speaker"), F.concat(F.lit("9:30 "), c("speaker")), F.lit("Lunch break"), F.concat(F.lit("a: b: "), c("speaker")), F.lit("one two three four five six seven eight nine"), c("host")), (c("k") % 9 + 1).cast("int"))
+def _names(spark, d):
+    made = fx.base(spark, d).select("k", F.expr(_NAMES.partition(", ")[2].removesuffix(" as n from base")).alias("n"))
+    lines = fx.read(spark, d, "conversations").filter("text is not null and conv_id is not null and turn is not null").select((-1 - (F.col("conv_id") * 100 + F.col("turn"))).alias("k"), F.explode(F.split("text", "\n", -1)).alias("n"))
+    return made.unionByName(lines)
 
 
-@query("is_junk_name", f"with {fx.BASE} select k, k % 9 in (0, 1, 2, 7) as junk, k % 9 in (0, 1, 2, 4, 5, 6, 7) as junk_speaker, k % 9 in (1, 4) as junk_record from base")
+@query("is_junk_name", _W_NAMES + f"select k, n, {_JUNK} as junk, count(*) as c from nm group by all")
 def is_junk_name(spark, d):
-    n = _names()
-    return fx.base(spark, d).select("k", text.is_junk_name(n).alias("junk"), text.is_junk_speaker_name(n).alias("junk_speaker"), text.is_junk_speaker_record(n).alias("junk_record"))
+    return _names(spark, d).groupBy("k", "n", text.is_junk_name(F.col("n")).alias("junk")).agg(F.count(F.lit(1)).alias("c"))
+
+
+@query("is_junk_speaker_name", _W_NAMES + f"select k, n, {_JUNK_SPEAKER} as junk, count(*) as c from nm group by all")
+def is_junk_speaker_name(spark, d):
+    return _names(spark, d).groupBy("k", "n", text.is_junk_speaker_name(F.col("n")).alias("junk")).agg(F.count(F.lit(1)).alias("c"))
+
+
+@query("is_junk_speaker_record", _W_NAMES + f"select k, n, {_JUNK_RECORD} as junk, count(*) as c from nm group by all")
+def is_junk_speaker_record(spark, d):
+    return _names(spark, d).groupBy("k", "n", text.is_junk_speaker_record(F.col("n")).alias("junk")).agg(F.count(F.lit(1)).alias("c"))
+
+
+_RAW = """case k % 4 when 0 then ' •' || speaker || ' — ' || description || ';' when 1 then speaker || ' - ' || city when 2 then speaker || '  at ' || host || ', ' else city || ' coffee' end"""
 
 
 @query(
     "parse_speaker_candidate",
-    f"with {fx.BASE} select k, case when k % 4 < 3 then speaker end as name, case when k % 4 < 2 then 'CEO' end as title, case when k % 4 = 2 then host end as company, case k % 4 when 0 then speaker || ' — CEO' when 1 then speaker || ' - CEO' when 2 then speaker || ' at ' || host end as details from base",
+    f"with {fx.BASE}, r as (select k, trim(regexp_replace({_RAW}, ' +', ' ', 'g'), ' ,;•') as raw from base), s as (select k, raw, case when contains(raw, ' — ') then string_split(raw, ' — ') when contains(raw, ' - ') then string_split(raw, ' - ') else [raw] end as p from r), "
+    "t as (select k, raw, p[2] as title, string_split(p[1], ' at ') as a from s where not contains(lower(raw), 'coffee') and len(raw) <= 70 and len(list_filter(string_split(raw, ' '), lambda w: w <> '')) <= 8) "
+    "select b.k, a[1] as name, title, a[2] as company, raw as details from base b left join t using (k)",
 )
 def parse_speaker_candidate(spark, d):
-    c = F.col
-    shapes = [F.concat(F.lit(" •"), c("speaker"), F.lit(" — CEO;")), F.concat(c("speaker"), F.lit(" - CEO")), F.concat(c("speaker"), F.lit("  at "), c("host")), F.lit("Coffee break")]
-    return fx.base(spark, d).select("k", text.parse_speaker_candidate(F.element_at(F.array(*shapes), (c("k") % 4 + 1).cast("int"))).alias("x")).select("k", "x.*")
+    return fx.base(spark, d).select("k", text.parse_speaker_candidate(F.expr(_RAW)).alias("x")).select("k", "x.*")
 
 
-_PAIR = "with b as (select item_id, text, row_number() over (order by item_id) - 1 as n, count(*) over () as c from benchmark), p as (select doc_id, item_id, trim(regexp_replace(lower(coalesce(documents.text, '')), '\\s+', ' ', 'g')) as body, trim(regexp_replace(lower(b.text), '\\s+', ' ', 'g')) as s from documents join b on n = doc_id % c) "
+#: Documents meet the benchmark's items by the item's longest word, the last of equals: an equal join on what both hold.
+_PAIR = (
+    "with w as (select item_id, text as snippet, unnest(string_split(lower(text), ' ')) as word from benchmark), b as (select item_id, snippet, arg_max(word, (len(word), word)) as word from w group by all), "
+    "t as (select distinct doc_id, text, unnest(string_split(lower(text), ' ')) as word from documents), p as (select doc_id, item_id, trim(regexp_replace(lower(coalesce(t.text, '')), '\\s+', ' ', 'g')) as body, trim(regexp_replace(lower(snippet), '\\s+', ' ', 'g')) as s from t join b using (word)) "
+)
 
 
 def _pairs(spark, d):
-    items = fx.read(spark, d, "benchmark")
-    count = items.count()
-    numbered = items.select("item_id", F.col("text").alias("snippet")).withColumn("n", F.expr("row_number() over (order by item_id) - 1"))
-    return fx.read(spark, d, "documents").select("doc_id", "text", (F.col("doc_id") % F.lit(max(count, 1))).cast("int").alias("n")).join(numbered, "n")
+    words = lambda c: F.explode(F.split(F.lower(c), " "))
+    items = fx.read(spark, d, "benchmark").select("item_id", F.col("text").alias("snippet"), words("text").alias("word"))
+    rare = items.groupBy("item_id", "snippet").agg(F.max_by("word", F.struct(F.length("word"), "word")).alias("word"))
+    docs = fx.read(spark, d, "documents")
+    met = docs.select("doc_id", words("text").alias("word")).dropDuplicates().join(rare, "word").drop("word")
+    return met.join(docs.select("doc_id", "text"), "doc_id")
 
 
 @query("scalar_in_text", _PAIR + "select doc_id, item_id, s <> '' and (contains(body, s) or (len(s) > 6 and contains(body, left(s, 30)))) as found from p")
@@ -246,10 +273,13 @@ _MISSING = "array_to_string(list_filter([" + ", ".join(f"case when {v} then null
 _FULL = f"case when {_PCT} >= 70 then 'full' when {_PCT} >= 40 then 'partial' else 'minimal' end"
 
 
-@query("coverage_summary", W_RECORDS + f"select k, event_name, event_url, {_COUNT} as filled_count, 27 as total_count, {_PCT} as coverage_pct, {_MISSING} as missing_fields, " + ", ".join(f"{v} as has_{f}" for f, v in _FLAG.items()) + " from rec")
+_IN_SCOPE = f"{_IS_B2B} and ({_in('blob', taxonomy.NETWORKING)} or {_ENGAGED})"
+_SUMMARY = f"select k, event_name, event_url, {_COUNT} as filled_count, 27 as total_count, {_PCT} as coverage_pct, {_MISSING} as missing_fields, {_IN_SCOPE} as scope_in_scope, " + ", ".join(f"{v} as has_{f}" for f, v in _FLAG.items()) + f" from (select *, {_BLOB} as blob from rec)"
+
+
+@query("coverage_summary", W_RECORDS + _SUMMARY)
 def coverage_summary(spark, d):
-    out = coverage.field_coverage(fx.records(spark, d))
-    return out.select("k", "event_name", "event_url", "filled_count", "total_count", "coverage_pct", "missing_fields", *[f"has_{f}" for f in coverage.FIELDS])
+    return coverage.summary_rows(_scoped(fx.records(spark, d)), "k")
 
 
 @query("field_coverage", W_RECORDS + "select field, sum(filled::int)::bigint as n_filled, count(*) as n from (select unnest([" + ", ".join(f"struct_pack(field := '{f}', filled := {v})" for f, v in _FLAG.items()) + "], recursive := true) from rec) group by field")
@@ -274,10 +304,16 @@ _REASONS = (
 )
 
 
-@query("review_row", W_RECORDS + f"select k, event_name, event_url, listing_url, reasons as review_reasons, reasons <> '' as needs_review, {_FULL} as data_completeness, {_PCT} as coverage_pct, confidence as resolution_confidence from (select *, {_REASONS} as reasons from (select *, {_BLOB} as blob from rec))")
+_VERIFIED = "((city is not null)::int + (len(speakers) > 0 and speaker_source <> 'llm')::int)"
+_REVIEW = (
+    f"select k, event_name, event_url, listing_url, reasons <> '' as needs_review, reasons as review_reasons, {_FULL} as data_completeness, {_PCT} as coverage_pct, {_COUNT} as filled_count, {_MISSING} as missing_fields, confidence::double as resolution_confidence, {_VERIFIED} as verified_field_count, "
+    f"llm_stripped, heuristic_stripped, {_IN_SCOPE} as scope_in_scope, {_IS_B2B} as scope_b2b, {_in('blob', taxonomy.NETWORKING)} as scope_networking, {_hits(taxonomy.B2B, 3)} as scope_evidence from (select *, {_REASONS} as reasons from (select *, {_BLOB} as blob from rec))"
+)
+
+
+@query("review_row", W_RECORDS + _REVIEW)
 def review_row(spark, d):
-    out = coverage.with_review(_scoped(fx.records(spark, d)))
-    return out.select("k", "event_name", "event_url", "listing_url", F.array_join("review_reasons", "; ").alias("review_reasons"), "needs_review", "data_completeness", "coverage_pct", F.col("resolution_confidence").cast("double").alias("resolution_confidence"))
+    return coverage.review_rows(_scoped(fx.records(spark, d)), "k")
 
 
 @query("review_queue", W_RECORDS + f"select k, reasons as review_reasons from (select k, {_REASONS} as reasons from (select *, {_BLOB} as blob from rec)) where reasons <> ''")
@@ -307,15 +343,20 @@ def merge_provenance(spark, d):
 
 @query(
     "merge_with_provenance",
-    "with p as (select user_id, event_id, case event_type when 'click' then 'json_ld' when 'view' then 'heuristic' when 'purchase' then 'llm' end as source from events), "
+    "with p as (select user_id, event_id, props, case event_type when 'click' then 'json_ld' when 'view' then 'heuristic' when 'purchase' then 'llm' end as source from events), "
     "q as (select *, case source when 'json_ld' then 90 when 'heuristic' then 60 when 'llm' then 20 else 60 end as pr, case source when 'json_ld' then 90 when 'heuristic' then 60 when 'llm' then 20 end as own from p), "
-    "r as (select *, coalesce(max(own) over (partition by user_id order by event_id rows between unbounded preceding and 1 preceding), -1) as least from q) "
-    "select user_id, array_to_string(list(event_id order by event_id), ',') as merged from r where pr >= least group by user_id",
+    "r as (select *, coalesce(max(own) over (partition by user_id order by event_id rows between unbounded preceding and 1 preceding), -1) as least from q), "
+    "l as (select user_id, array_to_string(list(event_id order by event_id), ',') as merged from r where pr >= least group by user_id), "
+    "s as (select user_id, arg_min(event_id, event_id) filter (event_id % 3 <> 0) as first_value, coalesce(arg_min_null(source, event_id) filter (event_id % 3 <> 0), arg_min(source, event_id) filter (event_id % 3 <> 0 and source is not null)) as first_source from p group by 1) "
+    "select user_id, merged, first_value::varchar as first_value, first_source from l left join s using (user_id)",
 )
 def merge_with_provenance(spark, d):
     kind = F.col("event_type")
     facts = fx.read(spark, d, "events").withColumn("source", F.when(kind == "click", "json_ld").when(kind == "view", "heuristic").when(kind == "purchase", "llm")).withColumn("field", F.lit("speakers")).withColumn("value", F.col("event_id").cast("string"))
-    return merge.merge_lists_with_provenance(facts, "user_id", "event_id", "value").select("user_id", F.array_join("merged", ",").alias("merged"))
+    lists = merge.merge_lists_with_provenance(facts, "user_id", "event_id", "value").select("user_id", F.array_join("merged", ",").alias("merged"))
+    texts = facts.withColumn("value", F.when(F.col("event_id") % 3 != 0, F.col("value")).otherwise(""))
+    scalars = merge.merge_scalars_with_provenance(texts, "user_id", "event_id", "value").select("user_id", F.col("value").alias("first_value"), F.col("source").alias("first_source"))
+    return lists.join(scalars, "user_id", "left")
 
 
 @query(
@@ -472,43 +513,4 @@ def dom_elements(spark, d):
     return pages.dom_elements(fx.read(spark, d, "pages")).groupBy("tag").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("page_id").alias("pages"))
 
 
-def _event_pages(spark, d):
-    """A listing page per order: JSON-LD with the event, a script that opens its page, and an anchor to it."""
-    b = fx.base(spark, d)
-    url = F.concat(F.lit("https://"), F.lower(F.replace("host", F.lit("#"), F.lit("-"))), F.lit(".example.com/event/"), F.col("k").cast("string"))
-    place = F.struct(F.lit("Place").alias("@type"), F.col("host").alias("name"), F.struct(F.col("city").alias("addressLocality"), F.col("country").alias("addressCountry")).alias("address"))
-    node = F.struct(F.when(F.col("k") % 2 == 0, "Event").otherwise("Thing").alias("@type"), F.col("name").alias("name"), url.alias("url"), F.col("d").alias("startDate"), F.col("d").alias("endDate"), place.alias("location"), F.struct(F.col("speaker").alias("name")).alias("organizer"))
-    html = F.concat(
-        F.lit('<html><head><meta name="description" content="x"><script type="application/ld+json">'), F.to_json(node), F.lit("</script></head><body><p>Events<br>"),
-        F.lit("<div onclick=\"window.open('"), url, F.lit("?a=1')\">open</div><a href=\""), url, F.lit('/" title="'), F.col("name"), F.lit('"><b>See</b> it</a><script type="application/ld+json">{broken</script></body></html>'),
-    )
-    return b.select(F.col("k").alias("page_id"), F.lit("https://listing.example.com/").alias("url"), html.alias("html"))
-
-
-_EVENT_URL = "'https://' || lower(replace(host, '#', '-')) || '.example.com/event/' || k"
-
-
-@query("json_ld_events", f"with {fx.BASE} select k as page_id, name, {_EVENT_URL} as url, d as start_date, host as venue, city, country, speaker as organizer from base where k % 2 = 0")
-def json_ld_events(spark, d):
-    return pages.json_ld_events(_event_pages(spark, d)).select("page_id", "name", "url", "start_date", "venue", "city", "country", "organizer")
-
-
-@query("window_open_urls", f"with {fx.BASE} select k as page_id, {_EVENT_URL} || '?a=1' as event_url, {_EVENT_URL} as canonical from base")
-def window_open_urls(spark, d):
-    return pages.window_open_urls(_event_pages(spark, d)).select("page_id", "event_url", "canonical")
-
-
-@query("anchor_event_links", f"with {fx.BASE} select k as page_id, {_EVENT_URL} || '/' as event_url, {_EVENT_URL} as canonical, name from base")
-def anchor_event_links(spark, d):
-    return pages.anchor_event_links(pages.page_links(_event_pages(spark, d))).select("page_id", "event_url", "canonical", "name")
-
-
-@query(
-    "extract_event_list",
-    f"with {fx.BASE} select k as page_id, {_EVENT_URL} as canonical, case when k % 2 = 0 then {_EVENT_URL} else {_EVENT_URL} || '?a=1' end as event_url, case when k % 2 = 0 then 'jsonld,window_open,anchor' else 'window_open,anchor' end as sources, name, case when k % 2 = 0 then d end as start_date, case when k % 2 = 0 then host end as venue from base",
-)
-def extract_event_list(spark, d):
-    return pages.extract_event_list(_event_pages(spark, d)).select("page_id", "canonical", "event_url", F.array_join("sources", ",").alias("sources"), "name", "start_date", "venue")
-
-
-from eventloom.jobs import exports  # noqa: E402, F401  its queries are added to the above
+from eventloom.jobs import event_queries, exports  # noqa: E402, F401  their queries are added to the above

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventloom.functions.urls import is_listing_host, review_url_norm, strip, text_of
+from eventloom.operators.merge import verified_field_count
 
 # The fields of a record, in order.
 SCALARS = (
@@ -15,6 +16,22 @@ SCALARS = (
 )
 LISTS = ("attending_companies", "exhibitor_companies", "exhibitor_company_websites", "sponsor_companies", "sponsor_company_websites", "speakers")
 FIELDS = SCALARS + LISTS
+NAMED = {"conference_domain": "Conference Domain", "conference_group_name": "Conference Group Name", "conference_group_description": "Conference Group Description", "industry_methodology": "Industry (methodology code)",
+    "event_name": "Event Name", "start_date": "Start Date", "end_date": "End Date", "event_url": "Event URL", "exhibitor_crawler_url": "Exhibitor Crawler URL", "sponsor_crawler_url": "Sponsor Crawler URL", "venue_name": "Venue Name",
+    "address_1": "Address 1", "address_2": "Address 2", "city": "City", "country": "Country", "state_province": "State/Province", "zip_code": "Zip code", "event_description_methodology": "Event Description",
+    "hosting_entity": "Hosting Entity", "conference_group": "Conference Group", "industry": "Industry"}
+#: Fields that share their number with the one before.
+SAME_NUMBER = ("end_date", "address_2")
+SCOPE_FLAGS = ("b2b", "networking", "has_exhibitors", "has_sponsors", "has_speakers", "in_scope")
+
+
+def labels() -> dict[str, str]:
+    """Each field's numbered label."""
+    out, number = {}, 0
+    for f in FIELDS:
+        number += f not in SAME_NUMBER
+        out[f] = f"{number}) {NAMED.get(f) or f.replace('_', ' ').title()}"
+    return out
 
 
 def filled(field: str) -> Column:
@@ -46,7 +63,7 @@ def review_reasons(confidence_least: float = 0.5, coverage_least: float = 45.0)
     listing = F.coalesce(F.nullif(F.col("listing_url"), F.lit("")), F.col("event_url"))
     official = F.col("event_url")
     both = (text_of(official) != "") & (text_of(listing) != "")
-    by_llm = F.exists(F.array(*[F.struct((F.size(n) > 0).alias("has"), F.col("field_sources")[n].alias("s")) for n in ("speakers", "exhibitor_companies", "sponsor_companies")]), lambda x: x["has"] & (F.coalesce(x["s"], F.lit("")) == "llm"))
+    by_llm = F.exists(F.array(*[F.struct((F.size(n) > 0).alias("has"), F.try_element_at("field_provenance", F.lit(n))["source"].alias("s")) for n in ("speakers", "exhibitor_companies", "sponsor_companies")]), lambda x: x["has"] & (F.coalesce(x["s"], F.lit("")) == "llm"))
     engaged = F.col("scope.has_exhibitors") | F.col("scope.has_sponsors") | F.col("scope.has_speakers")
     return F.array_compact(
         F.array(
@@ -67,3 +84,38 @@ def with_review(records: DataFrame) -> DataFrame:
     """``records`` with coverage, ``review_reasons`` and ``needs_review``."""
     out = field_coverage(records).withColumn("review_reasons", review_reasons())
     return out.withColumn("needs_review", F.size("review_reasons") > 0)
+
+
+def summary_rows(records: DataFrame, *keys: str) -> DataFrame:
+    """A flat row per record: name, URL, counts, what is missing, scope, and a flag per field."""
+    out = field_coverage(records)
+    return out.select(*keys, "event_name", "event_url", "filled_count", "total_count", "coverage_pct", "missing_fields", F.col("scope.in_scope").alias("scope_in_scope"), *[f"has_{f}" for f in FIELDS])
+
+
+def coverage_details(records: DataFrame, *keys: str) -> DataFrame:
+    """Per record: counts, filled and missing fields, a flag and a label per field, and the scope's flags."""
+    out = field_coverage(records)
+    names = lambda has: F.array_compact(F.array(*[F.when(F.col(f"has_{f}") == has, f) for f in FIELDS]))
+    pairs = lambda kv: F.map_from_arrays(F.array(*[F.lit(k) for k, _ in kv]), F.array(*[v for _, v in kv]))
+    return out.select(
+        *keys, "filled_count", "total_count", F.col("coverage_pct").alias("pct"), names(True).alias("filled"), names(False).alias("missing"), pairs([(f, F.col(f"has_{f}")) for f in FIELDS]).alias("fields"),
+        pairs([(f"scope_{n}", F.coalesce(f"scope.{n}", F.lit(False))) for n in SCOPE_FLAGS]).alias("scope"), pairs([(f, F.lit(n)) for f, n in labels().items()]).alias("labels"),
+    )
+
+
+def verified_fields(provenance: str = "field_provenance") -> Column:
+    """How many of a record's texts and entity lists come from another source than a model, or from one with a snippet."""
+    told = lambda f: F.try_element_at(provenance, F.lit(f))
+    texts = [(F.coalesce(F.col(f) != "", F.lit(False)), told(f)["source"], told(f)["snippet"]) for f in (*SCALARS, "listing_url")]
+    lists = [(F.coalesce(F.size(f) > 0, F.lit(False)), told(f)["source"], told(f)["snippet"]) for f in ("attending_companies", "exhibitor_companies", "sponsor_companies", "speakers")]
+    return verified_field_count(texts + lists)
+
+
+def review_rows(records: DataFrame, *keys: str) -> DataFrame:
+    """The 17 columns of the review table for every record."""
+    out = with_review(records)
+    return out.select(
+        *keys, "event_name", "event_url", "listing_url", "needs_review", F.array_join("review_reasons", "; ").alias("review_reasons"), "data_completeness", "coverage_pct", "filled_count", "missing_fields",
+        F.col("resolution_confidence").cast("double").alias("resolution_confidence"), verified_fields().alias("verified_field_count"), "llm_stripped", "heuristic_stripped", F.col("scope.in_scope").alias("scope_in_scope"),
+        F.col("scope.b2b").alias("scope_b2b"), F.col("scope.networking").alias("scope_networking"), F.array_join(F.slice("scope.scope_evidence.b2b_hits", 1, 3), "; ").alias("scope_evidence"),
+    )

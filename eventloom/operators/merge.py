@@ -1,14 +1,16 @@
 """Merging by key: first non-empty values, and provenance by priority of sources.
 
-Every merge is one aggregation with ``min_by`` or ``max_by``, which combines before the shuffle: a key that
-very many rows share costs no task more than others.
+Merges of values are aggregations with ``min_by`` or ``max_by``, which combine before the shuffle: a key that
+very many rows share costs no task more than others. A merged list is one row, as long as what its key merges.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from eventloom.functions.urls import let
+
 # How much a source is trusted.
 PRIORITY = {"json_ld": 90, "meta": 80, "listing": 75, "heuristic": 60, "regex": 55, "taxonomy": 50, "derived": 40, "llm": 20, "seed": 10}
 SOURCE_RANK = {"listing": 0, "featured": 1, "jsonld": 2, "window_open": 3, "anchor": 4}
@@ -56,23 +58,69 @@ def merge_provenance(facts: DataFrame, key: str, rank: str, entry: list[str], fi
     return facts.groupBy(key, field).agg(best.alias("_e")).select(key, field, "_e.*")
 
 
-def merge_lists_with_provenance(facts: DataFrame, key: str, rank: str, value: str, field: str = "field", source: str = "source") -> DataFrame:
-    """Appends a list's values while their source is trusted at least as much as that of the last accepted one.
+def first_of_each(items: Column, key) -> Column:
+    """An array's items, of those of equal ``key(item)`` the first; their order stays."""
+
+    def pick(values: Column) -> Column:
+        at = lambda keys: lambda k: F.get(values, F.array_position(keys, k).cast("int") - 1)
+        return let(F.transform(values, key), lambda keys: F.transform(F.array_distinct(keys), at(keys)))
+
+    return let(items, pick)
+
+
+def merge_of_entries(held: Column, more: Column, always: bool = False) -> Column:
+    """Two maps of provenance by field: the newer entry is taken where its source is trusted as much as the older's, or ``always``."""
+
+    def newer(field: Column, entry: Column) -> Column:
+        own = F.try_element_at(held, field)
+        return own.isNull() | F.lit(always) | (priority(entry["source"]) >= priority(own["source"]))
+
+    taken = F.map_filter(more, newer)
+    return F.map_concat(F.map_filter(held, lambda f, _: ~F.map_contains_key(taken, f)), taken)
+
 
-    A source that is missing counts as heuristic for the test, and doesn't become the current one.
+def _accepted(facts: DataFrame, key: str, rank: str, field: str, source: str) -> DataFrame:
+    """Facts whose source is trusted at least as much as that of the last accepted one before them.
+
+    A source that is missing counts as heuristic for the test, and doesn't become the current one. As accepted
+    sources only rise, the current one is the highest before: a fact goes where a fact of a higher source
+    has a smaller rank. For each of the few sources its first rank is aggregated, so no key's facts are sorted.
     """
-    before = Window.partitionBy(key, field).orderBy(rank).rowsBetween(Window.unboundedPreceding, -1)
     own = F.coalesce(F.col(source), F.lit("heuristic"))
-    sourced = F.when(F.col(source).isNotNull(), priority(F.col(source)))
-    kept = facts.withColumn("_p", priority(own)).withColumn("_least", F.coalesce(F.max(sourced).over(before), F.lit(-1))).filter(F.col("_p") >= F.col("_least"))
+    rows = facts.withColumn("_p", priority(own))
+    levels = sorted({0, *PRIORITY.values()})
+    sourced = F.when(F.col(source).isNotNull(), F.col("_p"))
+    first = rows.groupBy(key, field).agg(*[F.min(F.when(sourced > p, F.col(rank))).alias(f"_a{p}") for p in levels])
+    above = F.lit(None)
+    for p in levels:
+        above = F.when(F.col("_p") == p, F.col(f"_a{p}")).otherwise(above)
+    late = F.coalesce(above < F.col(rank), F.lit(False))
+    return rows.join(first, [key, field]).filter(~late).drop(*[f"_a{p}" for p in levels], "_p")
+
+
+def merge_lists_with_provenance(facts: DataFrame, key: str, rank: str, value: str, field: str = "field", source: str = "source") -> DataFrame:
+    """Appends a list's values while their source is trusted at least as much as that of the last accepted one."""
+    kept = _accepted(facts, key, rank, field, source)
     return kept.groupBy(key, field).agg(F.transform(F.array_sort(F.collect_list(F.struct(F.col(rank).alias("r"), F.col(value).alias("v")))), lambda x: x["v"]).alias("merged"))
 
 
+def merge_scalars_with_provenance(facts: DataFrame, key: str, rank: str, value: str, field: str = "field", source: str = "source") -> DataFrame:
+    """Each field's first value that isn't empty, and the source that it came with; what comes later replaces neither."""
+    own = facts.filter(nonempty(F.col(value)))
+    first = F.min_by(F.struct(F.col(value).alias("value"), F.col(source).alias("source")), rank)
+    sourced = F.min_by(source, F.when(F.col(source).isNotNull(), F.col(rank)))
+    out = own.groupBy(key, field).agg(first.alias("f"), sourced.alias("_later"))
+    return out.select(key, field, "f.value", F.coalesce("f.source", "_later").alias("source"))
+
+
 def ordered_dedupe(rows: DataFrame, keys: list[str], name: str, order: str) -> DataFrame:
-    """The first row of each name, compared in lower case and trimmed; empty names go."""
-    folded = F.lower(F.trim(F.col(name)))
-    first = Window.partitionBy(*keys, folded).orderBy(order)
-    return rows.filter(F.coalesce(F.trim(F.col(name)), F.lit("")) != "").withColumn("_n", F.row_number().over(first)).filter("_n = 1").drop("_n")
+    """The first row of each name, compared in lower case and trimmed; empty names go.
+
+    An aggregation that combines before the shuffle, so a name that very many rows share is no task of its own.
+    """
+    named = rows.filter(F.coalesce(F.trim(F.col(name)), F.lit("")) != "").withColumn("_folded", F.lower(F.trim(F.col(name))))
+    rest = [c for c in rows.columns if c not in keys]
+    return named.groupBy(*keys, "_folded").agg(F.min_by(F.struct(*rest), order).alias("_r")).select(*keys, "_r.*").select(*rows.columns)
 
 
 def verified_field_count(entries: list[tuple[Column, Column, Column]]) -> Column:

@@ -1,227 +1,173 @@
-"""Rows from captured pages: one parse per page, map-side, after which everything is column expressions.
-
-The helper is a pure function of a batch of pages. It builds a flat list of elements with the standard
-library's parser: void elements close at once, an end tag closes up to its nearest open match, an unmatched
-one is ignored, and nothing else closes an element.
-"""
+"""Rows from captured pages: one parse per page, map-side, after which everything is column expressions."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from html.parser import HTMLParser
-from urllib.parse import urljoin
-
-import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventloom.functions.urls import canonical_url, is_event_detail_url, strip
-from eventloom.operators.merge import SOURCE_RANK, merge_events
-
-VOID = frozenset("area base br col command embed hr img input keygen link menuitem meta param source track wbr".split())
-HIDDEN = frozenset(("script", "style", "noscript", "svg"))
-WINDOW_OPEN = r"(?i)window\.open\s*\(\s*(['\"])(https?://[^'\"]+)\1"
-
-
-class _Page(HTMLParser):
-    """Elements as (tag, attrs, parent) in document order, and text nodes as (element, text)."""
-
-    def __init__(self) -> None:
-        super().__init__(convert_charrefs=True)
-        self.elements: list[tuple[str, dict[str, str], int]] = []
-        self.texts: list[tuple[int, str]] = []
-        self.open: list[int] = []
-
-    def handle_starttag(self, tag: str, attrs: list) -> None:
-        seen: dict[str, str] = {}
-        for k, v in attrs:
-            seen[k] = v or ""
-        self.elements.append((tag, seen, self.open[-1] if self.open else -1))
-        if tag not in VOID:
-            self.open.append(len(self.elements) - 1)
-
-    def handle_startendtag(self, tag: str, attrs: list) -> None:
-        self.handle_starttag(tag, attrs)
-        if tag not in VOID:
-            self.handle_endtag(tag)
-
-    def handle_endtag(self, tag: str) -> None:
-        for k in range(len(self.open) - 1, -1, -1):
-            if self.elements[self.open[k]][0] == tag:
-                del self.open[k:]
-                return
-
-    def handle_data(self, data: str) -> None:
-        self.texts.append((self.open[-1] if self.open else -1, data))
-
-    def inside(self, at: int, tags: frozenset[str]) -> bool:
-        while at >= 0:
-            if self.elements[at][0] in tags:
-                return True
-            at = self.elements[at][2]
-        return False
-
-    def texts_by_element(self) -> dict[int, list[str]]:
-        """Stripped texts of each element, those of its descendants included."""
-        out: dict[int, list[str]] = {}
-        for at, text in self.texts:
-            if piece := text.strip():
-                if not self.inside(at, frozenset(("script", "style"))):
-                    while at >= 0:
-                        out.setdefault(at, []).append(piece)
-                        at = self.elements[at][2]
-        return out
-
-
-def parsed(html: str) -> _Page:
-    page = _Page()
-    page.feed(html or "")
-    page.close()
-    return page
-
-
-def visible_text(page: _Page) -> str:
-    """Text lines without scripts and styles, then the images' descriptions; lines are trimmed and never empty."""
-    lines = [t for at, t in page.texts if not page.inside(at, HIDDEN)]
-    lines += [a.get("alt", "") for k, (tag, a, up) in enumerate(page.elements) if tag == "img" and not page.inside(up, HIDDEN)]
-    return "\n".join(x for t in lines for line in t.splitlines() if (x := line.strip()))
-
-
-def _per_page(pages: DataFrame, columns: list[str], schema: str, make) -> DataFrame:
-    """``make(row)`` gives the rows of a page as tuples; batches are small, for pages are large."""
-    spark = pages.sparkSession
-    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > 256:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 256)
-    from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import StructType
-
-    target = to_arrow_schema(StructType.fromDDL(schema))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = [r for page in zip(*(c.to_pylist() for c in batch.columns), strict=True) for r in make(*page)]
-            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], f.type) for k, f in enumerate(target)], schema=target)
-
-    return pages.select(*columns).mapInArrow(run, schema)
+from eventloom.operators import jsonld
+from eventloom.operators.facts import WINDOW_OPEN, page_facts
+from eventloom.operators.html import Page, parsed, per_page, visible_text
+from eventloom.operators.merge import SOURCE_RANK, merge_events, nonempty
+
+LISTED = ("event_id", "edition_id", "name", "date_display", "start_date", "end_date", "venue", "description", "categories", "footer_stats", "jsonld_position", "jsonld_image")
 
 
 def page_text(pages: DataFrame, most: int = 6000) -> DataFrame:
     """``page_id, text``: the visible text, its first ``most`` characters."""
-    return _per_page(pages, ["page_id", "html"], "page_id long, text string", lambda i, h: [(i, visible_text(parsed(h))[:most])])
+    return per_page(pages, ["page_id"], ["html"], "text string", lambda h: [(visible_text(parsed(h))[:most],)])
 
 
 def page_links(pages: DataFrame) -> DataFrame:
-    """``page_id, pos, href, resolved, text, title`` of every anchor with a reference."""
-
-    def make(page_id: int, url: str, html: str) -> list[tuple]:
-        page = parsed(html)
-        texts = page.texts_by_element()
-        out = []
-        for at, (tag, attrs, _) in enumerate(page.elements):
-            if tag == "a" and "href" in attrs:
-                href = attrs["href"].strip()
-                try:
-                    resolved = urljoin(url or "", href)
-                except ValueError:
-                    resolved = href
-                out.append((page_id, len(out), href, resolved, " ".join(texts.get(at, [])), attrs.get("title")))
-        return out
-
-    return _per_page(pages, ["page_id", "url", "html"], "page_id long, pos int, href string, resolved string, text string, title string", make)
+    """``page_id, pos, kind, href, resolved, text, title, rel, classes`` of anchors with a reference and of links with a relation."""
+    return page_facts(pages, ["page_id"], "links").select("page_id", F.inline("links")).drop("hidden", "in_item")
 
 
 def dom_elements(pages: DataFrame) -> DataFrame:
     """``page_id, index, parent_index, tag, id, class, attrs, text_preview, child_element_count`` in document order."""
 
-    def make(page_id: int, html: str) -> list[tuple]:
+    def preview(page: Page, at: int) -> str:
+        """The first 400 characters of an element's text: no more of its texts than they need."""
+        out = ""
+        for k in range(page.first_text[at], page.past_text[at]):
+            if page.owner[k] < 0 or page.tags[page.owner[k]] not in ("script", "style"):
+                out = f"{out} {' '.join(page.texts[k].split())}".strip()
+                if len(out) > 400:
+                    break
+        return out[:400]
+
+    def make(html: str | None) -> list[tuple]:
         page = parsed(html)
-        texts = page.texts_by_element()
-        children = [0] * len(page.elements)
-        for _, _, up in page.elements:
+        children = [0] * len(page.tags)
+        for up in page.parent:
             if up >= 0:
                 children[up] += 1
         return [
-            (page_id, at, up, tag, attrs.get("id"), attrs.get("class"), list(attrs.items()), " ".join(" ".join(texts.get(at, [])).split())[:400], children[at])
-            for at, (tag, attrs, up) in enumerate(page.elements)
+            (at, page.parent[at], page.tags[at], own.get("id"), own.get("class"), list(own.items()), preview(page, at), children[at])
+            for at, own in enumerate(page.attrs)
         ]
 
-    return _per_page(pages, ["page_id", "html"], "page_id long, index int, parent_index int, tag string, id string, class string, attrs map<string,string>, text_preview string, child_element_count int", make)
+    return per_page(pages, ["page_id"], ["html"], "index int, parent_index int, tag string, id string, class string, attrs map<string,string>, text_preview string, child_element_count int", make)
 
 
 def meta_tags(pages: DataFrame) -> DataFrame:
     """``page_id, by_name, by_property``: content of the first tag of each name or property."""
+    return page_facts(pages, ["page_id"], "by_name", "by_property")
 
-    def make(page_id: int, html: str) -> list[tuple]:
-        names: dict[str, str] = {}
-        properties: dict[str, str] = {}
-        for tag, attrs, _ in parsed(html).elements:
-            if tag == "meta":
-                for found, key in ((names, "name"), (properties, "property")):
-                    if key in attrs:
-                        found.setdefault(attrs[key], attrs.get("content", "").strip())
-        return [(page_id, list(names.items()), list(properties.items()))]
 
-    return _per_page(pages, ["page_id", "html"], "page_id long, by_name map<string,string>, by_property map<string,string>", make)
+def meta(*keys: str) -> Column:
+    """Of the page's head: for each key in order the tag of that name or, only without one, of that property; the first content that isn't empty."""
+    key = lambda k: F.coalesce(F.try_element_at("by_name", F.lit(k)), F.try_element_at("by_property", F.lit(k)))
+    return F.get(F.filter(F.array(*map(key, keys)), lambda v: v != ""), 0)
 
 
 def json_ld_scripts(pages: DataFrame) -> DataFrame:
     """``page_id, pos, raw`` of every JSON-LD script."""
+    return page_facts(pages, ["page_id"], "json_ld").select("page_id", F.posexplode("json_ld").alias("pos", "raw"))
 
-    def make(page_id: int, html: str) -> list[tuple]:
-        page = parsed(html)
-        raw: dict[int, list[str]] = {}
-        for at, text in page.texts:
-            if at >= 0 and page.elements[at][0] == "script" and page.elements[at][1].get("type") == "application/ld+json":
-                raw.setdefault(at, []).append(text)
-        return [(page_id, k, "".join(raw[at])) for k, at in enumerate(sorted(raw))]
 
-    return _per_page(pages, ["page_id", "html"], "page_id long, pos int, raw string", make)
+def json_ld_nodes(pages: DataFrame, depth: int = jsonld.DEPTH) -> DataFrame:
+    """``page_id, pos, node``: every object of the pages' JSON-LD, lists and graphs flattened; broken scripts are skipped."""
+    nodes = page_facts(pages, ["page_id"], "json_ld").withColumn("n", jsonld.json_ld_nodes(F.col("json_ld"), depth))
+    return nodes.select("page_id", F.posexplode("n").alias("pos", "node"))
+
+
+def jsonld_events(pages: DataFrame) -> DataFrame:
+    """``page_id, event_url, canonical`` and the fields of listed events, the first of each canonical URL of a page."""
+    found = page_facts(pages, ["page_id"], "json_ld").select("page_id", F.inline(jsonld.listed_events(F.col("json_ld"))))
+    found = found.withColumn("canonical", canonical_url(F.col("event_url"))).filter("canonical <> ''")
+    return found.groupBy("page_id", "canonical").agg(F.min_by(F.struct(*[c for c in found.columns if c not in ("page_id", "canonical")]), "order").alias("f")).select("page_id", "canonical", "f.*")
+
+
+def listing_ajax_url(pages: DataFrame) -> DataFrame:
+    return page_facts(pages, ["page_id"], "ajax_url")
+
 
+def listing_table_rows(pages: DataFrame) -> DataFrame:
+    """A row per event of the pages' directory tables."""
+    return page_facts(pages, ["page_id"], "listing").select("page_id", F.inline("listing"))
 
-def json_ld_events(pages: DataFrame) -> DataFrame:
-    """``page_id, pos, name, url, start_date, end_date, venue, city, country, organizer`` of Event nodes; broken JSON is skipped."""
-    node = F.try_parse_json("raw")
-    get = lambda path: F.try_variant_get("node", path, "string")
-    found = json_ld_scripts(pages).withColumn("node", node).filter("node is not null")
-    kind = F.coalesce(get('$["@type"]'), F.lit(""))
-    kinds = F.coalesce(F.try_variant_get("node", '$["@type"]', "array<string>"), F.array(kind))
-    return found.filter(F.array_contains(kinds, "Event")).select(
-        "page_id", "pos", get("$.name").alias("name"), get("$.url").alias("url"), get("$.startDate").alias("start_date"), get("$.endDate").alias("end_date"),
-        get("$.location.name").alias("venue"), get("$.location.address.addressLocality").alias("city"), get("$.location.address.addressCountry").alias("country"),
-        F.coalesce(get("$.organizer.name"), get("$.organizer")).alias("organizer"),
-    )
+
+def featured_rows(pages: DataFrame) -> DataFrame:
+    """A row per card of the pages' premium rails."""
+    return page_facts(pages, ["page_id"], "featured").select("page_id", F.inline("featured"))
+
+
+def opened_urls(html: Column) -> Column:
+    return F.regexp_extract_all(html, F.lit("(?i)" + WINDOW_OPEN), F.lit(2))
 
 
 def window_open_urls(pages: DataFrame) -> DataFrame:
     """``page_id, pos, event_url, canonical`` of URLs that scripts open, the first of each canonical URL; read from the raw page."""
-    urls = F.regexp_extract_all("html", F.lit(WINDOW_OPEN), F.lit(2))
-    rows = pages.select("page_id", F.posexplode(urls).alias("pos", "event_url")).withColumn("canonical", canonical_url(F.col("event_url")))
+    rows = pages.select("page_id", F.posexplode(opened_urls(F.col("html"))).alias("pos", "event_url")).withColumn("canonical", canonical_url(F.col("event_url")))
     return rows.filter("canonical <> ''").groupBy("page_id", "canonical").agg(F.min("pos").alias("pos"), F.min_by("event_url", "pos").alias("event_url")).select("page_id", "pos", "event_url", "canonical")
 
 
+def _anchor_name(title: Column, text: Column) -> Column:
+    return F.coalesce(F.nullif(title, F.lit("")), F.nullif(text, F.lit("")))
+
+
 def anchor_event_links(links: DataFrame) -> DataFrame:
-    """Links to detail pages of events, the first of each canonical URL of a page; named by title, else by text."""
-    name = F.coalesce(F.nullif(F.col("title"), F.lit("")), F.nullif(F.col("text"), F.lit("")))
-    rows = links.filter(is_event_detail_url(F.col("href"))).withColumn("canonical", canonical_url(F.col("href"))).withColumn("name", name)
+    """Anchors to detail pages of events, the first of each canonical URL of a page; named by title, else by text."""
+    rows = links.filter((F.col("kind") == "a") & is_event_detail_url(F.col("href"))).withColumn("canonical", canonical_url(F.col("href"))).withColumn("name", _anchor_name(F.col("title"), F.col("text")))
     first = F.min_by(F.struct(F.col("href").alias("event_url"), "name"), "pos")
     return rows.groupBy("page_id", "canonical").agg(F.min("pos").alias("pos"), first.alias("_f")).select("page_id", "pos", "canonical", "_f.*")
 
 
 def extract_event_list(pages: DataFrame, scope: str = "page") -> DataFrame:
-    """Events of listing pages from JSON-LD, scripts and anchors, merged by canonical URL in each page or, with ``scope="global"``, over all."""
-    empty = F.lit(None).cast("string")
-    ld = json_ld_events(pages).select("page_id", "pos", F.col("url").alias("event_url"), "name", "start_date", "end_date", "venue", F.lit("jsonld").alias("source"))
-    opened = window_open_urls(pages).select("page_id", "pos", "event_url", empty.alias("name"), empty.alias("start_date"), empty.alias("end_date"), empty.alias("venue"), F.lit("window_open").alias("source"))
-    anchors = anchor_event_links(page_links(pages)).select("page_id", "pos", "event_url", "name", empty.alias("start_date"), empty.alias("end_date"), empty.alias("venue"), F.lit("anchor").alias("source"))
-    rank = F.create_map(*[F.lit(x) for p in SOURCE_RANK.items() for x in p])
-    found = ld.unionByName(opened).unionByName(anchors).filter("event_url is not null").withColumn("src_rank", F.try_element_at(rank, F.col("source"))).withColumn("canonical", canonical_url(F.col("event_url")))
+    """Events of listing pages from five kinds of sources, merged by canonical URL in each page or, with ``scope="global"``, over all.
+
+    A page is parsed once and gives one array of found events, so that the merge is the only shuffle.
+    """
+    facts = page_facts(pages.withColumn("opened", opened_urls(F.col("html"))), ["page_id", "opened"], "links", "json_ld", "listing", "featured")
+    none = F.lit(None).cast("string")
+
+    def row(source: str, pos: Column, url: Column, **given: Column) -> Column:
+        return F.struct(
+            F.lit(SOURCE_RANK[source]).alias("src_rank"), F.lit(source).alias("source"), pos.cast("struct<node:int,entry:int>").alias("pos"), url.alias("event_url"),
+            *[given.get(f, none).cast("string").alias(f) for f in LISTED],
+        )
+
+    at = lambda i: F.struct(i.cast("int").alias("node"), F.lit(0).alias("entry"))
+    fields = lambda x, names: {f: x[f] for f in names}
+    directory = lambda source: lambda x: row(source, at(x["pos"]), x["event_url"], **fields(x, LISTED[:10]))
+    anchors = F.filter("links", lambda x: (x["kind"] == "a") & is_event_detail_url(x["href"]))
+    found = F.concat(
+        F.transform("listing", directory("listing")),
+        F.transform("featured", directory("featured")),
+        F.transform(jsonld.listed_events(F.col("json_ld")), lambda x: row("jsonld", x["order"], x["event_url"], **fields(x, ("name", "start_date", "end_date", "venue", "jsonld_position", "jsonld_image")))),
+        F.transform("opened", lambda x, i: row("window_open", at(i), x)),
+        F.transform(anchors, lambda x: row("anchor", at(x["pos"]), x["href"], name=_anchor_name(x["title"], x["text"]))),
+    )
+    rows = facts.select("page_id", F.explode(found).alias("x")).select("page_id", "x.*").withColumn("canonical", canonical_url(F.col("event_url")))
     if scope == "global":
-        return merge_events(found.withColumn("pos", F.struct("page_id", "pos")), [], ["name", "start_date", "end_date", "venue"])
-    return merge_events(found, ["page_id"], ["name", "start_date", "end_date", "venue"])
+        return merge_events(rows.withColumn("pos", F.struct("page_id", "pos")), [], list(LISTED))
+    return merge_events(rows, ["page_id"], list(LISTED))
+
+
+def keyword_tags(links: Column) -> Column:
+    """Tags of an aggregator's page and its keywords, as one text; needs the page's ``by_name``."""
+    tags = F.transform(F.filter(links, lambda x: (x["kind"] == "a") & x["in_item"] & nonempty(x["text"])), lambda x: x["text"])
+    return F.array_join(F.concat(tags, F.array_compact(F.array(F.nullif(F.try_element_at("by_name", F.lit("keywords")), F.lit(""))))), ", ")
+
+
+def labelled_value(labels: Column, label: str) -> Column:
+    """The value of the first list item ``Label: value``: what is in bold, else what follows the colon."""
+
+    def read(x: Column) -> Column:
+        rest = strip(F.regexp_replace(x["text"], r"^[^:]*:", ""))
+        return F.when(nonempty(x["strong"]), x["strong"]).otherwise(F.nullif(rest, F.lit("")))
+
+    fit = F.filter(labels, lambda x: x["text"].rlike(rf"(?i)^{label}\s*:"))
+    return F.get(F.transform(F.slice(fit, 1, 1), read), 0)
 
 
 def link_directory(pages: DataFrame) -> DataFrame:
-    """All links of all pages by canonical URL: the first raw one and its text, and on how many pages they stand."""
-    links = page_links(pages).withColumn("canonical", canonical_url(F.col("resolved"))).withColumn("text", strip(F.coalesce("text", F.lit(""))))
-    first = F.struct("page_id", "pos")
-    return links.filter("canonical <> ''").groupBy("canonical").agg(F.min_by("resolved", first).alias("url"), F.min_by("text", first).alias("name"), F.countDistinct("page_id").alias("pages"), F.count(F.lit(1)).alias("links"))
+    """All links of all pages by canonical URL: the first raw one and its text, and on how many pages they stand.
+
+    Links are counted by page first, so that the number of pages needs no distinct count beside the rest.
+    """
+    links = page_links(pages).filter("kind = 'a'").withColumn("canonical", canonical_url(F.col("resolved"))).withColumn("text", strip(F.coalesce("text", F.lit(""))))
+    by_page = links.filter("canonical <> ''").groupBy("canonical", "page_id").agg(F.count(F.lit(1)).alias("n"), F.min_by(F.struct("resolved", "text"), "pos").alias("f"))
+    return by_page.groupBy("canonical").agg(F.min_by("f", "page_id").alias("f"), F.count(F.lit(1)).alias("pages"), F.sum("n").alias("links")).select("canonical", F.col("f.resolved").alias("url"), F.col("f.text").alias("name"), "pages", "links")

@@ -2,16 +2,22 @@
 
 from __future__ import annotations
 
+import json
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from eventloom.functions.taxonomy import Taxonomy
 from eventloom.functions.urls import strip, text_of
+from eventloom.operators import coverage
 from eventloom.operators.coverage import SCALARS
 
-JSON_LISTS = ("attending_companies", "exhibitor_companies", "exhibitor_company_websites", "sponsor_companies", "sponsor_company_websites", "speakers")
+JSON_COLUMNS = (*coverage.LISTS, "resolution_notes", "enrich_notes", "field_provenance", "validation")
 #: What a stored model answer may fill.
 ANSWER_LISTS = ("attending_companies", "exhibitor_companies", "sponsor_companies", "speakers")
 _CSV = {"header": True, "quote": '"', "escape": '"'}
@@ -45,6 +51,44 @@ def read_page_bundle(spark: SparkSession, path: str) -> DataFrame:
     return files.select(part(1).alias("event_id"), part(2).alias("role"), F.make_valid_utf8(F.col("content").cast("string")).alias("html"))
 
 
+def save_page_files(pages: DataFrame, folder: str) -> int:
+    """Writes ``pages(event_id, role, html)`` as ``<event>/<role>.html`` below a shared folder and counts them.
+
+    A file is written by the task that holds its page; one that is run again writes the same file.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            fs, at = pafs.FileSystem.from_uri(folder)
+            for event, role, html in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                fs.create_dir(f"{at}/{event}", recursive=True)
+                with fs.open_output_stream(f"{at}/{event}/{role}.html") as out:
+                    out.write((html or "").encode())
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], names=["n"])
+
+    return pages.select(F.col("event_id").cast("string"), "role", "html").mapInArrow(run, "n long").agg(F.sum("n")).first()[0] or 0
+
+
+def read_taxonomy(spark: SparkSession, path: str) -> Taxonomy:
+    """Rules of a JSON file; what it leaves out is empty, but b2b is asked for unless it says otherwise."""
+    found = spark.read.json(path, multiLine=True).first().asDict(recursive=True)
+    logic = found.get("in_scope_logic") or {}
+    words = lambda key: tuple(found.get(key) or ())
+    rules = tuple((r["code"], r["label"], tuple(s.lower() for s in r["substrings"])) for r in found.get("industry_rules") or ())
+    by_default = logic.get("require_b2b")
+    return Taxonomy(found.get("scope_rule_version"), words("b2b_positive_substrings"), words("consumer_festival_penalty"), words("networking_substrings"), rules, True if by_default is None else by_default, bool(logic.get("require_engagement")))
+
+
+def write_taxonomy(spark: SparkSession, taxonomy: Taxonomy, path: str) -> None:
+    """The rules as one JSON object, as ``read_taxonomy`` takes it."""
+    rules = [{"code": c, "label": n, "substrings": list(w)} for c, n, w in taxonomy.industries]
+    made = {
+        "scope_rule_version": taxonomy.version, "in_scope_logic": {"require_b2b": taxonomy.require_b2b, "require_engagement": taxonomy.require_engagement},
+        "b2b_positive_substrings": list(taxonomy.b2b), "consumer_festival_penalty": list(taxonomy.penalties), "networking_substrings": list(taxonomy.networking), "industry_rules": rules,
+    }
+    spark.createDataFrame([(json.dumps(made),)], "value string").write.text(path)
+
+
 def write_event_list(events: DataFrame, path: str) -> None:
     """A JSON object per line; null fields are left out."""
     events.write.json(path)
@@ -64,10 +108,24 @@ def write_dom_elements(elements: DataFrame, path: str) -> None:
 
 
 def enriched_rows(records: DataFrame, *keys: str) -> DataFrame:
-    """Flat rows: lists as JSON, empty where null, and the scope's parts as columns of their own."""
-    lists = [F.coalesce(F.to_json(n), F.lit("[]")).alias(n) for n in JSON_LISTS]
+    """Flat rows: 22 texts, the confidence, 11 JSON columns (an empty list where null), and the scope's 7 parts."""
+    as_json = lambda c, name: F.coalesce(F.to_json(c, {"ignoreNullFields": "false"}), F.lit("[]")).alias(name)
     flags = [F.col(f"scope.{n}").alias(f"scope_{n}") for n in ("in_scope", "b2b", "networking", "has_exhibitors", "has_sponsors", "has_speakers")]
-    return records.select(*keys, *SCALARS, "resolution_confidence", *lists, *flags, "scope.scope_rule_version", F.to_json("scope.scope_evidence").alias("scope_evidence"))
+    texts = (*SCALARS[:8], "listing_url", *SCALARS[8:])
+    return records.select(*keys, *texts, "resolution_confidence", *[as_json(F.col(n), n) for n in JSON_COLUMNS], as_json(F.col("scope.scope_evidence"), "scope_evidence"), *flags, "scope.scope_rule_version")
+
+
+def write_coverage(records: DataFrame, path: str, *keys: str) -> None:
+    """Coverage as CSV rows, and one JSON object per event with its fields, scope and labels."""
+    write_rows(coverage.summary_rows(records, *keys), f"{path}/rows")
+    coverage.coverage_details(records, *keys).write.json(f"{path}/events")
+
+
+def write_review(records: DataFrame, path: str, *keys: str) -> None:
+    """All rows of the review table, flagged or not; nothing is written where there are none."""
+    rows = coverage.review_rows(records, *keys)
+    if not rows.isEmpty():
+        write_rows(rows, path)
 
 
 def write_rows(rows: DataFrame, path: str) -> None:
