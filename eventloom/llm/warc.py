@@ -1,11 +1,13 @@
 """Deterministic sharded WARC writer and reader.
 
-Pages are dealt to shards by ranges of their id and sorted in each. The ranges come from exact sums of bytes
+Pages are dealt to shards by ranges of their id and sorted in each; an id that very many pages share, null among
+them, is dealt further by ranges of the payload's digest. The ranges come from exact sums of bytes
 over cells of the id, so the same table always gives the same shards. A task writes its shard's
-records, each its own gzip member, and begins a new file when the compressed size passes the limit. Files are
+records, each its own gzip member, and begins a new file when the compressed size passes the limit: a shard
+holds several files' worth. Files are
 written under temporary names; what a task reports of them becomes a manifest; commit renames the files
 that the manifest names. A task that is run again writes files of its own, and what the lost
-attempt left is never named.
+attempt left is never named, and removed after the commit.
 
 Of records with equal payloads the one with the largest page id holds the payload; others are
 revisits of it. Which page is which is known before the shuffle of the pages: decisions travel as rows of
@@ -29,7 +31,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventloom.llm.common import id_key, scratch_path, small_batches, staged, table, utf8
+from eventloom.llm.common import NO_ID, id_key, remove_path, scratch_path, small_batches, staged, table, utf8
 
 CELLS = 4096
 REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -37,61 +39,71 @@ REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 @dataclass(frozen=True)
 class Layout:
-    """``shard_bytes``: payload of a shard, about; ``file_bytes``: compressed size that ends a file; ``least``: smallest payload that is revisited."""
+    """``shard_bytes``: payload of a shard, about; ``file_bytes``: compressed size that ends a file; ``least``: smallest payload that is revisited.
+
+    A shard is a task's work. Both sizes suit tables of some GB; larger ones take both larger, 4 GiB and 256 MiB say.
+    """
 
     shard_bytes: int = 16 << 20
-    file_bytes: int = 32 << 20
+    file_bytes: int = 1 << 20
     least: int = 1000
     date: str = "1970-01-01T00:00:00Z"
     level: int = 6
 
 
-def shard_bounds(sizes: DataFrame, layout: Layout) -> list[int]:
-    """First ids of all shards but the first: neighbouring cells of the ids share a shard up to its size.
+def shard_bounds(sizes: DataFrame, layout: Layout) -> list[tuple[int, float]]:
+    """First places of all shards but the first: neighbouring cells of the ids share a shard up to its size.
 
-    Cells that hold more than two shards are cut again, until none does or their width is one id.
-    Sums of a few thousand cells are all that reaches the driver.
+    Cells that hold more than two shards are cut again, until none does or their width is one id; such an id is
+    cut by equal parts of its digests' range. Sums of a few thousand cells at a time are all that reaches the driver.
     """
-    known = sizes.filter(F.col("_id") != F.lit(-(2**63))).agg(F.min("_id").alias("a"), F.max("_id").alias("b")).first()
+    known = sizes.filter(F.col("_id") != F.lit(NO_ID)).agg(F.min("_id").alias("a"), F.max("_id").alias("b")).first()
     low, high = (known["a"], known["b"]) if known["a"] is not None else (0, 0)
     ranges: list[tuple[int, int, int]] = []  # first id, past the last, bytes
     todo = [(low, high + 1)]
-    for _ in range(6):
+    while todo:
+        # all ranges of a round in one pass: the range's number, and the cell in it
+        cells = F.array(*[F.struct(F.lit(a).cast("decimal(20,0)").alias("a"), F.lit(b).cast("decimal(20,0)").alias("b"), F.lit(max(1, -(-(b - a) // CELLS))).cast("decimal(20,0)").alias("w")) for a, b in todo])
+        one = F.col("_id").cast("decimal(20,0)")
+        named = sizes.withColumn("_r", F.get(F.filter(F.transform(cells, lambda c, i: F.struct(c["a"].alias("a"), c["b"].alias("b"), c["w"].alias("w"), i.alias("i"))), lambda c: (one >= c["a"]) & (one < c["b"])), 0)).filter("_r is not null")
+        found = named.groupBy(F.col("_r.i").alias("i"), F.floor((one - F.col("_r.a")) / F.col("_r.w")).cast("long").alias("c")).agg(F.sum("_bytes").alias("n")).collect()
         rows = []
-        for a, b in todo:
+        for r in found:
+            a, b = todo[r["i"]]
             width = max(1, -(-(b - a) // CELLS))
-            inside = sizes.filter((F.col("_id") >= a) & (F.col("_id") < b))
-            cell = F.floor((F.col("_id").cast("decimal(20,0)") - F.lit(a)) / F.lit(width)).cast("long")
-            found = inside.groupBy(cell.alias("c")).agg(F.sum("_bytes").alias("n")).collect()
-            rows += [(a + r["c"] * width, min(b, a + (r["c"] + 1) * width), r["n"]) for r in found]
-        heavy = sorted((r for r in rows if r[2] > 2 * layout.shard_bytes and r[1] - r[0] > 1), key=lambda r: -r[2])[:32]
-        ranges += [r for r in rows if r not in heavy]
-        todo = [(a, b) for a, b, _ in heavy]
-        if not todo:
-            break
-    ranges += [(a, b, 0) for a, b in todo]
+            rows.append((a + r["c"] * width, min(b, a + (r["c"] + 1) * width), r["n"]))
+        heavy = [r for r in rows if r[2] > 2 * layout.shard_bytes and r[1] - r[0] > 1]
+        ranges += [r for r in rows if not (r[2] > 2 * layout.shard_bytes and r[1] - r[0] > 1)]
+        todo = [(a, b) for a, b, _ in sorted(heavy)][:CELLS]
+        ranges += sorted(heavy)[CELLS:]
+    null_bytes = sizes.filter(F.col("_id") == F.lit(NO_ID)).agg(F.sum("_bytes")).first()[0] or 0
     bounds, held = [], 0
-    for a, _, n in sorted(ranges):
+    for a, b, n in sorted([*ranges, *([(NO_ID, NO_ID + 1, null_bytes)] if null_bytes else [])]):
         if held and held + n > layout.shard_bytes:
-            bounds.append(a)
+            bounds.append((a, 0.0))
             held = 0
-        held += n
+        parts = max(1, -(-n // layout.shard_bytes)) if b - a == 1 else 1
+        if parts > 1:
+            bounds += [(a, k / parts) for k in range(1, parts)]
+        held += n // parts
     return bounds
 
 
-def shard_column(bounds: list[int], key: Column) -> Column:
-    """Number of bounds at or below the key, by a tree of comparisons as deep as the logarithm of their number."""
+def shard_column(bounds: list[tuple[int, float]], key: Column, digest: Column) -> Column:
+    """Number of bounds at or below a page's place, found by halving: as many comparisons as the logarithm of their number."""
+    if not bounds:
+        return F.lit(0)
+    part = F.conv(F.substring(digest, 1, 12), 16, 10).cast("double") / F.lit(float(1 << 48))
+    # one literal each, which the optimizer turns into an array once
+    ids = F.split(F.lit(" ".join(str(a) for a, _ in bounds)), " ").cast("array<bigint>")
+    parts = F.split(F.lit(" ".join(repr(p) for _, p in bounds)), " ").cast("array<double>")
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(len(bounds).bit_length()))])
 
-    def below(low: int, high: int) -> Column:
-        if low == high:
-            return F.lit(low)
-        middle = (low + high) // 2
-        return F.when(key >= F.lit(bounds[middle]), below(middle + 1, high)).otherwise(below(low, middle))
+    def advance(at: Column, step: Column) -> Column:
+        a, p = F.get(ids, at + step - 1), F.get(parts, at + step - 1)
+        return F.when((a < key) | ((a == key) & (p <= part)), at + step).otherwise(at)
 
-    if len(bounds) <= 64:
-        return below(0, len(bounds))
-    array = F.array(*[F.lit(b).cast("long") for b in bounds])
-    return F.size(F.filter(array, lambda b: b <= key))
+    return F.aggregate(steps, F.lit(0), advance)
 
 
 def decisions(pages: DataFrame, least: int) -> DataFrame:
@@ -166,7 +178,8 @@ def write_archives(pages: DataFrame, folder: str, layout: Layout = Layout()) ->
     """Writes ``pages`` as WARC files into ``folder`` and returns the committed manifest.
 
     A null html is an empty payload, a null url is named by the page's id, and null ids stand as one
-    smallest id. Repeated rows are records each. An empty table writes no file. Columns besides
+    smallest id (-2 ** 63, which no page may have). Repeated rows are records each; those of one id and one payload share a
+    task. An empty table writes no file. Columns besides
     ``page_id, url, html`` are not used. The manifest lies in ``folder/_manifest``.
     """
     spark = pages.sparkSession
@@ -177,7 +190,7 @@ def write_archives(pages: DataFrame, folder: str, layout: Layout = Layout()) ->
     chosen = staged(decisions(thin, layout.least), "warc-revisits")
     told = chosen.select("_id", F.lit(None).cast("string").alias("_url"), F.lit(None).cast("binary").alias("_payload"), "_digest", "_refers", F.lit(0).alias("_kind"))
     whole = rows.select("_id", "_url", "_payload", "_digest", F.lit(None).cast("long").alias("_refers"), F.lit(1).alias("_kind"))
-    both = told.unionByName(whole).withColumn("_shard", shard_column(bounds, F.col("_id")))
+    both = told.unionByName(whole).withColumn("_shard", shard_column(bounds, F.col("_id"), F.col("_digest")))
     dealt = both.repartitionById(len(bounds) + 1, F.col("_shard")).sortWithinPartitions("_shard", "_id", "_digest", "_kind", "_url")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -223,6 +236,7 @@ def commit(written: DataFrame, folder: str) -> DataFrame:
 
     spark = written.sparkSession
     written.mapInArrow(run, MANIFEST).write.mode("overwrite").parquet(f"{folder}/_manifest")
+    remove_path(spark, f"{folder}/_temporary")
     return spark.read.parquet(f"{folder}/_manifest")
 
 
