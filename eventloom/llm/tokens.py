@@ -13,6 +13,7 @@ kept in a cache of bounded size in each Python worker.
 
 from __future__ import annotations
 
+import functools
 import json
 import re
 import unicodedata
@@ -41,6 +42,121 @@ def _byte_letters() -> list[str]:
     return [chr(b) if b in shown else chr(next(hidden)) for b in range(256)]
 
 
+class _Word:
+    """A word that grows: its last symbols, and for as many of its prefixes the last token and the number of tokens."""
+
+    __slots__ = ("keep", "text", "off", "token", "count")
+
+    def __init__(self, keep: int):
+        self.keep, self.text, self.off, self.token, self.count = keep, "", 0, [""], [0]
+
+    def branch(self) -> _Word:
+        other = _Word(self.keep)
+        cut = max(0, len(self.text) - self.keep)
+        other.text, other.off, other.token, other.count = self.text[cut:], self.off + cut, self.token[cut:], self.count[cut:]
+        return other
+
+    def add(self, c: PrefixCounter, symbols: str) -> None:
+        for symbol in symbols:
+            self.text += symbol
+            end = len(self.text)
+            for q in range(max(0, end - self.keep), end):
+                piece = self.text[q:]
+                if piece in c.open and (q + self.off == 0 or c.agrees(self.token[q], piece)):
+                    self.token.append(piece)
+                    self.count.append(self.count[q] + 1)
+                    break
+            if len(self.text) > 8 * self.keep:
+                cut = len(self.text) - self.keep
+                self.text, self.off, self.token, self.count = self.text[cut:], self.off + cut, self.token[cut:], self.count[cut:]
+
+    def ended(self, c: PrefixCounter) -> int:
+        end = len(self.text)
+        for q in range(max(0, end - self.keep), end):
+            piece = self.text[q:]
+            if piece in c.shut and (q + self.off == 0 or c.agrees(self.token[q], piece + c.end)):
+                return self.count[q] + 1
+        raise ValueError(f"no token of the vocabulary ends {self.text!r}")
+
+
+class _Line:
+    """Normalised, lower-case text read character by character; ``value`` is its number of tokens if it ended there."""
+
+    __slots__ = ("c", "base", "word", "kind", "short")
+
+    def __init__(self, c: PrefixCounter):
+        self.c, self.base, self.word, self.kind, self.short = c, 0, None, "", ""
+
+    def branch(self) -> _Line:
+        other = _Line(self.c)
+        other.base, other.kind, other.short = self.base, self.kind, self.short
+        other.word = self.word.branch() if self.word else None
+        return other
+
+    def _end(self) -> None:
+        if self.word:
+            self.base += self.word.ended(self.c)
+            self.word = None
+        self.kind = self.short = ""
+
+    def feed(self, low: str) -> None:
+        """One character."""
+        c, short = self.c, self.short + low
+        if self.short and short in _CONTRACTIONS:
+            # an apostrophe that began a word and what it takes with it are a word of their own
+            if len(self.short) == 2:
+                self.base -= self.before_short()
+            self.word = None
+            self.base += c.whole(c.spelled(short))
+            self.kind = self.short = ""
+            return
+        begins = bool(self.short) and any(x.startswith(short) for x in _CONTRACTIONS)
+        kind = _kind(low)
+        if kind == "W":
+            self._end()
+            return
+        if not self.word or kind != self.kind or kind == "N":
+            fresh_quote = low == "'"
+            self._end()
+            self.word, self.kind = _Word(c.longest), kind
+            self.short = short if begins else "'" if fresh_quote else ""
+        else:
+            self.short = ""
+        self.word.add(c, c.spelled(low))
+
+    def before_short(self) -> int:
+        """Tokens that an apostrophe cost as a word, before it turned out to begin a longer contraction."""
+        return self.c.whole(self.c.spelled("'"))
+
+    def value(self) -> int:
+        return self.base + (self.word.ended(self.c) if self.word else 0)
+
+
+def _lower(text: str) -> str:
+    """Each character by itself; some become several."""
+    return "".join(ch.lower() for ch in text)
+
+
+def _kind(low: str) -> str:
+    kind = unicodedata.category(low[0])[0]
+    return kind if kind in "LN" else "W" if low.isspace() and not "\x1c" <= low <= "\x1f" else "S"
+
+
+@functools.cache
+def _joining() -> frozenset[str]:
+    """Characters of class 0 that normalising may join to the one before."""
+    parts = (unicodedata.decomposition(chr(k)).split() for k in range(0x20000))
+    return frozenset(x for p in parts if len(p) == 2 and not p[0].startswith("<") for x in [chr(int(p[1], 16))] if not unicodedata.combining(x)) | frozenset(map(chr, [*range(0x1161, 0x1176), *range(0x11A8, 0x11C3)]))
+
+
+def _apart(ch: str) -> bool:
+    """Normalising never joins or moves the character across its left border."""
+    if ch < "\u0300":
+        return True
+    first = unicodedata.normalize("NFD", ch)[0]
+    return not unicodedata.combining(ch) and not unicodedata.combining(first) and ch not in _joining() and first not in _joining()
+
+
 class PrefixCounter:
     """Counts for a vocabulary file of the kind: NFC, lower case, words by letters, digits and marks, BPE with word ends."""
 
@@ -133,12 +249,33 @@ class PrefixCounter:
             n = self.words[s] = self.ended(s, len(s), token, count)
         return n
 
+    def spelled(self, low: str) -> str:
+        return "".join(self.letters[b] for b in low.encode())
+
     def total(self, chunk: bytes) -> int:
-        """Tokens of a chunk: most are letters and then marks, two words; the rest get their whole table."""
+        """Tokens of a chunk: most are letters and then marks, two words; of the rest each word is counted once."""
         text = chunk.decode().lower()
         if (m := _USUAL.fullmatch(text)) and "<|" not in text:
             return self.whole(m[1].encode().decode("latin-1").translate(self.spell)) + self.whole(m[2])
-        return self.table(chunk.decode())[-1]
+        out = 0
+        for stretch, mark in self._stretches(chunk.decode()):
+            line = _Line(self)
+            for low in _lower(unicodedata.normalize("NFC", stretch)):
+                line.feed(low)
+            out += line.value() + bool(mark)
+        return out
+
+    def _stretches(self, text: str) -> Iterator[tuple[str, str]]:
+        """What lies between special strings, each with the one that ends it; they are found before anything is normalised."""
+        at = 0
+        while True:
+            found = [(k, s) for s in self.special for k in [text.find(s, at)] if k >= 0]
+            if not found:
+                yield text[at:], ""
+                return
+            k, mark = min(found)
+            yield text[at:k], mark
+            at = k + len(mark)
 
     def _plain(self, chars: str) -> list[int]:
         """Counts after each character of a stretch without special strings."""
@@ -177,32 +314,43 @@ class PrefixCounter:
 
     def table(self, chunk: str) -> array:
         """Token counts of the prefixes of a chunk without ASCII white space, by code points."""
-        if not unicodedata.is_normalized("NFC", chunk) or any(len(c.lower()) > 1 for c in chunk):
-            return self._composed(chunk)
-        found = [(at, s) for s in self.special for at in [chunk.find(s)] if at >= 0]
-        if not found:
-            return array("l", self._plain(chunk))
-        at, mark = min(found)
-        head = self._plain(chunk[: at + len(mark) - 1])
-        total = (head[at - 1] if at else 0) + 1
-        rest = chunk[at + len(mark) :]
-        return array("l", [*head, total, *(total + c for c in (self.table(rest) if rest else ()))])
-
-    def _composed(self, chunk: str) -> array:
-        """The same where normalising joins or splits characters: each prefix is normalised by itself."""
-        out = []
-        for p in range(1, len(chunk) + 1):
-            total, rest = 0, chunk[:p]
-            while True:
-                found = [(at, s) for s in self.special for at in [rest.find(s)] if at >= 0]
-                at, mark = min(found) if found else (len(rest), "")
-                plain = "".join(c.lower() for c in unicodedata.normalize("NFC", rest[:at]))
-                total += (self._plain(plain)[-1] if plain else 0) + bool(mark)
-                if not mark:
-                    break
-                rest = rest[at + len(mark) :]
-            out.append(total)
-        return array("l", out)
+        out, base = array("l"), 0
+        for stretch, mark in self._stretches(chunk):
+            text = stretch + mark[:-1]
+            if not text:
+                continue
+            plain = unicodedata.is_normalized("NFC", text) and all(len(c.lower()) == 1 for c in text)
+            counts = self._plain(text) if plain else self._composed(text)
+            out.extend(base + c for c in counts)
+            if mark:
+                base += (counts[len(stretch) - 1] if stretch else 0) + 1
+                out.append(base)
+        return out
+
+    def _composed(self, text: str) -> list[int]:
+        """The same where normalising joins or moves characters: a stretch up to where it can't is normalised by itself.
+
+        One line is fed with whole stretches; prefixes that end in a stretch branch off it. A branch goes on where the
+        longer prefix only adds to the shorter one, so that a long stretch of marks is read once as well.
+        """
+        borders = [k for k, ch in enumerate(text) if k == 0 or _apart(ch)] + [len(text)]
+        line, out = _Line(self), []
+        for a, b in zip(borders, borders[1:]):
+            made, side, had = "", line.branch() if b - a > 1 else line, ""
+            for k in range(a, b):
+                own = unicodedata.combining(text[k])
+                if own and len(made) > 1 and own == unicodedata.combining(made[-1]) and unicodedata.combining(text[k - 1]) and not unicodedata.decomposition(text[k]):
+                    made += text[k]  # blocked and in order: it stays as it is, after the last
+                else:
+                    made = unicodedata.normalize("NFC", text[a : k + 1])
+                if not made.startswith(had):
+                    side, had = line.branch(), ""
+                for low in _lower(made[len(had) :]):
+                    side.feed(low)
+                had = made
+                out.append(side.value())
+            line = side
+        return out
 
     def learn(self, chunks: set[bytes]) -> None:
         """Counts of chunks that aren't in the cache yet."""
@@ -255,8 +403,8 @@ def count_tokens(docs: DataFrame, path: str, text: str = "text", limit: int = 20
 
     ``fit_chars`` is the length of the longest prefix of at most ``limit`` tokens; ``prefix_tokens``
     is the table of all prefixes, which ``tokens_at`` and ``longest_prefix`` read. A null text
-    counts as empty: no tokens, and a table of one 0. Rows are independent, so repeated
-    rows get equal results; there is no shuffle. A column of ``docs`` with one of the new names is replaced.
+    counts as empty: no tokens, and a table of one 0. An empty table gives an empty result. A word of any length is
+    read once, from left to right. Rows are independent, so repeated rows get equal results; there is no shuffle. A column of ``docs`` with one of the new names is replaced.
     """
     small_batches(docs.sparkSession)
     made = ("n_tokens", "fit_chars", "prefix_tokens")
