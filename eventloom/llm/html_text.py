@@ -1,11 +1,14 @@
 """Main text of web pages, with site templates removed by counting equal element subtrees per host.
 
 First pass: each page's elements are hashed from the leaves up (name, classes, text and the children's
-hashes). Spark counts, for each host and hash, on how many different pages the subtree stands; within the
-article, pages whose article is the same count once, so that a copied article isn't taken for a template. Second
-pass: subtrees that recur on half of their host's pages, 3 at least, are deleted, as are blocks other than
-prose on ``min_pages`` pages; a page that is mostly recurring prose is a copy and keeps its prose. Then what markup itself declares to be a
-menu, header, footer, sidebar, notice, advert, form or comment, and the article's blocks are read.
+hashes). Spark counts, for each host and hash, on how many different pages the subtree stands; pages whose
+article is the same count once, so that a copied article isn't taken for a template. What holds the article is
+the markup's ``article`` and ``main`` or, without them, the smallest element with more than half of the page's
+text; it is never a template itself. How often a subtree has to recur depends on the host's number of pages and
+on where it stands: little around the article, far more in it (see ``recurring_subtrees``). Lists of links count by their
+shape too, for menus change their labels. Second pass: subtrees that recur are deleted; a page whose article is mostly recurring prose
+is a copy and keeps its prose. Then the article is looked for in what is left, and what markup itself declares to
+be a menu, header, footer, sidebar, notice, advert, form or comment goes as well.
 """
 
 from __future__ import annotations
@@ -50,8 +53,14 @@ OUTSIDE = frozenset(
 )
 #: Words that a name may add to those and mean the same.
 LAYOUT = frozenset("site page main global top bottom left right box bar block area section wrap wrapper container inner outer list links buttons".split())
-#: A subtree is a template on this share of its host's pages, and on no fewer pages than that.
+#: In the article a subtree is a template on this share of its host's pages, and on no fewer pages than that.
 SHARE, FLOOR = 0.5, 3
+#: Around the article it is one on two pages or on this share of the root of their number.
+AROUND, ROOT_SHARE = 2, 0.2
+#: Tells the hash of a subtree around the article from that of the same one in it.
+_AROUND = 0x5DEECE66D
+#: Tells the hash of what holds most of a page's text, which is a template itself where menus outweigh the article.
+_MOST = 0x2545F4914F6CDD1D
 #: What holds the article is never a template.
 FRAME = frozenset("html body main article".split())
 #: Their subtrees are mostly the article's own words: only the share of pages makes them a template.
@@ -61,10 +70,20 @@ _WORDS = re.compile(r"[^a-z0-9]+")
 
 
 class Node:
-    __slots__ = ("tag", "words", "names", "children", "digest", "holds_article")
+    """``size``: characters of the subtree's text, ``linked``: those in links; ``inside``: it stands in the article; ``shape``: of a list of links."""
+
+    __slots__ = ("tag", "words", "names", "children", "digest", "holds_article", "size", "linked", "inside", "shape")
 
     def __init__(self, tag: str, words: frozenset[str] = frozenset(), names: frozenset[str] = frozenset()):
         self.tag, self.words, self.names, self.children, self.digest, self.holds_article = tag, words, names, [], 0, False
+        self.size, self.linked, self.inside, self.shape = 0, 0, False, ""
+
+    def key(self) -> int:
+        return self.digest if self.inside else self.digest ^ _AROUND
+
+    def shape_key(self, host: str) -> int:
+        """Of three links or more and no other text, around the article; else 0."""
+        return 0 if self.inside or self.shape.count("a") < 3 or self.tag == "a" else _hash(f"{host}\x02{self.shape}".encode("utf-8", "surrogatepass"))
 
 
 class _Tree(HTMLParser):
@@ -136,24 +155,74 @@ def _hash(value: bytes) -> int:
 
 
 def hash_subtrees(root: Node, host: str) -> list[Node]:
-    """Sets each node's digest, 0 where it has no text; returns the nodes, children first."""
+    """Sets what each node says of its subtree, the digest 0 where it has no text; returns the nodes, children first."""
     nodes = _post_order(root)
     for node in nodes:
-        parts, said = [node.tag, *sorted(node.words)], False
+        parts, shape = [node.tag, *sorted(node.words)], []
         for c in node.children:
             if isinstance(c, str):
                 if text := " ".join(c.split()):
                     parts.append("t" + text)
-                    said = True
+                    node.size += len(text)
             else:
-                node.holds_article |= c.holds_article or c.tag in ("article", "main") or "main" in c.words
+                node.holds_article |= c.holds_article or _declares(c)
                 if c.digest:
                     parts.append(f"n{c.digest}")
-                    said = True
-        node.digest = (_hash("\x00".join((host, *parts)).encode("utf-8", "surrogatepass")) or 1) if said else 0
+                    shape.append(c.shape)
+                    node.size += c.size
+                    node.linked += c.linked
+        if node.tag == "a":
+            node.linked = node.size
+        if node.size and node.linked == node.size:
+            node.shape = "a" if node.tag == "a" else f"{node.tag}({','.join(shape)})"
+        node.digest = (_hash("\x00".join((host, *parts)).encode("utf-8", "surrogatepass")) or 1) if node.size else 0
+    for top in article_roots(root):
+        for node in _post_order(top):
+            node.inside = True
     return nodes
 
 
+def most_text(root: Node) -> Node | None:
+    """What stands for the article without markup of its own; None with it, or where it is the whole page."""
+    if any(_declares(n) for n in _post_order(root)):
+        return None
+    node, top = root, root
+    while (node := next((c for c in node.children if not isinstance(c, str) and c.holds_article), None)) is not None:
+        top = node
+    return top if top is not root else None
+
+
+def without_dominant(root: Node, known) -> None:
+    """Empties what holds most of the page's text if that recurs itself; then the article is what is left."""
+    most = most_text(root)
+    if most is not None and most.digest and known(most.digest ^ _MOST):
+        for node in _post_order(most):
+            node.inside = False
+        most.children, most.holds_article = [], False
+
+
+def _declares(node: Node) -> bool:
+    return node.tag in ("article", "main") or ("main" in node.words and node.tag == "div")
+
+
+def article_roots(root: Node) -> list[Node]:
+    """Where the article is: its outermost declared elements, else the smallest element with more than half of all text.
+
+    Such an element is a container: where it would be a paragraph or the like, it is what holds this. It and what it stands in
+    hold the article from then on.
+    """
+    if root.holds_article:
+        return _outermost(root, lambda _: False)
+    path = [root]
+    while (inner := next((c for c in path[-1].children if not isinstance(c, str) and 2 * c.size > root.size), None)) is not None:
+        path.append(inner)
+    while len(path) > 1 and (path[-1].tag in PROSE - FRAME or path[-1].tag not in BLOCK):
+        path.pop()
+    for node in path:
+        node.holds_article = True
+    return path[-1:]
+
+
 def _outside(node: Node, in_article: bool) -> bool:
     if node.tag in NEVER:
         return True
@@ -175,6 +244,10 @@ def _furniture(node: Node) -> bool:
     return node.tag in BLOCK and node.tag not in PROSE and not node.holds_article
 
 
+def _template(node: Node, templates) -> bool:
+    return bool(node.digest) and node.tag not in FRAME and not node.holds_article and templates(node)
+
+
 def _candidates(nodes: list[Node]) -> list[Node]:
     return [n for n in nodes if n.digest and n.tag not in FRAME and not n.holds_article]
 
@@ -184,22 +257,24 @@ def _alone(parent: Node, node: Node) -> bool:
     return node.tag in BLOCK or not any(isinstance(c, str) and c.strip() for c in parent.children)
 
 
-def _roots(root: Node, templates) -> list[Node]:
-    """The outermost articles; without one, the outermost main containers; without those, the whole page."""
-    found: dict[str, list[Node]] = {"article": [], "main": []}
-    todo = [(root, False)]
+def _outermost(root: Node, gone) -> list[Node]:
+    """The outermost articles and main containers in page order, but for what is furniture by its own name."""
+    out: list[Node] = []
+    todo = [root]
     while todo:
-        node, in_main = todo.pop()
-        if _outside(node, in_main) or (_furniture(node) and templates(node.digest)):
-            continue
-        if node.tag == "article":
-            found["article"].append(node)
+        node = todo.pop()
+        if node.tag in NEVER or _outside(node, False) or gone(node):
             continue
-        if not in_main and (node.tag == "main" or "main" in node.words and node.tag == "div"):
-            found["main"].append(node)
-            in_main = True
-        todo.extend((c, in_main) for c in reversed(node.children) if not isinstance(c, str))
-    return found["article"] or found["main"] or [root]
+        if _declares(node):
+            out.append(node)
+        else:
+            todo.extend(c for c in reversed(node.children) if not isinstance(c, str))
+    return out or [root]
+
+
+def _roots(root: Node, templates) -> list[Node]:
+    """What to read once templates are gone: declared articles and main containers, else the whole page."""
+    return _outermost(root, lambda n: _furniture(n) and _template(n, templates))
 
 
 def blocks(root: Node, templates) -> list[str]:
@@ -210,6 +285,11 @@ def blocks(root: Node, templates) -> list[str]:
 
 
 def _blocks(root: Node, templates, prose: bool) -> list[str]:
+    return [text for top in _roots(root, templates) for text in _read(top, _declares(top), templates, prose)]
+
+
+def _read(top: Node, in_article: bool, templates, prose: bool) -> list[str]:
+    """The blocks of one element. Templates around the article and furniture always go, and with ``prose`` any other."""
     out: list[str] = []
     buffer: list[str] = []
 
@@ -218,26 +298,25 @@ def _blocks(root: Node, templates, prose: bool) -> list[str]:
             out.append(text)
         buffer.clear()
 
-    for top in _roots(root, templates):
-        in_article = top.tag in ("article", "main") or top.words & {"main"}
-        flush()
-        todo: list[object] = [top]
-        while todo:
-            item = todo.pop()
-            if item is None:
-                flush()
-            elif isinstance(item, str):
-                buffer.append(item)
-            elif item is not top and (_outside(item, bool(in_article)) or (_furniture(item) and templates(item.digest))):
+    todo: list[object] = [top]
+    while todo:
+        item = todo.pop()
+        if item is None:
+            flush()
+        elif isinstance(item, str):
+            buffer.append(item)
+        elif item is not top and _outside(item, in_article):
+            flush()
+        else:
+            if item.tag in BLOCK:
                 flush()
-            else:
-                block = item.tag in BLOCK
-                if block:
-                    flush()
-                    todo.append(None)
-                gone = {id(c) for c in item.children if prose and not isinstance(c, str) and c.tag not in FRAME and not c.holds_article and templates(c.digest) and _alone(item, c)}
-                todo.extend(" " if id(c) in gone and c.tag not in BLOCK else None if id(c) in gone else c for c in reversed(item.children))
-        flush()
+                todo.append(None)
+            for c in reversed(item.children):
+                if isinstance(c, str) or not ((prose or not c.inside or _furniture(c)) and _template(c, templates) and _alone(item, c)):
+                    todo.append(c)
+                else:
+                    todo.append(None if c.tag in BLOCK else " ")
+    flush()
     return out
 
 
@@ -246,46 +325,59 @@ def host_of(url: str | None) -> str:
     return (m[1] if m else "").rpartition("@")[2].lower()
 
 
-def _never(_: int) -> bool:
+def _never(_: Node) -> bool:
     return False
 
 
+#: Kinds of counted subtrees.
+_PROSE, _BLOCK, _SHAPE = 0, 1, 2
+
+
 def subtree_hashes(pages: DataFrame) -> DataFrame:
-    """``h, page, part, block``: each page's distinct candidate subtrees (the host is part of the hash).
+    """``h, page, host, inside, kind``: each page's distinct candidate subtrees (the host is part of the hash).
 
-    ``part`` names the host and whether the subtree stands in the article; there ``page`` is the article's
-    hash, elsewhere the page's. A row with the part for its subtree stands for the page itself.
+    ``page`` is the hash of the article's text. A row with 0 for its subtree stands for the page itself.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows: list[tuple[int, int, int, bool]] = []
+            rows: list[tuple[int, int, int, bool, int]] = []
             for url, html in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 root, host = parse(html or ""), host_of(url)
                 nodes = hash_subtrees(root, host)
-                article = _hash("\n".join(_blocks(root, _never, False)).encode("utf-8", "surrogatepass"))
-                inside = {id(n) for top in _roots(root, _never) for n in _post_order(top)}
-                page = _hash((html or "").encode("utf-8", "surrogatepass"))
-                where = {k: (_hash(f"{host}\x01{k}".encode("utf-8", "surrogatepass")), article if k else page) for k in (True, False)}
-                mine = {(n.digest, id(n) in inside, _furniture(n)) for n in _candidates(nodes)}
-                rows.extend((part, which, part, False) for part, which in where.values())
-                rows.extend((h, where[k][1], where[k][0], furniture) for h, k, furniture in mine)
-            columns = list(zip(*rows, strict=True)) or [()] * 4
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.bool_())
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["h", "page", "part", "block"])
-
-    return pages.select("url", "html").mapInArrow(run, "h long, page long, part long, block boolean")
+                tops = article_roots(root)
+                page = _hash("\n".join(t for top in tops for t in _read(top, True, _never, False)).encode("utf-8", "surrogatepass"))
+                name = _hash(host.encode("utf-8", "surrogatepass"))
+                mine = {(n.key(), n.inside, _BLOCK if _furniture(n) else _PROSE) for n in _candidates(nodes)}
+                mine.update((k, False, _SHAPE) for n in nodes if n.shape and (k := n.shape_key(host)))
+                rows.append((0, page, name, False, _PROSE))
+                if (most := most_text(root)) is not None and most.digest:
+                    whole, other = root.digest, _hash(f"{host}\x03".encode("utf-8", "surrogatepass"))
+                    rows += [(0, whole, other, False, _PROSE), (most.digest ^ _MOST, whole, other, True, _PROSE)]
+                rows.extend((h, page, name, inside, kind) for h, inside, kind in mine)
+            columns = list(zip(*rows, strict=True)) or [()] * 5
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int32())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["h", "page", "host", "inside", "kind"])
+
+    return pages.select("url", "html").mapInArrow(run, "h long, page long, host long, inside boolean, kind int")
 
 
 def recurring_subtrees(pages: DataFrame, min_pages: int) -> DataFrame:
-    """Hashes of subtrees that stand on enough different pages of their host."""
-    found = subtree_hashes(pages).groupBy("h", "page", "part").agg(F.max("block").alias("block"))
-    counts = found.groupBy("h", "part").agg(F.count(F.lit(1)).alias("pages"), F.max("block").alias("block"))
+    """Hashes of subtrees that stand on enough different pages of their host, of which there are n.
+
+    Around the article: on 2 pages, or on a fifth of the root of n if that is more. In it: prose on half of the pages and at
+    least 3; other blocks also on ``min_pages`` or the root of n. Shapes of link lists: on half of the pages and at least 3.
+    """
+    found = subtree_hashes(pages).groupBy("h", "page", "host").agg(F.max("inside").alias("inside"), F.max("kind").alias("kind"))
+    counts = found.groupBy("h", "host").agg(F.count(F.lit(1)).alias("pages"), F.max("inside").alias("inside"), F.max("kind").alias("kind"))
     # few subtrees recur: written once, so that pages are parsed once
-    counts = staged(counts.filter((F.col("pages") >= min(FLOOR, min_pages)) | (F.col("h") == F.col("part"))), "subtrees")
-    whole = counts.filter("h = part").select("part", F.col("pages").alias("whole"))
-    often = (F.col("pages") >= F.greatest(F.lit(float(FLOOR)), F.lit(SHARE) * F.col("whole"))) | (F.col("block") & (F.col("pages") >= min_pages))
-    return counts.filter("h <> part").join(whole, "part").filter(often).select("h").dropDuplicates()
+    counts = staged(counts.filter((F.col("pages") >= min(AROUND, min_pages)) | (F.col("h") == 0)), "subtrees")
+    whole = counts.filter("h = 0").select("host", F.col("pages").alias("n"))
+    n, seen = F.col("n").cast("double"), F.col("pages")
+    half = seen >= F.greatest(F.lit(float(FLOOR)), SHARE * n)
+    around = ~F.col("inside") & (F.col("kind") != _SHAPE) & (seen >= F.greatest(F.lit(float(AROUND)), F.floor(ROOT_SHARE * F.sqrt(n))))
+    block = F.col("inside") & (F.col("kind") == _BLOCK) & (seen >= F.greatest(F.lit(float(min_pages)), F.sqrt(n)))
+    return counts.filter("h <> 0").join(whole, "host").filter(half | around | block).select("h").dropDuplicates()
 
 
 def main_text(pages: DataFrame, min_pages: int = 10, broadcast_limit: int = 1_000_000) -> DataFrame:
@@ -306,8 +398,11 @@ def main_text(pages: DataFrame, min_pages: int = 10, broadcast_limit: int = 1_00
         out = []
         for url, html, own in rows:
             root = parse(html or "")
-            hash_subtrees(root, host_of(url))
-            out.append("\n".join(blocks(root, lookup if own is None else set(own).__contains__)).encode("utf-8", "replace").decode())
+            host = host_of(url)
+            hash_subtrees(root, host)
+            known = lookup if own is None else set(own).__contains__
+            without_dominant(root, known)
+            out.append("\n".join(blocks(root, lambda n: known(n.key()) or (n.shape != "" and known(n.shape_key(host))))).encode("utf-8", "replace").decode())  # noqa: B023
         return out
 
     def answer(batch: pa.RecordBatch, text: list[str]) -> pa.RecordBatch:
@@ -328,7 +423,10 @@ def main_text(pages: DataFrame, min_pages: int = 10, broadcast_limit: int = 1_00
         for batch in batches:
             ids, keys, hashes = [], [], []
             for page, key, url, html in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                mine = {n.digest for n in _candidates(hash_subtrees(parse(html or ""), host_of(url)))}
+                host, root = host_of(url), parse(html or "")
+                nodes = _candidates(hash_subtrees(root, host))
+                most = most_text(root)
+                mine = {n.key() for n in nodes} | ({most.digest ^ _MOST} if most is not None else set()) | {k for n in nodes if n.shape and (k := n.shape_key(host))}
                 ids.extend([page] * len(mine))
                 keys.extend([key] * len(mine))
                 hashes.extend(mine)
@@ -343,7 +441,7 @@ def main_text(pages: DataFrame, min_pages: int = 10, broadcast_limit: int = 1_00
     def run_own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = zip(*(batch.column(k).to_pylist() for k in (1, 2, 3)), strict=True)
-            yield answer(batch, texts(((u, h, o or ()) for u, h, o in rows), _never))
+            yield answer(batch, texts(((u, h, o or ()) for u, h, o in rows), None))
 
     return joined.select("a.page_id", "a.url", "a.html", "b.own").mapInArrow(run_own, schema)
 
