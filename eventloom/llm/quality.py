@@ -38,6 +38,8 @@ RULES: dict[str, tuple[str, str]] = {
 }
 
 PRIOR_GOOD = 0.8
+#: The estimated share of good documents is held between these; below one half, rules would trade their meanings.
+PRIOR_LEAST, PRIOR_MOST = 0.5, 0.999
 SMOOTHING = 1.0
 
 
@@ -57,15 +59,13 @@ def words(text: Column) -> Column:
     return F.array_remove(F.when(rare, F.split(text, SPACE)).otherwise(plain), "")
 
 
-#: Positions below 2 ** POSITION_BITS are packed with a window's hash into one long, which sorts fast.
-POSITION_BITS = 24
-
-
 def repeated_window_words(hashes: Column, width: int = 3) -> Column:
     """Words that lie in a window of ``width`` words found twice or more in the text; ``hashes``: of its words.
 
-    Window hashes are sorted with their positions, so that equal ones are neighbours; then the
-    windows' positions are sorted and each adds what it doesn't share with the next.
+    A window's hash and its position are packed into one long, which sorts fast, the position in as many bits
+    as the text needs. Equal windows are then neighbours, but where two windows share the packed bits of their hashes;
+    there a window is compared with all of those bits. Windows are equal if their words' 64-bit hashes are. The windows'
+    positions are sorted and each adds what it doesn't share with the next.
     """
 
     def window(w: Column, x: Column, i: Column) -> Column:
@@ -78,35 +78,35 @@ def repeated_window_words(hashes: Column, width: int = 3) -> Column:
             lambda a, x: a + x,
         )
 
-    def packed(w: Column) -> Column:
-        low = (1 << POSITION_BITS) - 1
-        high = lambda x: F.shiftrightunsigned(x, POSITION_BITS)
-        keys = F.transform(w, lambda x, i: F.shiftleft(window(w, x, i), POSITION_BITS).bitwiseOR(i.cast("long")))
+    def counted(w: Column, bits: Column) -> Column:
+        left = lambda x: F.call_function("shiftleft", x, bits)
+        high = lambda x: F.call_function("shiftrightunsigned", x, bits)
+        place = lambda x: F.call_function("shiftrightunsigned", F.call_function("shiftleft", x, 64 - bits), 64 - bits).cast("int")
+        keys = F.transform(w, lambda x, i: left(window(w, x, i)).bitwiseOR(i.cast("long")))
         keys = F.slice(keys, F.lit(1), F.size(w) - (width - 1))
 
-        def same(x: Column, y: Column) -> Column:
-            """The packed bits agree, and so do the words' whole hashes."""
-            i, j = x.bitwiseAND(low).cast("int"), y.bitwiseAND(low).cast("int")
-            agree = high(x) == high(y)
-            for k in range(width):
-                agree = agree & (F.get(w, i + k) == F.get(w, j + k))
-            return agree
+        def equal(x: Column, y: Column) -> Column:
+            i, j = place(x), place(y)
+            out = F.get(w, i) == F.get(w, j)
+            for k in range(1, width):
+                out = out & (F.get(w, i + k) == F.get(w, j + k))
+            return out
 
         def positions(s: Column) -> Column:
-            return F.filter(s, lambda x, k: ((k > 0) & same(F.get(s, k - 1), x)) | F.coalesce(same(x, F.get(s, k + 1)), F.lit(False)))
+            def again(x: Column, k: Column) -> Column:
+                before, after = F.when(k > 0, F.get(s, k - 1)), F.get(s, k + 1)
+                near = lambda y: F.coalesce(high(y) == high(x), F.lit(False))
+                beside = (near(before) & equal(before, x)) | (near(after) & equal(after, x))
+                among = F.exists(s, lambda y: (high(y) == high(x)) & (y != x) & equal(y, x))
+                return F.when(~near(before) & ~near(after), False).when(beside, True).otherwise(among)
 
-        return _let(
-            F.sort_array(keys),
-            lambda s: _let(F.sort_array(F.transform(positions(s), lambda x: x.bitwiseAND(low).cast("int"))), covered),
-        )
+            return F.filter(s, again)
 
-    def paired(w: Column) -> Column:
-        pairs = F.transform(w, lambda x, i: F.struct(window(w, x, i).alias("h"), i.alias("i")))
-        pairs = F.slice(pairs, F.lit(1), F.size(w) - (width - 1))
-        again = lambda s: F.filter(s, lambda x, k: ((k > 0) & (F.get(s, k - 1)["h"] == x["h"])) | F.coalesce(F.get(s, k + 1)["h"] == x["h"], F.lit(False)))
-        return _let(F.sort_array(pairs), lambda s: _let(F.sort_array(F.transform(again(s), lambda x: x["i"])), covered))
+        return _let(F.sort_array(keys), lambda s: _let(F.sort_array(F.transform(positions(s), place)), covered))
 
-    return F.when(F.size(hashes) <= width, F.lit(0)).when(F.size(hashes) < (1 << POSITION_BITS), _let(hashes, packed)).otherwise(_let(hashes, paired))
+    # as many bits as the last position has
+    bits = lambda w: F.length(F.bin(F.size(w).cast("long")))
+    return F.when(F.size(hashes) <= width, F.lit(0)).otherwise(_let(hashes, lambda w: _let(bits(w), lambda b: counted(w, b))))
 
 
 def features(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -172,8 +172,11 @@ class LabelModel:
         return 1 / (1 + F.exp(-odds))
 
 
-def fit(counts: dict[str, int], rounds: int = 100, tolerance: float = 1e-9) -> LabelModel:
-    """EM over the numbers of documents by vote pattern. A rule starts as right in 7 of 10 votes."""
+def fit(counts: dict[str, int], rounds: int = 100, tolerance: float = 1e-9, least: float = PRIOR_LEAST, most: float = PRIOR_MOST) -> LabelModel:
+    """EM over the numbers of documents by vote pattern. A rule starts as right in 7 of 10 votes.
+
+    ``least`` and ``most`` bound the share of good documents: on a corpus known to be mostly bad, lower the first.
+    """
     m = len(next(iter(counts), "0" * len(RULES)))
     total = sum(counts.values())
     start = lambda right, wrong: tuple({right: 0.5, wrong: 0.2, ABSTAIN: 0.3} for _ in range(m))
@@ -201,7 +204,7 @@ def fit(counts: dict[str, int], rounds: int = 100, tolerance: float = 1e-9) -> L
                 rows.append({v: c / whole for v, c in seen.items()})
             tables.append(tuple(rows))
         good = sum(part[0] for part in mass.values())
-        model = LabelModel(min(0.999, max(0.5, (good + 4 * SMOOTHING) / (total + 5 * SMOOTHING))), *tables)
+        model = LabelModel(min(most, max(least, (good + 4 * SMOOTHING) / (total + 5 * SMOOTHING))), *tables)
         if abs(likelihood - last) <= tolerance * abs(likelihood):
             break
         last = likelihood
