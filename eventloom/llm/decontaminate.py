@@ -102,7 +102,11 @@ class SuffixAutomaton:
         spans: list[tuple[int, int]] = []
         items: set[str] = set()
         longest = 0
-        for start, stop in zip(starts[long].tolist(), stops[long].tolist(), strict=True):
+        # shorter stretches hold no window, but may hold the longest match
+        short = sorted(zip(starts[~long].tolist(), stops[~long].tolist(), strict=True), key=lambda s: s[0] - s[1])
+        for start, stop in [*zip(starts[long].tolist(), stops[long].tolist(), strict=True), *short]:
+            if stop - start <= longest and stop - start < self.shortest:
+                break
             state = matched = 0
             for at, c in enumerate(ids[start:stop].tolist(), start):
                 while state and c not in self.next[state]:

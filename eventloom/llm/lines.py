@@ -6,6 +6,10 @@ begins ``2 ** k`` lines later) and gives equal pairs one rank that follows the s
 occurs once gets none, so each round works on fewer rows. Suffixes that share at least L lines (an
 interval of longest common prefixes of L or more) are those whose two ranks that cover L lines agree.
 
+Those intervals are found by their names, the length and the two ranks, in one aggregation that combines before
+the shuffle, and not by neighbours of the sorted array: the neighbours of a line that a third of all
+documents hold would be one task. Ranks are needed up to the power of two below ``min_words``, as every line has a word.
+
 L is set by words: from each line, the fewest lines that hold ``min_words`` words, and likewise back
 from each line. The runs that share such a window with an earlier place make up exactly the repeated
 runs of at least that many words; all of them but the first copy are deleted.
@@ -23,8 +27,8 @@ DOC = ["_d", "_t"]
 
 
 def _keys(text: str) -> list[Column]:
-    """A document is known by its id and its text's hash; rows equal in both are one document."""
-    return [id_key("doc_id").alias("_d"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("_t")]
+    """A document is known by its id and its text's 128-bit hash; rows equal in both are one document."""
+    return [id_key("doc_id").alias("_d"), F.unhex(F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary"))).alias("_t")]
 
 
 def numbered_lines(docs: DataFrame, text: str = "text") -> DataFrame:
