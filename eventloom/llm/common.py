@@ -34,7 +34,16 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: later steps survive lost executors."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._staged_at = path
+    return out
+
+
+def unstaged(*tables: DataFrame) -> None:
+    """Removes tables that ``staged`` wrote and nothing will read again."""
+    for df in tables:
+        if at := getattr(df, "_staged_at", None):
+            remove_path(df.sparkSession, at)
 
 
 def remove_path(spark: SparkSession, path: str) -> None:

@@ -133,7 +133,26 @@ def group_by_simhash(docs: DataFrame, width: int = 3, radius: int = 3, text: str
     return rows.join(classes, "fp").select("doc_id", "fp", root.alias("component_id"), "n_links")
 
 
-def similar_groups(docs: DataFrame, width: int = 5, similarity: float = 0.8, radius: int = 3, samples: int = 16, text: str = "text", block: int = 512) -> DataFrame:
+def text_key(text: str, seed: int) -> Column:
+    """A long that stands for a text; null counts as empty."""
+    return F.xxhash64(F.coalesce(F.col(text), F.lit("")), F.lit(seed))
+
+
+def text_seed(docs: DataFrame, text: str = "text") -> int:
+    """The first seed under which no two different texts of ``docs`` (by their 128-bit hashes) share a key.
+
+    So keys of 8 bytes name texts exactly, and no text is dropped for another's hash.
+    """
+    seed = 0
+    while True:
+        told = F.unhex(F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary")))
+        keys = docs.select(text_key(text, seed).alias("k"), told.alias("m")).groupBy("k").agg(F.min("m").alias("a"), F.max("m").alias("b"))
+        if keys.filter("a <> b").isEmpty():
+            return seed
+        seed += 1
+
+
+def similar_groups(docs: DataFrame, width: int = 5, similarity: float = 0.8, radius: int = 3, samples: int = 16, text: str = "text", block: int = 512, seed: int | None = None) -> DataFrame:
     """``_key, _root`` per text that has near-duplicates: its hash, and the hash that names its group.
 
     Two texts are near-duplicates if the Jaccard similarity of their sets of shingles is ``similarity`` or
@@ -142,7 +161,9 @@ def similar_groups(docs: DataFrame, width: int = 5, similarity: float = 0.8, rad
     of a mark and with its neighbour by fingerprint. The second checks every pair that the first left in
     different groups and that a prefix filter can't rule out.
     """
-    texts = docs.select(F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("_key"), text)
+    if seed is None:
+        seed = text_seed(docs, text)
+    texts = docs.select(text_key(text, seed).alias("_key"), text)
     rows = staged(fingerprints(texts, width, text, samples).dropDuplicates(["_key"]), "fingerprints")
     classes = rows.groupBy("fp").agg(F.min("_key").alias("one"))
     prints = staged(classes, "classes")
@@ -290,10 +311,12 @@ def _verified(pairs: DataFrame, texts: DataFrame, width: int, similarity: float,
 def drop_near_duplicates(docs: DataFrame, width: int = 5, similarity: float = 0.8, text: str = "text") -> DataFrame:
     """One document of each group of near-duplicates: that of the smallest id, nulls first, then of the smallest text hash.
 
-    Rows of equal texts are near-duplicates, repeated rows included; so are all null and empty texts.
+    Rows of equal texts are near-duplicates, repeated rows included; so are all null and empty texts. An empty table gives an
+    empty result. Columns are those of ``docs``; none of them may be named ``_key``, ``_id`` or ``_root``.
     """
-    groups = staged(similar_groups(docs, width, similarity, text=text), "groups")
-    keyed = docs.withColumn("_key", F.xxhash64(F.coalesce(F.col(text), F.lit("")))).withColumn("_id", id_key("doc_id"))
+    seed = text_seed(docs, text)
+    groups = staged(similar_groups(docs, width, similarity, text=text, seed=seed), "groups")
+    keyed = docs.withColumn("_key", text_key(text, seed)).withColumn("_id", id_key("doc_id"))
     thin = keyed.select("_key", "_id").join(groups, "_key", "left").withColumn("_root", F.coalesce("_root", "_key"))
     best = staged(thin.groupBy("_root").agg(F.min(F.struct("_id", "_key")).alias("s")).select("s.*"), "kept")
     kept = keyed.join(best, ["_id", "_key"], "left_semi")
