@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventloom.llm import decontaminate, lines, mixing, quality, simhash
-from eventloom.llm.common import staged, table
+from eventloom.llm.common import staged, table, unstaged
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -59,5 +59,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``. Every stage but the last returns the columns of documents."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = staged(stage(spark, docs, sf_dir), f"stage-{name}")
+        before, docs = docs, staged(stage(spark, docs, sf_dir), f"stage-{name}")
+        unstaged(before)
     return docs
