@@ -23,7 +23,7 @@ PARTS = {
     "body": """'<main><h1>' || name || '</h1><p>Opens ' || day || ' in ' || city || '</p><section class="sponsors-list"><h2>Sponsors</h2><div class="sponsor-card"><h3>' || partner || '</h3><p>Partner of ' || host || '</p><a href="https://partner' || k || '.example.org/">Site</a></div><div class="sponsor-card"><img alt="' || host || ' Ltd" src="a.png"></div></section><section id="people"><h2>Keynote speakers</h2><div class="card"><h3>' || speaker || '</h3><p>Chair</p><p>' || host || '</p></div></section>' || case when k % 7 = 0 then '<p>Program coming soon</p>' else '' end || '</main><footer>contact</footer>'""",
     "main": """'<html><head>' || head || '</head><body>' || nav || body || '</body></html>'""",
     "sponsors": """'<html><body><h1>Sponsors</h1><section class="sponsor-grid"><div class="sponsor-card"><h3>' || partner || '</h3></div><div class="sponsor-card"><h3>Third ' || speaker || '</h3></div></section><a class="next" href="/sponsors-' || k || '?page=2">more</a></body></html>'""",
-    "listing": """'<html><head><meta name="keywords" content="' || description || '"></head><body><h1>' || name || ' on ' || day || '</h1><ul><li>Location: <strong>' || city || ', ' || country || '</strong></li>' || case when k % 3 = 0 then '' else '<li>Date: ' || day || '</li>' end || case when k % 4 = 0 then '' else '<li>Organization: ' || host || '</li>' end || case when k % 5 = 0 then '<li>Venue: Hall ' || k || ', ' || city || ', State, ' || country || '</li>' else '' end || '<li><a href="/conferences/' || lower(country) || '">' || country || ' events</a></li></ul><a href="/event/' || k || '/program">Program</a><div id="event-description">About <b>' || name || '</b></div><div id="event-organization">' || host || ' of ' || city || '</div></body></html>'""",
+    "listing": """'<html><head><meta name="keywords" content="' || description || '"></head><body><h1>' || name || ' on ' || day || '</h1><ul><li>Location: <strong>' || city || ', ' || country || '</strong></li>' || case when k % 3 = 0 then '' else '<li>Date: ' || day || '</li>' end || case when k % 4 = 0 then '' else '<li>Organization: ' || host || '</li>' end || case when k % 5 = 0 then '<li>Venue: Hall ' || (k % 100) || ', ' || city || ', State, ' || country || '</li>' else '' end || '<li><a href="/conferences/' || lower(country) || '">' || country || ' events</a></li></ul><a href="/event/' || k || '/program">Program</a><div id="event-description">About <b>' || name || '</b></div><div id="event-organization">' || host || ' of ' || city || '</div></body></html>'""",
     "ticket": """'<html><head>' || ld || '</head><body><h1> ' || name || ' </h1><a class="eps-org-container" href="/org/' || k || '"><h2 class="eps-org-name">' || host || '</h2></a><div data-ehref="https://go.example.com/go.php?id=' || k || '">Tickets</div><a href="/' || lower(replace(city, ' ', '-')) || '/business">' || city || ' business events</a></body></html>'""",
     "rows": """'<html><body><input id="desktopdropdown" value=" /ajax/' || k || ' "><table id="listing-events"><tbody><tr class="event-card x"><td><div class="eventTime b" data-start-date="' || day || '" data-end-date="' || day || '">' || day || '</div></td><td data-id="' || k || '" onclick="window.open(''' || site || '/event/' || k || '?a=1'')"><h2 data-edition="' || k || '">' || name || '</h2></td><td>' || city || '</td><td>' || description || '</td>' || case when k % 2 = 0 then '<td>' || country || '</td><td>' || partner || '</td>' else '' end || '</tr><tr class="other"><td>x</td><td>y</td></tr></tbody></table><div id="featured-events"><div class="premium-event event-card"><span data-id="' || k || '" onclick="window.open(''' || site || '/event/f' || k || ''')">go</span><h3>' || speaker || ' gala</h3><div class="eventTime" data-start-date="' || day || '">' || day || '</div></div></div><script type="application/ld+json">[{"@type":"ItemList","itemListElement":[{"position":1,"item":"' || site || '/event/' || k || '","name":"Listed ' || name || '"},{"position":2,"item":{"@type":"Event","url":"' || site || '/event/j' || k || '","name":"' || speaker || '","startDate":"' || day || '","location":{"@type":"Place","name":"' || city || '"}}},{"item":"' || site || '/about"}]},{"@type":"Course Event","name":"' || host || '","location":[{"url":"' || site || '/conference/' || k || '"}]}]</script><a href="' || site || '/events/a' || k || '" title="' || partner || '">See</a></body></html>'""",
     "pager": """'<html><head><link rel="next" href="/list/' || k || '?page=9"></head><body><a href="/list/' || k || '?page=2#x">2</a><a href="/list/' || k || '?page=3">3</a><a href="/list/' || k || '?page=2">again</a><a href="https://other.example.org/?page=4">4</a><a href="/list/' || k || '/pdf?page=5">5</a><a href="/more/' || k || '">older</a><a href="/list/' || k || '?page=6" rel="nofollow next">six</a></body></html>'""",
