@@ -72,11 +72,13 @@ _WORDS = re.compile(r"[^a-z0-9]+")
 class Node:
     """``size``: characters of the subtree's text, ``linked``: those in links; ``inside``: it stands in the article; ``shape``: of a list of links."""
 
-    __slots__ = ("tag", "words", "names", "children", "digest", "holds_article", "size", "linked", "inside", "shape")
+    __slots__ = ("tag", "words", "names", "children", "digest", "holds_article", "size", "linked", "inside", "shape", "tops")
 
     def __init__(self, tag: str, words: frozenset[str] = frozenset(), names: frozenset[str] = frozenset()):
         self.tag, self.words, self.names, self.children, self.digest, self.holds_article = tag, words, names, [], 0, False
         self.size, self.linked, self.inside, self.shape = 0, 0, False, ""
+        #: of a page's root: where its article is, None if markup doesn't say so
+        self.tops: list[Node] | None = None
 
     def key(self) -> int:
         return self.digest if self.inside else self.digest ^ _AROUND
@@ -176,7 +178,10 @@ def hash_subtrees(root: Node, host: str) -> list[Node]:
         if node.size and node.linked == node.size:
             node.shape = "a" if node.tag == "a" else f"{node.tag}({','.join(shape)})"
         node.digest = (_hash("\x00".join((host, *parts)).encode("utf-8", "surrogatepass")) or 1) if node.size else 0
-    for top in article_roots(root):
+    declared = root.holds_article
+    tops = article_roots(root)
+    root.tops = None if declared else tops
+    for top in tops:
         for node in _post_order(top):
             node.inside = True
     return nodes
@@ -184,12 +189,7 @@ def hash_subtrees(root: Node, host: str) -> list[Node]:
 
 def most_text(root: Node) -> Node | None:
     """What stands for the article without markup of its own; None with it, or where it is the whole page."""
-    if any(_declares(n) for n in _post_order(root)):
-        return None
-    node, top = root, root
-    while (node := next((c for c in node.children if not isinstance(c, str) and c.holds_article), None)) is not None:
-        top = node
-    return top if top is not root else None
+    return root.tops[0] if root.tops and root.tops[0] is not root else None
 
 
 def without_dominant(root: Node, known) -> None:
@@ -278,9 +278,19 @@ def _roots(root: Node, templates) -> list[Node]:
 
 
 def blocks(root: Node, templates) -> list[str]:
-    """The article's blocks in page order, white space made single."""
+    """The article's blocks in page order, white space made single; a page that is mostly recurring prose keeps it."""
+    hits = 0
+
+    def counted(node: Node) -> bool:
+        nonlocal hits
+        found = templates(node)
+        hits += found
+        return found
+
+    out = _blocks(root, counted, True)
+    if not hits:
+        return out
     strict = _blocks(root, templates, False)
-    out = _blocks(root, templates, True)
     return out if 2 * sum(map(len, out)) >= sum(map(len, strict)) else strict
 
 
@@ -345,7 +355,7 @@ def subtree_hashes(pages: DataFrame) -> DataFrame:
             for url, html in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 root, host = parse(html or ""), host_of(url)
                 nodes = hash_subtrees(root, host)
-                tops = article_roots(root)
+                tops = root.tops or article_roots(root)
                 page = _hash("\n".join(t for top in tops for t in _read(top, True, _never, False)).encode("utf-8", "surrogatepass"))
                 name = _hash(host.encode("utf-8", "surrogatepass"))
                 mine = {(n.key(), n.inside, _BLOCK if _furniture(n) else _PROSE) for n in _candidates(nodes)}
