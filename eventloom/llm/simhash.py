@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventloom.llm.common import id_key, small_batches, staged, table, utf8
+from eventloom.llm.common import id_key, small_batches, staged, table, unstaged, utf8
 from eventloom.llm.graph import components
 
 SEED = 42
@@ -179,15 +179,22 @@ def similar_groups(docs: DataFrame, width: int = 5, similarity: float = 0.8, rad
     chain = inside.withColumn("x", F.lag("_key").over(order)).filter("x is not null").select("x", F.col("_key").alias("y"))
     every = near.unionByName(same).unionByName(star).unionByName(chain)
     tried = staged(every.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).dropDuplicates(), "candidates")
-    links = staged(_verified(tried, texts, width, similarity, text), "links")
+    links = _verified(tried, texts, width, similarity, text)
+    n_texts = rows.count()
+    unstaged(rows, prints)
 
-    posts = _postings(texts, rows.count(), width, similarity, text)
+    posts = _postings(texts, n_texts, width, similarity, text)
     if posts.filter(F.col("df") > STAR).limit(1).count():
         # the text whose shingles are the most common of a bucket is likely the one that the others were made of
-        pairs = staged(_new_pairs(_stars(_open(posts, links), similarity), tried), "candidates")
+        open_ = _open(posts, links)
+        pairs = staged(_new_pairs(_stars(open_, similarity), tried), "candidates")
+        unstaged(open_)
         tried = tried.unionByName(pairs)
         links = staged(links.unionByName(_verified(pairs, texts, width, similarity, text)), "links")
-    pairs = staged(_new_pairs(_bucket_pairs(_open(posts, links), similarity, block), tried), "candidates")
+    open_ = _open(posts, links)
+    unstaged(posts)
+    pairs = staged(_new_pairs(_bucket_pairs(open_, similarity, block), tried), "candidates")
+    unstaged(open_)
     links = staged(links.unionByName(_verified(pairs, texts, width, similarity, text)), "links")
     return _named(links)
 
@@ -245,14 +252,18 @@ def _postings(texts: DataFrame, n_texts: int, width: int, similarity: float, tex
     heads = staged(source.mapInArrow(prefixes, "_key long, n long, toks array<long>").dropDuplicates(["_key"]), "prefixes")
     posts = heads.select("_key", "n", F.explode("toks").alias("tok"))
     shared = posts.groupBy("tok").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
-    return staged(posts.join(shared, "tok").select("tok", "_key", "n", "df"), "postings")
+    out = staged(posts.join(shared, "tok").select("tok", "_key", "n", "df"), "postings")
+    unstaged(heads)
+    return out
 
 
 def _open(posts: DataFrame, links: DataFrame) -> DataFrame:
     """The buckets of ``posts`` that hold texts of more than one group, with each text's ``_root``."""
     rooted = staged(posts.join(_named(links), "_key", "left").withColumn("_root", F.coalesce("_root", "_key")), "rooted")
     mixed = rooted.groupBy("tok").agg(F.min("_root").alias("low"), F.max("_root").alias("high")).filter("low <> high").select("tok")
-    return staged(rooted.join(mixed, "tok", "left_semi"), "open")
+    out = staged(rooted.join(mixed, "tok", "left_semi"), "open")
+    unstaged(rooted)
+    return out
 
 
 def _alike(a: str, b: str, similarity: float) -> Column:
@@ -305,7 +316,9 @@ def _verified(pairs: DataFrame, texts: DataFrame, width: int, similarity: float,
                 keep.append((len(a) + len(b) == 0) or both >= similarity * (len(a) + len(b) - both))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["x", "y"]).filter(pa.array(keep, pa.bool_()))
 
-    return joined.select("x", "y", "p", "q").mapInArrow(compare, "x long, y long")
+    out = staged(joined.select("x", "y", "p", "q").mapInArrow(compare, "x long, y long"), "links")
+    unstaged(sets)
+    return out
 
 
 def drop_near_duplicates(docs: DataFrame, width: int = 5, similarity: float = 0.8, text: str = "text") -> DataFrame:
