@@ -30,11 +30,26 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/eventloom/{name}-{uuid.uuid4().hex}"
 
 
+#: Lets a query's shuffle files go when it ends, not when the driver next collects garbage.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: later steps survive lost executors."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    """Write ``df`` to the shared folder and read it back: later steps survive lost executors.
+
+    Once the table stands, nothing reads the shuffle files that went into it; they are removed then.
+    """
+    spark = df.sparkSession
+    path, before = scratch_path(spark, name), spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANUP)
+        else:
+            spark.conf.set(CLEANUP, before)
+    out = spark.read.schema(df.schema).parquet(path)
     out._staged_at = path
     return out
 
