@@ -211,7 +211,7 @@ def _named(links: DataFrame) -> DataFrame:
 
 
 def _postings(texts: DataFrame, n_texts: int, width: int, similarity: float, text: str) -> DataFrame:
-    """``tok, _key, n, df``: the shingles of each text's prefix that stand in other prefixes too.
+    """``tok, _key, n, pos, df``: the shingles of each text's prefix that stand in other prefixes too, with their places in it.
 
     With ``n`` shingles in one order for all texts, two sets of the similarity share one of the first
     ``n - ceil(similarity * n) + 1`` of each. Any order will do; common shingles come last, by their
@@ -227,9 +227,12 @@ def _postings(texts: DataFrame, n_texts: int, width: int, similarity: float, tex
             sets = [np.unique(shingle_hashes(t, width)) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.zeros(0, np.uint64), *sets]).view(np.int64))], names=["tok"])
 
-    sample = source.filter(F.pmod("_key", F.lit(every)) == 0).dropDuplicates(["_key"])
+    # copies count as often as they stand there: that only puts their shingles later
+    sample = source.filter(F.pmod("_key", F.lit(every)) == 0)
     counts = sample.mapInArrow(all_hashes, "tok long").groupBy("tok").agg(F.count(F.lit(1)).alias("c"))
-    often = counts.filter(F.col("c") > max(8, n_texts // every // 1000)).orderBy(F.desc("c"), "tok").limit(COMMON).toArrow()
+    counts = staged(counts.filter(F.col("c") > max(8, n_texts // every // 1000)), "common")
+    often = counts.orderBy(F.desc("c"), "tok").limit(COMMON).toArrow()
+    unstaged(counts)
     toks = often.column("tok").to_numpy().view(np.uint64)
     by_tok = np.argsort(toks)
     common = spark.sparkContext.broadcast((toks[by_tok], often.column("c").to_numpy()[by_tok]))
@@ -250,9 +253,9 @@ def _postings(texts: DataFrame, n_texts: int, width: int, similarity: float, tex
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(heads, pa.list_(pa.int64()))], names=["_key", "n", "toks"])
 
     heads = staged(source.mapInArrow(prefixes, "_key long, n long, toks array<long>").dropDuplicates(["_key"]), "prefixes")
-    posts = heads.select("_key", "n", F.explode("toks").alias("tok"))
+    posts = heads.select("_key", "n", F.posexplode("toks").alias("pos", "tok"))
     shared = posts.groupBy("tok").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
-    out = staged(posts.join(shared, "tok").select("tok", "_key", "n", "df"), "postings")
+    out = staged(posts.join(shared, "tok").select("tok", "_key", "n", "pos", "df"), "postings")
     unstaged(heads)
     return out
 
@@ -271,6 +274,15 @@ def _alike(a: str, b: str, similarity: float) -> Column:
     return F.least(a, b) >= similarity * F.greatest(a, b) - 1e-9
 
 
+def _reach(a: str, i: str, b: str, j: str, similarity: float) -> Column:
+    """Sets of ``a`` and ``b`` shingles whose first common one is at places ``i`` and ``j`` can share as many as the similarity asks for.
+
+    Of two similar sets that holds at their first common shingle, so no pair is lost that is tested at each.
+    """
+    most = F.least(F.col(a) - F.col(i), F.col(b) - F.col(j))
+    return most >= similarity / (1 + similarity) * (F.col(a) + F.col(b)) - 1e-6
+
+
 def _stars(posts: DataFrame, similarity: float) -> DataFrame:
     central = posts.groupBy("_key").agg(F.sum("df").alias("c"))
     large = posts.filter(F.col("df") > STAR).join(central, "_key")
@@ -282,10 +294,10 @@ def _bucket_pairs(posts: DataFrame, similarity: float, block: int) -> DataFrame:
     """Each pair of a bucket's texts of different groups; a large bucket is dealt by pairs of blocks."""
     parts = F.ceil(F.col("df") / block)
     dealt = posts.withColumn("p", F.pmod(F.xxhash64("_key"), parts)).withColumn("last", parts - 1)
-    left = dealt.select("tok", F.col("_key").alias("x"), F.col("n").alias("m"), F.col("_root").alias("r"), F.col("p").alias("i"), F.explode(F.sequence("p", "last")).alias("j"))
-    right = dealt.select("tok", F.col("_key").alias("y"), "n", "_root", F.explode(F.sequence(F.lit(0).cast("long"), "p")).alias("i"), F.col("p").alias("j"))
+    left = dealt.select("tok", F.col("_key").alias("x"), F.col("n").alias("m"), F.col("pos").alias("at"), F.col("_root").alias("r"), F.col("p").alias("i"), F.explode(F.sequence("p", "last")).alias("j"))
+    right = dealt.select("tok", F.col("_key").alias("y"), "n", "pos", "_root", F.explode(F.sequence(F.lit(0).cast("long"), "p")).alias("i"), F.col("p").alias("j"))
     once = (F.col("r") != F.col("_root")) & ((F.col("i") < F.col("j")) | (F.col("x") < F.col("y")))
-    return left.join(right, ["tok", "i", "j"]).filter(once & _alike("n", "m", similarity)).select("x", "y")
+    return left.join(right, ["tok", "i", "j"]).filter(once & _alike("n", "m", similarity) & _reach("m", "at", "n", "pos", similarity)).select("x", "y")
 
 
 def _new_pairs(pairs: DataFrame, tried: DataFrame) -> DataFrame:
