@@ -157,9 +157,9 @@ def similar_groups(docs: DataFrame, width: int = 5, similarity: float = 0.8, rad
 
     Two texts are near-duplicates if the Jaccard similarity of their sets of shingles is ``similarity`` or
     more; a group is a component of such pairs, all of them. A first pass links what shares a
-    neighbourhood of SimHash fingerprints or one of ``samples`` marks, each text with the smallest key
+    neighbourhood of SimHash fingerprints or ``MARKS`` of ``samples`` marks, each text with the smallest key
     of a mark and with its neighbour by fingerprint. The second checks every pair that the first left in
-    different groups and that a prefix filter can't rule out.
+    different groups and that the shingles which two prefixes share can't rule out.
     """
     if seed is None:
         seed = text_seed(docs, text)
@@ -173,12 +173,14 @@ def similar_groups(docs: DataFrame, width: int = 5, similarity: float = 0.8, rad
     marked = rows.select("_key", "fp", F.posexplode("marks").alias("k", "mark"))
     shared = marked.groupBy("k", "mark").agg(F.count(F.lit(1)).alias("n"), F.min("_key").alias("one")).filter("n > 1").drop("n")
     inside = marked.join(shared, ["k", "mark"])
-    star = inside.filter("_key <> one").select(F.col("one").alias("x"), F.col("_key").alias("y"))
+    star = inside.filter("_key <> one").select(F.col("one").alias("x"), F.col("_key").alias("y"), F.lit(1).alias("star"), F.lit(0).alias("chain"))
     # neighbours in a mark's order of fingerprints; a part of the fingerprint splits large marks
     order = Window.partitionBy("k", "mark", F.shiftrightunsigned("fp", 58)).orderBy("fp", "_key")
-    chain = inside.withColumn("x", F.lag("_key").over(order)).filter("x is not null").select("x", F.col("_key").alias("y"))
-    every = near.unionByName(same).unionByName(star).unionByName(chain)
-    tried = staged(every.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).dropDuplicates(), "candidates")
+    chain = inside.withColumn("x", F.lag("_key").over(order)).filter("x is not null").select("x", F.col("_key").alias("y"), F.lit(0).alias("star"), F.lit(1).alias("chain"))
+    sure = near.unionByName(same).select("x", "y", F.lit(MARKS).alias("star"), F.lit(MARKS).alias("chain"))
+    every = sure.unionByName(star).unionByName(chain).groupBy(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
+    often = every.agg(F.sum("star").alias("star"), F.sum("chain").alias("chain")).filter(F.greatest("star", "chain") >= MARKS)
+    tried = staged(often.select("x", "y"), "candidates")
     links = _verified(tried, texts, width, similarity, text)
     n_texts = rows.count()
     unstaged(rows, prints)
@@ -203,6 +205,8 @@ def similar_groups(docs: DataFrame, width: int = 5, similarity: float = 0.8, rad
 SAMPLE, COMMON = 20_000, 200_000
 #: Buckets of more texts are compared with their most central text before all with all.
 STAR = 64
+#: Marks that a pair of the first pass shares; what shares fewer is left to the second, which misses nothing.
+MARKS = 2
 
 
 def _named(links: DataFrame) -> DataFrame:
@@ -274,30 +278,48 @@ def _alike(a: str, b: str, similarity: float) -> Column:
     return F.least(a, b) >= similarity * F.greatest(a, b) - 1e-9
 
 
-def _reach(a: str, i: str, b: str, j: str, similarity: float) -> Column:
-    """Sets of ``a`` and ``b`` shingles whose first common one is at places ``i`` and ``j`` can share as many as the similarity asks for.
+def _needed(a: str, b: str, similarity: float) -> Column:
+    """How many shingles two sets of ``a`` and ``b`` shingles of the similarity share at least."""
+    return similarity / (1 + similarity) * (F.col(a) + F.col(b)) - 1e-6
 
-    Of two similar sets that holds at their first common shingle, so no pair is lost that is tested at each.
+
+def _in_step(a: str, i: str, b: str, j: str, similarity: float) -> Column:
+    """A shingle at places ``i`` and ``j`` of sets of ``a`` and ``b`` shingles can be common to similar sets.
+
+    At most ``least(i, j)`` common ones come before it. Of two similar sets that holds at every common shingle.
     """
-    most = F.least(F.col(a) - F.col(i), F.col(b) - F.col(j))
-    return most >= similarity / (1 + similarity) * (F.col(a) + F.col(b)) - 1e-6
+    most = F.least(F.col(a) - F.col(i), F.col(b) - F.col(j)) + F.least(i, j)
+    return most >= _needed(a, b, similarity)
 
 
 def _stars(posts: DataFrame, similarity: float) -> DataFrame:
     central = posts.groupBy("_key").agg(F.sum("df").alias("c"))
     large = posts.filter(F.col("df") > STAR).join(central, "_key")
     best = large.groupBy("tok").agg(F.max(F.struct("c", "_key", "n", "_root")).alias("s")).select("tok", F.col("s._key").alias("x"), F.col("s.n").alias("m"), F.col("s._root").alias("r"))
-    return large.join(best, "tok").filter((F.col("_root") != F.col("r")) & _alike("n", "m", similarity)).select("x", F.col("_key").alias("y"))
+    pairs = large.join(best, "tok").filter((F.col("_root") != F.col("r")) & _alike("n", "m", similarity))
+    # a quarter of a prefix that is a fifth of the set; what shares less is left to the comparison of all with all
+    return pairs.groupBy("x", F.col("_key").alias("y"), "n").agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") * 20 >= F.col("n")).select("x", "y")
 
 
 def _bucket_pairs(posts: DataFrame, similarity: float, block: int) -> DataFrame:
-    """Each pair of a bucket's texts of different groups; a large bucket is dealt by pairs of blocks."""
+    """Pairs of texts of different groups that can be of the similarity, by all shingles that their prefixes share.
+
+    A large bucket is dealt by pairs of blocks. If the prefixes share ``c`` shingles, the last of them at places
+    ``i`` and ``j``, the sets share at most ``c`` and what follows those places in the shorter rest.
+    """
     parts = F.ceil(F.col("df") / block)
     dealt = posts.withColumn("p", F.pmod(F.xxhash64("_key"), parts)).withColumn("last", parts - 1)
     left = dealt.select("tok", F.col("_key").alias("x"), F.col("n").alias("m"), F.col("pos").alias("at"), F.col("_root").alias("r"), F.col("p").alias("i"), F.explode(F.sequence("p", "last")).alias("j"))
     right = dealt.select("tok", F.col("_key").alias("y"), "n", "pos", "_root", F.explode(F.sequence(F.lit(0).cast("long"), "p")).alias("i"), F.col("p").alias("j"))
     once = (F.col("r") != F.col("_root")) & ((F.col("i") < F.col("j")) | (F.col("x") < F.col("y")))
-    return left.join(right, ["tok", "i", "j"]).filter(once & _alike("n", "m", similarity) & _reach("m", "at", "n", "pos", similarity)).select("x", "y")
+    met = left.join(right, ["tok", "i", "j"]).filter(once & _alike("n", "m", similarity) & _in_step("m", "at", "n", "pos", similarity))
+    # a pair may meet in either order, by its blocks
+    one, other = F.struct(F.col("x").alias("k"), F.col("m").alias("n"), F.col("at").alias("p")), F.struct(F.col("y").alias("k"), F.col("n").alias("n"), F.col("pos").alias("p"))
+    met = met.select(F.least(one, other).alias("a"), F.greatest(one, other).alias("b"))
+    met = met.select(F.col("a.k").alias("x"), F.col("a.n").alias("m"), F.col("a.p").alias("at"), F.col("b.k").alias("y"), F.col("b.n").alias("n"), F.col("b.p").alias("pos"))
+    shared = met.groupBy("x", "y", "m", "n").agg(F.count(F.lit(1)).alias("c"), F.max("at").alias("at"), F.max("pos").alias("pos"))
+    most = F.col("c") + F.least(F.col("m") - F.col("at"), F.col("n") - F.col("pos")) - 1
+    return shared.filter(most >= _needed("m", "n", similarity)).select("x", "y")
 
 
 def _new_pairs(pairs: DataFrame, tried: DataFrame) -> DataFrame:
@@ -305,18 +327,50 @@ def _new_pairs(pairs: DataFrame, tried: DataFrame) -> DataFrame:
     return ordered.join(tried, ["x", "y"], "left_anti")
 
 
+def _sketch(hashes: np.ndarray) -> bytes:
+    """A bitmap of 4 to 8 bits per hash, a power of two of them, that has the bit of each hash."""
+    bits = np.zeros(1 << max(6, (4 * len(hashes) - 1).bit_length()), bool)
+    bits[hashes & np.uint64(len(bits) - 1)] = True
+    return np.packbits(bits, bitorder="little").tobytes()
+
+
+def _most_shared(m: int, p: bytes, n: int, q: bytes) -> int:
+    """The most that sets of ``m`` and ``n`` hashes with these sketches share: a bit that one lacks is a hash that it lacks."""
+    a, b = np.frombuffer(p, np.uint8), np.frombuffer(q, np.uint8)
+    while len(a) > len(b):
+        a = a[: len(a) // 2] | a[len(a) // 2 :]
+    while len(b) > len(a):
+        b = b[: len(b) // 2] | b[len(b) // 2 :]
+    return min(m - int(np.bitwise_count(a & ~b).sum()), n - int(np.bitwise_count(b & ~a).sum()))
+
+
 def _verified(pairs: DataFrame, texts: DataFrame, width: int, similarity: float, text: str) -> DataFrame:
-    """Pairs whose texts' sets of shingles are similar enough. Only texts that stand in a pair are read."""
-    used = pairs.select(F.col("x").alias("_key")).unionByName(pairs.select(F.col("y").alias("_key"))).dropDuplicates()
-    raw = texts.join(used, "_key", "left_semi").select("_key", utf8(text).alias("_text"))
+    """Pairs whose texts' sets of shingles are similar enough. Only texts that stand in a pair are read.
+
+    Sketches, a tenth of the sets' bytes, rule out most others before whole sets travel.
+    """
+    used = staged(pairs.select(F.col("x").alias("_key")).unionByName(pairs.select(F.col("y").alias("_key"))).dropDuplicates(), "used")
+    # the written table's size lets Spark send it to all tasks only if it is small, else both sides are shuffled once
+    raw = texts.join(used, "_key", "left_semi").select("_key", utf8(text).alias("_text")).dropDuplicates(["_key"])
 
     def hash_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [np.unique(shingle_hashes(t, width)).tobytes() for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["_key", "s"])
+            sets = [np.unique(shingle_hashes(t, width)) for t in batch.column(1).to_pylist()]
+            columns = [batch.column(0), pa.array(map(len, sets), pa.int64()), pa.array(map(_sketch, sets), pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["_key", "n", "b", "s"])
+
+    sets = staged(raw.mapInArrow(hash_sets, "_key long, n long, b binary, s binary"), "shingles")
+    left, right = (sets.select(F.col("_key").alias(e), F.col("n").alias(f"n{e}"), F.col("b").alias(f"b{e}")) for e in "xy")
+
+    def possible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = zip(*[batch.column(k).to_pylist() for k in range(2, 6)], strict=True)
+            keep = [_most_shared(m, p, n, q) >= similarity / (1 + similarity) * (m + n) - 1e-6 for m, p, n, q in rows]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["x", "y"]).filter(pa.array(keep, pa.bool_()))
 
-    sets = staged(raw.mapInArrow(hash_sets, "_key long, s binary").dropDuplicates(["_key"]), "shingles")
-    joined = pairs.join(sets.select(F.col("_key").alias("x"), F.col("s").alias("p")), "x").join(sets.select(F.col("_key").alias("y"), F.col("s").alias("q")), "y")
+    sketched = pairs.join(left, "x").join(right, "y").select("x", "y", "nx", "bx", "ny", "by")
+    likely = staged(sketched.mapInArrow(possible, "x long, y long"), "likely")
+    joined = likely.join(sets.select(F.col("_key").alias("x"), F.col("s").alias("p")), "x").join(sets.select(F.col("_key").alias("y"), F.col("s").alias("q")), "y")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -329,7 +383,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, width: int, similarity: float,
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["x", "y"]).filter(pa.array(keep, pa.bool_()))
 
     out = staged(joined.select("x", "y", "p", "q").mapInArrow(compare, "x long, y long"), "links")
-    unstaged(sets)
+    unstaged(sets, used, likely)
     return out
 
 

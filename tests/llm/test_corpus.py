@@ -6,6 +6,7 @@ import random
 import re
 import zlib
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -342,3 +343,17 @@ def test_pipeline_stages(spark, sf):
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality", "line_dedup", "simhash", "decontaminate", "mixing"]
     out = corpus_pipeline.run(spark, sf)
     assert 0 < out.count() < docs.count() and out.filter("taken > 3 * size").count() == 0
+
+
+def test_sketches_never_understate():
+    rng = np.random.default_rng(5)
+    for size in (0, 1, 7, 60, 400, 3000):
+        a = np.unique(rng.integers(0, 2**63, size).astype(np.uint64))
+        for kept in (0.0, 0.5, 0.9, 1.0):
+            own = a[: int(len(a) * kept)]
+            b = np.unique(np.concatenate([own, rng.integers(0, 2**63, int(size * (1.1 - kept))).astype(np.uint64)]))
+            both = len(np.intersect1d(a, b))
+            most = simhash._most_shared(len(a), simhash._sketch(a), len(b), simhash._sketch(b))
+            assert both <= most <= min(len(a), len(b))
+            if size >= 400 and kept == 0.5:
+                assert most < 0.8 * size
