@@ -182,7 +182,7 @@ def decode_ids(encoded: DataFrame, path: str, pattern: str, ids: str = "ids") ->
     small_batches(encoded.sparkSession, 64)
     kept = [c for c in encoded.columns if c != "decoded"]
     source = encoded.select(*[F.col(f"`{c}`") for c in kept])
-    schema = source.withColumn("decoded", F.lit(b"")).schema
+    schema = source.withColumn("decoded", F.lit(None).cast("binary")).schema
     at = kept.index(ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -114,17 +114,18 @@ def fill_in_middle(docs: DataFrame, text: str = "text", id: str = "doc_id", seed
     """
     small_batches(docs.sparkSession, 128)
     kept = [F.col(f"`{c}`") for c in docs.columns if c != text and c not in MADE]
-    source = docs.select(*kept, *[h.alias(f"fim_h{k}") for k, h in enumerate(random_numbers(F.col(f"`{id}`"), seed))], utf8(f"`{text}`").alias("fim_text"))
+    given = F.struct(*[h.alias(f"h{k}") for k, h in enumerate(random_numbers(F.col(f"`{id}`"), seed))], utf8(f"`{text}`").alias("text"))
+    source = docs.select(*kept, given.alias("fim_text"))
     kinds = ("long", "string", "long", "long")
     schema = docs.select(*kept, *[F.lit(None).cast(t).alias(c) for c, t in zip(MADE, kinds)], F.lit(b"").alias(MADE[-1])).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            *h, texts = (c.to_pylist() for c in batch.columns[-5:])
+            *h, texts = (c.to_pylist() for c in batch.columns[-1].flatten())
             rows = [transform(t, own, markers, rates) for t, *own in zip(texts, *h, strict=True)]
             made = list(zip(*rows, strict=True)) or [()] * 5
             types = (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.binary())
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-5], *[pa.array(v, t) for v, t in zip(made, types)]], names=[*batch.schema.names[:-5], *MADE])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *[pa.array(v, t) for v, t in zip(made, types)]], names=[*batch.schema.names[:-1], *MADE])
 
     return source.mapInArrow(run, schema).withColumn("fim_text", F.col("fim_text").cast("string"))
 

@@ -18,25 +18,27 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventloom.llm.common import NO_ID, staged, table, unstaged
+from eventloom.llm.quality import _let as let
 from eventloom.llm.quality import words
 
 FILTERS = "ABCDE"
-#: Code points of the first block, and how much longer each next one is.
+#: Bytes of the first block, and how much longer each next one is.
 BLOCK, GROWTH = 256, 4
 #: Ids of texts to be compared that go to every task at most (16 MB); more are found by a shuffle.
 BROADCAST_IDS = 1_000_000
 
 
-def failures(text: Column) -> list[Column]:
-    """Whether a text, never null, fails each of the filters that look at it alone."""
-    w = words(text)
-    capitals = F.octet_length(text) - F.octet_length(F.regexp_replace(text, "[A-Z]+", ""))
-    return [
-        F.size(w) < 50,
-        100 * F.size(F.array_distinct(w)) < 65 * F.size(w),
-        100 * capitals > 5 * F.char_length(text),
-        text.rlike("[#$%&*|]"),
-    ]
+def failures(text: Column) -> Column:
+    """A mask of the filters that look at a text, never null, alone: bit k is set where it fails filter k."""
+    counts = let(words(text), lambda w: F.struct(F.size(w).alias("words"), F.size(F.array_distinct(w)).alias("kinds")))
+    capitals = F.octet_length(F.regexp_replace(text, "[^A-Z]+", ""))
+    symbols = reduce(lambda a, b: a | b, [F.contains(text, F.lit(x)) for x in "#$%&*|"])
+
+    def masked(n: Column) -> Column:
+        fails = [n["words"] < 50, 100 * n["kinds"] < 65 * n["words"], 100 * capitals > 5 * F.char_length(text), symbols]
+        return reduce(lambda a, b: a + b, [F.when(x, 1 << k).otherwise(0) for k, x in enumerate(fails)])
+
+    return let(counts, masked)
 
 
 def _sortable(docs: DataFrame, id: str) -> Column:
@@ -48,12 +50,12 @@ def _sortable(docs: DataFrame, id: str) -> Column:
 
 
 def _block_hashes(text: Column) -> Column:
-    """Hashes of the blocks, as many as the text's length asks for."""
-    length = F.char_length(text)
-    # blocks before block k hold BLOCK * (GROWTH ** k - 1) / (GROWTH - 1) code points
-    begins = [BLOCK * (GROWTH**k - 1) // (GROWTH - 1) for k in range(17)]  # the last begins beyond 2 ** 31
-    blocks = F.array(*[F.when(length > b, F.xxhash64(F.substring(text, b + 1, min(BLOCK * GROWTH**k, 2**31 - 1)))) for k, b in enumerate(begins) if b < 2**31 - 1])
-    return F.array_compact(blocks)
+    """Hashes of the blocks, as many as the text's UTF-8 bytes ask for."""
+    data, size = text.cast("binary"), F.octet_length(text)
+    # blocks before block k hold BLOCK * (GROWTH ** k - 1) / (GROWTH - 1) bytes
+    begins = [(BLOCK * (GROWTH**k - 1) // (GROWTH - 1), BLOCK * GROWTH**k) for k in range(16)]
+    blocks = [F.when(size > at, F.xxhash64(F.substring(data, at + 1, min(n, 2**31 - 1)))) for at, n in begins if at < 2**31 - 1]
+    return F.array_compact(F.array(*blocks))
 
 
 def _class(length: Column, blocks: Column) -> Column:
@@ -114,7 +116,7 @@ def mask_counts(docs: DataFrame, labels: DataFrame, text: str = "text", id: str
     )
     rows = docs.select(
         F.col(f"`{id}`").alias("given"), _sortable(docs, id).alias("id"), F.coalesce(F.col(f"`{part}`").cast("string"), F.lit("")).alias("part"),
-        reduce(lambda a, b: a + b, [F.when(fails, 1 << k).otherwise(0) for k, fails in enumerate(failures(own))]).alias("mask"),
+        failures(own).alias("mask"),
         F.char_length(own).alias("length"), _block_hashes(own).alias("blocks"),
     )
     rows = rows.join(marks, F.col("given") == F.col("labelled"), "left").select(
