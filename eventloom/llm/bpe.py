@@ -5,6 +5,9 @@ other, the pair of neighbouring parts with the lowest rank is merged, the leftmo
 has a rank. The pairs are known by the byte at which their left part begins, and a segment tree over these byte
 positions keeps the leftmost lowest rank of every stretch: its root is the next merge. A merge changes three
 leaves, each of which costs a logarithm of the match's length, so a match of any length takes n log n steps.
+
+Short matches that a batch of texts brings for the first time are worked on together: their trees are the rows of one
+array, and each round makes the next merge of every one of them.
 """
 
 from __future__ import annotations
@@ -12,7 +15,6 @@ from __future__ import annotations
 import base64
 from array import array
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +25,9 @@ from pyspark.sql import functions as F
 from eventloom.llm.common import small_batches, table, utf8
 
 #: Matches whose ids a worker keeps at most, and the longest match, in characters, that it keeps.
-CACHE_MATCHES, CACHE_CHARS = 400_000, 48
+CACHE_MATCHES, CACHE_CHARS = 600_000, 48
+#: Bytes of a match that is worked on with others, and bytes of all those in one array.
+FOREST_BYTES, FOREST_CELLS = 64, 1 << 18
 #: A leaf holds its pair's rank above as many bits of its position.
 PLACE_BITS = 40
 NO_PAIR = (1 << 62) - 1
@@ -95,8 +99,69 @@ def read_ranks(path: str) -> dict[bytes, int]:
     return ranks
 
 
+class MergeForest:
+    """Trees of many short matches of up to ``width`` bytes, a row each; see ``MergeTree`` for one."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        """Ranks by the ids of two parts: all ways to cut a token in two tokens, in order."""
+        at = {}
+        for token, rank in ranks.items():
+            for k in range(1, len(token)):
+                a, b = ranks.get(token[:k]), ranks.get(token[k:])
+                if a is not None and b is not None:
+                    at[a << 32 | b] = rank
+        self.codes = np.array(sorted(at), np.int64)
+        self.found = np.array([at[c] for c in self.codes.tolist()], np.int64)
+        self.of_byte = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
+
+    def _pairs(self, left: np.ndarray, right: np.ndarray, place: np.ndarray) -> np.ndarray:
+        """Leaves of pairs of ids."""
+        if not len(self.codes):
+            return np.full(len(left), NO_PAIR)
+        code = left << 32 | right
+        k = np.minimum(np.searchsorted(self.codes, code), len(self.codes) - 1)
+        return np.where(self.codes[k] == code, self.found[k] << PLACE_BITS | place, NO_PAIR)
+
+    def merged(self, matches: list[bytes], width: int) -> list[bytes]:
+        """The ids of each match, as 32-bit integers in bytes; ``width`` is a power of two."""
+        count = len(matches)
+        sizes = np.fromiter(map(len, matches), np.int64, count)
+        given = np.frombuffer(b"".join(m.ljust(width, b"\0") for m in matches), np.uint8).reshape(count, width)
+        live = np.arange(width) < sizes[:, None]
+        part = np.zeros((count, width + 1), np.int64)  # the id of the part that begins at a byte
+        part[:, :width] = self.of_byte[given]
+        after = np.broadcast_to(np.arange(1, width + 2), (count, width + 1)).copy()
+        before = np.broadcast_to(np.arange(-1, width), (count, width + 1)).copy()
+        low = np.full((count, 2 * width), NO_PAIR, np.int64)
+        row, at = np.nonzero(live[:, 1:])
+        low[row, width + at] = self._pairs(part[row, at], part[row, at + 1], at)
+        level = width
+        while level > 1:
+            half = level >> 1
+            low[:, half:level] = np.minimum(low[:, level : 2 * level : 2], low[:, level + 1 : 2 * level : 2])
+            level = half
+        while len(row := np.flatnonzero(low[:, 1] != NO_PAIR)):
+            least = low[row, 1]
+            i = least & ((1 << PLACE_BITS) - 1)
+            gone = after[row, i]
+            end = after[row, gone]
+            part[row, i], after[row, i], before[row, end], live[row, gone] = least >> PLACE_BITS, end, i, False
+            prior = before[row, i]
+            low[row, width + gone] = NO_PAIR
+            low[row, width + i] = np.where(end < sizes[row], self._pairs(part[row, i], part[row, end], i), NO_PAIR)
+            has = prior >= 0
+            low[row[has], width + prior[has]] = self._pairs(part[row[has], prior[has]], part[row[has], i[has]], prior[has])
+            rows, node = np.concatenate([row, row, row[has]]), width + np.concatenate([gone, i, prior[has]])
+            for _ in range(width.bit_length() - 1):
+                node = node >> 1
+                low[rows, node] = np.minimum(low[rows, 2 * node], low[rows, 2 * node + 1])
+        flat = part[:, :width][live].astype(np.int32).tobytes()
+        ends = np.cumsum(live.sum(1) * 4).tolist()
+        return [flat[a:b] for a, b in zip([0, *ends], ends)]
+
+
 class Codec:
-    """Encoder and decoder of one vocabulary, with the ids of frequent matches."""
+    """Encoder and decoder of one vocabulary, with the ids of frequent matches, as 32-bit integers in bytes."""
 
     def __init__(self, path: str, pattern: str):
         self.ranks = read_ranks(path)
@@ -104,32 +169,47 @@ class Codec:
         self.tokens = [b""] * (max(self.ranks.values()) + 1)
         for token, rank in self.ranks.items():
             self.tokens[rank] = token
-        self.known: dict[str, tuple[int, ...]] = {}
-
-    def encode_match(self, match: str) -> tuple[int, ...]:
-        data = match.encode()
-        if (rank := self.ranks.get(data)) is not None:
-            return (rank,)
-        tree = MergeTree(data, self.ranks)
-        tree.merge_all()
-        return tuple(map(self.ranks.__getitem__, tree.parts()))
-
-    def encode(self, text: str) -> array:
-        matches = self.split(text)
+        self.forest = MergeForest(self.ranks)
+        self.known: dict[str, bytes] = {}
+
+    def encode_matches(self, matches: set[str]) -> dict[str, bytes]:
+        """The ids of each match."""
+        out, short = {}, {}
+        for match in matches:
+            data = match.encode()
+            if (rank := self.ranks.get(data)) is not None:
+                out[match] = np.int32(rank).tobytes()
+            elif len(data) <= FOREST_BYTES:
+                short.setdefault(1 << (len(data) - 1).bit_length(), []).append((match, data))
+            else:
+                tree = MergeTree(data, self.ranks)
+                tree.merge_all()
+                out[match] = np.fromiter(map(self.ranks.__getitem__, tree.parts()), np.int32).tobytes()
+        for width, own in short.items():
+            step = FOREST_CELLS // width
+            for k in range(0, len(own), step):
+                names, data = zip(*own[k : k + step], strict=True)
+                out.update(zip(names, self.forest.merged(data, width), strict=True))
+        return out
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text."""
+        split = list(map(self.split, texts))
+        needed = set().union(*split)
+        fresh = self.encode_matches(needed.difference(self.known))
+        if len(self.known) + len(fresh) > CACHE_MATCHES:
+            fresh |= {m: self.known[m] for m in needed.intersection(self.known)}
+            self.known.clear()
         known = self.known
-        fresh = set(matches).difference(known)
-        if len(known) + len(fresh) > CACHE_MATCHES:
-            known.clear()
-            fresh = set(matches)
-        own = {m: self.encode_match(m) for m in fresh}
-        known.update((m, ids) for m, ids in own.items() if len(m) <= CACHE_CHARS)
-        if len(known) > CACHE_MATCHES:  # one text with more distinct matches than are kept
-            ids = array("i", chain.from_iterable(map(own.__getitem__, matches)))
+        known.update(fresh)
+        made = [b"".join(map(known.__getitem__, matches)) for matches in split]
+        if len(known) > CACHE_MATCHES:  # the texts alone bring more than are kept
             known.clear()
-            return ids
-        long = any(len(m) > CACHE_CHARS for m in own)
-        look = (lambda m: own.get(m) or known[m]) if long else known.__getitem__
-        return array("i", chain.from_iterable(map(look, matches)))
+        else:
+            for m in fresh:
+                if len(m) > CACHE_CHARS:
+                    del known[m]
+        return made
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.tokens.__getitem__, ids))
@@ -161,12 +241,11 @@ def encode_texts(docs: DataFrame, path: str, pattern: str, text: str = "text") -
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(path, pattern)
         for batch in batches:
-            made = [c.encode(t.decode()) for t in batch.column(batch.num_columns - 1).to_pylist()]
-            ends = np.cumsum([0, *map(len, made)], dtype=np.int64)
+            made = c.encode([t.decode() for t in batch.column(batch.num_columns - 1).to_pylist()])
+            ends = np.cumsum([0, *map(len, made)], dtype=np.int64) // 4
             if ends[-1] >= 2**31:
                 raise OverflowError("a batch of texts with 2**31 tokens or more; lower the batch size")
-            flat = np.concatenate([np.frombuffer(m, np.int32) for m in made]) if made else np.zeros(0, np.int32)
-            ids = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(flat))
+            ids = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(np.frombuffer(b"".join(made), np.int32)))
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], ids], names=batch.schema.names)
 
     return source.mapInArrow(run, schema)

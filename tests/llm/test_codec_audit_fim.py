@@ -7,6 +7,7 @@ import random
 import re
 
 import duckdb
+import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
@@ -34,16 +35,38 @@ def _sha(data):
 ODD = ["", " ", "\n\n  x", "a" * 5000, "ab" * 3000, "I'll'd  we've  x", "<|endoftext|>", "éé\U0001f600\U0001f468‍\U0001f469", "12345 67²Ⅷ", "x" * 47 + "\t" + "y" * 49, "\x00\x1c\x85\r\n", "中文" * 700]
 
 
+def _ids(codec, text, raw=False):
+    (ids,) = codec.encode([text])
+    return ids if raw else np.frombuffer(ids, np.int32).tolist()
+
+
+def test_forest_is_the_tree():
+    """Rows of one array merge as trees of their own do, whatever their lengths and the vocabulary."""
+    rng = random.Random(15)
+    ranks = {bytes([b]): b for b in range(256)}
+    for k in range(300):
+        ranks.setdefault(bytes(rng.choice(b"abc") for _ in range(rng.randrange(2, 6))), 256 + k)
+    forest = bpe.MergeForest(ranks)
+    for width in (1, 2, 4, 8, 16, 32):
+        matches = [bytes(rng.choice(b"abcd") for _ in range(rng.randrange(width // 2 + 1, width + 1))) for _ in range(200)]
+        for match, ids in zip(matches, forest.merged(matches, width), strict=True):
+            tree = bpe.MergeTree(match, ranks)
+            tree.merge_all()
+            assert np.frombuffer(ids, np.int32).tolist() == [ranks[p] for p in tree.parts()]
+    assert bpe.MergeForest({bytes([b]): b for b in range(256)}).merged([b"ab"], 2) == [np.array([97, 98], np.int32).tobytes()]
+
+
 def test_merge_tree_is_the_library(library):
     rng = random.Random(11)
     codec = bpe.Codec(*VOCABULARY)
     texts = ODD + ["".join(rng.choice("abcde ' \né中\U0001f600,.1") for _ in range(rng.randrange(200))) for _ in range(400)]
-    for t in texts + texts:
-        assert list(codec.encode(t)) == library.encode_ordinary(t), t[:50]
-        assert codec.decode(codec.encode(t)) == t.encode()
+    for t, ids in zip(texts + texts, codec.encode(texts) + [_ids(codec, t, raw=True) for t in texts]):
+        ids = np.frombuffer(ids, np.int32).tolist()
+        assert ids == library.encode_ordinary(t), t[:50]
+        assert codec.decode(ids) == t.encode()
     # a longer match in n log n steps, and bytes that are no text
     data = bytes(rng.randrange(97, 123) for _ in range(60_000))
-    assert list(codec.encode(data.decode())) == library.encode_ordinary(data.decode())
+    assert _ids(codec, data.decode()) == library.encode_ordinary(data.decode())
     tree = bpe.MergeTree(b"\xff\xfe" * 9, codec.ranks)
     tree.merge_all()
     assert b"".join(tree.parts()) == b"\xff\xfe" * 9 and all(p in codec.ranks for p in tree.parts())
@@ -65,7 +88,7 @@ def test_small_cache_gives_the_same(library, monkeypatch):
     monkeypatch.setattr(bpe, "CACHE_CHARS", 4)
     codec = bpe.Codec(*VOCABULARY)
     for t in ("zqx wvutsr lmnopqrst zqx", "ab zqx", "one two three four five six seven", "zqx zqx", "abcdefghijk xyzxyz abcdefghijk"):
-        assert list(codec.encode(t)) == library.encode_ordinary(t)
+        assert _ids(codec, t) == library.encode_ordinary(t)
         assert len(codec.known) <= 3
 
 
