@@ -81,6 +81,43 @@ def canonical_url(url: Column) -> Column:
     return let(strip(text_of(url)), joined)
 
 
+def join_url(base: Column, href: Column) -> Column:
+    """A reference without a scheme, resolved against an absolute http(s) URL; any other base leaves it as it is.
+
+    Dot segments are folded, the base's query goes unless the reference has neither path nor query, and empty queries and
+    fragments vanish.
+    """
+    begin = F.concat(scheme(base), F.regexp_extract(base, "^[^:]*(:[^?#]*?//[^/?#]+)", 1))
+    own_path = F.regexp_extract(base, PATH, 1)
+    part = lambda pattern: F.regexp_extract(href, pattern, 1)
+
+    def folded(segments: Column) -> Column:
+        up = lambda done: F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(0)))
+        step = lambda done, x: F.when(x == "..", up(done)).when(x == ".", done).otherwise(F.concat(done, F.array(x)))
+        kept = F.aggregate(segments, F.array().cast("array<string>"), step)
+        last = F.when(F.element_at(segments, -1).isin(".", ".."), F.array(F.lit(""))).otherwise(F.array().cast("array<string>"))
+        joined = F.array_join(F.concat(kept, last), "/")
+        return F.when(joined.startswith("/"), joined).otherwise(F.concat(F.lit("/"), joined))
+
+    def below(path_: Column) -> Column:
+        """The segments of a path that doesn't begin with a slash: those of the base's folder before it, without empty ones inside."""
+        whole = F.split(F.concat(F.regexp_replace(own_path, "[^/]*$", ""), path_), "/")
+        inside = F.filter(whole, lambda x, i: (i == 0) | (i == F.size(whole) - 1) | (x != ""))
+        return F.when(own_path.rlike("^/"), inside).otherwise(F.concat(F.array(F.lit("")), F.filter(F.split(path_, "/"), lambda x, i: (i == F.size(F.split(path_, "/")) - 1) | (x != ""))))
+
+    def resolved(p: Column) -> Column:
+        there = F.when(p == "", own_path).when(p.startswith("/"), folded(F.split(p, "/"))).otherwise(folded(below(p)))
+        query = part(r"^[^?#]*\?([^#]*)")
+        query = F.when((p == "") & (query == ""), F.regexp_extract(base, r"^[^?#]*\?([^#]*)", 1)).otherwise(query)
+        fragment = part("#(.*)$")
+        return F.concat(begin, there, F.when(query != "", F.concat(F.lit("?"), query)).otherwise(""), F.when(fragment != "", F.concat(F.lit("#"), fragment)).otherwise(""))
+
+    return (
+        F.when(~F.coalesce(base.rlike("(?i)^https?://[^/?#]"), F.lit(False)), href).when(href == "", base)
+        .when(href.startswith("//"), F.concat(scheme(base), F.lit(":"), F.regexp_replace(F.regexp_replace(href, r"^([^?#]*)\?(?=#|$)", "$1"), "#$", ""))).otherwise(let(part("^([^?#]*)"), resolved))
+    )
+
+
 def domain_from_url(url: Column) -> Column:
     return F.nullif(F.regexp_replace(netloc(url), r"^www\.", ""), F.lit(""))
 

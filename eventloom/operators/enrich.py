@@ -9,10 +9,12 @@ from eventloom.functions.taxonomy import DEFAULT, Taxonomy, evaluate_scope, scop
 from eventloom.functions.text import methodology_description, normalize_for_match
 from eventloom.functions.urls import domain_from_url, is_listing_host, text_of
 from eventloom.operators import crawl, evidence
-from eventloom.operators.event_page import LISTS, PROVENANCE, RECORD, extract_page_fields, listing_pages
+from eventloom.operators.event_page import LISTS, PROVENANCE, RECORD, event_facts, extract_page_fields, listing_of_facts, page_fields
+from eventloom.operators.facts import rebased
 from eventloom.operators.merge import merge_of_entries, nonempty, priority
 from eventloom.operators.records import ENTITY, SPEAKER, fill_industry, filled, finalize_record, normalize_entities, seed_records, with_company_lists
 from eventloom.operators.resolve import resolve_official_url
+from eventloom.operators.staging import staged, unstaged
 
 #: List columns while a record is worked on, and the field that each ends up in.
 FIELD_OF = {"attending_companies": "attending_companies", "exhibitors": "exhibitor_companies", "sponsors": "sponsor_companies", "speakers": "speakers"}
@@ -31,15 +33,21 @@ def join_pages_to_events(events: DataFrame, pages: DataFrame) -> tuple[DataFrame
 def merge_pages(found: DataFrame) -> DataFrame:
     """One row per event of the fields of its pages: first non-empty texts, lists one after the other, the most trusted provenance.
 
-    One aggregation by event: provenance is chosen field by field, so that it is never unpivoted.
+    One aggregation by event: provenance is chosen field by field, so that it is never unpivoted. ``fetch_notes``: what is noted of each page.
     """
+    if "fetch_note" not in found.columns:
+        found = found.withColumn("fetch_note", F.lit(None).cast("string"))
+    noted = F.concat("role", F.lit("_fetch: "), text_of(F.col("fetch_note")))
     in_order = lambda column: F.transform(F.array_sort(F.collect_list(F.struct(F.col("role_rank").alias("r"), F.col("role").alias("o"), F.col(column).alias("v")))), lambda x: x["v"])
     first = lambda f: F.min_by(F.when(nonempty(F.col(f)), F.col(f)), F.when(nonempty(F.col(f)), F.struct("role_rank", "role"))).alias(f)
     said = F.concat(F.lit("--- "), F.col("role"), F.lit(" ---\n"), F.substring("text", 1, PAGE_CHARS))
     entry = lambda f: F.try_element_at("provenance", F.lit(f))
     best = lambda f: F.max_by(entry(f), F.when(entry(f).isNotNull(), F.struct(priority(entry(f)["source"]), "role_rank", "role"))).alias(f"_p_{f}")
     fields = [*RECORD, *FIELD_OF.values()]
-    merged = found.withColumn("_said", said).groupBy("event_id").agg(*[first(f) for f in RECORD], *[F.flatten(in_order(n)).alias(n) for n in LISTS], F.array_join(in_order("_said"), "\n\n").alias("combined_text"), F.array_join(in_order("role"), ", ").alias("roles"), *[best(f) for f in fields])
+    merged = found.withColumns({"_said": said, "_noted": noted}).groupBy("event_id").agg(
+        *[first(f) for f in RECORD], *[F.flatten(in_order(n)).alias(n) for n in LISTS], F.array_join(in_order("_said"), "\n\n").alias("combined_text"),
+        F.array_join(in_order("role"), ", ").alias("roles"), in_order("_noted").alias("fetch_notes"), *[best(f) for f in fields],
+    )
     entries = F.array(*[F.struct(F.lit(f).alias("key"), F.col(f"_p_{f}").alias("value")) for f in fields])
     provenance = F.map_from_entries(F.filter(entries, lambda e: e["value"].isNotNull()))
     return merged.withColumn("provenance", provenance).drop(*[f"_p_{f}" for f in fields])
@@ -50,16 +58,24 @@ def parse_event_pages(seeds: DataFrame, pages: DataFrame, answers: DataFrame | N
 
     ``seeds`` has ``event_id`` and the texts of a record (``event_url`` is the one that pages are read for),
     ``pages`` has ``event_id, role, role_rank, url, html``, ``answers`` has ``event_id`` and what a model
-    answered. Values are the seed's, then the first page's that has them, then the model's where the pages support
-    it. Names that the pages don't support go, and so do lists of programs that aren't published yet.
+    answered (``sources.files.read_answers``), one row an event. Values are the seed's, then the first page's that has them, then
+    the model's where the pages support it. Names that the pages don't support go, and so do lists of programs that aren't published yet.
+    """
+    return records_of(seeds, extract_page_fields(pages, ["event_id", "role_rank"]), answers, taxonomy).drop("fetch_notes")
+
+
+def records_of(seeds: DataFrame, found: DataFrame, answers: DataFrame | None = None, taxonomy: Taxonomy = DEFAULT) -> DataFrame:
+    """``parse_event_pages`` of pages whose fields are there already; ``fetch_notes`` and ``roles`` are null for an event without pages.
+
+    Other columns of ``seeds`` go through.
     """
-    found = extract_page_fields(pages, ["event_id", "role_rank"])
+    rest = [c for c in seeds.columns if c not in ("event_id", *RECORD)]
     out = seeds.alias("s").join(merge_pages(found).alias("m"), "event_id", "left")
     lists = {n: F.coalesce(F.col(f"m.{n}"), F.array().cast(f"array<{SPEAKER if n == 'speakers' else ENTITY}>")).alias(n) for n in LISTS}
     seeded = F.struct(F.lit("seed").alias("source"), F.col("s.listing_url").alias("page_url"), F.lit("listing").alias("page_role"), F.lit(None).cast("string").alias("snippet"))
     seeded = F.when(nonempty(F.col("s.listing_url")), F.map_from_arrays(F.array(F.lit("listing_url")), F.array(seeded.cast(PROVENANCE))))
     out = out.select(
-        "event_id", *[filled(F.col(f"s.{f}"), F.col(f"m.{f}")).alias(f) for f in RECORD], *lists.values(), F.coalesce("m.combined_text", F.lit("")).alias("combined_text"), "m.roles",
+        "event_id", *rest, *[filled(F.col(f"s.{f}"), F.col(f"m.{f}")).alias(f) for f in RECORD], *lists.values(), F.coalesce("m.combined_text", F.lit("")).alias("combined_text"), "m.roles", "m.fetch_notes",
         merge_of_entries(F.coalesce(seeded, F.create_map().cast(f"map<string,{PROVENANCE}>")), F.coalesce("m.provenance", F.create_map().cast(f"map<string,{PROVENANCE}>"))).alias("provenance"),
     )
     out = finalize_record(out).withColumn("_body", normalize_for_match(F.col("combined_text")))
@@ -100,8 +116,8 @@ def _with_answers(records: DataFrame, answers: DataFrame | None) -> DataFrame:
     out = evidence.validate_llm_record(out, [f"a_{f}" for f in names], [f"a_{f}" for f in lists], "_body")
     made = {f"_m_{f}": evidence.merge_llm_scalar(F.col(f), F.col(f"a_{f}")) for f in names}
     shape = {n: SPEAKER if n == "speakers" else ENTITY for n in FIELD_OF}
-    as_item = lambda n: lambda x: F.struct(*[(x[p] if p in ("name", "details") else F.lit(None).cast("string")).alias(p) for p in _PARTS[n]])
-    made |= {f"_m_{n}": evidence.merge_llm_items(F.col(n), F.coalesce(F.transform(F.col(f"a_{FIELD_OF[n]}"), as_item(n)), F.array().cast(f"array<{shape[n]}>"))) for n in FIELD_OF}
+    as_items = lambda n: F.coalesce(F.transform(F.col(f"a_{FIELD_OF[n]}"), lambda x: F.struct(*[x[p].alias(p) for p in _PARTS[n]])), F.array()).cast(f"array<{shape[n]}>")
+    made |= {f"_m_{n}": evidence.merge_llm_items(F.col(n), as_items(n)) for n in FIELD_OF}
     out = out.withColumns(made)
     counts = [F.col(f"{m}.n") for m in made]
     snippet = {**{f: F.substring(f"a_{f}", 1, 120) for f in names}, **{f: F.get(f"a_{f}", 0)["name"] for f in lists}}
@@ -116,38 +132,67 @@ def _with_answers(records: DataFrame, answers: DataFrame | None) -> DataFrame:
 _PARTS = {n: ("name", "title", "company", "details") if n == "speakers" else ("name", "website", "details") for n in FIELD_OF}
 
 
+def _first_of_event(rows: DataFrame, value: str) -> DataFrame:
+    """``event_id`` and the value of the first of its rows, by rank and URL."""
+    return rows.groupBy("event_id").agg(F.min_by(value, F.struct("role_rank", "page_url")).alias(value))
+
+
 def enrich_events(items: DataFrame, pages: DataFrame, hits: DataFrame, answers: DataFrame | None = None, official_search: bool = True, taxonomy: Taxonomy = DEFAULT) -> DataFrame:
     """Listed events to finished records.
 
-    ``items``: ``event_id`` and the columns of listed events. ``pages``: ``event_id, role, role_rank, page_url, html,
-    fetch_ok, fetch_note``. ``hits``: stored search hits. Without ``official_search`` events of aggregators keep their
-    listing. An event without a good page keeps its seed and a note.
+    ``items``: ``event_id``, unique, and the columns of listed events. ``pages``: ``event_id, role, role_rank, page_url, html,
+    fetch_ok, fetch_note``. ``hits``: stored search hits. ``answers``: see ``parse_event_pages``. Without ``official_search``
+    events of aggregators keep their listing. An event without a good page keeps its seed and a note.
+
+    Each page is parsed once: a listing's before the official site is chosen, for the choice reads it; all others after, for
+    the event's URL says which links lead out. What was read is a table in the shared folder, and only thin rows are joined from then on.
+    All tables but the records' are removed before this returns.
     """
-    good, _ = join_pages_to_events(items.select("event_id", F.lit(None).cast("string").alias("event_url")), pages)
-    seeds = seed_records(items, "event_id")
-    listing = listing_pages(good.filter("role = 'listing'").select("event_id", F.col("page_url").alias("url"), "html"), ["event_id"])
-    plan = crawl.discover_subpages(good.filter("role = 'main'").select("event_id", F.col("page_url").alias("url"), "html"), ["event_id"])
-    of = lambda role: F.max(F.when(F.col("role") == role, F.col("url")))
-    found = plan.groupBy("event_id").agg(of("exhibitors").alias("exhibitor_crawler_url"), of("sponsors").alias("sponsor_crawler_url"))
-    seeds = seeds.alias("s").join(listing.alias("l"), "event_id", "left").join(found.alias("c"), "event_id", "left")
+    good = pages.filter(F.coalesce("fetch_ok", F.lit(False)) & nonempty(F.col("html")))
+    of_page = ["event_id", "role_rank", "page_url", "fetch_note"]
+    seeds = staged(seed_records(items, "event_id"), "seeds")
+    given = good.filter("role = 'listing'").join(seeds.select("event_id"), "event_id", "left_semi")
+    listed = staged(event_facts(given.withColumn("url", F.col("page_url")), of_page), "listings")
+    found = listing_of_facts(listed, of_page)
+    chosen = staged(choose_sites(seeds, _first_of_event(found, "listing"), hits, official_search), "sites")
+    urls = chosen.select("event_id", F.col("event_url").alias("url"))
+    others = good.filter("role <> 'listing'").join(urls, "event_id")
+    others = staged(event_facts(others, of_page), "facts")
+    # a listing was read for its own URL; its links are those of the event's
+    of_event = listed.join(urls, "event_id").withColumns({"_url": F.col("url"), "links": rebased(F.col("links"), F.col("url"))})
+    facts = of_event.select(*others.columns).unionByName(others)
+    fields = staged(page_fields(facts, of_page), "fields")
+    mains = others.filter("role = 'main'").select("event_id", "role_rank", "page_url", crawl.subpages(rebased(F.col("links"), F.col("page_url")), F.col("page_url")).alias("subpages"))
+    at = lambda role: F.get(F.filter("subpages", lambda x: x["role"] == role), 0)["url"]
+    led = _first_of_event(mains, "subpages").select("event_id", at("exhibitors").alias("_exhibitors"), at("sponsors").alias("_sponsors"))
+    led = chosen.join(led, "event_id", "left")
+    led = led.withColumns({f"{k}_crawler_url": filled(F.col(f"{k}_crawler_url"), F.col(f"_{k}s")) for k in ("exhibitor", "sponsor")}).drop("_exhibitors", "_sponsors")
+    out = staged(with_job_notes(records_of(led, fields, answers, taxonomy)), "records")
+    unstaged(seeds, listed, chosen, others, fields)
+    return out
+
+
+def choose_sites(seeds: DataFrame, listings: DataFrame, hits: DataFrame, official_search: bool = True) -> DataFrame:
+    """Seeds filled by their listings, with ``event_url`` to read for, ``official_url``, ``resolution_confidence`` and ``resolution_notes``."""
     none = F.lit(None).cast("string")
-    known = set(seed_records(items, "event_id").columns)
-    crawled = ("exhibitor_crawler_url", "sponsor_crawler_url")
-    first = {f: filled(F.col(f"s.{f}") if f in known else none, F.col(f"l.listing.{f}"), F.col(f"c.{f}") if f in crawled else none).alias(f) for f in RECORD}
-    seeds = seeds.select("event_id", *first.values(), *[F.col(f"l.listing.{f}").alias(f"_{f}") for f in ("city", "country", "hosting_entity")])
-    asked = seeds.select("event_id", "event_name", F.col("_city").alias("city"), F.col("_country").alias("country"), F.col("_hosting_entity").alias("organizer"), is_listing_host(F.col("listing_url")).alias("_listed"))
-    chosen = resolve_official_url(asked.filter(F.lit(official_search) | ~F.col("_listed")).drop("_listed"), hits)
-    seeds = seeds.drop("_city", "_country", "_hosting_entity").join(chosen, "event_id", "left")
-    official = F.col("official_url")
-    read_for = filled(official, F.col("listing_url"))
-    seeds = seeds.withColumns({"resolution_confidence": F.coalesce("confidence", F.lit(0.0)), "resolution_notes": F.array(F.coalesce("note", F.lit("aggregator listing: official site search skipped"))), "event_url": read_for})
-    read, bare = join_pages_to_events(seeds, pages)
-    records = parse_event_pages(seeds.select("event_id", *RECORD), read.select("event_id", "role", "role_rank", "url", "html"), answers, taxonomy)
-    notes = good.groupBy("event_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("role_rank", F.concat("role", F.lit("_fetch: "), F.coalesce("fetch_note", F.lit(""))).alias("n")))), lambda x: x["n"]).alias("_notes"))
-    out = records.join(seeds.select("event_id", "official_url", "resolution_confidence", "resolution_notes"), "event_id").join(bare.withColumn("_bare", F.lit(True)), "event_id", "left").join(notes, "event_id", "left")
+    known = set(seeds.columns)
+    both = seeds.alias("s").join(listings.alias("l"), "event_id", "left")
+    both = both.select(
+        "event_id", *[filled(F.col(f"s.{f}") if f in known else none, F.col(f"l.listing.{f}")).alias(f) for f in RECORD],
+        *[F.col(f"l.listing.{f}").alias(f"_{f}") for f in ("city", "country", "hosting_entity")],
+    )
+    asked = both.filter(F.lit(official_search) | ~is_listing_host(F.col("listing_url"))).select("event_id", "event_name", F.col("_city").alias("city"), F.col("_country").alias("country"), F.col("_hosting_entity").alias("organizer"))
+    out = both.drop("_city", "_country", "_hosting_entity").join(resolve_official_url(asked, hits), "event_id", "left")
+    notes = F.array(F.coalesce("note", F.lit("aggregator listing: official site search skipped")))
+    out = out.withColumns({"resolution_confidence": F.coalesce("confidence", F.lit(0.0)), "resolution_notes": notes, "event_url": filled(F.col("official_url"), F.col("listing_url"))})
+    return out.drop("confidence", "note")
+
+
+def with_job_notes(records: DataFrame) -> DataFrame:
+    """The URL and domain that a record ends up with, and the notes on its pages; an event without pages keeps its seed's domain."""
     official = F.when(nonempty(F.col("official_url")) & ~is_listing_host(F.col("official_url")), F.col("official_url"))
     final = F.coalesce(official, F.nullif("listing_url", F.lit("")), F.col("event_url"))
-    fetched = F.concat(F.coalesce("_notes", F.array().cast("array<string>")), F.array(F.concat(F.lit("pages_fetched: "), F.coalesce("roles", F.lit("")))))
-    noted = F.when(F.col("_bare"), F.array(F.lit("no pages fetched"))).otherwise(F.concat("enrich_notes", fetched))
-    domain = F.when(F.col("_bare"), F.col("conference_domain")).otherwise(domain_from_url(final))
-    return out.withColumns({"event_url": final, "conference_domain": domain, "enrich_notes": noted}).drop("official_url", "_bare", "_notes", "roles")
+    bare = F.col("roles").isNull()
+    noted = F.when(bare, F.array(F.lit("no pages fetched"))).otherwise(F.concat("enrich_notes", "fetch_notes", F.array(F.concat(F.lit("pages_fetched: "), "roles"))))
+    domain = F.when(bare, F.col("conference_domain")).otherwise(domain_from_url(final))
+    return records.withColumns({"event_url": final, "conference_domain": domain, "enrich_notes": noted}).drop("official_url", "roles", "fetch_notes")

@@ -145,7 +145,12 @@ def listing_dispatch(url: Column, event: Column) -> Column:
 
 def listing_pages(pages: DataFrame, keys: list[str]) -> DataFrame:
     """The keys and ``listing``: what an aggregator's page says of its event. ``pages`` has ``url, html`` and the keys."""
-    facts = page_facts(pages.withColumn("_url", F.col("url")), [*keys, "_url"], *PARTS[:12]).withColumn("_event", jsonld.event_node(jsonld.json_ld_nodes(F.col("json_ld"))))
+    return listing_of_facts(page_facts(pages.withColumn("_url", F.col("url")), [*keys, "_url"], *PARTS[:12]), keys)
+
+
+def listing_of_facts(facts: DataFrame, keys: list[str]) -> DataFrame:
+    """``listing_pages`` of pages that are parsed already, see ``event_facts``."""
+    facts = facts.withColumn("_event", jsonld.event_node(jsonld.json_ld_nodes(F.col("json_ld"))))
     return facts.select(*keys, listing_dispatch(F.col("_url"), F.col("_event")).alias("listing"))
 
 
@@ -188,6 +193,23 @@ def stamp_provenance(values: dict[str, Column], lists: dict[str, Column], is_eve
     return F.map_from_entries(F.filter(F.array(*entries), lambda e: e["value"].isNotNull()))
 
 
+#: Lists of a page, and the kinds of pages that they are read from, but never from an aggregator's.
+LIST_ROLES = {"attending": ("main",), "exhibitors": ("main", "exhibitors"), "sponsors": ("main", "sponsors"), "speaker_cards": ("main", "speakers", "program")}
+
+
+def lists_to_skip(url: Column, role: Column) -> Column:
+    """The lists that a page of this kind isn't asked for."""
+    listed = is_listing_host(url)
+    return F.array_compact(F.array(*[F.when(listed | ~F.coalesce(role.isin(*roles), F.lit(False)), F.lit(part)) for part, roles in LIST_ROLES.items()]))
+
+
+def event_facts(pages: DataFrame, keys: list[str]) -> DataFrame:
+    """One parse of each of ``pages(url, role, html)``: the keys, ``role, _url, _role`` and all that ``page_fields`` reads."""
+    given = pages.withColumns({"_url": F.col("url"), "_role": page_role(F.col("role"))})
+    given = given.withColumn("_skip", lists_to_skip(F.col("_url"), F.col("_role")))
+    return page_facts(given, [*keys, "role", "_url", "_role"], *PARTS, skip="_skip")
+
+
 def extract_page_fields(pages: DataFrame, keys: list[str]) -> DataFrame:
     """What each page says of its event: the keys, ``role, text``, the texts of a record, four lists and ``provenance``.
 
@@ -195,8 +217,11 @@ def extract_page_fields(pages: DataFrame, keys: list[str]) -> DataFrame:
     allows it, and never on aggregators; a listing's fields fill only what is empty. A page without anything gives
     nulls and empty lists.
     """
-    given = pages.withColumns({"_url": F.col("url"), "_role": page_role(F.col("role"))})
-    facts = page_facts(given, [*keys, "role", "_url", "_role"], *PARTS)
+    return page_fields(event_facts(pages, keys), keys)
+
+
+def page_fields(facts: DataFrame, keys: list[str]) -> DataFrame:
+    """The fields of pages that are parsed already, see ``event_facts`` and ``extract_page_fields``."""
     nodes = jsonld.json_ld_nodes(F.col("json_ld"))
     facts = facts.withColumns({"_event": jsonld.event_node(nodes), "_ld": jsonld.event_fields(nodes)})
     url, role, ld = F.col("_url"), F.col("_role"), F.col("_ld")

@@ -5,9 +5,11 @@ from __future__ import annotations
 import re
 from urllib.parse import urlsplit
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from eventloom.functions.text import JUNK_NAMES, NAV_PREFIXES
+from eventloom.functions.urls import SCHEME, join_url
 from eventloom.operators.html import Page, parsed, per_page, resolved, visible_text
 
 # Words that name a section of companies, marks of such a section, and of parts of a page that aren't its own.
@@ -37,18 +39,24 @@ PARTS = {
 }
 
 
-def page_facts(pages: DataFrame, keys: list[str], *parts: str) -> DataFrame:
+def page_facts(pages: DataFrame, keys: list[str], *parts: str, skip: str | None = None) -> DataFrame:
     """The key columns of ``pages(url, html)`` and the named parts of each page, all from one parse; html goes no further.
 
-    A null html is an empty page. Markup never fails: what can't be read is missing.
+    A null html is an empty page. Markup never fails: what can't be read is missing. ``skip`` names a column of arrays:
+    lists among the parts that aren't read from that page and come out empty.
     """
     want = parts or tuple(PARTS)
 
-    def make(url: str | None, html: str | None) -> list[tuple]:
+    def make(url: str | None, html: str | None, without: list[str] | None = None) -> list[tuple]:
         page = parsed(html)
-        return [tuple(_READ[p](page, url or "") for p in want)]
+        return [tuple([] if without and p in without else _READ[p](page, url or "") for p in want)]
 
-    return per_page(pages, keys, ["url", "html"], ", ".join(f"{p} {PARTS[p]}" for p in want), make)
+    return per_page(pages, keys, ["url", "html", *([skip] if skip else [])], ", ".join(f"{p} {PARTS[p]}" for p in want), make)
+
+
+def rebased(links: Column, base: Column) -> Column:
+    """Links as they resolve against another URL; absolute ones stay."""
+    return F.transform(links, lambda x: x.withField("resolved", F.when(x["href"].rlike(SCHEME), x["resolved"]).otherwise(join_url(base, x["href"]))))
 
 
 # --- links and heads ---------------------------------------------------------------------------------------------

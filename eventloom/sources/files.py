@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import json
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -13,20 +11,21 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventloom.functions.taxonomy import Taxonomy
-from eventloom.functions.urls import strip, text_of
+from eventloom.functions.urls import let, strip, text_of
 from eventloom.operators import coverage
 from eventloom.operators.coverage import SCALARS
+from eventloom.operators.staging import shared_path
 
 JSON_COLUMNS = (*coverage.LISTS, "resolution_notes", "enrich_notes", "field_provenance", "validation")
 #: What a stored model answer may fill.
 ANSWER_LISTS = ("attending_companies", "exhibitor_companies", "sponsor_companies", "speakers")
+ANSWER_PARTS = ("name", "website", "title", "company", "details", "evidence_snippet")
 _CSV = {"header": True, "quote": '"', "escape": '"'}
 
 
 def export_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder below the shared one; a temporary one only where the session names none."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="eventloom-")
-    return f"{shared.rstrip('/')}/exports/{name}-{uuid.uuid4().hex}"
+    """A fresh folder below the shared one."""
+    return shared_path(spark, f"exports/{name}")
 
 
 def read_event_list(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
@@ -137,16 +136,44 @@ def read_rows(spark: SparkSession, path: str, schema) -> DataFrame:
     return spark.read.options(**_CSV).schema(schema).csv(path)
 
 
+def _answer_items(value: Column) -> Column:
+    """A model's list: objects with known parts, or plain names; anything else in it is left out. Null where it is no list."""
+
+    def item(x: Column) -> Column:
+        kind = F.schema_of_variant(x)
+        named = F.struct(*[F.try_variant_get(x, f"$.{p}", "string").alias(p) for p in ANSWER_PARTS])
+        plain = F.struct(*[(F.try_variant_get(x, "$", "string") if p == "name" else F.lit(None).cast("string")).alias(p) for p in ANSWER_PARTS])
+        return F.when(kind.startswith("OBJECT"), named).when(kind == "STRING", plain)
+
+    return F.filter(F.transform(F.try_variant_get(value, "$", "array<variant>"), item), lambda x: x.isNotNull())
+
+
 def parse_answer(raw: Column) -> Column:
-    """``struct`` of a stored model answer: known keys of its object, without code fences; ``rejected`` where it isn't JSON.
+    """``struct`` of a stored model answer: known keys of its object, without code fences, and why it was ``rejected``.
 
-    An answer that is JSON but no object fills nothing.
+    Lists hold ``struct<name, website, title, company, details, evidence_snippet>``. ``rejected`` is null for an object, ``no
+    answer`` for a null or empty text, ``not JSON`` for what can't be read and ``no object`` for any other JSON; none of these fills anything.
     """
     text = strip(text_of(raw))
     bare = F.regexp_replace(F.regexp_replace(text, r"^```(?:json)?\s*", ""), r"\s*```$", "")
-    value = F.try_parse_json(F.when(text.startswith("```"), bare).otherwise(text))
-    get = lambda name, kind: F.try_variant_get(value, f"$.{name}", kind).alias(name)
-    return F.struct(*[get(n, "string") for n in SCALARS], *[get(n, "array<string>") for n in ANSWER_LISTS], value.isNull().alias("rejected"))
+
+    def read(value: Column) -> Column:
+        texts = [F.try_variant_get(value, f"$.{n}", "string").alias(n) for n in SCALARS]
+        lists = [_answer_items(F.try_variant_get(value, f"$.{n}", "variant")).alias(n) for n in ANSWER_LISTS]
+        reason = F.when(text == "", "no answer").when(value.isNull(), "not JSON").when(~F.schema_of_variant(value).startswith("OBJECT"), "no object")
+        return F.struct(*texts, *lists, reason.alias("rejected"))
+
+    return let(F.try_parse_json(F.when(text.startswith("```"), bare).otherwise(text)), read)
+
+
+def read_answers(answers: DataFrame, key: str = "event_id", raw: str = "raw") -> tuple[DataFrame, DataFrame]:
+    """Stored answers ``(key, raw)`` as the table that ``parse_event_pages`` takes, and those rejected with ``raw`` and the ``reason``.
+
+    Of several answers of a key the first that can be read, in order of the raw texts, is taken; empty tables give empty ones.
+    """
+    read = answers.select(key, raw, parse_answer(F.col(raw)).alias("x"))
+    good = read.filter("x.rejected is null").groupBy(key).agg(F.min_by("x", raw).alias("x")).select(key, "x.*").drop("rejected")
+    return good, read.filter("x.rejected is not null").select(key, raw, F.col("x.rejected").alias("reason"))
 
 
 def split_by_confidence(reviewed: DataFrame) -> tuple[DataFrame, DataFrame]:
