@@ -462,6 +462,37 @@ def parse_event_pages(spark, d):
     return out.select("event_id", "event_name", "start_date", "hosting_entity", "venue_name", F.array_join("sponsor_companies", "|").alias("sponsors"), F.concat_ws(",", of("sponsor_companies"), F.when(F.col("program_unpublished_lists_cleared") > 0, "cleared")).alias("state"), of("event_name").alias("name_source"))
 
 
+#: A model's answer to an event's main page: a text and companies of which the page holds some, in fences or not, and answers that can't be read.
+_SAID = """'{"address_2":"' || case when k % 3 = 0 then partner else 'Nowhere Road 99999' end || '","attending_companies":[{"name":"' || host || '","details":"Guest","evidence_snippet":"Partner of ' || host || '"},{"name":"Ghost Corporation","evidence_snippet":"No such text on it"},"' || speaker || '"]}'"""
+_ANSWER = f"case k % 4 when 0 then {_SAID} when 1 then '```json' || chr(10) || {_SAID} || chr(10) || '```' when 2 then '[1, 2]' else '{{\"address_2\": ' end"
+_SAID_J = "json_extract_string(j, '$.{}')"
+
+
+@query(
+    "answered_event_pages",
+    ep.sql("main") + f", a as (select *, {_ANSWER} as raw from pg), b as (select *, regexp_replace(regexp_replace(raw, '^```(json)?\\s*', ''), '\\s*```$', '') as t from a), "
+    "c as (select *, case when json_valid(t) then case when json_type(t) = 'OBJECT' then t end end as j from b), "
+    "e as (select *, lower(regexp_replace(regexp_replace(main, '<[^>]*>', ' ', 'g'), '\\s+', ' ', 'g')) as shown, json_extract(j, '$.attending_companies[*]') as firms from c), "
+    "f as (select *, list_transform(firms, lambda x: case when json_type(x) = 'OBJECT' then json_extract_string(x, '$.name') else json_extract_string(x, '$') end) as names, "
+    "list_transform(firms, lambda x: contains(shown, lower(coalesce(json_extract_string(x, '$.evidence_snippet'), json_extract_string(x, '$'))))) as good, contains(shown, lower(json_extract_string(j, '$.address_2'))) as placed from e) "
+    "select k as event_id, case when placed then json_extract_string(j, '$.address_2') end as address_2, "
+    "coalesce(array_to_string(list_filter(names, lambda x, i: good[i]), '|'), '') as attending, "
+    "(case when j is null then 0 else (not placed)::int + len(list_filter(good, lambda g: not g)) end)::int as stripped, "
+    "(case when j is null then 0 else placed::int + (len(list_filter(good, lambda g: g)) > 0)::int end)::int as merged, "
+    "case when j is not null then 'llm: used (stripped ' || ((not placed)::int + len(list_filter(good, lambda g: not g))) || ' ungrounded)' end as note, "
+    "case when j is null then case when json_valid(t) then 'no object' else 'not JSON' end end as rejected from f",
+)
+def answered_event_pages(spark, d):
+    made = ep.pages(spark, d, "main")
+    seeds = made.select(F.col("k").alias("event_id"), *[(F.col("site") if f == "event_url" else F.lit(None).cast("string")).alias(f) for f in event_page.RECORD])
+    main = made.select(F.col("k").alias("event_id"), F.lit("main").alias("role"), F.lit(2).alias("role_rank"), F.col("site").alias("url"), F.col("main").alias("html"))
+    answers, rejected = files.read_answers(made.select(F.col("k").alias("event_id"), F.expr(_ANSWER).alias("raw")))
+    out = enrich.parse_event_pages(seeds, main, answers).join(rejected.select("event_id", F.col("reason").alias("rejected")), "event_id", "left")
+    note = F.get(F.filter("enrich_notes", lambda n: n.startswith("llm:")), 0)
+    attending = F.array_join(F.transform("attending_companies", lambda x: x["name"]), "|")
+    return out.select("event_id", "address_2", attending.alias("attending"), F.col("validation.llm_stripped").alias("stripped"), F.col("validation.llm_merged_fields").alias("merged"), note.alias("note"), "rejected")
+
+
 @query(
     "enrich_events",
     ep.sql("listing", "main", "sponsors") + f", x as (select *, k % 8 = 7 as bare, k % 4 = 1 as own from pg), y as (select *, {_LISTING_URL} as listing_url from x) "

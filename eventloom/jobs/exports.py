@@ -121,14 +121,25 @@ def input_limit(spark, d):
     return fx.base(spark, d).select("k", "name").orderBy("k").limit(100)
 
 
-@query("parse_llm_response", f"with {fx.BASE} select k, case when k % 4 < 2 then name end as event_name, case when k % 4 = 0 then city end as city, case when k % 4 = 1 then speaker end as speakers, k % 4 = 3 as rejected from base")
+#: A stored answer, over ``base``: an object in code fences, one with plain names, JSON that is no object, a broken text, nothing.
+_RAW = """case k % 5 when 0 then '```json' || chr(10) || '{"event_name":"' || name || '","city":"' || city || '","other":1,"speakers":[{"name":"' || speaker || '","title":"Chair ' || k || '","evidence_snippet":"by ' || speaker || '"},"' || host || '",7]}' || chr(10) || '```'
+    when 1 then '{"event_name":"' || name || '","speakers":["' || speaker || '","' || host || '"],"sponsor_companies":"' || host || '"}' when 2 then '[1, "' || name || '"]' when 3 then '{"event_name": "' || name else '' end"""
+
+
+@query(
+    "parse_llm_response",
+    f"with {fx.BASE}, t as (select k, {_RAW} as raw from base), b as (select k, raw, regexp_replace(regexp_replace(raw, '^```(json)?\\s*', ''), '\\s*```$', '') as j from t), "
+    "o as (select *, json_valid(j) as good, case when json_valid(j) then json_type(j) = 'OBJECT' else false end as obj from b), "
+    "x as (select *, case when obj then j end as d, case when obj then json_extract(j, '$.speakers[*]') end as people from o) "
+    "select k, json_extract_string(d, '$.event_name') as event_name, json_extract_string(d, '$.city') as city, "
+    "array_to_string(list_transform(list_filter(people, lambda p: json_type(p) in ('OBJECT', 'VARCHAR')), lambda p: case when json_type(p) = 'OBJECT' "
+    "then coalesce(json_extract_string(p, '$.name'), '') || '/' || coalesce(json_extract_string(p, '$.title'), '') || '/' || coalesce(json_extract_string(p, '$.evidence_snippet'), '') else json_extract_string(p, '$') || '//' end), '|') as speakers, "
+    "case when trim(raw) = '' then 'no answer' when not good then 'not JSON' when not obj then 'no object' end as rejected from x",
+)
 def parse_llm_response(spark, d):
-    c = F.col
-    fenced = F.concat(F.lit("```json\n"), F.to_json(F.struct(c("name").alias("event_name"), "city", F.lit(1).alias("other"))), F.lit("\n```"))
-    plain = F.to_json(F.struct(c("name").alias("event_name"), F.array("speaker").alias("speakers")))
-    raw = F.get(F.array(fenced, plain, F.lit("[1, 2]"), F.lit('{"event_name": broken')), (c("k") % 4).cast("int"))
-    out = fx.base(spark, d).select("k", files.parse_answer(raw).alias("x"))
-    return out.select("k", "x.event_name", "x.city", F.get("x.speakers", 0).alias("speakers"), "x.rejected")
+    out = fx.base(spark, d).select("k", files.parse_answer(F.expr(_RAW)).alias("x"))
+    told = F.transform("x.speakers", lambda p: F.concat(*[x for n in ("name", "title", "evidence_snippet") for x in (F.coalesce(p[n], F.lit("")), F.lit("/" if n != "evidence_snippet" else ""))]))
+    return out.select("k", "x.event_name", "x.city", F.array_join(told, "|").alias("speakers"), "x.rejected")
 
 
 @query("seed_records", f"with {fx.BASE} select k, case when k % 3 = 0 then host else name end as event_name, case when k % 2 = 0 then city else country end as listing_url, d as start_date from base")
