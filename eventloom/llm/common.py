@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,10 +20,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the folder that all executors share (``spark.checkpoint.dir``).
 
-    Only where the session names none, as in tests on one machine, a temporary folder is used.
+    Without one a cluster's session is refused; on one machine, as in tests, a temporary folder is set.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir has to name a folder that all executors reach")
         base = tempfile.mkdtemp(prefix="eventloom-")
         spark.conf.set("spark.checkpoint.dir", base)
     if "://" not in base and not base.startswith("file:"):
@@ -30,6 +33,9 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/eventloom/{name}-{uuid.uuid4().hex}"
 
 
+#: Tables staged while ``settled`` builds a result, innermost last.
+_building: list[list[DataFrame]] = []
+
 #: Lets a query's shuffle files go when it ends, not when the driver next collects garbage.
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
@@ -51,9 +57,33 @@ def staged(df: DataFrame, name: str) -> DataFrame:
             spark.conf.set(CLEANUP, before)
     out = spark.read.schema(df.schema).parquet(path)
     out._staged_at = path
+    if _building:
+        _building[-1].append(out)
     return out
 
 
+def settled(build: Callable[[], DataFrame], name: str) -> DataFrame:
+    """``build()`` staged; all tables that were staged on the way to it are removed once it stands, or once that failed."""
+    made: list[DataFrame] = []
+    _building.append(made)
+    try:
+        out = staged(build(), name)
+    except BaseException:
+        _building.pop()
+        unstaged(*made)
+        raise
+    _building.pop()
+    unstaged(*[t for t in made if t is not out])
+    if _building:
+        _building[-1].append(out)
+    return out
+
+
+def by_position(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` with columns named ``c0``, ``c1`` and so on, and those names by the old ones: no name of a step's own can clash with them."""
+    return docs.toDF(*[f"c{k}" for k in range(len(docs.columns))]), {c: f"c{k}" for k, c in enumerate(docs.columns)}
+
+
 def unstaged(*tables: DataFrame) -> None:
     """Removes tables that ``staged`` wrote and nothing will read again."""
     for df in tables:

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventloom.llm.common import small_batches, table, utf8
+from eventloom.llm.common import by_position, small_batches, table, utf8
 
 #: Word bytes are 0-9, a-z and all of multi-byte characters; A-Z become a-z, anything else a blank.
 _FOLD = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -239,12 +239,14 @@ def decontaminate(docs: DataFrame, items: DataFrame, limits: Limits = Limits(),
     """``docs`` less contaminated spans, and less documents whose share of hit words exceeds the limit.
 
     A span goes from its first word's first character to its last word's last; what stands between
-    spans stays as it is. A document without hits is unchanged; see ``find_hits`` for nulls.
+    spans stays as it is. A document without hits is unchanged; see ``find_hits`` for nulls. Columns of
+    ``docs`` go through whatever their names.
     """
-    hits = find_hits(docs, items, limits.window, text)
+    plain, name = by_position(docs)
+    hits = find_hits(plain, items, limits.window, name[text])
     hits = hits.filter(hit_words() <= limits.coverage * F.col("_words"))
-    kept = docs.columns
-    where = kept.index(text)
+    kept = plain.columns
+    where = docs.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -256,7 +258,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, limits: Limits = Limits(),
             columns[where] = pa.array(texts, pa.string())
             yield pa.RecordBatch.from_arrays(columns, names=list(kept))
 
-    return hits.select(*[F.col(f"`{c}`") for c in kept], "_spans").mapInArrow(run, docs.schema)
+    return hits.select(*kept, "_spans").mapInArrow(run, plain.schema).toDF(*docs.columns)
 
 
 def cut(text: str, spans: list[tuple[int, int]]) -> str:

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventloom.llm.common import id_key, staged, table
+from eventloom.llm.common import id_key, settled, staged, table
 
 NONSPACE = r"[^\x20\x09-\x0D]"
 DOC = ["_d", "_t"]
@@ -140,7 +140,7 @@ def drop_repeated_runs(docs: DataFrame, text: str = "text", min_words: int = 50)
     an id and its text are one document and get the same result. Columns of ``docs`` are kept;
     one of the names ``_d _t _cut _lines _removed`` is replaced.
     """
-    cuts = staged(removed_ranges(docs, text, min_words), "line-cuts")
+    cuts = settled(lambda: removed_ranges(docs, text, min_words), "line-cuts")
     keyed = docs.withColumns(dict(zip(DOC, _keys(text), strict=True)))
     lines = F.split(F.col(text), "\n")
     kept = F.filter(lines, lambda x, i: ~F.exists("_cut", lambda c: i.between(c["low"], c["high"])))

@@ -12,8 +12,10 @@ between classes; components of links name each document's group.
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 from itertools import combinations
 
 import numpy as np
@@ -22,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventloom.llm.common import id_key, small_batches, staged, table, unstaged, utf8
+from eventloom.llm.common import by_position, id_key, settled, small_batches, staged, table, unstaged, utf8
 from eventloom.llm.graph import components
 
 SEED = 42
@@ -133,26 +135,56 @@ def group_by_simhash(docs: DataFrame, width: int = 3, radius: int = 3, text: str
     return rows.join(classes, "fp").select("doc_id", "fp", root.alias("component_id"), "n_links")
 
 
-def text_key(text: str, seed: int) -> Column:
-    """A long that stands for a text; null counts as empty."""
-    return F.xxhash64(F.coalesce(F.col(text), F.lit("")), F.lit(seed))
+def _body(text: str) -> Column:
+    return F.coalesce(F.col(text), F.lit(""))
 
 
-def text_seed(docs: DataFrame, text: str = "text") -> int:
-    """The first seed under which no two different texts of ``docs`` (by their 128-bit hashes) share a key.
+def text_hash(text: str, seed: int = 0) -> Column:
+    """A hash of 64 bits of a text; null counts as empty."""
+    return F.xxhash64(_body(text), F.lit(seed))
 
-    So keys of 8 bytes name texts exactly, and no text is dropped for another's hash.
+
+@dataclass(frozen=True)
+class TextKeys:
+    """Keys of 8 bytes that name texts: their hash, but another number for the few texts whose hash another text has too."""
+
+    #: Hash of 128 bits of such a text, in hexadecimal digits, and its key.
+    moved: tuple[tuple[str, int], ...] = ()
+    #: The hashes that they would have.
+    shared: tuple[int, ...] = ()
+
+    def of(self, text: str) -> Column:
+        own = text_hash(text)
+        if not self.moved:
+            return own
+        by_digest = F.create_map(*[F.lit(x) for pair in self.moved for x in pair])
+        other = F.try_element_at(by_digest, F.md5(_body(text).cast("binary")))
+        return F.when(own.isin(*self.shared), F.coalesce(other, own)).otherwise(own)
+
+
+def text_keys(docs: DataFrame, text: str = "text") -> TextKeys:
+    """Keys under which different texts of ``docs`` (by their hashes of 128 bits) never share one, so that none is dropped for another's hash.
+
+    One pass finds the hashes that several texts have: of n texts some n * n / 2 ** 65, a dozen of 2e10. The driver
+    gets these few, gives all but the first text of each another number, and looks in one more pass whether that is
+    free; it hardly ever is not.
     """
-    seed = 0
+    hashed = docs.select(text_hash(text).alias("h"), F.md5(_body(text).cast("binary")).alias("m"))
+    several = hashed.groupBy("h").agg(F.min("m").alias("a"), F.max("m").alias("b")).filter("a <> b").select("h")
+    if several.isEmpty():
+        return TextKeys()
+    rows = hashed.join(several, "h", "left_semi").distinct().orderBy("h", "m").collect()
+    first = {r["h"]: r["m"] for r in reversed(rows)}
+    late = [r["m"] for r in rows if first[r["h"]] != r["m"]]
+    at = 0
     while True:
-        told = F.unhex(F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary")))
-        keys = docs.select(text_key(text, seed).alias("k"), told.alias("m")).groupBy("k").agg(F.min("m").alias("a"), F.max("m").alias("b"))
-        if keys.filter("a <> b").isEmpty():
-            return seed
-        seed += 1
+        numbers = [int.from_bytes(hashlib.sha256(f"{at}:{m}".encode()).digest()[:8], "big", signed=True) for m in late]
+        if len(set(numbers)) == len(late) and hashed.filter(F.col("h").isin(*numbers)).isEmpty():
+            return TextKeys(tuple(zip(late, numbers, strict=True)), tuple(first))
+        at += 1
 
 
-def similar_groups(docs: DataFrame, width: int = 5, similarity: float = 0.8, radius: int = 3, samples: int = 16, text: str = "text", block: int = 512, seed: int | None = None) -> DataFrame:
+def similar_groups(docs: DataFrame, width: int = 5, similarity: float = 0.8, radius: int = 3, samples: int = 16, text: str = "text", block: int = 512, keys: TextKeys | None = None) -> DataFrame:
     """``_key, _root`` per text that has near-duplicates: its hash, and the hash that names its group.
 
     Two texts are near-duplicates if the Jaccard similarity of their sets of shingles is ``similarity`` or
@@ -161,9 +193,9 @@ def similar_groups(docs: DataFrame, width: int = 5, similarity: float = 0.8, rad
     of a mark and with its neighbour by fingerprint. The second checks every pair that the first left in
     different groups and that the shingles which two prefixes share can't rule out.
     """
-    if seed is None:
-        seed = text_seed(docs, text)
-    texts = docs.select(text_key(text, seed).alias("_key"), text)
+    if keys is None:
+        keys = text_keys(docs, text)
+    texts = docs.select(keys.of(text).alias("_key"), text)
     rows = staged(fingerprints(texts, width, text, samples).dropDuplicates(["_key"]), "fingerprints")
     classes = rows.groupBy("fp").agg(F.min("_key").alias("one"))
     prints = staged(classes, "classes")
@@ -391,15 +423,17 @@ def drop_near_duplicates(docs: DataFrame, width: int = 5, similarity: float = 0.
     """One document of each group of near-duplicates: that of the smallest id, nulls first, then of the smallest text hash.
 
     Rows of equal texts are near-duplicates, repeated rows included; so are all null and empty texts. An empty table gives an
-    empty result. Columns are those of ``docs``; none of them may be named ``_key``, ``_id`` or ``_root``.
+    empty result. Columns go through whatever their names.
     """
-    seed = text_seed(docs, text)
-    groups = staged(similar_groups(docs, width, similarity, text=text, seed=seed), "groups")
-    keyed = docs.withColumn("_key", text_key(text, seed)).withColumn("_id", id_key("doc_id"))
+    plain, name = by_position(docs)
+    body, own = name[text], id_key(name["doc_id"])
+    keys = text_keys(plain, body)
+    groups = settled(lambda: similar_groups(plain, width, similarity, text=body, keys=keys), "groups")
+    keyed = plain.withColumn("_key", keys.of(body)).withColumn("_id", own)
     thin = keyed.select("_key", "_id").join(groups, "_key", "left").withColumn("_root", F.coalesce("_root", "_key"))
     best = staged(thin.groupBy("_root").agg(F.min(F.struct("_id", "_key")).alias("s")).select("s.*"), "kept")
     kept = keyed.join(best, ["_id", "_key"], "left_semi")
-    return kept.dropDuplicates(["_id", "_key"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return kept.dropDuplicates(["_id", "_key"]).select(*plain.columns).toDF(*docs.columns)
 
 
 def op7_simhash(spark, sf_dir: str) -> DataFrame:

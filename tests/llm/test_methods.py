@@ -1,6 +1,7 @@
 """The methods themselves against plain loops: templates, token tables, shards, repeats, the label model."""
 
 import math
+import os
 import random
 import re
 import time
@@ -9,7 +10,7 @@ import unicodedata
 import pytest
 from pyspark.sql import functions as F
 
-from eventloom.llm import decontaminate, html_text, quality, simhash, tokens, warc
+from eventloom.llm import common, decontaminate, html_text, quality, simhash, tokens, warc
 from eventloom.llm.common import scratch_path, table
 
 
@@ -263,8 +264,47 @@ def test_fingerprint_query_brute(spark, sf):
 
 
 def test_keys_name_texts(spark, monkeypatch):
-    """Where two texts share a key, another seed is taken."""
-    docs = spark.createDataFrame([(k, f"text {k % 5}") for k in range(10)], "doc_id long, text string")
-    real = simhash.text_key
-    monkeypatch.setattr(simhash, "text_key", lambda text, seed: F.lit(1).cast("long") if seed == 0 else real(text, seed))
-    assert simhash.text_seed(docs) == 1
+    """Texts that share a hash get keys of their own; a number that is taken is passed over."""
+    docs = spark.createDataFrame([(k, f"text {k % 50}") for k in range(100)] + [(100, None), (101, "")], "doc_id long, text string")
+    keys = simhash.text_keys(docs)
+    assert keys == simhash.TextKeys()
+    real = simhash.text_hash
+    monkeypatch.setattr(simhash, "text_hash", lambda text, seed=0: F.pmod(real(text, seed), F.lit(7)))
+    keys = simhash.text_keys(docs)
+    rows = docs.select(keys.of("text").alias("k"), F.coalesce("text", F.lit("")).alias("t")).distinct().collect()
+    assert len(rows) == len({r["k"] for r in rows}) == 51 and len(keys.moved) == 51 - len(keys.shared)
+    kept = simhash.drop_near_duplicates(docs)
+    assert kept.count() == 51 and kept.columns == docs.columns
+
+
+def test_names_of_own_columns(spark, sf):
+    """Stages keep columns that are named like their own."""
+    docs = table(spark, sf, "documents")
+    odd = docs.select("*", F.lit("x").alias("_key"), F.lit(1).alias("_spans"), F.lit(2).alias("_words"), F.lit(3).alias("_id"), F.lit("r").alias("_root"))
+    items = table(spark, sf, "benchmark")
+    for step in (simhash.drop_near_duplicates, lambda d: decontaminate.decontaminate(d, items)):
+        a, b = step(odd), step(docs)
+        assert a.columns == odd.columns
+        assert sorted(a.select(*docs.columns).collect()) == sorted(b.collect())
+        assert a.filter("_key <> 'x' or _spans <> 1 or _words <> 2 or _id <> 3 or _root <> 'r'").count() == 0
+
+
+def test_settled_removes_what_it_was_made_of(spark):
+    """Only the result's table stays, also where a step fails or is built of steps like itself."""
+    made = []
+
+    def build():
+        made.append(common.staged(spark.range(3).toDF("k"), "part"))
+        made.append(common.settled(lambda: made[0].selectExpr("k + 1 as k"), "inner"))
+        return made[1].selectExpr("k + 1 as k")
+
+    def fails():
+        made.append(common.staged(spark.range(3).toDF("k"), "part"))
+        raise KeyError("no")
+
+    out = common.settled(build, "whole")
+    with pytest.raises(KeyError):
+        common.settled(fails, "whole")
+    assert sorted(r["k"] for r in out.collect()) == [2, 3, 4]
+    assert len(made) == 3 and not any(os.path.exists(t._staged_at.removeprefix("file://")) for t in made)
+    common.unstaged(out)
