@@ -8,12 +8,13 @@ writes the mix, block by block with its texts, and says how many words it takes
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventloom.llm import decontaminate, lines, mixing, quality, simhash
-from eventloom.llm.common import staged, table, unstaged
+from eventloom.llm.common import settled, table, unstaged
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -56,9 +57,16 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``. Every stage but the last returns the columns of documents."""
+    """All stages over ``documents``. Every stage but the last returns the columns of documents.
+
+    When a stage's table stands, all that it was made of is removed, and so is the table of the stage before. Null and
+    empty texts have no words, so the first stage drops them; a null source is a source of its own in the mix; of
+    equal texts the second stage cuts the later ones or the third drops them, repeated rows included. Of rows of equal
+    similarity the smallest id stays, a null id being smaller than any. Other columns go through, whatever their names, up to the
+    mix. An empty table gives an empty result.
+    """
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        before, docs = docs, staged(stage(spark, docs, sf_dir), f"stage-{name}")
+        before, docs = docs, settled(partial(stage, spark, docs, sf_dir), f"stage-{name}")
         unstaged(before)
     return docs
