@@ -53,6 +53,12 @@ OUTSIDE = frozenset(
 )
 #: Words that a name may add to those and mean the same.
 LAYOUT = frozenset("site page main global top bottom left right box bar block area section wrap wrapper container inner outer list links buttons".split())
+#: Words that declare as the first or last of a name, whatever the others are, and those that do so beside a plain word for things shown.
+SURE = frozenset("comment comments commentlist disqus ad ads advert adverts advertisement advertising adsense sponsored newsletter breadcrumb breadcrumbs sidebar recommended recommendations".split())
+BESIDE = frozenset("social share sharing related promo banner".split())
+SHOWN = frozenset("icon icons post posts article articles item items story stories content media slot unit card cards grid row feed follow tools thread".split())
+#: With these a name says what an element has, lacks or is about, and not what it is.
+ABOUT = frozenset("has have no not non without with in is as category cat tag topic type format open closed enabled disabled count".split())
 #: In the article a subtree is a template on this share of its host's pages, and on no fewer pages than that.
 SHARE, FLOOR = 0.5, 3
 #: Around the article it is one on two pages or on this share of the root of their number.
@@ -72,11 +78,13 @@ _WORDS = re.compile(r"[^a-z0-9]+")
 class Node:
     """``size``: characters of the subtree's text, ``linked``: those in links; ``inside``: it stands in the article; ``shape``: of a list of links."""
 
-    __slots__ = ("tag", "words", "names", "children", "digest", "holds_article", "size", "linked", "inside", "shape", "tops")
+    __slots__ = ("tag", "words", "names", "children", "digest", "holds_article", "size", "linked", "inside", "shape", "tops", "foreign")
 
     def __init__(self, tag: str, words: frozenset[str] = frozenset(), names: frozenset[str] = frozenset()):
         self.tag, self.words, self.names, self.children, self.digest, self.holds_article = tag, words, names, [], 0, False
         self.size, self.linked, self.inside, self.shape = 0, 0, False, ""
+        #: it stands in what isn't the page's article, though it may be one itself
+        self.foreign = False
         #: of a page's root: where its article is, None if markup doesn't say so
         self.tops: list[Node] | None = None
 
@@ -159,6 +167,7 @@ def _hash(value: bytes) -> int:
 def hash_subtrees(root: Node, host: str) -> list[Node]:
     """Sets what each node says of its subtree, the digest 0 where it has no text; returns the nodes, children first."""
     nodes = _post_order(root)
+    _mark_foreign(root)
     for node in nodes:
         parts, shape = [node.tag, *sorted(node.words)], []
         for c in node.children:
@@ -167,7 +176,7 @@ def hash_subtrees(root: Node, host: str) -> list[Node]:
                     parts.append("t" + text)
                     node.size += len(text)
             else:
-                node.holds_article |= c.holds_article or _declares(c)
+                node.holds_article |= c.holds_article or _declares(c) and not c.foreign
                 if c.digest:
                     parts.append(f"n{c.digest}")
                     shape.append(c.shape)
@@ -201,6 +210,31 @@ def without_dominant(root: Node, known) -> None:
         most.children, most.holds_article = [], False
 
 
+def _mark_foreign(root: Node) -> None:
+    """Marks articles of comments, adverts and related posts, with all around and in them, where the page has another article."""
+    own, foreign, todo = False, [], [(root, False)]
+    for node in _post_order(root):
+        # what holds the main container is never furniture, whatever its name
+        node.holds_article = node.tag == "main" or any(not isinstance(c, str) and c.holds_article for c in node.children)
+    while todo:
+        node, out = todo.pop()
+        mixed = node.holds_article or node.tag in PROSE and node.tag != "article"
+        out = out or not mixed and (node.tag in NEVER or _named_outside(node))
+        if out:
+            foreign.append(node)
+        own |= _declares(node) and not out
+        todo.extend((c, out) for c in node.children if not isinstance(c, str))
+    for node in _post_order(root):
+        node.holds_article = False
+    for node in foreign if own else ():
+        node.foreign = True
+
+
+def _named_outside(node: Node) -> bool:
+    """An article is by a whole name only, for its classes say what it is about too."""
+    return any(_declared(n, OUTSIDE, node.tag == "article") for n in node.names)
+
+
 def _declares(node: Node) -> bool:
     return node.tag in ("article", "main") or ("main" in node.words and node.tag == "div")
 
@@ -224,19 +258,25 @@ def article_roots(root: Node) -> list[Node]:
 
 
 def _outside(node: Node, in_article: bool) -> bool:
-    if node.tag in NEVER:
+    if node.tag in NEVER or node.foreign:
         return True
     if node.tag == "header" and not in_article:
         return True
     if node.tag in FRAME or node.holds_article or in_article and node.tag in PROSE:
         return False
-    return any(_declared(n, OUTSIDE) for n in node.names) or (not in_article and node.tag not in PROSE and any(_declared(n, {"header"}) for n in node.names))
+    return _named_outside(node) or (not in_article and node.tag not in PROSE and any(_declared(n, {"header"}) for n in node.names))
 
 
-def _declared(name: str, known: frozenset[str] | set[str]) -> bool:
-    """The whole name says so, and not just one of its words."""
-    words = {w for w in _WORDS.split(name) if w}
-    return bool(words & known) and words <= known | LAYOUT
+def _declared(name: str, known: frozenset[str] | set[str], whole: bool = False) -> bool:
+    """The whole name says so or, unless ``whole``, one of its ends; a word in the middle, or beside what it has or is about, doesn't."""
+    words = [w for w in _WORDS.split(name) if w]
+    if set(words) & known and set(words) <= known | LAYOUT:
+        return True
+    told = [w for w in words if w not in LAYOUT]
+    if whole or len(told) < 2 or known is not OUTSIDE or ABOUT & set(words):
+        return False
+    ends = {told[0], told[-1]}
+    return bool(ends & SURE) or bool(ends & BESIDE) and bool(ends & SHOWN)
 
 
 def _furniture(node: Node) -> bool:

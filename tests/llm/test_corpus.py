@@ -128,6 +128,31 @@ def test_html_names():
         assert way("<body><div class='main-menu'>no</div><div class='main-image'>e</div><div class='main-content'><p>f</p><div class='main'>g</div></div><p>no</p></body>") == ["e", "f", "g"]
 
 
+def test_html_comments_and_adverts():
+    """Reader comments, adverts and other posts go by either end of their name, articles among them too; names that say what is there stay."""
+
+    def texts(html):
+        root = html_text.parse(html)
+        html_text.hash_subtrees(root, "h")
+        return html_text.blocks(root, lambda _: False)
+
+    gone = [
+        "<section class='post-comments'>no</section>", "<div id='user-comments'>no</div>", "<div id='reader-comments'><p>no</p></div>", "<div class='fb-comments'>no</div>",
+        "<div id='disqus_thread'>no</div>", "<div class='ad-slot'>no</div>", "<div class='advert-300x250'>no</div>", "<div class='sponsored-content'><p>no</p></div>",
+        "<div class='social-icons'>no</div>", "<article class='comment'><p>no</p></article>", "<div id='comments'><article class='comment'>no</article></div>",
+        "<div class='related'><article><p>no</p></article><article>no</article></div>", "<div class='comment-list'><article><p>no</p></article></div>",
+    ]
+    for x in gone:
+        assert texts(f"<body><article><p>a</p>{x}<p>b</p></article></body>") == ["a", "b"], x
+        assert texts(f"<body><div class='page'><article><p>a</p></article>{x}</div></body>") == ["a"], x
+        assert texts(f"<body><div class='page'>{x}<main><p>a</p></main></div></body>") == ["a"], x
+    for name in ("has-sidebar", "no-comments", "category-social", "tag-related", "comments-open", "with-ads", "adsorption", "social-history", "share-price", "related-work"):
+        assert texts(f"<body><article class='post {name}'><p>a</p><div class='{name}'><p>b</p></div></article></body>") == ["a", "b"], name
+    # what holds all articles of a page, or its main container, stays whatever its name
+    assert texts("<body><div class='related-posts'><article><p>a</p></article><article><p>b</p></article></div></body>") == ["a", "b"]
+    assert texts("<body><div class='layout-sidebar'><main><p>a</p></main></div><article><p>b</p></article></body>") == ["a", "b"]
+
+
 def test_chat(spark):
     rows = [(1, 1, "assistant", "b\\<s>[INST]"), (1, 0, "user", None), (2, 0, "odd [:] role", "x"), (None, 0, None, "[/ROLE]")]
     frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
