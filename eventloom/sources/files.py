@@ -14,7 +14,7 @@ from eventloom.functions.taxonomy import Taxonomy
 from eventloom.functions.urls import let, strip, text_of
 from eventloom.operators import coverage
 from eventloom.operators.coverage import SCALARS
-from eventloom.operators.staging import shared_path
+from eventloom.operators.staging import shared_path, staged, unstaged
 
 JSON_COLUMNS = (*coverage.LISTS, "resolution_notes", "enrich_notes", "field_provenance", "validation")
 #: What a stored model answer may fill.
@@ -68,6 +68,11 @@ def save_page_files(pages: DataFrame, folder: str) -> int:
     return pages.select(F.col("event_id").cast("string"), "role", "html").mapInArrow(run, "n long").agg(F.sum("n")).first()[0] or 0
 
 
+def write_page_table(pages: DataFrame, name: str, buckets: int = 256) -> None:
+    """``pages`` as a table bucketed and sorted by event, so that joining events by id moves no page (``enrich.join_pages_to_events``)."""
+    pages.write.bucketBy(buckets, "event_id").sortBy("event_id").saveAsTable(name)
+
+
 def read_taxonomy(spark: SparkSession, path: str) -> Taxonomy:
     """Rules of a JSON file; what it leaves out is empty, but b2b is asked for unless it says otherwise."""
     found = spark.read.json(path, multiLine=True).first().asDict(recursive=True)
@@ -94,10 +99,16 @@ def write_event_list(events: DataFrame, path: str) -> None:
 
 
 def write_page_bundle(pages: DataFrame, path: str) -> None:
-    """``pages(event_id, role, page_url, html)`` by role, and a manifest with the roles and URLs of each event."""
+    """``pages(event_id, role, page_url, html)`` by role, and a manifest with the roles, URLs and notes of each event.
+
+    A note says how the fetch of a page went: its ``fetch_note``, where ``pages`` has that column and it isn't empty.
+    """
     pages.write.partitionBy("role").parquet(f"{path}/pages")
     urls = F.array_sort(F.collect_list(F.struct("role", "page_url")))
-    pages.groupBy("event_id").agg(urls.alias("pages")).write.parquet(f"{path}/manifest")
+    told = F.col("fetch_note") if "fetch_note" in pages.columns else F.lit(None).cast("string")
+    note = F.when(told != "", F.struct("role", F.concat("role", F.lit("_fetch: "), told).alias("note")))
+    notes = F.transform(F.array_sort(F.collect_list(note)), lambda x: x["note"])
+    pages.groupBy("event_id").agg(urls.alias("pages"), notes.alias("notes")).write.parquet(f"{path}/manifest")
 
 
 def write_dom_elements(elements: DataFrame, path: str) -> None:
@@ -121,10 +132,14 @@ def write_coverage(records: DataFrame, path: str, *keys: str) -> None:
 
 
 def write_review(records: DataFrame, path: str, *keys: str) -> None:
-    """All rows of the review table, flagged or not; nothing is written where there are none."""
-    rows = coverage.review_rows(records, *keys)
+    """All rows of the review table, flagged or not; nothing is written where there are none.
+
+    The records' plan runs once: its rows are staged, and the table tells whether there are any.
+    """
+    rows = staged(coverage.review_rows(records, *keys), "review")
     if not rows.isEmpty():
         write_rows(rows, path)
+    unstaged(rows)
 
 
 def write_rows(rows: DataFrame, path: str) -> None:
@@ -177,6 +192,10 @@ def read_answers(answers: DataFrame, key: str = "event_id", raw: str = "raw") ->
 
 
 def split_by_confidence(reviewed: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Rows that need no review and rows that do; an empty side is replaced by all rows."""
+    """Rows that need no review and rows that do; an empty side is replaced by all rows.
+
+    ``reviewed`` is written once to the shared folder; both sides are read from there.
+    """
+    reviewed = staged(reviewed, "reviewed")
     sure, unsure = reviewed.filter(~F.col("needs_review")), reviewed.filter("needs_review")
     return reviewed if sure.isEmpty() else sure, reviewed if unsure.isEmpty() else unsure

@@ -1,10 +1,16 @@
+import os
+import random
+import re
+from urllib.parse import urljoin
+
 import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__
+from eventloom.functions import urls
 from eventloom.jobs import registry
-from eventloom.operators import coverage, merge, pages, resolve
+from eventloom.operators import coverage, enrich, event_page, merge, pages, resolve
 from eventloom.sources import files
 
 TABLES = "region nation customer supplier part orders lineitem events documents pages benchmark conversations".split()
@@ -85,9 +91,84 @@ def test_event_lists_of_another_shape_are_refused(spark, tmp_path):
 
 
 def test_answers(spark):
-    frame = spark.createDataFrame([("```\n{\"city\": \"Oslo\"}```",), (None,), ('"text"',), ("{",)], "raw string")
-    got = [(r["x"]["city"], r["x"]["rejected"]) for r in frame.select(files.parse_answer(F.col("raw")).alias("x")).collect()]
-    assert got == [("Oslo", False), (None, True), (None, False), (None, True)]
+    """Typed items of objects and plain names; what can't be read is kept apart with the reason."""
+    said = '{"city": "Oslo", "speakers": [{"name": "A", "title": "T", "evidence_snippet": "A, T"}, "B", 7, null], "sponsor_companies": "no list"}'
+    rows = [(1, f"```\n{said}\n```"), (2, None), (3, '"text"'), (4, "{"), (5, " "), (1, "zz"), (None, "{}")]
+    good, rejected = files.read_answers(spark.createDataFrame(rows, "event_id long, raw string"))
+    got = {r["event_id"]: r for r in good.collect()}
+    assert set(got) == {1, None} and got[1]["city"] == "Oslo" and got[1]["sponsor_companies"] is None and got[None]["city"] is None
+    assert [(x["name"], x["title"], x["evidence_snippet"], x["website"]) for x in got[1]["speakers"]] == [("A", "T", "A, T", None), ("B", None, None, None)]
+    assert sorted((r["event_id"], r["reason"]) for r in rejected.collect()) == [(1, "not JSON"), (2, "no answer"), (3, "no object"), (4, "not JSON"), (5, "no answer")]
+
+
+def test_answers_reach_the_records(spark):
+    """What the pages support is taken from the answer, the rest is counted; directories' own pages take nothing."""
+    said = '{"address_2": "Hall Nine East", "city": "Bergen", "attending_companies": [{"name": "Fjord Works", "website": "https://fjord.example/", "evidence_snippet": "meet Fjord Works"}, "Ghost Corporation"]}'
+    none = {f: None for f in event_page.RECORD}
+    seeds = spark.createDataFrame([tuple({**none, "event_url": u}.values()) + (k,) for k, u in ((1, "https://own.example/"), (2, "https://conferenceindex.org/event/x"))], ", ".join(f"{f} string" for f in none) + ", event_id long")
+    pages = spark.createDataFrame([(k, "main", 0, "https://own.example/", "<h1>Expo</h1><p>Hall Nine East</p><p>Come and meet Fjord Works</p>") for k in (1, 2)], "event_id long, role string, role_rank int, url string, html string")
+    answers, _ = files.read_answers(spark.createDataFrame([(1, said), (2, said)], "event_id long, raw string"))
+    got = {r["event_id"]: r for r in enrich.parse_event_pages(seeds, pages, answers).collect()}
+    assert (got[1]["address_2"], got[1]["city"], got[1]["validation"]["llm_stripped"], got[1]["validation"]["llm_merged_fields"]) == ("Hall Nine East", None, 2, 2)
+    assert [(x["name"], x["website"]) for x in got[1]["attending_companies"]] == [("Fjord Works", "https://fjord.example/")]
+    assert got[1]["field_provenance"]["address_2"]["source"] == "llm" and "llm: used (stripped 2 ungrounded)" in got[1]["enrich_notes"]
+    assert got[2]["address_2"] is None and "llm: skipped (listing-only source)" in got[2]["enrich_notes"]
+
+
+def test_job_parses_each_page_once(spark, monkeypatch):
+    """Two parses in all, of other pages each; nothing but the records' table stays, and listings' links follow the event's URL."""
+    site, listing = "https://expo.example/", "https://conferenceindex.org/event/expo-9"
+    html = {"listing": "<h1>Grand Expo on 2026-05-04</h1><ul><li>Location: <strong>Oslo, Norway</strong></li></ul><a href='/event/expo-9/program'>Program</a><a href='sponsors.html'>Our sponsors</a>", "main": "<h1>Grand Expo</h1><a href='/exhibitor-list'>Exhibitors</a>"}
+    rows = [(1, r, k, u, html[r], True, "ok") for k, (r, u) in enumerate((("listing", listing), ("main", site)))] + [(2, "main", 1, "https://x.example/", None, False, "timeout"), (9, "main", 1, "https://y.example/", "<p>other</p>", True, "ok")]
+    pages = spark.createDataFrame(rows, "event_id long, role string, role_rank int, page_url string, html string, fetch_ok boolean, fetch_note string")
+    items = spark.createDataFrame([(1, "Grand Expo", listing), (2, "Lone Summit", "https://lone.example/")], "event_id long, name string, event_url string")
+    hits = spark.createDataFrame([(1, 0, site, "Grand Expo Oslo", "official site Oslo Norway")], "event_id long, hit_pos int, url string, title string, snippet string")
+    plans, tables, real = [], [], enrich.staged
+
+    def watched(df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        tables.append(real(df, name))
+        return tables[-1]
+
+    monkeypatch.setattr(enrich, "staged", watched)
+    got = {r["event_id"]: r for r in enrich.enrich_events(items, pages, hits).collect()}
+    assert set(got) == {1, 2} and [p.count("MapInArrow") for p in plans] == [0, 1, 0, 1, 0, 0]
+    assert [os.path.exists(t._staged_at.removeprefix("file://")) for t in tables] == [False] * 5 + [True]
+    one = got[1]
+    assert (one["event_url"], one["start_date"], one["city"], one["listing_url"]) == (site, "2026-05-04", "Oslo", listing)
+    assert one["exhibitor_crawler_url"] == "https://conferenceindex.org/event/expo-9/program" and one["enrich_notes"][-3:] == ["listing_fetch: ok", "main_fetch: ok", "pages_fetched: listing, main"]
+    assert got[2]["enrich_notes"] == ["no pages fetched"] and got[2]["event_url"] == "https://lone.example/"
+
+
+def test_bucketed_pages_stay_where_they_are(spark):
+    """Events are shuffled to the pages' buckets; no exchange lies above the scan of the pages."""
+    rows = [(k % 7, "main", f"https://h/{k}", f"<p>{k}</p>", True) for k in range(40)]
+    files.write_page_table(spark.createDataFrame(rows, "event_id long, role string, page_url string, html string, fetch_ok boolean"), "page_buckets", 4)
+    events = spark.range(7).selectExpr("id as event_id", "concat('https://e/', id) as event_url")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        read, bare = enrich.join_pages_to_events(events, spark.table("page_buckets"))
+        plan = read._jdf.queryExecution().executedPlan().toString()
+        assert read.count() == 40 and bare.count() == 0
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.sql("drop table page_buckets")
+    assert plan.count("Exchange hashpartitioning") == 1 and "SortMergeJoin" in plan
+
+
+def test_references_resolve_like_the_standard_library(spark):
+    rng = random.Random(1)
+    bases = ["http://h", "http://h/", "https://www.h.org/a/b", "https://h/a/b/", "https://h/a//b/c.html?x=1#f", "http://h?q=1", "HTTP://H:80/x"]
+    refs = {rng.choice(["", "", "/"]) + "/".join(rng.choice(["", "a", "b.html", "..", ".", "..."]) for _ in range(rng.randrange(6))) + rng.choice(["", "?", "?p=2", "?a=/b/../c"]) + rng.choice(["", "#", "#x"]) for _ in range(1500)}
+    rows = [(b, h) for h in refs if not re.match("///|//([?#]|$)", h) for b in rng.sample(bases, 2)] + [("https://h/a", "//o.example/x?#"), ("", "x"), (None, "x"), ("mailto:a@b", "x")]
+    for r in spark.createDataFrame(rows, "b string, h string").withColumn("r", urls.join_url(F.col("b"), F.col("h"))).collect():
+        assert r["r"] == (urljoin(r["b"], r["h"]) if r["b"] and r["b"] != "mailto:a@b" else r["h"]), r
+
+
+def test_manifest_has_notes(spark, tmp_path):
+    pages = spark.createDataFrame([(1, "main", "u", "h", "ok"), (1, "listing", "v", "h", None), (2, "main", "w", "h", "")], "event_id long, role string, page_url string, html string, fetch_note string")
+    files.write_page_bundle(pages, str(tmp_path / "bundle"))
+    assert {r["event_id"]: r["notes"] for r in spark.read.parquet(str(tmp_path / "bundle/manifest")).collect()} == {1: ["main_fetch: ok"], 2: []}
 
 
 def test_an_empty_side_gets_all_rows(spark):
