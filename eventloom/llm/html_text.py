@@ -13,6 +13,7 @@ be a menu, header, footer, sidebar, notice, advert, form or comment goes as well
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import re
 from collections.abc import Iterator
@@ -78,13 +79,15 @@ _WORDS = re.compile(r"[^a-z0-9]+")
 class Node:
     """``size``: characters of the subtree's text, ``linked``: those in links; ``inside``: it stands in the article; ``shape``: of a list of links."""
 
-    __slots__ = ("tag", "words", "names", "children", "digest", "holds_article", "size", "linked", "inside", "shape", "tops", "foreign")
+    __slots__ = ("tag", "words", "names", "children", "digest", "holds_article", "size", "linked", "inside", "shape", "tops", "foreign", "declared")
 
     def __init__(self, tag: str, words: frozenset[str] = frozenset(), names: frozenset[str] = frozenset()):
         self.tag, self.words, self.names, self.children, self.digest, self.holds_article = tag, words, names, [], 0, False
         self.size, self.linked, self.inside, self.shape = 0, 0, False, ""
         #: it stands in what isn't the page's article, though it may be one itself
         self.foreign = False
+        #: of a page's root: how many elements say that they are an article
+        self.declared = 0
         #: of a page's root: where its article is, None if markup doesn't say so
         self.tops: list[Node] | None = None
 
@@ -96,12 +99,26 @@ class Node:
         return 0 if self.inside or self.shape.count("a") < 3 or self.tag == "a" else _hash(f"{host}\x02{self.shape}".encode("utf-8", "surrogatepass"))
 
 
+@functools.lru_cache(maxsize=100_000)
+def _words_of(said: str) -> frozenset[str]:
+    return frozenset(_WORDS.split(said.lower()))
+
+
+@functools.lru_cache(maxsize=100_000)
+def _names_of(said: str) -> frozenset[str]:
+    return frozenset(said.lower().split())
+
+
 class _Tree(HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.root = Node("html")
         self.open = [self.root]
 
+    def updatepos(self, i: int, j: int) -> int:
+        """Lines aren't counted."""
+        return j
+
     def handle_starttag(self, tag: str, attrs: list) -> None:
         if tag in ("html", "body") and len(self.open) == 1:
             return
@@ -109,11 +126,15 @@ class _Tree(HTMLParser):
             self._end({"p"}, {"div", "article", "section", "main", "td", "th", "li", "blockquote", "aside", "nav", "table", "form", "header", "footer"})
         if tag in ENDS:
             self._end(*ENDS[tag])
-        said = " ".join(v for k, v in attrs if v and k in ("class", "id", "role")).lower()
-        # a heading's id is an anchor and says nothing of its kind
-        named = " ".join(v for k, v in attrs if v and (k in ("class", "role") or k == "id" and tag not in HEADINGS)).lower()
-        node = Node(tag, frozenset(_WORDS.split(said)) if said else frozenset(), frozenset(named.split()))
+        said = [(k, v) for k, v in attrs if v and k in ("class", "id", "role")] if attrs else ()
+        if said:
+            # a heading's id is an anchor and says nothing of its kind
+            named = [v for k, v in said if k != "id" or tag not in HEADINGS]
+            node = Node(tag, _words_of(" ".join(v for _, v in said)), _names_of(" ".join(named)))
+        else:
+            node = Node(tag)
         self.open[-1].children.append(node)
+        self.root.declared += _declares(node)
         if tag not in VOID:
             self.open.append(node)
 
@@ -167,7 +188,8 @@ def _hash(value: bytes) -> int:
 def hash_subtrees(root: Node, host: str) -> list[Node]:
     """Sets what each node says of its subtree, the digest 0 where it has no text; returns the nodes, children first."""
     nodes = _post_order(root)
-    _mark_foreign(root)
+    if root.declared > 1:
+        _mark_foreign(root)
     for node in nodes:
         parts, shape = [node.tag, *sorted(node.words)], []
         for c in node.children:
@@ -232,7 +254,12 @@ def _mark_foreign(root: Node) -> None:
 
 def _named_outside(node: Node) -> bool:
     """An article is by a whole name only, for its classes say what it is about too."""
-    return any(_declared(n, OUTSIDE, node.tag == "article") for n in node.names)
+    return any(_says_outside(n, node.tag == "article") for n in node.names)
+
+
+@functools.lru_cache(maxsize=100_000)
+def _says_outside(name: str, whole: bool) -> bool:
+    return _declared(name, OUTSIDE, whole)
 
 
 def _declares(node: Node) -> bool:
