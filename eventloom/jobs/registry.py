@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from eventloom.functions import taxonomy, text, urls
 from eventloom.jobs import fixtures as fx
-from eventloom.operators import coverage, evidence, merge, pages, resolve
+from eventloom.operators import blocking, coverage, evidence, merge, pages, resolve, support
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -64,10 +64,15 @@ url_query(
     f"and not (contains(lower({_PATH}), '/conferences/') and not contains(lower({_PATH}), '/event/') and not contains(lower({_PATH}), '/events/'))",
 )
 url_query("is_bad_subpage", urls.is_bad_subpage, f"ends_with(lower(url), '.pdf') or {_in('lower(url)', urls.BAD_SUBPAGE)}")
-url_query(
-    "is_blocked_url", urls.is_blocked_url,
-    f"ends_with(lower(url), '.pdf') or {_in('lower(url)', urls.BLOCKED_PATHS)} or {_RAW_NET} in ('', 'www.') or (" + " or ".join(f"regexp_replace({_RAW_NET}, '^www\\.', '') = '{h}' or ends_with({_RAW_NET}, '.{h}')" for h in urls.BLOCKED_HOSTS) + ")",
-)
+_BLOCKED = f"ends_with(lower(url), '.pdf') or {_in('lower(url)', urls.BLOCKED_PATHS)} or {_RAW_NET} in ('', 'www.') or (" + " or ".join(f"regexp_replace({_RAW_NET}, '^www\\.', '') = '{h}' or ends_with({_RAW_NET}, '.{h}')" for h in urls.BLOCKED_HOSTS) + ")"
+url_query("is_blocked_url", urls.is_blocked_url, _BLOCKED)
+
+
+@query("drop_blocked_urls", f"{W_URLS} select k, url from urls where not ({_BLOCKED})")
+def drop_blocked_urls(spark, d):
+    return blocking.drop_blocked(fx.urls(spark, d), blocking.default_hosts(spark))
+
+
 url_query("review_url_norm", urls.review_url_norm, "lower(rtrim(url, '/'))")
 url_query("ensure_scheme", urls.ensure_scheme, "case when trim(url) = '' then '' when regexp_matches(lower(trim(url)), '^https?://') then trim(url) else 'https://' || trim(url) end")
 _SLUG_PARTS = f"string_split(list_last(string_split(rtrim({_PATH}, '/'), '/')), '-')"
@@ -197,34 +202,27 @@ def parse_speaker_candidate(spark, d):
     return fx.base(spark, d).select("k", text.parse_speaker_candidate(F.expr(_RAW)).alias("x")).select("k", "x.*")
 
 
-#: Documents meet the benchmark's items by the item's longest word, the last of equals: an equal join on what both hold.
+#: All documents against all items, which the operator never does: a plain statement of what it has to find.
 _PAIR = (
-    "with w as (select item_id, text as snippet, unnest(string_split(lower(text), ' ')) as word from benchmark), b as (select item_id, snippet, arg_max(word, (len(word), word)) as word from w group by all), "
-    "t as (select distinct doc_id, text, unnest(string_split(lower(text), ' ')) as word from documents), p as (select doc_id, item_id, trim(regexp_replace(lower(coalesce(t.text, '')), '\\s+', ' ', 'g')) as body, trim(regexp_replace(lower(snippet), '\\s+', ' ', 'g')) as s from t join b using (word)) "
+    "with d as (select doc_id, trim(regexp_replace(lower(coalesce(text, '')), '\\s+', ' ', 'g')) as body from documents), "
+    "i as (select item_id, s, list_filter(regexp_split_to_array(s, '[^\\pL\\pN_]+'), lambda x: len(x) > 2) as w from (select item_id, trim(regexp_replace(lower(coalesce(text, '')), '\\s+', ' ', 'g')) as s from benchmark)) "
+    "select distinct doc_id, item_id, true as found from d, i where "
 )
 
 
-def _pairs(spark, d):
-    words = lambda c: F.explode(F.split(F.lower(c), " "))
-    items = fx.read(spark, d, "benchmark").select("item_id", F.col("text").alias("snippet"), words("text").alias("word"))
-    rare = items.groupBy("item_id", "snippet").agg(F.max_by("word", F.struct(F.length("word"), "word")).alias("word"))
-    docs = fx.read(spark, d, "documents")
-    met = docs.select("doc_id", words("text").alias("word")).dropDuplicates().join(rare, "word").drop("word")
-    return met.join(docs.select("doc_id", "text"), "doc_id")
+def _supported(spark, d, rule):
+    found = support.supported_pairs(fx.read(spark, d, "documents"), fx.read(spark, d, "benchmark"), rule)
+    return found.select("doc_id", "item_id", F.lit(True).alias("found"))
 
 
-@query("scalar_in_text", _PAIR + "select doc_id, item_id, s <> '' and (contains(body, s) or (len(s) > 6 and contains(body, left(s, 30)))) as found from p")
+@query("scalar_in_text", _PAIR + "s <> '' and (contains(body, s) or (len(s) > 6 and contains(body, left(s, 30))))")
 def scalar_in_text(spark, d):
-    return _pairs(spark, d).select("doc_id", "item_id", text.scalar_in_text(F.col("snippet"), F.col("text")).alias("found"))
+    return _supported(spark, d, support.scalar_ways)
 
 
-@query(
-    "snippet_in_text",
-    _PAIR + "select doc_id, item_id, len(s) >= 8 and (contains(body, s) or (len(s) > 40 and contains(body, left(s, 40))) or (len(w) >= 2 and len(list_filter(w[1:4], lambda x: not contains(body, x))) = 0)) as found "
-    "from (select *, list_filter(regexp_split_to_array(s, '[^\\pL\\pN_]+'), lambda x: len(x) > 2) as w from p)",
-)
+@query("snippet_in_text", _PAIR + "len(s) >= 8 and (contains(body, s) or (len(s) > 40 and contains(body, left(s, 40))) or (len(w) >= 2 and len(list_filter(w[1:4], lambda x: not contains(body, x))) = 0))")
 def snippet_in_text(spark, d):
-    return _pairs(spark, d).select("doc_id", "item_id", text.snippet_in_text(F.col("snippet"), F.col("text")).alias("found"))
+    return _supported(spark, d, support.snippet_ways)
 
 
 # --- taxonomy ------------------------------------------------------------------------------------------------

@@ -8,9 +8,9 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__
-from eventloom.functions import urls
 from eventloom.jobs import registry
-from eventloom.operators import coverage, enrich, event_page, merge, pages, resolve
+from eventloom.functions import text, urls
+from eventloom.operators import blocking, coverage, enrich, event_page, merge, pages, resolve, support
 from eventloom.sources import files
 
 TABLES = "region nation customer supplier part orders lineitem events documents pages benchmark conversations".split()
@@ -174,3 +174,41 @@ def test_manifest_has_notes(spark, tmp_path):
 def test_an_empty_side_gets_all_rows(spark):
     frame = spark.createDataFrame([(1, True), (2, True)], "k int, needs_review boolean")
     assert [x.count() for x in files.split_by_confidence(frame)] == [2, 2]
+
+
+RULES = {"scalar": (support.scalar_ways, text.scalar_in_text), "snippet": (support.snippet_ways, text.snippet_in_text)}
+
+
+@pytest.mark.parametrize("rule", RULES)
+def test_supported_pairs_are_those_of_all_pairs(spark, rule):
+    """Needles that begin or end inside words, of one character, longer than 40, without a word; texts that hold them, nearly or not."""
+    rng = random.Random(7)
+    words = ["expo", "exposition", "berlin", "ber", "in", "a", "co-op", "caf\u00e9", "x" * 50, "data", "metadata", "the", "week", "wee", "7", "\u00df", "..."]
+    said = [" ".join(rng.choices(words, k=n)) for n in range(1, 12) for _ in range(6)]
+    cuts = [t[a:b] for t in said[20:] for a, b in [sorted(rng.sample(range(len(t) + 1), 2))]]
+    items = spark.createDataFrame([(k, t) for k, t in enumerate([*said, *cuts, "", None, "  ", "Data  WEEK", "a", "\u00a0expo\u2003week"])], "item_id int, text string")
+    items = items.unionByName(items.filter("item_id = 3")).unionByName(spark.createDataFrame([(3, "other words of it")], "item_id int, text string"))
+    docs = spark.createDataFrame([(k, " ".join(rng.choices(words, k=rng.randrange(40))) + rng.choice(["", "\n", " Data\tweek"])) for k in range(60)] + [(100, None), (101, ""), (102, "\n".join(said[:30]))], "doc_id int, text string")
+    ways, column = RULES[rule]
+    found = sorted(map(tuple, support.supported_pairs(docs, items, ways).collect()))
+    every = docs.withColumnRenamed("text", "body").crossJoin(items).filter(column(F.col("text"), F.col("body"))).select("doc_id", "item_id").distinct()
+    assert found == sorted(map(tuple, every.collect())) and len(found) > 100
+
+
+def test_supported_pairs_of_empty_tables(spark):
+    none, one = spark.createDataFrame([], "doc_id int, item_id int, text string"), spark.createDataFrame([(1, 2, "data week")], "doc_id int, item_id int, text string")
+    for docs, items in ((none, one), (one, none), (none, none)):
+        assert support.supported_pairs(docs, items, support.scalar_ways).count() == 0
+    assert support.supported_pairs(one, one, support.scalar_ways).collect() == [(1, 2)]
+
+
+def test_blocked_hosts_of_a_long_list(spark, small):
+    """The join agrees with the pattern on the hosts that both know; 100,000 listed hosts more, rows and columns come out as they were."""
+    own = spark.createDataFrame([(k, u, "h", False) for k, u in enumerate(["https://a.b.linkedin.com/x", "https://notlinkedin.com/", "https://www.linkedin.com", "https://h77.example/", "https://x.y.h77.example/", "https://h77.example.org/", "", None, "https://z.org/paper.pdf", "https://z.org/", "https://z.org/", "https://" + "a." * 500 + "org/"])], "k int, url string, _host string, _by_path boolean")
+    listed = blocking.default_hosts(spark).unionByName(spark.range(100_000).select(F.format_string("h%d.example", "id").alias("host")))
+    got = blocking.drop_blocked(own, listed)
+    assert got.columns == own.columns and sorted(r["k"] for r in got.collect()) == [1, 5, 9, 10, 11]
+    given = spark.read.parquet(f"{small}/pages.parquet").select("page_id", "url").unionByName(own.select(F.col("k").cast("long").alias("page_id"), "url"))
+    by_pattern = given.filter(~urls.is_blocked_url(F.col("url")))
+    assert sorted(map(tuple, blocking.drop_blocked(given, blocking.default_hosts(spark)).collect())) == sorted(map(tuple, by_pattern.collect()))
+    assert blocking.drop_blocked(own, listed.limit(0)).count() == 9
