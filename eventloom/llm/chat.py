@@ -118,7 +118,8 @@ def format_conversations(rows: DataFrame, template: Template = Template()) -> Da
     empty. ``state`` is the machine's state after the turn, ``broken`` from the first turn that the
     order doesn't allow; the turns are formatted all the same. Repeated rows are turns of their own. An
     empty table gives no segment; other columns of ``rows`` are not used. A conversation's rows
-    are sorted and streamed: no more than a batch is in memory.
+    are sorted and streamed: no more than a batch is in memory. Conversations may be named by numbers or texts;
+    null is a name like any other.
     """
     small_batches(rows.sparkSession)
     template.check()
@@ -127,9 +128,9 @@ def format_conversations(rows: DataFrame, template: Template = Template()) -> Da
     kind = dict(rows.dtypes)["conv_id"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        writer, now, state, piece = Writer(template), _NONE, "start", 0
+        writer, now, state, piece, key = Writer(template), _NONE, "start", 0, None
         for batch in batches:
-            out = []
+            out, key = [], batch.schema.field(0).type
             for conv, turn, role, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if conv != now or now is _NONE:
                     if now is not _NONE:
@@ -140,9 +141,9 @@ def format_conversations(rows: DataFrame, template: Template = Template()) -> Da
                 for segment, learn in writer.turn(role, text):
                     out.append((conv, piece, turn, role, segment, learn, state))
                     piece += 1
-            yield _segments(out, batch.schema.field(0).type)
+            yield _segments(out, key)
         if now is not _NONE:
-            yield _segments([(now, piece, None, None, template.finish, False, state)], pa.int64() if kind == "bigint" else None)
+            yield _segments([(now, piece, None, None, template.finish, False, state)], key)
 
     return dealt.mapInArrow(run, f"conv_id {kind}, piece long, turn long, role string, text string, learn boolean, state string")
 
@@ -150,7 +151,7 @@ def format_conversations(rows: DataFrame, template: Template = Template()) -> Da
 _NONE = object()
 
 
-def _segments(rows: list[tuple], kind) -> pa.RecordBatch:
+def _segments(rows: list[tuple], kind: pa.DataType) -> pa.RecordBatch:
     columns = list(zip(*rows, strict=True)) or [[]] * 7
     kinds = [kind, pa.int64(), pa.int64(), pa.string(), pa.string(), pa.bool_(), pa.string()]
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["conv_id", "piece", "turn", "role", "text", "learn", "state"])
@@ -164,22 +165,22 @@ def read_back(segments: DataFrame, template: Template = Template()) -> DataFrame
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        state = None
+        state = kind = None
         for batch in batches:
-            done = []
+            done, kind = [], batch.schema.field(0).type
             for conv, text, learn, order in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if state is None or state.conv != conv:
                     if state is not None:
                         done.append(state.row())
                     state = _Digest(conv, template)
                 state.add(text, learn, order)
-            yield _digests(done, batch.schema.field(0).type)
+            yield _digests(done, kind)
         if state is not None:
-            yield _digests([state.row()], None)
+            yield _digests([state.row()], kind)
 
-    kind = dict(segments.dtypes)["conv_id"]
+    named = dict(segments.dtypes)["conv_id"]
     return segments.select("conv_id", "text", "learn", "state").mapInArrow(
-        run, f"conv_id {kind}, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, valid boolean"
+        run, f"conv_id {named}, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, valid boolean"
     )
 
 
@@ -205,9 +206,9 @@ class _Digest:
         return self.conv, self.n_turns, self.turns.hexdigest(), self.loss_chars, self.loss.hexdigest(), self.chars, self.valid
 
 
-def _digests(rows: list[tuple], kind) -> pa.RecordBatch:
+def _digests(rows: list[tuple], kind: pa.DataType) -> pa.RecordBatch:
     columns = list(zip(*rows, strict=True)) or [[]] * 7
-    kinds = [kind or pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.bool_()]
+    kinds = [kind, pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.bool_()]
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars", "valid"])
 
 

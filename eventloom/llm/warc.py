@@ -25,6 +25,7 @@ import uuid
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from decimal import Decimal
 
 import pyarrow as pa
 import pyarrow.fs as pafs
@@ -34,6 +35,8 @@ from pyspark.sql import functions as F
 from eventloom.llm.common import NO_ID, id_key, remove_path, scratch_path, small_batches, staged, table, utf8
 
 CELLS = 4096
+#: Cells that a heavy cell is cut into, at least.
+FINER = 16
 REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
@@ -41,48 +44,70 @@ REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 class Layout:
     """``shard_bytes``: payload of a shard, about; ``file_bytes``: compressed size that ends a file; ``least``: smallest payload that is revisited.
 
-    A shard is a task's work. Both sizes suit tables of some GB; larger ones take both larger, 4 GiB and 256 MiB say.
+    A shard is a task's work. There are ``most_shards`` or a few more: beyond ``most_shards * shard_bytes`` of payload shards grow, to some
+    5 GB at 100 TB. ``file_bytes`` suits tables of some GB; larger ones take it larger, 256 MiB say.
     """
 
     shard_bytes: int = 16 << 20
+    most_shards: int = 20_000
     file_bytes: int = 1 << 20
     least: int = 1000
     date: str = "1970-01-01T00:00:00Z"
     level: int = 6
 
 
+def shard_size(total: int, layout: Layout) -> int:
+    """Payload of a shard: the layout's, or what keeps the shards at ``most_shards``."""
+    return max(1, layout.shard_bytes, -(-total // layout.most_shards))
+
+
+def cell_sizes(sizes: DataFrame, shard: int) -> list[tuple[int, int, int]]:
+    """``first id, past the last, bytes`` of ranges of the ids that cover all rows, in order; none of more than one id holds over two shards.
+
+    A first pass sums bytes over ``CELLS`` equal cells. Each heavy cell is cut by its weight, ``FINER`` cells at least and two a
+    shard, and so on until none is heavy. Heavy cells are at most half as many as there are shards, so a pass brings the
+    driver ``FINER / 2 + 2`` rows a shard at most, and a row finds its cell by joining the heavy ones, a table of that size, on the cell before.
+    """
+    spark = sizes.sparkSession
+    ends = sizes.filter(F.col("_id") != F.lit(NO_ID)).agg(F.min("_id").alias("a"), F.max("_id").alias("b")).first()
+    if ends["a"] is None:
+        return []
+    width = max(1, -(-(ends["b"] + 1 - ends["a"]) // CELLS))
+    place = "cast((cast(_id as decimal(20,0)) - {a}) div {w} as bigint)"
+    rows = sizes.filter(F.col("_id") != F.lit(NO_ID)).select("_id", "_bytes", F.lit(0).alias("_range"), F.expr(place.format(a=f"cast({ends['a']} as decimal(20,0))", w=f"cast({width} as decimal(20,0))")).alias("_cell"))
+    ranges, spans = [], {0: (ends["a"], ends["b"] + 1, width)}
+    while True:
+        heavy = []
+        for r in rows.groupBy("_range", "_cell").agg(F.sum("_bytes").alias("n")).collect():
+            a, past, width = spans[r["_range"]]
+            first = a + r["_cell"] * width
+            found = (first, min(past, first + width), int(r["n"]))
+            if found[2] > 2 * shard and found[1] - first > 1:
+                heavy.append((r["_range"], r["_cell"], *found))
+            else:
+                ranges.append(found)
+        if not heavy:
+            return sorted(ranges)
+        spans = {k: (a, past, max(1, -(-(past - a) // max(FINER, 2 * -(-n // shard))))) for k, (_, _, a, past, n) in enumerate(sorted(heavy))}
+        cut = [(r, c, k, Decimal(spans[k][0]), Decimal(spans[k][2])) for k, (r, c, *_) in enumerate(sorted(heavy))]
+        finer = spark.createDataFrame(cut, "_range int, _cell long, _next int, _first decimal(20,0), _width decimal(20,0)")
+        rows = rows.join(F.broadcast(finer), ["_range", "_cell"]).select("_id", "_bytes", F.col("_next").alias("_range"), F.expr(place.format(a="_first", w="_width")).alias("_cell"))
+
+
 def shard_bounds(sizes: DataFrame, layout: Layout) -> list[tuple[int, float]]:
     """First places of all shards but the first: neighbouring cells of the ids share a shard up to its size.
 
-    Cells that hold more than two shards are cut again, until none does or their width is one id; such an id is
-    cut by equal parts of its digests' range. Sums of a few thousand cells at a time are all that reaches the driver.
+    A cell of more than two shards is a single id, cut by equal parts of its digests' range. There are at most ``most_shards``
+    shards and as many cuts again, whatever the table holds.
     """
-    known = sizes.filter(F.col("_id") != F.lit(NO_ID)).agg(F.min("_id").alias("a"), F.max("_id").alias("b")).first()
-    low, high = (known["a"], known["b"]) if known["a"] is not None else (0, 0)
-    ranges: list[tuple[int, int, int]] = []  # first id, past the last, bytes
-    todo = [(low, high + 1)]
-    while todo:
-        # all ranges of a round in one pass: the range's number, and the cell in it
-        cells = F.array(*[F.struct(F.lit(a).cast("decimal(20,0)").alias("a"), F.lit(b).cast("decimal(20,0)").alias("b"), F.lit(max(1, -(-(b - a) // CELLS))).cast("decimal(20,0)").alias("w")) for a, b in todo])
-        one = F.col("_id").cast("decimal(20,0)")
-        named = sizes.withColumn("_r", F.get(F.filter(F.transform(cells, lambda c, i: F.struct(c["a"].alias("a"), c["b"].alias("b"), c["w"].alias("w"), i.alias("i"))), lambda c: (one >= c["a"]) & (one < c["b"])), 0)).filter("_r is not null")
-        found = named.groupBy(F.col("_r.i").alias("i"), F.floor((one - F.col("_r.a")) / F.col("_r.w")).cast("long").alias("c")).agg(F.sum("_bytes").alias("n")).collect()
-        rows = []
-        for r in found:
-            a, b = todo[r["i"]]
-            width = max(1, -(-(b - a) // CELLS))
-            rows.append((a + r["c"] * width, min(b, a + (r["c"] + 1) * width), r["n"]))
-        heavy = [r for r in rows if r[2] > 2 * layout.shard_bytes and r[1] - r[0] > 1]
-        ranges += [r for r in rows if not (r[2] > 2 * layout.shard_bytes and r[1] - r[0] > 1)]
-        todo = [(a, b) for a, b, _ in sorted(heavy)][:CELLS]
-        ranges += sorted(heavy)[CELLS:]
-    null_bytes = sizes.filter(F.col("_id") == F.lit(NO_ID)).agg(F.sum("_bytes")).first()[0] or 0
+    total = sizes.agg(F.sum("_bytes").alias("n"), F.sum(F.when(F.col("_id") == F.lit(NO_ID), F.col("_bytes"))).alias("none")).first()
+    shard, null_bytes = shard_size(total["n"] or 0, layout), total["none"] or 0
     bounds, held = [], 0
-    for a, b, n in sorted([*ranges, *([(NO_ID, NO_ID + 1, null_bytes)] if null_bytes else [])]):
-        if held and held + n > layout.shard_bytes:
+    for a, b, n in [*([(NO_ID, NO_ID + 1, null_bytes)] if null_bytes else []), *cell_sizes(sizes, shard)]:
+        if held and held + n > shard:
             bounds.append((a, 0.0))
             held = 0
-        parts = max(1, -(-n // layout.shard_bytes)) if b - a == 1 else 1
+        parts = max(1, -(-n // shard)) if b - a == 1 else 1
         if parts > 1:
             bounds += [(a, k / parts) for k in range(1, parts)]
         held += n // parts
