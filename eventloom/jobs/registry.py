@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from eventloom.functions import taxonomy, text, urls
 from eventloom.jobs import fixtures as fx
-from eventloom.operators import blocking, coverage, evidence, merge, pages, resolve, support
+from eventloom.operators import blocking, coverage, evidence, merge, pages, resolve, rules, support
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -227,6 +227,21 @@ def snippet_in_text(spark, d):
 
 # --- taxonomy ------------------------------------------------------------------------------------------------
 
+
+@query(
+    "match_rules",
+    f"with {fx.BASE}, r as (select substring, min(rank) as rank from (select p_partkey as rank, p_name || ' ' || ([" + ", ".join(f"'{w}'" for w in fx.WORDS) + "])[(p_partkey % 8) + 1] as substring from part) group by 1), "
+    "t as (select distinct lower(name || ' ' || description) as said from base), b as (select said, min(rank) as rank from t left join (select rank, lower(substring) as substring from r) on contains(said, substring) group by said) "
+    "select k, p_brand as code, p_name as label from base join b on lower(name || ' ' || description) = said left join part on p_partkey = rank",
+)
+def match_rules(spark, d):
+    part = fx.read(spark, d, "part")
+    word = F.get(F.array(*map(F.lit, fx.WORDS)), (F.col("p_partkey") % 8).cast("int"))
+    table = part.select(F.col("p_partkey").cast("long").alias("rank"), F.col("p_brand").alias("code"), F.col("p_name").alias("label"), F.concat_ws(" ", "p_name", word).alias("substring"))
+    said = fx.base(spark, d).select("k", F.concat_ws(" ", "name", "description").alias("text"))
+    return rules.match_rules(said, table, "k")
+
+
 _RULES = "case " + " ".join(f"when {_in('x', w)} then '{{}}'" for _, _, w in taxonomy.INDUSTRIES) + " end"
 
 

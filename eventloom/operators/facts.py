@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from itertools import islice
 from urllib.parse import urlsplit
 
 from pyspark.sql import Column, DataFrame
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 
 from eventloom.functions.text import JUNK_NAMES, NAV_PREFIXES
 from eventloom.functions.urls import SCHEME, join_url
-from eventloom.operators.html import Page, parsed, per_page, resolved, visible_text
+from eventloom.operators.html import Page, among, parsed, per_page, resolved, visible_text
 
 # Words that name a section of companies, marks of such a section, and of parts of a page that aren't its own.
 SPONSOR_WORDS = ("sponsor", "partner", "partners")
@@ -199,11 +200,23 @@ class Section:
         #: an ancestor is a page's frame; the element or an ancestor is named after the kind
         self.framed: list[bool] = []
         self.within: list[bool] = []
+        #: an ancestor's class speaks of pictures or partners
+        self.pictured: list[bool] = []
         frame: list[bool] = []
+        partners: list[bool] = []
         for k, up in enumerate(page.parent):
             self.framed.append(up >= 0 and frame[up])
             frame.append(self.framed[k] or page.tags[k] in FRAME_TAGS or any(m in self.marks[k] for m in FRAME_MARKS))
             self.within.append((up >= 0 and self.within[up]) or self.named(k))
+            self.pictured.append(up >= 0 and partners[up])
+            own = page.attrs[k].get("class", "")
+            partners.append(self.pictured[k] or "pic" in own.split() or "partner" in own or "sponsor" in own)
+        self.described = [k for k in page.all("img") if "alt" in page.attrs[k]]
+        self.linked = [k for k in page.all("a") if "href" in page.attrs[k]]
+
+    def first_of(self, places: list[int], at: int) -> int:
+        """The first of the ``places`` inside an element, -1 where there is none."""
+        return next(among(places, at + 1, self.page.past[at]), -1)
 
     def named(self, at: int) -> bool:
         return any(w in self.marks[at] for w in self.joined)
@@ -222,7 +235,7 @@ class Section:
         if classed := [k for k in free if "class" in page.attrs[k] and self._said(k)]:
             return max(classed, key=lambda k: (self._weight(k), -k))
         for k in free:
-            if page.tags[k] in ("h1", "h2", "h3", "h4") and 0 < len(said := page.text(k)) <= 100 and any(w in said.lower() for w in self.words):
+            if page.tags[k] in ("h1", "h2", "h3", "h4") and (said := page.short_text(k, 100)) and any(w in said.lower() for w in self.words):
                 part = next((up for up in page.above(k) if page.tags[up] in ("section", "main", "article")), -1)
                 return part if part >= 0 and not self.framed[part] else k
         for k in free:
@@ -231,12 +244,13 @@ class Section:
         return -1
 
 
-def _outer_website(page: Page, at: int, host: str) -> str | None:
+def _outer_website(section: Section, at: int, host: str) -> str | None:
     """The first link out of the site: the element's own, else that of the first link in it."""
+    page = section.page
     own = page.attrs[at].get("href", "").strip() if page.tags[at] == "a" else ""
     if own.startswith("http") and host not in netloc(own):
         return own
-    link = next((k for k in page.inside(at, "a") if "href" in page.attrs[k]), -1)
+    link = section.first_of(section.linked, at)
     href = page.attrs[link]["href"].strip() if link >= 0 else ""
     return href if href.startswith("http") and netloc(href) and host not in netloc(href) else None
 
@@ -282,9 +296,9 @@ def entities(page: Page, url: str, words: tuple[str, ...]) -> list[dict]:
         if (holder >= 0 and section.within[holder]) or any(w in own for w in ("logo", "partner", "sponsor")):
             if name := _described(page, img):
                 up = page.parent[img]
-                add(name, _outer_website(page, up if up >= 0 else img, host))
+                add(name, _outer_website(section, up if up >= 0 else img, host))
     for card in [k for k in inside if page.tags[k] in ("article", "li", "div")][:MAX_CARDS]:
-        img = next((k for k in page.inside(card, "img") if "alt" in page.attrs[k]), -1)
+        img = section.first_of(section.described, card)
         if section.framed[card] or not (img >= 0 or section.named(card)):
             continue
         name = _described(page, img) if img >= 0 else None
@@ -293,10 +307,9 @@ def entities(page: Page, url: str, words: tuple[str, ...]) -> list[dict]:
             name = page.text(title) if title >= 0 else None
         if name:
             said = page.first(card, "p")
-            add(name, _outer_website(page, card, host), (page.text(said) or None) if said >= 0 else None)
+            add(name, _outer_website(section, card, host), (page.text(said) or None) if said >= 0 else None)
     for a in (k for k in open_ if page.tags[k] == "a" and "href" in page.attrs[k]):
-        classes = [page.attrs[up].get("class", "") for up in page.above(a)]
-        if "logo" in page.names(a) or any("pic" in c.split() or "partner" in c or "sponsor" in c for c in classes):
+        if "logo" in page.names(a) or section.pictured[a]:
             label, href = page.text(a), page.attrs[a]["href"].strip()
             if label and len(label) <= 80 and href.startswith("http") and host not in netloc(href):
                 add(label, href)
@@ -310,11 +323,11 @@ def speaker_cards(page: Page, url: str) -> list[dict]:
         if page.hidden[head] or not any(w in page.text(head).lower() for w in SPEAKER_WORDS):
             continue
         block = next((up for up in page.above(head) if page.tags[up] in ("section", "main", "div")), head)
-        for card in [k for k in page.inside(block, "article", "li", "div") if not page.hidden[k]][:MAX_BLOCK]:
+        for card in islice((k for k in page.inside(block, "article", "li", "div") if not page.hidden[k]), MAX_BLOCK):
             named = page.first(card, "h3", "h4", "h5", "strong")
             name = page.text(named) if named >= 0 else ""
             if name:
-                said = [page.text(k) or None for k in page.inside(card, "p")][:2]
+                said = [page.text(k) or None for k in islice(page.inside(card, "p"), 2)]
                 title = said[0] if said and said[0] != name else None
                 out.append({"name": name, "title": title, "company": said[1] if len(said) > 1 else None, "details": page.text(card)})
     return out

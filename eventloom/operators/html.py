@@ -8,7 +8,10 @@ to its ancestors.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+import heapq
+from bisect import bisect_left
+from collections import Counter
+from collections.abc import Callable, Iterator, Sequence
 from html.parser import HTMLParser
 from urllib.parse import urljoin
 
@@ -23,7 +26,10 @@ BATCH_PAGES = 256
 
 
 class Page(HTMLParser):
-    """``tags, attrs, parent, past`` by element; ``texts, owner`` by text; ``first_text, past_text`` bound an element's texts."""
+    """``tags, attrs, parent, past`` by element; ``texts, owner`` by text; ``first_text, past_text`` bound an element's texts.
+
+    ``places`` holds each tag's elements in order, so that those inside an element are found by halving.
+    """
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
@@ -37,10 +43,13 @@ class Page(HTMLParser):
         self.texts: list[str] = []
         self.owner: list[int] = []
         self.open: list[int] = []
+        self.n_open: Counter[str] = Counter()
+        self.places: dict[str, list[int]] = {}
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
         at, up = len(self.tags), self.open[-1] if self.open else -1
         self.tags.append(tag)
+        self.places.setdefault(tag, []).append(at)
         self.attrs.append({k: v or "" for k, v in attrs})
         self.parent.append(up)
         self.past.append(at + 1)
@@ -49,6 +58,7 @@ class Page(HTMLParser):
         self.past_text.append(len(self.texts))
         if tag not in VOID:
             self.open.append(at)
+            self.n_open[tag] += 1
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
         self.handle_starttag(tag, attrs)
@@ -56,6 +66,8 @@ class Page(HTMLParser):
             self.handle_endtag(tag)
 
     def handle_endtag(self, tag: str) -> None:
+        if not self.n_open[tag]:
+            return
         for k in range(len(self.open) - 1, -1, -1):
             if self.tags[self.open[k]] == tag:
                 self._shut(k)
@@ -72,19 +84,36 @@ class Page(HTMLParser):
     def _shut(self, depth: int) -> None:
         for at in self.open[depth:]:
             self.past[at], self.past_text[at] = len(self.tags), len(self.texts)
+            self.n_open[self.tags[at]] -= 1
         del self.open[depth:]
 
     def text(self, at: int, between: str = " ") -> str:
         """The element's stripped texts, those of its descendants included but not of scripts and styles."""
+        return between.join(self._said(at))
+
+    def short_text(self, at: int, most: int) -> str | None:
+        """``text`` where it has at most that many characters, else null; reads no further than that takes."""
+        out, size = [], -1
+        for t in self._said(at):
+            size += len(t) + 1
+            if size > most:
+                return None
+            out.append(t)
+        return " ".join(out)
+
+    def _said(self, at: int) -> Iterator[str]:
         own = (self.texts[k].strip() for k in range(self.first_text[at], self.past_text[at]) if not self._code(self.owner[k]))
-        return between.join(t for t in own if t)
+        return (t for t in own if t)
 
     def _code(self, owner: int) -> bool:
         return owner >= 0 and self.tags[owner] in CODE
 
     def inside(self, at: int, *tags: str) -> Iterator[int]:
         """The element's descendants, or those of some tags, in document order."""
-        return (k for k in range(at + 1, self.past[at]) if not tags or self.tags[k] in tags)
+        if not tags:
+            return iter(range(at + 1, self.past[at]))
+        past = self.past[at] if at >= 0 else len(self.tags)
+        return heapq.merge(*(among(self.places.get(t, ()), at + 1, past) for t in tags))
 
     def first(self, at: int, *tags: str) -> int:
         return next(self.inside(at, *tags), -1)
@@ -106,12 +135,20 @@ class Page(HTMLParser):
         return self.attrs[at].get("class", "").split()
 
     def all(self, *tags: str) -> Iterator[int]:
-        return (k for k in range(len(self.tags)) if not tags or self.tags[k] in tags)
+        return self.inside(-1, *tags) if tags else iter(range(len(self.tags)))
 
     def scripts(self, kind: str) -> list[str]:
         return ["".join(self.texts[self.first_text[k] : self.past_text[k]]) for k in self.all("script") if self.attrs[k].get("type") == kind]
 
 
+def among(places: Sequence[int], first: int, past: int) -> Iterator[int]:
+    """Those of ascending ``places`` from ``first`` to before ``past``, found by halving."""
+    for k in range(bisect_left(places, first), len(places)):
+        if places[k] >= past:
+            return
+        yield places[k]
+
+
 def parsed(html: str | None) -> Page:
     page = Page()
     page.feed(html or "")

@@ -56,18 +56,18 @@ def _holders(pieces: DataFrame, vocabulary: DataFrame) -> DataFrame:
     return held.join(rarest, "_gram").filter(F.contains(F.col("_token"), F.col("_piece"))).select("_piece", "_token", "_df")
 
 
-def supported_pairs(docs: DataFrame, items: DataFrame, rule: Rule, key: str = "doc_id", item: str = "item_id", text: str = "text", item_text: str = "text") -> DataFrame:
-    """``key, item`` of all pairs that ``rule`` accepts, each once; ``rule`` gives the ways of a normalised item.
+def supported_pairs(docs: DataFrame, items: DataFrame, rule: Rule, key: str = "doc_id", item: str = "item_id", text: str = "text", item_text: str = "text", prepare: Rule = normalize_for_match) -> DataFrame:
+    """``key, item`` of all pairs that ``rule`` accepts, each once; ``rule`` gives the ways of an item. Both sides go through ``prepare`` first.
 
     Keys of texts are unique. A null text or item is empty and supports or asks for nothing; a null key is in no pair. An item's
     id that comes with several texts is supported where one of them is. Texts travel once per ``AT_ONCE`` ways, and only those that
-    hold some way's rarest piece.
+    hold some way's rarest piece. Needles of spaces alone are never found.
     """
-    bodies = docs.select(F.col(key).alias("_key"), normalize_for_match(F.col(text)).alias("_body"))
+    bodies = docs.select(F.col(key).alias("_key"), prepare(F.col(text)).alias("_body"))
     tokens = bodies.select("_key", F.explode(F.array_distinct(F.split("_body", " "))).alias("_token")).filter("_token <> ''")
     vocabulary = tokens.groupBy("_token").agg(F.count(F.lit(1)).alias("_df"))
 
-    ways = items.select(F.col(item).alias("_item"), F.explode(rule(normalize_for_match(F.col(item_text)))).alias("_needles"))
+    ways = items.select(F.col(item).alias("_item"), F.explode(rule(prepare(F.col(item_text)))).alias("_needles"))
     ways = ways.select("_item", "_needles", F.xxhash64("_item", "_needles").alias("_way"))
     pieces_of = F.array_distinct(F.filter(F.flatten(F.transform("_needles", lambda n: F.split(n, " "))), lambda p: p != ""))
     parts = ways.select("_needles", F.explode(pieces_of).alias("_piece")).distinct()

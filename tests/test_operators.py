@@ -1,6 +1,7 @@
 import os
 import random
 import re
+import time
 from urllib.parse import urljoin
 
 import duckdb
@@ -9,8 +10,8 @@ from pyspark.sql import functions as F
 
 import __spark_entry__
 from eventloom.jobs import registry
-from eventloom.functions import text, urls
-from eventloom.operators import blocking, coverage, enrich, event_page, merge, pages, resolve, support
+from eventloom.functions import taxonomy, text, urls
+from eventloom.operators import blocking, coverage, enrich, event_page, facts, html, merge, pages, resolve, rules, support
 from eventloom.sources import files
 
 TABLES = "region nation customer supplier part orders lineitem events documents pages benchmark conversations".split()
@@ -212,3 +213,49 @@ def test_blocked_hosts_of_a_long_list(spark, small):
     by_pattern = given.filter(~urls.is_blocked_url(F.col("url")))
     assert sorted(map(tuple, blocking.drop_blocked(given, blocking.default_hosts(spark)).collect())) == sorted(map(tuple, by_pattern.collect()))
     assert blocking.drop_blocked(own, listed.limit(0)).count() == 9
+
+
+def test_nested_cards_in_linear_time():
+    """Cards that nobody closes hold all later ones: four times as many take about four times as long, not sixteen times."""
+
+    def seconds(n):
+        said = "".join(f'<div class="partner-card"><h3>Firm {k}</h3><p>of {k}</p><a href="https://f{k}.org/">site</a></b>' for k in range(n))
+        page, began = html.parsed(f'<section class="sponsors-list"><h2>Sponsors</h2>{said}'), time.process_time()
+        found = facts.entities(page, "https://h.org/", facts.SPONSOR_WORDS)
+        spent = time.process_time() - began
+        assert len(found) == facts.MAX_ENTITIES and found[1] == {"name": "Firm 1", "website": "https://f1.org/", "details": "of 1"}
+        return spent
+
+    assert min(seconds(20_000) for _ in range(2)) < 9 * max(seconds(5000), 0.05)
+
+
+def _first_rule(said, table):
+    held = [(rank, code, label) for rank, code, label, word in table if word is not None and word.lower() in (said or "").lower()]
+    return min(held)[1:] if held else (None, None)
+
+
+@pytest.mark.parametrize("sent", [1 << 20, 0])
+def test_rules_of_a_table(spark, sent):
+    """Sent to the tasks or joined, 10,000 rules give what a plain loop gives; empty and null substrings, equal ranks, null texts."""
+    rng = random.Random(3)
+    letters = lambda n: "".join(rng.choices("abcd \u00e9", k=n))
+    table = [(k, f"c{k}", f"Label {k}", letters(rng.randrange(4, 9)).strip() or "abab") for k in range(10_000)]
+    table += [(5, "c0", "less", "zz Z"), (7, "c7", None, None), (3, "c3", "Label 3", "\ttab")]
+    texts = [(k, letters(rng.randrange(60))) for k in range(150)] + [(200, None), (201, ""), (202, "Zz z\ttab"), (203, "q")]
+    docs = spark.createDataFrame(texts, "doc_id int, text string")
+    columns = "rank long, code string, label string, substring string"
+    named = {}
+    for rank, code, label, _ in table:
+        named[rank] = min(named.get(rank, (code, label)), (code, label), key=lambda x: (x[0], x[1] or ""))
+    table = [(rank, *named[rank], word) for rank, _, _, word in table]
+    for more in ([], [(9_000, *named[9_000], "")]):
+        got = {r["doc_id"]: (r["code"], r["label"]) for r in rules.match_rules(docs, spark.createDataFrame([*table, *more], columns), "doc_id", sent_chars=sent).collect()}
+        assert got == {k: _first_rule(t, [*table, *more]) for k, t in texts}
+    assert [tuple(r) for r in rules.match_rules(docs.limit(1), spark.createDataFrame([], columns), "doc_id", sent_chars=sent).collect()] == [(0, None, None)]
+
+
+def test_rule_table_agrees_with_the_expression(spark, small):
+    docs = spark.read.parquet(f"{small}/documents.parquet").select("doc_id", F.concat("text", F.element_at(F.array(*[F.lit(w[0]) for _, _, w in taxonomy.INDUSTRIES]), (F.col("doc_id") % len(taxonomy.INDUSTRIES) + 1).cast("int"))).alias("text"))
+    plain = docs.select("doc_id", taxonomy.map_industry(F.col("text")).alias("x")).select("doc_id", "x.code", "x.label")
+    found = rules.match_rules(docs, rules.rule_table(spark), "doc_id")
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, plain.collect()))
