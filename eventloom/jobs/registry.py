@@ -423,13 +423,31 @@ def clear_unpublished_lists(spark, d):
     return out.select("k", F.array_join("x.speakers", ",").alias("speakers"), F.array_join("x.attending", ",").alias("attending"), "x.cleared")
 
 
-@query("merge_llm_safe", f"with {fx.BASE} select k, case k % 3 when 0 then speaker || ',' || host when 1 then speaker || ',' || host else host || ',' || host end as merged, 1 as n from base")
+_LLM_NAMES = (
+    "with l as (select l_orderkey as k, l_linenumber as i, case when l_linenumber % 2 = 0 then upper(n_name) || ' ' else lower(n_name) end as name, l_linenumber % 3 = 0 as old from lineitem join supplier on s_suppkey = l_suppkey join nation on n_nationkey = s_nationkey), "
+    "f as (select *, not old and row_number() over (partition by k, old, lower(trim(name)) order by i, name) = 1 and not bool_or(old) over (partition by k, lower(trim(name))) as fresh from l), "
+    "g as (select k, count(*) filter (old) as n_old, count(*) filter (not old) as n_new, count(*) filter (fresh) as n_fresh, string_agg(name, ',' order by i, name) filter (old) as olds, string_agg(name, ',' order by i, name) filter (not old) as news, string_agg(name, ',' order by i, name) filter (fresh) as added, "
+    "case k % 3 when 0 then null when 1 then '' else min(name) end as had, case k % 4 when 0 then null when 1 then '' else max(name) end as told from f group by k) "
+)
+
+
+@query(
+    "merge_llm_safe",
+    _LLM_NAMES + "select k, case when n_new = 0 then olds when n_old = 0 then news else concat_ws(',', olds, added) end as merged, case when n_new = 0 then 0 when n_old = 0 then 1 else n_fresh end::int as n, "
+    "case when coalesce(had, '') = '' and coalesce(told, '') <> '' then told else had end as value, (coalesce(had, '') = '' and coalesce(told, '') <> '')::int as n_value from g",
+)
 def merge_llm_safe(spark, d):
-    k = F.col("k")
-    empty = F.array().cast("array<string>")
-    old = F.when(k % 3 == 2, empty).otherwise(F.array("speaker"))
-    new = F.when(k % 3 == 0, F.array(F.upper("speaker"), F.col("host"))).when(k % 3 == 1, F.array("host", F.upper("host"))).otherwise(F.array("host", "host"))
-    return fx.base(spark, d).select("k", evidence.merge_llm_list(old, new).alias("x")).select("k", F.array_join("x.merged", ",").alias("merged"), "x.n")
+    """Lists and texts as the job merges them: a model's after those of the pages, names of an order's suppliers' nations."""
+    t, k = (lambda n: fx.read(spark, d, n)), F.col("k")
+    lines = t("lineitem").join(t("supplier"), F.col("s_suppkey") == F.col("l_suppkey")).join(t("nation"), F.col("n_nationkey") == F.col("s_nationkey"))
+    name = F.when(F.col("l_linenumber") % 2 == 0, F.concat(F.upper("n_name"), F.lit(" "))).otherwise(F.lower("n_name"))
+    lists = lines.groupBy(F.col("l_orderkey").alias("k")).agg(F.array_sort(F.collect_list(F.struct(F.col("l_linenumber").alias("i"), name.alias("name")))).alias("all"))
+    old, new = F.filter("all", lambda x: x["i"] % 3 == 0), F.filter("all", lambda x: x["i"] % 3 != 0)
+    names = F.transform("all", lambda x: x["name"])
+    had = F.when(k % 3 == 1, "").when(k % 3 == 2, F.array_min(names))
+    told = F.when(k % 4 == 1, "").when(k % 4 > 1, F.array_max(names))
+    merged = lists.select("k", evidence.merge_llm_items(old, new).alias("x"), evidence.merge_llm_scalar(had, told).alias("y"))
+    return merged.select("k", F.array_join(F.transform("x.merged", lambda x: x["name"]), ",").alias("merged"), F.col("x.n").alias("n"), "y.value", F.col("y.n").alias("n_value"))
 
 
 # --- official sites ------------------------------------------------------------------------------------------
