@@ -7,9 +7,9 @@ its block k modulo its number of blocks, so that a source goes round again and n
 taken twice before all others were taken once. A source gets slots until the words drawn reach its
 target, and each slot is filled with the pieces of text of its block.
 
-Places in a stream and ranks of slots are sums over what comes before. They are taken in two steps, within
-small buckets and over the buckets' totals, so that a source with a third of all words, or of
-all slots, is not one task.
+Places in a stream and ranks of slots are sums over what comes before. They are taken in three steps, within
+small buckets, over the totals of ``GROUP`` neighbouring buckets and over those groups' totals, so that a source
+with a third of all words, or of all slots, is not one task.
 """
 
 from __future__ import annotations
@@ -26,7 +26,14 @@ from pyspark.sql import functions as F
 from eventloom.llm.common import NO_ID, small_batches, staged, table
 
 NONSPACE = r"[^\x20\x09-\x0D]+"
-GOLDEN = (math.sqrt(5) - 1) / 2
+#: Buckets whose totals are added up in one task.
+GROUP = 4096
+#: Bits of a slot's number that are taken at a time, and the golden ratio's multiples by what each such part stands for, less
+#: their whole parts: products stay small enough for doubles to keep their fractions to a thousand-millionth, at every slot below 2 ** 60.
+PART_BITS = 20
+_ONE = 1 << 192
+_GOLDEN = (math.isqrt(5 * _ONE * _ONE) - _ONE) // 2
+GOLDEN = tuple((_GOLDEN << PART_BITS * k) % _ONE / _ONE for k in range(3))
 
 
 @dataclass(frozen=True)
@@ -44,10 +51,13 @@ def running(rows: DataFrame, keys: list[str], bucket: str, order: list[Column],
     inner = Window.partitionBy(*keys, bucket).orderBy(*order)
     rows = rows.withColumn("_v", value)
     totals = rows.groupBy(*keys, bucket).agg(F.sum("_v").alias("_s"))
-    base = Window.partitionBy(*keys).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
-    totals = totals.withColumn("_base", F.coalesce(F.sum("_s").over(base), F.lit(0))).drop("_s")
-    inside = F.coalesce(F.sum("_v").over(inner.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    return rows.withColumn("_in", inside).join(totals, [*keys, bucket]).withColumn(name, F.col("_base") + F.col("_in")).drop("_v", "_in", "_base")
+    totals = totals.withColumn("_group", F.floor(F.col(bucket) / GROUP))
+    before = lambda w, c: F.coalesce(F.sum(c).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    groups = totals.groupBy(*keys, "_group").agg(F.sum("_s").alias("_t"))
+    groups = groups.withColumn("_far", before(Window.partitionBy(*keys).orderBy("_group"), "_t")).drop("_t")
+    totals = totals.withColumn("_near", before(Window.partitionBy(*keys, "_group").orderBy(bucket), "_s")).join(groups, [*keys, "_group"])
+    totals = totals.select(*keys, bucket, (F.col("_far") + F.col("_near")).alias("_base"))
+    return rows.withColumn("_in", before(inner, "_v")).join(totals, [*keys, bucket]).withColumn(name, F.col("_base") + F.col("_in")).drop("_v", "_in", "_base")
 
 
 def targets(sized: DataFrame, plan: Plan) -> DataFrame:
@@ -77,6 +87,13 @@ def targets(sized: DataFrame, plan: Plan) -> DataFrame:
     return out.select("_source", "source_size", "_w", F.least(F.col("_w") * level, "_cap").alias("target"))
 
 
+def golden_point(slot: Column) -> Column:
+    """The slot's multiple of the golden ratio, less its whole part."""
+    part = lambda k: F.shiftright(slot, PART_BITS * k).bitwiseAND((1 << PART_BITS) - 1) * F.lit(GOLDEN[k])
+    fraction = lambda c: c - F.floor(c)
+    return fraction(sum((fraction(part(k)) for k in range(1, len(GOLDEN))), fraction(part(0))))
+
+
 def schedule(sources: DataFrame, slots: int, plan: Plan) -> DataFrame:
     """``slot, _source, rank``: the source that fills each slot and how many slots it filled before."""
     spark = sources.sparkSession
@@ -89,8 +106,7 @@ def schedule(sources: DataFrame, slots: int, plan: Plan) -> DataFrame:
     cell = F.explode(F.sequence(F.floor(F.col("_from") * cells).cast("int"), F.least(F.floor(F.col("_to") * cells), F.lit(cells - 1)).cast("int")))
     stretches = stretches.filter("target > 0").select("_source", "_from", F.when(F.col("_last"), 2.0).otherwise(F.col("_to")).alias("_to"), cell.alias("_cell"))
     points = spark.range(slots).withColumnRenamed("id", "slot")
-    point = F.col("slot") * F.lit(GOLDEN)
-    points = points.withColumn("_u", point - F.floor(point)).withColumn("_cell", F.floor(F.col("_u") * cells).cast("int"))
+    points = points.withColumn("_u", golden_point(F.col("slot"))).withColumn("_cell", F.floor(F.col("_u") * cells).cast("int"))
     placed = points.join(stretches, "_cell").filter("_u >= _from and _u < _to").select("slot", "_source")
     placed = placed.withColumn("_bucket", F.floor(F.col("slot") / plan.bucket_rows)).withColumn("_known", F.col("_source").isNotNull()).withColumn("_source", F.coalesce("_source", F.lit("")))
     ranked = running(placed, ["_known", "_source"], "_bucket", [F.col("slot")], F.lit(1), "rank")
