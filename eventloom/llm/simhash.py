@@ -111,7 +111,8 @@ def near_pairs(prints: DataFrame, radius: int = 3, segments: int = 2) -> DataFra
     asked = prints.select("fp", F.explode(keys).alias("s")).select("s.k", "s.v", F.col("fp").alias("b"), F.explode(masks).alias("m"))
     asked = asked.select("k", F.col("v").bitwiseXOR(F.col("m")).alias("v"), "b")
     close = (F.col("a") < F.col("b")) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= radius)
-    return filed.join(asked, ["k", "v"]).filter(close).select("a", "b").dropDuplicates()
+    # Spark takes an exploded table for as small as the one before, so these must never be broadcast
+    return filed.join(asked.hint("merge"), ["k", "v"]).filter(close).select("a", "b").dropDuplicates()
 
 
 def group_by_simhash(docs: DataFrame, width: int = 3, radius: int = 3, text: str = "text") -> DataFrame:
@@ -204,7 +205,7 @@ def similar_groups(docs: DataFrame, width: int = 5, similarity: float = 0.8, rad
     same = rows.join(prints, "fp").filter("_key <> one").select(F.col("one").alias("x"), F.col("_key").alias("y"))
     marked = rows.select("_key", "fp", F.posexplode("marks").alias("k", "mark"))
     shared = marked.groupBy("k", "mark").agg(F.count(F.lit(1)).alias("n"), F.min("_key").alias("one")).filter("n > 1").drop("n")
-    inside = marked.join(shared, ["k", "mark"])
+    inside = marked.join(shared.hint("merge"), ["k", "mark"])
     star = inside.filter("_key <> one").select(F.col("one").alias("x"), F.col("_key").alias("y"), F.lit(1).alias("star"), F.lit(0).alias("chain"))
     # neighbours in a mark's order of fingerprints; a part of the fingerprint splits large marks
     order = Window.partitionBy("k", "mark", F.shiftrightunsigned("fp", 58)).orderBy("fp", "_key")
@@ -344,7 +345,7 @@ def _bucket_pairs(posts: DataFrame, similarity: float, block: int) -> DataFrame:
     left = dealt.select("tok", F.col("_key").alias("x"), F.col("n").alias("m"), F.col("pos").alias("at"), F.col("_root").alias("r"), F.col("p").alias("i"), F.explode(F.sequence("p", "last")).alias("j"))
     right = dealt.select("tok", F.col("_key").alias("y"), "n", "pos", "_root", F.explode(F.sequence(F.lit(0).cast("long"), "p")).alias("i"), F.col("p").alias("j"))
     once = (F.col("r") != F.col("_root")) & ((F.col("i") < F.col("j")) | (F.col("x") < F.col("y")))
-    met = left.join(right, ["tok", "i", "j"]).filter(once & _alike("n", "m", similarity) & _in_step("m", "at", "n", "pos", similarity))
+    met = left.join(right.hint("merge"), ["tok", "i", "j"]).filter(once & _alike("n", "m", similarity) & _in_step("m", "at", "n", "pos", similarity))
     # a pair may meet in either order, by its blocks
     one, other = F.struct(F.col("x").alias("k"), F.col("m").alias("n"), F.col("at").alias("p")), F.struct(F.col("y").alias("k"), F.col("n").alias("n"), F.col("pos").alias("p"))
     met = met.select(F.least(one, other).alias("a"), F.greatest(one, other).alias("b"))
