@@ -5,7 +5,7 @@ from html.parser import HTMLParser
 
 import pytest
 
-from eventloom.operators import facts, html
+from eventloom.operators import facts, html, pages
 
 
 class Standard(html.Page):
@@ -67,3 +67,22 @@ def test_plain_references_resolve_as_any_other(base, href):
     from urllib.parse import urljoin
 
     assert html.resolved(base, href) == urljoin(base, href)
+
+
+def test_cut_references_stay_where_only_closed_ones_count(spark):
+    """The query's SQL knows references by their semicolon; titles of some pages end in the middle of one."""
+    frame = spark.createDataFrame([(1, "<title>a&&& b&amp</title><p>c &amp; d &copy;&copy &unknown; &#65;&#65 &</p>")], "page_id long, html string")
+    assert pages.page_text(frame).first()["text"] == "a&&& b&\nc & d \u00a9\u00a9 &unknown; AA &"
+    assert pages.page_text(frame, open_references=False).first()["text"] == "a&&& b&amp\nc & d \u00a9&copy &unknown; A&#65 &"
+
+
+def test_page_text_gives_what_its_sql_gives(spark):
+    import duckdb
+
+    import __spark_entry__
+
+    d = "/root/testdata/sf0.1"
+    with duckdb.connect() as db:
+        db.execute(f"create view pages as select * from '{d}/pages.parquet'")
+        want = dict(db.execute(__spark_entry__.oracle_sql()["page_text"]).fetchall())
+    assert {r["page_id"]: r["text"] for r in __spark_entry__.queries()["page_text"](spark, d).collect()} == want
