@@ -14,7 +14,7 @@ from eventloom.functions.taxonomy import INDUSTRIES
 from eventloom.functions.urls import text_of
 from eventloom.operators.support import supported_pairs
 
-#: Rules whose substrings have at most this many characters in all go to every task; longer lists are joined.
+#: Rules whose distinct substrings have at most this many characters in all go to every task; longer lists are joined.
 SENT_CHARS = 4_000_000
 
 _automata: dict[str, tuple] = {}
@@ -65,18 +65,21 @@ def match_rules(rows: DataFrame, rules: DataFrame, key: str, text: str = "text",
 
     ``rules`` has ``rank, code, label, substring``, a row per substring; a null substring asks for nothing, an empty one is in every
     text. Of equal ranks the least code, then label, is taken. Keys are unique and not null. A null text is empty. Where the substrings' characters are at
-    most ``sent_chars`` each text is read once against all of them; otherwise texts and substrings are joined by what they share.
+    most ``sent_chars``, equal substrings counted once, each text is read once against all of them; otherwise texts and substrings are
+    joined by what they share.
     """
     spark = rows.sparkSession
-    named = rules.groupBy(F.col("rank").alias("_rank")).agg(F.min(F.struct("code", "label")).alias("_rule"))
-    words = rules.filter("substring is not null").select(F.col("rank").alias("_rank"), F.lower("substring").alias("_word"))
+    # of rules with one substring only the first is ever taken
+    words = rules.filter("substring is not null").groupBy(F.lower("substring").alias("_word")).agg(F.min("rank").alias("_rank"))
+    used = rules.select(F.col("rank").alias("_rank"), "code", "label").join(words.select("_rank"), "_rank", "left_semi")
+    named = used.groupBy("_rank").agg(F.min(F.struct("code", "label")).alias("_rule"))
     low = lambda c: F.lower(text_of(c))
     size = words.agg(F.sum(F.length("_word") + 1).alias("n"), F.min(F.when(F.col("_word") == "", F.col("_rank"))).alias("everywhere")).first()
     if (size["n"] or 0) <= sent_chars:
         sent = [(r["_rank"], r["_word"]) for r in words.collect()]
         held = rows.select(key, _least_rank(low(F.col(text)), sent, spark).alias("_rank"))
     else:
-        needles = words.filter("_word <> ''").groupBy("_word").agg(F.min("_rank").alias("_rank"))
+        needles = words.filter("_word <> ''")
         pairs = supported_pairs(rows, needles, lambda s: F.array(F.array(s)), key, "_rank", text, "_word", low)
         best = pairs.groupBy(key).agg(F.min("_rank").alias("_rank"))
         # least() passes over nulls
