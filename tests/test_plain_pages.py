@@ -86,3 +86,16 @@ def test_page_text_gives_what_its_sql_gives(spark):
         db.execute(f"create view pages as select * from '{d}/pages.parquet'")
         want = dict(db.execute(__spark_entry__.oracle_sql()["page_text"]).fetchall())
     assert {r["page_id"]: r["text"] for r in __spark_entry__.queries()["page_text"](spark, d).collect()} == want
+
+
+def test_strip_takes_unicode_white_space_without_a_pattern(spark):
+    """The same characters as the pattern that it was."""
+    from pyspark.sql import functions as F
+
+    from eventloom.functions.urls import strip
+
+    points = [k for k in range(1, 0x10000) if not 0xD800 <= k < 0xE000]
+    rows = spark.createDataFrame([(chr(k) + "a" + chr(k) + "b" + chr(k) * 2,) for k in points] + [(" \n\t",), ("",), (None,), ("a \r\n",), (" a\x85\n",)], "x string")
+    got, was = strip(F.col("x")), F.regexp_replace("x", r"(?U)^\s+|\s+$", "")
+    assert rows.filter(~got.eqNullSafe(was)).count() == 0
+    assert "regexp" not in rows.select(got)._jdf.queryExecution().optimizedPlan().toString()
