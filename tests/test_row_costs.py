@@ -22,12 +22,12 @@ def test_tasks_go_by_the_rows():
     assert [ep.n_tasks(n, 12) for n in (0, 1, 250, 251, 150_000, 900_000, 9_000_000)] == [1, 1, 1, 2, 48, 90, 900]
 
 
-def test_maps_of_provenance_are_worked_out_once():
+def test_maps_of_provenance_are_worked_out_once(spark):
     held, more = F.upper(F.col("the_held")), F.upper(F.col("the_more"))
     assert _named(merge.merge_of_entries(held, more), "the_held") == _named(merge.merge_of_entries(held, more), "the_more") == 1
 
 
-def test_links_are_read_once_for_all_roles():
+def test_links_are_read_once_for_all_roles(spark):
     assert _named(crawl.subpages(F.col("the_links"), F.col("base")), "the_links") == 1
 
 
