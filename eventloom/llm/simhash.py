@@ -346,10 +346,10 @@ def _bucket_pairs(posts: DataFrame, similarity: float, block: int) -> DataFrame:
     right = dealt.select("tok", F.col("_key").alias("y"), "n", "pos", "_root", F.explode(F.sequence(F.lit(0).cast("long"), "p")).alias("i"), F.col("p").alias("j"))
     once = (F.col("r") != F.col("_root")) & ((F.col("i") < F.col("j")) | (F.col("x") < F.col("y")))
     met = left.join(right.hint("merge"), ["tok", "i", "j"]).filter(once & _alike("n", "m", similarity) & _in_step("m", "at", "n", "pos", similarity))
-    # a pair may meet in either order, by its blocks
-    one, other = F.struct(F.col("x").alias("k"), F.col("m").alias("n"), F.col("at").alias("p")), F.struct(F.col("y").alias("k"), F.col("n").alias("n"), F.col("pos").alias("p"))
-    met = met.select(F.least(one, other).alias("a"), F.greatest(one, other).alias("b"))
-    met = met.select(F.col("a.k").alias("x"), F.col("a.n").alias("m"), F.col("a.p").alias("at"), F.col("b.k").alias("y"), F.col("b.n").alias("n"), F.col("b.p").alias("pos"))
+    # a pair may meet in either order, by its blocks. Comparing structs makes the join's code so large that compiling it takes over 200 MB beside the heap
+    turned = F.col("x") > F.col("y")
+    ends = [F.when(turned, F.col(b)).otherwise(F.col(a)).alias(c) for a, b, c in (("x", "y", "x"), ("m", "n", "m"), ("at", "pos", "at"), ("y", "x", "y"), ("n", "m", "n"), ("pos", "at", "pos"))]
+    met = met.select(*ends)
     shared = met.groupBy("x", "y", "m", "n").agg(F.count(F.lit(1)).alias("c"), F.max("at").alias("at"), F.max("pos").alias("pos"))
     most = F.col("c") + F.least(F.col("m") - F.col("at"), F.col("n") - F.col("pos")) - 1
     return shared.filter(most >= _needed("m", "n", similarity)).select("x", "y")

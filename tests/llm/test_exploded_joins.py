@@ -24,3 +24,12 @@ def test_blocks_of_buckets_are_not_broadcast(spark):
     pairs = simhash._bucket_pairs(posts, 0.8, 1)
     assert [tuple(sorted(r)) for r in pairs.collect()] == [(10, 11)]
     assert "BroadcastHashJoin" not in plan_of(pairs)
+
+
+def test_code_of_the_join_of_blocks_stays_small(spark):
+    """Spark's code for it compared structs, and its compilation took over 200 MB of an executor's memory beside the heap."""
+    rows = [(t, k, 9 + k % 2, (t + k) % 3, 4, k) for t in range(3) for k in (10, 11, 12, 13)]
+    posts = staged(spark.createDataFrame(rows, "tok long, _key long, n long, pos long, df long, _root long"), "posts")
+    pairs = simhash._bucket_pairs(posts, 0.1, 2)
+    assert sorted(tuple(r) for r in pairs.collect()) == [(a, b) for a in range(10, 14) for b in range(a + 1, 14)]
+    assert "struct(" not in plan_of(pairs)
