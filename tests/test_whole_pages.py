@@ -1,7 +1,13 @@
 """Queries read every event, and what a page gives is read in its one parse."""
 
+import random
+
+from pyspark.sql import functions as F
+
+from eventloom.functions import text
 from eventloom.jobs import event_pages as ep
 from eventloom.jobs import registry
+from eventloom.operators import event_page, facts, html
 
 
 def test_every_event_is_dispatched(spark, sf):
@@ -14,3 +20,27 @@ def test_every_event_is_dispatched(spark, sf):
     named = lambda k: None if k % 3 == 2 else "Conference Index" if k % 12 == 0 else events[k]
     assert all(r["group_name"] == named(k) and r["none"] == (k % 3 == 2) for k, r in got.items())
     assert " where " not in registry.oracle_sql()["listing_dispatch"].rsplit(" as none ", 1)[1]
+
+
+SAID = (
+    "Panelists: ", "panelist:", "Panelist", " at ", " AT ", "\tat  ", " — ", " - ", "-", ", ", ";", "•", "\n", "\n", " ", "  ", "\xa0", "\x1f", "\u2003", "Dr. Ann", "Prof. Bo", "keynote", "Speaker", "speakers", "presenter: ", "Lunch", "lunchbox",
+    "Coffee break", "location:", " Location:", ". Description:", "12", "9am", "a:", ":", "logo", " logo", "Home", "contact us", "faculty", "Sign-in", "é", "İ", "x", "Ann Lee", "one two three four five six seven", "y" * 30, "_", "CEO", "٣",
+)
+
+
+def test_speakers_are_read_in_the_parse_as_the_expression_reads_them(spark):
+    """Working them out of a page's lines by expressions was most of the time of a page."""
+    draw = random.Random(3)
+    texts = [html.visible_text(html.parsed("".join(draw.choice(SAID) for _ in range(draw.randint(0, 18))))) for _ in range(1500)]
+    made = spark.createDataFrame(list(enumerate(texts)), "i int, t string").select("i", text.speakers_from_text(F.col("t")).alias("s"), text.is_junk_speaker_name(F.col("t")).alias("junk"))
+    for r in made.collect():
+        own = facts.said_speakers(texts[r["i"]]).values()
+        assert [tuple(x) for x in r["s"]] == [(x["name"], x["title"], x["company"], x["details"]) for x in own], texts[r["i"]]
+        assert r["junk"] == facts.is_junk_speaker(texts[r["i"]])
+
+
+def test_speakers_of_text_and_cards(spark):
+    page = "<section><h2>Speakers</h2><div><h3>Ann Lee</h3><p>Chair</p><p>Acme</p></div><div><h3>Lunch</h3></div><div><h3>Dr. Bo<br>Ek</h3></div></section><p>Panelists: Ann Lee — CEO; Cy Roe at Fjord</p>"
+    got = event_page.extract_speakers(spark.createDataFrame([(1, "https://h.org/", page), (2, None, None)], "k int, url string, html string"), ["k"]).collect()
+    names = {r["k"]: [(x["name"], x["title"], x["company"]) for x in r["speakers"]] for r in got}
+    assert names == {1: [("Speakers", None, None), ("Ann Lee", None, None), ("Chair", None, None), ("Acme", None, None), ("Dr. Bo", None, None), ("Ek", None, None), ("Cy Roe", None, "Fjord"), ("Dr. Bo Ek", None, None)], 2: []}
